@@ -157,7 +157,7 @@ def _boosting(rounds: int, seed: int) -> Fitter:
 def _linear_svm(iterations: int) -> Fitter:
     return _estimator(
         lambda n: OneVsRest(
-            classifier=LinearSVC(maxIter=iterations, regParam=1.0 / max(1, n)), parallelism=3
+            classifier=LinearSVC(maxIter=iterations, regParam=1.0 / max(1, n), tol=1e-4), parallelism=3
         )
     )
 
