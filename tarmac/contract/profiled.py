@@ -14,6 +14,7 @@ from tarmac.contract.tables import (
     long_sql,
     prices,
     rounded_table,
+    sql_normal_quantile,
     sr,
     table,
     union_all,
@@ -332,12 +333,23 @@ def _(spark, d):
     return chartdata.linear_fit_ci(events(spark, d), "wave", "value", ["event_id"])
 
 
-# SQL has no normal quantile; points and line are checked against brute force in the tests.
-@query("qq_points")
+_QQ = f"""WITH {EVENTS}, long AS ({long_sql('ev', ['value', 'wave'])}),
+o AS (SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY value) AS position,
+        count(*) OVER (PARTITION BY feature) AS n FROM long),
+u AS (SELECT *, CASE WHEN position = n THEN pow(0.5, 1.0 / n) WHEN position = 1 THEN 1 - pow(0.5, 1.0 / n)
+        ELSE (position - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS p FROM o),
+t AS (SELECT feature, position, value, {sql_normal_quantile('p')} AS theoretical FROM u)"""
+
+
+@query("qq_points", f"{_QQ} SELECT feature, position, {sr('theoretical')} AS theoretical, {sr('value')} AS value FROM t")
 def _(spark, d):
-    return normality.qq_points(events(spark, d), ["value", "wave"])
+    return rounded_table(normality.qq_points(events(spark, d), ["value", "wave"]))
 
 
-@query("qq_fit")
+@query(
+    "qq_fit",
+    f"""{_QQ} SELECT feature, count(*) AS n, {sr('regr_slope(value, theoretical)')} AS slope,
+  {sr('regr_intercept(value, theoretical)')} AS intercept, {sr('corr(value, theoretical)')} AS r FROM t GROUP BY feature""",
+)
 def _(spark, d):
-    return normality.qq_fit(events(spark, d), ["value", "wave"])
+    return rounded_table(normality.qq_fit(events(spark, d), ["value", "wave"]))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.expr import rounded
+from tarmac.functions.special import CENTRAL, FAR, MIDDLE
 from tarmac.sources.tables import read_parquet
 
 
@@ -221,3 +222,23 @@ def sql_normal_upper(z: str) -> str:
         f"(CASE WHEN {z} >= 0 THEN 0.5 - {_integral(f'least({z}, 40)', body)} / sqrt(2 * pi()) "
         f"ELSE 0.5 + {_integral(f'least(-({z}), 40)', body)} / sqrt(2 * pi()) END)"
     )
+
+
+def _ratio_sql(coefficients: tuple[list[float], list[float]], x: str) -> str:
+    def horner(terms: list[float]) -> str:
+        out = f"({terms[-1]!r}::DOUBLE)"
+        for c in reversed(terms[:-1]):
+            out = f"({out} * {x} + {c!r}::DOUBLE)"
+        return out
+
+    return f"{horner(coefficients[0])} / {horner(coefficients[1])}"
+
+
+def sql_normal_quantile(p: str) -> str:
+    """Standard normal quantile; ``p`` should be a plain column, as it is repeated."""
+    tail = f"sqrt(-ln(least({p}, 1 - {p})))"
+    return (
+        f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN ({p} - 0.5) * {_ratio_sql(CENTRAL, f'(0.180625 - ({p} - 0.5) * ({p} - 0.5))')} "
+        f"ELSE sign({p} - 0.5) * CASE WHEN {tail} <= 5 THEN {_ratio_sql(MIDDLE, f'({tail} - 1.6)')} "
+        f"ELSE {_ratio_sql(FAR, f'({tail} - 5.0)')} END END"
+    )

@@ -8,11 +8,11 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.columns import melt
-from tarmac.functions.special import normal_upper
+from tarmac.functions.special import normal_quantile, normal_upper
 from tarmac.operators.hypothesis import ALPHA
 from tarmac.operators.quantiles import GROUP_ROWS
 from tarmac.operators.ranks import value_positions
@@ -113,11 +113,11 @@ def normality(
 # --- quantile-quantile data -------------------------------------------------------------------
 
 
-def _plotting_position(position: np.ndarray, n: np.ndarray) -> np.ndarray:
+def plotting_position(position: Column, n: Column) -> Column:
     """Medians of the uniform order statistics (Filliben's estimate)."""
-    inner = (position - 0.3175) / (n + 0.365)
-    top = 0.5 ** (1.0 / n)
-    return np.where(position == n, top, np.where(position == 1, 1.0 - top, inner))
+    top = F.pow(F.lit(0.5), F.lit(1.0) / n)
+    inner = (position - F.lit(0.3175)) / (n + F.lit(0.365))
+    return F.when(position == n, top).when(position == 1, F.lit(1.0) - top).otherwise(inner)
 
 
 def _runs(df: DataFrame, columns: Sequence[str], group_rows: int) -> DataFrame:
@@ -142,26 +142,15 @@ def _runs(df: DataFrame, columns: Sequence[str], group_rows: int) -> DataFrame:
 
 def qq_points(df: DataFrame, columns: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame:
     """``(feature, position, theoretical, value)`` of every known value."""
-    points = _runs(df, columns, group_rows).withColumn(
-        "position", F.explode(F.sequence("first", "last"))
-    )
-
-    def attach(batches):
-        inverse = np.frompyfunc(NormalDist().inv_cdf, 1, 1)
-        for pdf in batches:
-            p = _plotting_position(pdf["position"].to_numpy("float64"), pdf["n"].to_numpy("float64"))
-            theoretical = inverse(p).astype("float64") if len(p) else np.empty(0)
-            yield pd.DataFrame(
-                {
-                    "feature": pdf["feature"],
-                    "position": pdf["position"],
-                    "theoretical": theoretical,
-                    "value": pdf["value"],
-                }
-            )
-
-    return points.select("feature", "position", "n", "value").mapInPandas(
-        attach, "feature string, position long, theoretical double, value double"
+    return (
+        _runs(df, columns, group_rows)
+        .withColumn("position", F.explode(F.sequence("first", "last")))
+        .select(
+            "feature",
+            "position",
+            normal_quantile(plotting_position(F.col("position"), F.col("n"))).alias("theoretical"),
+            "value",
+        )
     )
 
 
