@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.expr import rounded
 from tarmac.functions.special import CENTRAL, FAR, MIDDLE
-from tarmac.sources.tables import read_parquet
+from tarmac.sources.tables import read_parquet, spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -58,7 +58,7 @@ PRICES = """pr AS (
 
 def flights(spark: SparkSession, folder: str) -> DataFrame:
     """Line items seen as flight records; FLIGHT_ID is a text key built from whole numbers."""
-    li = table(spark, folder, "lineitem")
+    li = spread(table(spark, folder, "lineitem"))
     o = table(spark, folder, "orders")
     c = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")

@@ -53,11 +53,3 @@ def nan_as_null(column: Column) -> Column:
 def rounded(column: Column, digits: int = 6) -> Column:
     """Rounded double without a negative zero, for reports that are compared across engines."""
     return F.round(column.cast("double"), digits) + F.lit(0.0)
-
-
-def equal_keys(left, right, names: Sequence[str]) -> Column:
-    """Null-safe equality of two frames on ``names``."""
-    out = F.lit(True)
-    for n in names:
-        out = out & left[n].eqNullSafe(right[n])
-    return out

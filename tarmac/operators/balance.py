@@ -116,12 +116,9 @@ def balance(
     if method == "positive_zero":
         return balance_positive_zero(df, target, [key], seed)
     delayed = F.when(F.col(target) > 0, F.lit(1)).otherwise(F.lit(0))
-    sizes = df.agg(
-        F.count_if(F.col(target) > 0).alias("positive"), F.count(F.lit(1)).alias("n")
-    ).first()
-    if sizes["positive"] in (0, sizes["n"]):
-        return df
     marked = df.withColumn("__delayed", delayed)
+    if class_counts(marked, "__delayed").count() < 2:
+        return df
     if method == "undersample":
         out = undersample(marked, "__delayed", [key], seed)
     elif method == "oversample":

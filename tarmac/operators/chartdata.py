@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.columns import as_double, melt, require_columns, wide_to_long
 from tarmac.functions.expr import hash_key
-from tarmac.operators.quantiles import exact_quantiles
+from tarmac.operators.quantiles import column_quantiles
 from tarmac.operators.sampling import sample_n
 from tarmac.session import parameter_table
+from tarmac.sources.tables import spread
 
 # How many columns a chart takes when none are named.
 DEFAULT_COLUMNS = {"histogram": 10, "box": 10, "grouped": 6, "pair": 5, "ridge": 8}
@@ -81,7 +82,7 @@ def box_stats(
     keys = [*keep, "feature"]
     q = F.col("quantiles")
     quartiles = parameter_table(
-        exact_quantiles(long, keys, "value", [0.25, 0.5, 0.75]).select(
+        column_quantiles(df, columns, [0.25, 0.5, 0.75], keep).select(
             *keys, q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3")
         )
     )
@@ -134,7 +135,7 @@ def kde(
         df = df.where(F.col(by).isNotNull())
     keys = [*keep, "feature"]
     long = melt(df, columns, keep)
-    spread = parameter_table(
+    shape = parameter_table(
         long.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).cast("double").alias("n"),
@@ -149,12 +150,12 @@ def kde(
         cell = (F.col("high") - F.col("low")) / bins
         middle = F.col("low") + (F.least(F.floor((F.col("value") - F.col("low")) / cell), F.lit(bins - 1)) + 0.5) * cell
         weighted = (
-            long.join(spread, keys)
+            long.join(shape, keys)
             .groupBy(*keys, middle.alias("value"))
             .agg(F.count(F.lit(1)).cast("double").alias("w"))
         )
     else:
-        weighted = long.withColumn("w", F.lit(1.0))
+        weighted = spread(long).withColumn("w", F.lit(1.0))
     margin = 3 * F.col("bandwidth") if ridge else F.lit(0.0)
     start, stop = F.col("low") - margin, F.col("high") + margin
     at = start + F.col("grid_point") * (stop - start) / F.lit(float(grid - 1))
@@ -162,7 +163,7 @@ def kde(
     mass = F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z))
     scale = F.col("n") * F.col("bandwidth") * F.sqrt(F.lit(2.0) * F.pi())
     return (
-        weighted.join(spread, keys)
+        weighted.join(shape, keys)
         .withColumn("grid_point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
         .groupBy(*keys, "grid_point", "n", "bandwidth", "low", "high")
         .agg(mass.alias("mass"))

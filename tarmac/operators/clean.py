@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.functions.columns import melt, numeric_columns, present, require_columns
+from tarmac.functions.columns import numeric_columns, present, require_columns
 from tarmac.functions.expr import clip_lower
-from tarmac.operators.quantiles import exact_quantiles
+from tarmac.operators.quantiles import column_quantiles
 from tarmac.session import parameter_row
 
 
@@ -118,13 +118,16 @@ def incomplete_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float |
 
 
 def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
-    """Most frequent value per column, the smallest one on a tie.
+    """Most frequent value of every column with missing values, the smallest one on a tie.
 
     Each column is counted by a grouped aggregate (partial counts before the shuffle) and reduced to
     its best entry, so no task ever holds a whole column's distinct values.
     """
     out: dict[str, object] = {}
-    for name in columns:
+    if not columns:
+        return out
+    gaps = parameter_row(df.agg(*[(F.count(c) < F.count(F.lit(1))).alias(c) for c in columns]))
+    for name in [c for c in columns if gaps[c]]:
         best = (
             df.where(F.col(name).isNotNull())
             .groupBy(name)
@@ -150,7 +153,7 @@ def fill_missing(df: DataFrame, strategy: str = "mean", value: object = None) ->
         columns = [c for c, m in incomplete_means(df, numeric_columns(df)).items() if m is not None]
         if not columns:
             return df
-        found = exact_quantiles(melt(df, columns), ["feature"], "value", [0.5]).collect()
+        found = column_quantiles(df, columns, [0.5]).collect()
         return _fill_with(df, {r["feature"]: float(r["quantiles"][0]) for r in found})
     if strategy == "mode":
         return _fill_with(df, column_modes(df, df.columns))
@@ -172,9 +175,11 @@ def handle_missing(df: DataFrame, method: str = "drop", value: object = None) ->
 # --- outliers ---------------------------------------------------------------------------------
 
 
-def iqr_fences(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> dict[str, tuple[float, float]]:
+def iqr_fences(
+    df: DataFrame, columns: Sequence[str], k: float = 1.5, largest: int | None = None
+) -> dict[str, tuple[float, float]]:
     """Lower and upper fence per column, from exact quartiles (one row per column on the driver)."""
-    rows = exact_quantiles(melt(df, columns), ["feature"], "value", [0.25, 0.75]).collect()
+    rows = column_quantiles(df, columns, [0.25, 0.75], largest=largest).collect()
     fences = {}
     for r in rows:
         q1, q3 = r["quantiles"]
@@ -182,12 +187,14 @@ def iqr_fences(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> dict[st
     return fences
 
 
-def replace_outliers_iqr(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> DataFrame:
+def replace_outliers_iqr(
+    df: DataFrame, columns: Sequence[str], k: float = 1.5, largest: int | None = None
+) -> DataFrame:
     """Values beyond the fences, and missing ones, become the mean of the values inside."""
     columns = present(df, columns)
     if not columns:
         return df
-    fences = iqr_fences(df, columns, k)
+    fences = iqr_fences(df, columns, k, largest)
     inside = {
         c: F.when(F.col(c).cast("double").between(*fences[c]), F.col(c).cast("double"))
         for c in columns
@@ -210,4 +217,20 @@ def impute_mean_all(df: DataFrame) -> DataFrame:
 
 
 def treat_outliers_and_missing(df: DataFrame, outlier_columns: Sequence[str], k: float = 1.5) -> DataFrame:
-    return impute_mean_all(replace_outliers_iqr(df, outlier_columns, k))
+    """Outlier replacement of the given columns and mean imputation of all other numeric ones.
+
+    Three passes: counts and plain means, quartiles, means inside the fences.
+    """
+    outliers = present(df, outlier_columns)
+    columns = numeric_columns(df)
+    aggregates = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(columns):
+        aggregates += [F.count(c).alias(f"c{i}"), F.avg(F.col(c).cast("double")).alias(f"m{i}")]
+    row = parameter_row(df.agg(*aggregates))
+    values = {
+        c: row[f"m{i}"]
+        for i, c in enumerate(columns)
+        if c not in outliers and row[f"c{i}"] < row["n"]
+    }
+    largest = max([row[f"c{i}"] for i, c in enumerate(columns) if c in outliers], default=0)
+    return _fill_with(replace_outliers_iqr(df, outliers, k, largest), values)

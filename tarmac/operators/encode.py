@@ -12,8 +12,8 @@ from tarmac.session import materialize, parameter_table
 
 #: Widest one-hot block that is spelled out as columns.
 MAX_CATEGORIES = 1000
-#: Dictionary entries that one task may number.
-DICTIONARY_ROWS = 1_000_000
+#: Dictionary entries that the driver may number and broadcast.
+DICTIONARY_ROWS = 200_000
 
 
 def _text(column: str):
@@ -22,17 +22,35 @@ def _text(column: str):
 
 
 def fit_one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """Sorted categories per column. More than ``max_categories`` is an error, not a wider table."""
+    """Sorted categories per column, found in one pass over all columns.
+
+    More than ``max_categories`` is an error, not a wider table.
+    """
     require_columns(df, columns)
-    out = {}
-    for name in columns:
-        found = df.select(_text(name).alias("v")).distinct().limit(max_categories + 1).collect()
-        if len(found) > max_categories:
+    found = (
+        _long_text(df, columns, missing="nan").distinct().limit(max_categories * len(columns) + 1).collect()
+    )
+    out = {name: sorted(r["value"] for r in found if r["feature"] == name) for name in columns}
+    for name, values in out.items():
+        if len(values) > max_categories or len(found) > max_categories * len(columns):
             raise ValueError(f"{name} has more than {max_categories} categories; label-encode it")
-        out[name] = sorted(r["v"] for r in found)
     return out
 
 
+def _long_text(df: DataFrame, columns: Sequence[str], missing: str | None = None) -> DataFrame:
+    """``(feature, value)`` of text columns, missing values dropped or named."""
+    cells = F.inline(
+        F.array(
+            *[
+                F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
+                for c in columns
+            ]
+        )
+    )
+    long = df.select(cells)
+    return long.na.drop() if missing is None else long.na.fill(missing, ["value"])
+
+
 def apply_one_hot(df: DataFrame, categories: dict[str, list[str]]) -> DataFrame:
     """Replace each fitted column by tinyint indicators; an unseen category gives all zeros."""
     kept = [F.col(c) for c in df.columns if c not in categories]
@@ -48,18 +66,11 @@ def one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CAT
     return apply_one_hot(df, fit_one_hot(df, columns, max_categories))
 
 
-def _numbered(values: DataFrame, max_rows: int) -> DataFrame:
-    """``(value, code)`` with codes 0.. in ascending order of distinct values."""
-    n = values.count()
-    if n <= max_rows:
-        return values.select(
-            "value",
-            (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("value")) - 1)
-            .cast("int")
-            .alias("code"),
-        )
-    # sorted ranges, fixed in storage so that the range numbers cannot move between jobs
-    parts = max(2, -(-n // max_rows))
+def _numbered_by_range(values: DataFrame, parts: int) -> DataFrame:
+    """``(value, code)`` of distinct values too many for one task.
+
+    Sorted ranges are written first, so that their numbers cannot move between jobs.
+    """
     ranged = materialize(
         values.repartitionByRange(parts, "value").withColumn("part", F.spark_partition_id())
     )
@@ -79,13 +90,39 @@ def _numbered(values: DataFrame, max_rows: int) -> DataFrame:
     )
 
 
+def fit_label_sets(
+    df: DataFrame, columns: Sequence[str], max_rows: int = DICTIONARY_ROWS
+) -> dict[str, DataFrame]:
+    """Dictionary ``(value, code)`` per column, alphabetical from 0, from one pass over all columns.
+
+    While the dictionaries are proven small the driver numbers them; larger ones are numbered by
+    sorted ranges, column by column.
+    """
+    require_columns(df, columns)
+    spark = df.sparkSession
+    fetched = _long_text(df, columns).distinct().limit(max_rows + 1).toArrow()
+    if fetched.num_rows <= max_rows:
+        found: dict[str, list[str]] = {c: [] for c in columns}
+        for feature, value in zip(fetched["feature"].to_pylist(), fetched["value"].to_pylist()):
+            found[feature].append(value)
+        return {
+            c: F.broadcast(
+                spark.createDataFrame(
+                    [(v, i) for i, v in enumerate(sorted(values))], "value string, code int"
+                )
+            )
+            for c, values in found.items()
+        }
+    out = {}
+    for c in columns:
+        values = _long_text(df, [c]).select("value").distinct()
+        out[c] = _numbered_by_range(values, max(2, -(-values.count() // max_rows)))
+    return out
+
+
 def fit_labels(df: DataFrame, column: str, max_rows: int = DICTIONARY_ROWS) -> DataFrame:
-    """Dictionary ``(value, code)`` of a column, alphabetical from 0."""
-    require_columns(df, [column])
-    values = (
-        df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("value")).distinct()
-    )
-    return parameter_table(_numbered(values, max_rows))
+    """Dictionary of one column."""
+    return fit_label_sets(df, [column], max_rows)[column]
 
 
 def labels_in_order(df: DataFrame, ordered: Sequence[str]) -> DataFrame:
@@ -108,9 +145,8 @@ def apply_labels(df: DataFrame, column: str, dictionary: DataFrame, output: str
 
 
 def label_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    require_columns(df, columns)
-    for name in columns:
-        df = apply_labels(df, name, fit_labels(df, name))
+    for name, dictionary in fit_label_sets(df, columns).items():
+        df = apply_labels(df, name, dictionary)
     return df
 
 

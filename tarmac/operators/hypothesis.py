@@ -20,7 +20,7 @@ from tarmac.functions.special import (
     normal_upper_p,
     t_two_sided_p,
 )
-from tarmac.operators.quantiles import exact_quantiles
+from tarmac.operators.quantiles import column_quantiles
 from tarmac.operators.ranks import rank_sums
 from tarmac.session import parameter_table
 
@@ -189,8 +189,8 @@ def levene(
     """Equality of variances: analysis of variance of the distances to the group medians."""
     columns = feature_list(df, label, columns)
     known = df.where(F.col(label).isNotNull())
-    medians = exact_quantiles(melt(known, columns, [label]), [label, "feature"], "value", [0.5])
-    centre = F.when(F.col("feature").isNotNull(), F.col("quantiles")[0])
+    medians = column_quantiles(known, columns, [0.5], [label])
+    centre = F.col("quantiles")[0]
     wide = parameter_table(
         medians.groupBy(F.col(label).alias("__label")).agg(
             *[F.max(F.when(F.col("feature") == c, centre)).alias(f"__m{i}") for i, c in enumerate(columns)]

@@ -139,8 +139,9 @@ def _against_broadcast(q: DataFrame, b: DataFrame, k: int, schema: str) -> DataF
                 i, found, dist = nearest_in_block(_matrix(pdf["qv"]), points, keys, k)
                 yield pd.DataFrame({"qk": pdf["qk"].to_numpy()[i], "bk": found, "dist": dist})
 
-    # spread the queries: reading may have put them into very few tasks
-    return q.repartition("qk").mapInPandas(search, schema)
+    # a fixed number of tasks: each query row costs a pass over the base, far more than its bytes tell
+    tasks = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return q.repartition(tasks, "qk").mapInPandas(search, schema)
 
 
 def _by_tiles(q: DataFrame, b: DataFrame, k: int, n: int, tile_rows: int, schema: str) -> DataFrame:

@@ -6,7 +6,6 @@ few driver threads submit them together; rows never pass through the driver, onl
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from statistics import fmean, pstdev
@@ -26,13 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.columns import numeric_columns, require_columns
-from tarmac.functions.expr import hash_key
-from tarmac.operators.clean import feature_matrix
 from tarmac.operators.encode import apply_labels, fit_labels
 from tarmac.operators.knn import knn_classify
 from tarmac.operators.sampling import (
-    rank_cuts,
-    cuts_passed,
+    hold_out_flags,
     sample_n,
     stratified_kfold,
     train_test_split,
@@ -234,7 +230,7 @@ def validation_strategies(
     cv_folds: int = 5,
     bootstrap_n: int = 100,
     seed: int = 42,
-    threads: int = 6,
+    threads: int = 8,
     models: dict[str, Fitter] | None = None,
 ) -> DataFrame:
     """One row per model: single split, stratified folds, repeated hold-outs."""
@@ -242,9 +238,7 @@ def validation_strategies(
     data = assemble(df, target, key)
     data = stratified_kfold(data, "label", [key], cv_folds, seed)
     data = train_test_split(data, [key], 0.2, seed, stratify="label")
-    held_out = math.ceil(data.count() * HOLD_OUT)
-    for i in range(repetitions):
-        data = _hold_out_flag(data, key, seed + i, held_out, f"held_{i}")
+    data = hold_out_flags(data, [key], repetitions, HOLD_OUT, seed)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = data.count()
@@ -287,18 +281,6 @@ def validation_strategies(
     )
 
 
-def _hold_out_flag(df: DataFrame, key: str, seed: int, rows: int, output: str) -> DataFrame:
-    """Flag the first ``rows`` rows in the random order of ``seed``."""
-    digest = hash_key([key], seed)
-    targets = df.sparkSession.createDataFrame([(0, 0, rows)], "__all int, cut int, target long")
-    cuts = rank_cuts(
-        df.select(key, F.lit(0).alias("__all")), targets, [key], digest, ["__all"]
-    )
-    work = df.withColumn("__all", F.lit(0))
-    flagged = cuts_passed(work, cuts, [key], digest, ["__all"], output)
-    return flagged.withColumn(output, F.col(output) == 0).drop("__all")
-
-
 def compare_models(
     df: DataFrame,
     target: str,
@@ -306,7 +288,7 @@ def compare_models(
     cv_folds: int = 5,
     max_samples: int | None = COMPARISON_ROWS,
     seed: int = 42,
-    threads: int = 5,
+    threads: int = 8,
     models: dict[str, Fitter] | None = None,
 ) -> DataFrame:
     """Ranked table of all candidates under stratified cross-validation.
@@ -317,24 +299,31 @@ def compare_models(
     if max_samples:
         data = sample_n(data, max_samples, [key], seed)
     data = stratified_kfold(data, "label", [key], cv_folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
+    models = models or candidate_models(key, seed)
     try:
-        for name, fitter in (models or candidate_models(key, seed)).items():
+        n_train = data.count() * (cv_folds - 1) // cv_folds
+
+        def run(task: tuple[str, int]):
+            name, i = task
+            train, test = data.where(F.col("fold") != i), data.where(F.col("fold") == i)
             try:
-                scores = cross_validate(data, fitter, cv_folds, threads)
-                rows.append(
-                    (
-                        name,
-                        *_mean_std([a for a, _ in scores]),
-                        *_mean_std([f for _, f in scores]),
-                        True,
-                        None,
-                    )
-                )
+                return name, _score(models[name], train.drop("fold"), test.drop("fold"), n_train), None
             except Exception as error:  # one failing model must not hide the others
-                rows.append((name, None, None, None, None, False, str(error)))
+                return name, None, str(error)
+
+        with ThreadPoolExecutor(threads) as pool:
+            done = list(pool.map(run, [(name, i) for name in models for i in range(cv_folds)]))
     finally:
         data.unpersist()
+    rows = []
+    for name in models:
+        scores = [s for m, s, _ in done if m == name]
+        errors = [e for m, _, e in done if m == name and e is not None]
+        if errors:
+            rows.append((name, None, None, None, None, False, errors[0]))
+        else:
+            accuracy, f1 = _mean_std([a for a, _ in scores]), _mean_std([f for _, f in scores])
+            rows.append((name, *accuracy, *f1, True, None))
     table = df.sparkSession.createDataFrame(
         rows,
         "model string, cv_accuracy_mean double, cv_accuracy_std double, cv_f1_weighted_mean double, "

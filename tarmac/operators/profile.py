@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.functions.columns import as_double, melt, wide_to_long
-from tarmac.operators.quantiles import exact_quantiles
+from tarmac.functions.columns import as_double, wide_to_long
+from tarmac.operators.quantiles import column_quantiles
 from tarmac.session import parameter_table
 
 #: Column pairs whose moments go into one aggregate; wider tables take several.
@@ -55,7 +55,7 @@ def describe(df: DataFrame, columns: Sequence[str], by: str | None = None) -> Da
             F.min(c).alias(f"l{i}"),
             F.max(c).alias(f"h{i}"),
         ]
-    moments = wide_to_long(
+    moments = parameter_table(wide_to_long(
         work.groupBy(*keep).agg(*aggregates),
         keep,
         {
@@ -68,10 +68,9 @@ def describe(df: DataFrame, columns: Sequence[str], by: str | None = None) -> Da
             }
             for i, c in enumerate(columns)
         },
-    )
-    quartiles = exact_quantiles(
-        melt(df, columns, keep), [*keep, "feature"], "value", [0.25, 0.5, 0.75]
-    )
+    ))
+    largest = moments.agg(F.max("count")).first()[0] or 0
+    quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75], keep, largest=largest)
     return moments.join(quartiles, [*keep, "feature"], "left").select(
         *keep,
         "feature",

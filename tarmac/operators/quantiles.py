@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.functions.expr import equal_keys
+from tarmac.functions.columns import as_double, melt, wide_to_long
 from tarmac.session import parameter_table
 
 #: Rows of one group that a single task may sort or hold as a value-count map.
@@ -20,6 +20,8 @@ GROUP_ROWS = 2_000_000
 #: Most ranges a group is split into; two lookups of this square root find a value's range.
 MAX_RANGES = 4096
 _STRIDE = 64
+#: Boundaries the driver may hold in all.
+_DRIVER_BOUNDS = 4_000_000
 
 
 def group_sizes(long: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -31,9 +33,8 @@ def range_boundaries(
 ) -> DataFrame | None:
     """``(keys, n, bounds)`` of the groups above ``group_rows``; None when there are none.
 
-    The table is fixed on the driver once, because approximate quantiles may differ from run to run
-    and every later step has to see the same boundaries. It holds at most
-    rows / group_rows groups, so its size falls as groups grow.
+    The table is fixed once, because approximate quantiles may differ from run to run and every later
+    step has to see the same boundaries. It holds at most rows / group_rows groups.
     """
     large = group_sizes(long, keys, value).where(F.col("n") > group_rows)
     most = large.agg(F.max("n")).first()[0]
@@ -43,7 +44,7 @@ def range_boundaries(
     large = parameter_table(large)
     levels = [i / ranges for i in range(1, ranges)]
     bounds = (
-        long.join(large, equal_keys(long, large, keys), "left_semi")
+        long.join(large, list(keys), "left_semi")
         .groupBy(*keys)
         .agg(
             F.count(value).alias("n"),
@@ -52,7 +53,7 @@ def range_boundaries(
             ).alias("bounds"),
         )
     )
-    return parameter_table(bounds)
+    return parameter_table(bounds, max(1, _DRIVER_BOUNDS // ranges))
 
 
 def range_index(value: Column, bounds: Column) -> Column:
@@ -99,19 +100,56 @@ def exact_quantiles(
     probs: Sequence[float],
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """``(keys..., quantiles array)`` with linear interpolation between order statistics."""
+    """``(keys..., quantiles array)`` with linear interpolation between order statistics.
+
+    Rows with a missing key belong to no group.
+    """
     keys = list(keys)
-    long = long.where(F.col(value).isNotNull()).select(*keys, value)
+    long = long.select(*keys, value).na.drop()
     bounds = range_boundaries(long, keys, value, group_rows)
     if bounds is None:
         return _in_one_task(long, keys, value, probs)
-    small = long.join(bounds, equal_keys(long, bounds, keys), "left_anti")
-    large = long.join(bounds, equal_keys(long, bounds, keys), "left_semi")
+    small = long.join(bounds, keys, "left_anti")
+    large = long.join(bounds, keys, "left_semi")
     return _in_one_task(small, keys, value, probs).unionByName(
         _by_narrowing(large, keys, value, probs, bounds)
     )
 
 
+def column_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    group_rows: int = GROUP_ROWS,
+    largest: int | None = None,
+) -> DataFrame:
+    """``(by..., feature, quantiles)`` of several columns; ``largest`` is the biggest group if known.
+
+    While every group fits one task the columns are aggregated side by side; otherwise they are laid
+    out in long form and narrowed.
+    """
+    by = list(by)
+    if largest is None:
+        largest = largest_group(df, columns, by)
+    if largest > group_rows:
+        return exact_quantiles(melt(df, columns, by), [*by, "feature"], "value", probs, group_rows)
+    levels = F.array(*[F.lit(float(p)) for p in probs])
+    wide = as_double(df, columns, by).groupBy(*by).agg(
+        *[F.percentile(c, levels).alias(f"__q{i}") for i, c in enumerate(columns)]
+    )
+    fields = {c: {"quantiles": F.col(f"__q{i}")} for i, c in enumerate(columns)}
+    return wide_to_long(wide, by, fields).where(F.col("quantiles").isNotNull())
+
+
+def largest_group(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> int:
+    """Most known values any column has in any group."""
+    counts = df.groupBy(*by).agg(
+        F.array_max(F.array(*[F.count(F.col(c)) for c in columns])).alias("n")
+    )
+    return counts.agg(F.max("n")).first()[0] or 0
+
+
 def _in_one_task(long: DataFrame, keys: list[str], value: str, probs: Sequence[float]) -> DataFrame:
     return long.groupBy(*keys).agg(
         F.percentile(value, F.array(*[F.lit(float(p)) for p in probs])).alias("quantiles")

@@ -5,56 +5,82 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.columns import present
 from tarmac.operators.encode import category_codes
+from tarmac.operators.profile import corr_pairs
 from tarmac.operators.scale import apply_scaler, fit_scaler
 
+#: Columns up to which pair moments are plain aggregates; wider tables go through vectors.
+PAIRWISE_COLUMNS = 40
 
-def _scaled_vectors(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    complete = df.select(
-        *keep, *[F.col(c).cast("double").alias(f"__x_{i}") for i, c in enumerate(columns)]
-    ).na.drop(subset=[f"__x_{i}" for i in range(len(columns))])
-    names = [f"__x_{i}" for i in range(len(columns))]
-    scaled = apply_scaler(complete, fit_scaler(complete, names))
-    return VectorAssembler(inputCols=names, outputCol="__v").transform(scaled).select(*keep, "__v")
+
+def _complete(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """Numbers as ``x0, x1, ...`` on the rows that know them all."""
+    names = [f"__x{i}" for i in range(len(columns))]
+    return df.select(
+        *keep, *[F.col(c).cast("double").alias(n) for c, n in zip(columns, names)]
+    ).na.drop(subset=names)
+
+
+def _correlations(complete: DataFrame, names: Sequence[str]) -> np.ndarray:
+    """Covariance of the z-scored columns, which is their correlation; zero for a constant column."""
+    out = np.zeros((len(names), len(names)))
+    if len(names) <= PAIRWISE_COLUMNS:
+        at = {n: i for i, n in enumerate(names)}
+        for r in corr_pairs(complete, names).collect():
+            i, j = at[r["x"]], at[r["y"]]
+            out[i, j] = out[j, i] = r["r"] or 0.0
+        return out
+    vectors = VectorAssembler(inputCols=list(names), outputCol="v").transform(complete).select("v")
+    found = Correlation.corr(vectors, "v").first()[0].toArray()
+    return np.nan_to_num(found)
 
 
-def _signs(loadings: np.ndarray) -> np.ndarray:
-    """+1 or -1 per component so that its largest loading in absolute value is positive."""
-    top = np.abs(loadings).argmax(axis=0)
-    return np.where(loadings[top, np.arange(loadings.shape[1])] < 0, -1.0, 1.0)
+def _axes(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues from largest and their axes; the largest loading of each axis is positive."""
+    values, axes = np.linalg.eigh(matrix)
+    values, axes = values[::-1], axes[:, ::-1]
+    top = np.abs(axes).argmax(axis=0)
+    return values, axes * np.where(axes[top, np.arange(axes.shape[1])] < 0, -1.0, 1.0)
 
 
 def pca(
     df: DataFrame, columns: Sequence[str], key_cols: Sequence[str], k: int = 2, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Projection ``(keys..., pc1..pck)`` of the rows without missing values."""
-    if k < 2:
-        raise ValueError("k must be at least 2")
+    """Projection ``(keys..., pc1..pck)`` of the rows without missing values.
+
+    The rows are aggregated to a columns x columns matrix; its axes become literals of a projection.
+    """
+    if k < 2 or k > len(columns):
+        raise ValueError("k must be at least 2 and at most the number of columns")
     kept = [*key_cols, *keep]
-    vectors = _scaled_vectors(df, columns, kept)
-    model = PCA(k=k, inputCol="__v", outputCol="__p").fit(vectors)
-    signs = _signs(model.pc.toArray())
-    points = vector_to_array(F.col("__p"))
-    return model.transform(vectors).select(
-        *kept, *[(points[i] * F.lit(float(signs[i]))).alias(f"pc{i + 1}") for i in range(k)]
-    )
+    complete = _complete(df, columns, kept)
+    names = [c for c in complete.columns if c not in kept]
+    _, axes = _axes(_correlations(complete, names))
+    scaled = apply_scaler(complete, fit_scaler(complete, names))
+    components = []
+    for j in range(k):
+        score = F.lit(0.0)
+        for i, n in enumerate(names):
+            score = score + F.col(n) * F.lit(float(axes[i, j]))
+        components.append(score.alias(f"pc{j + 1}"))
+    return scaled.select(*kept, *components)
 
 
 def pca_variance(df: DataFrame, columns: Sequence[str], threshold: float = 0.8) -> DataFrame:
     """Explained share per component; ``selected`` marks those needed to reach the threshold."""
-    vectors = _scaled_vectors(df, columns, [])
-    model = PCA(k=len(columns), inputCol="__v", outputCol="__p").fit(vectors)
-    ratios = [float(r) for r in model.explainedVariance.toArray()]
+    complete = _complete(df, columns, [])
+    values, _ = _axes(_correlations(complete, complete.columns))
+    values = np.clip(values, 0.0, None)
     rows, total = [], 0.0
-    for i, r in enumerate(ratios):
-        rows.append((i + 1, r, total + r, total < threshold))
-        total += r
+    for i, r in enumerate(values / max(values.sum(), 1e-300)):
+        rows.append((i + 1, float(r), total + float(r), total < threshold))
+        total += float(r)
     return df.sparkSession.createDataFrame(
         rows, "component int, ratio double, cumulative double, selected boolean"
     )

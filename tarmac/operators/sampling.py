@@ -9,7 +9,6 @@ A class that holds most of the table costs nothing extra.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,7 +18,8 @@ from tarmac.functions.columns import require_columns
 from tarmac.functions.expr import hash_key, unit_interval
 from tarmac.session import parameter_table
 
-_CUT_PREFIX = 4  # 65,536 digest prefixes per stratum
+_PREFIX = 3  # digest digits counted per pass: 4,096 prefixes per stratum
+_SLIVER_ROWS = 1_000_000  # rows of one prefix that a task may rank
 _RANK_ROWS = 500_000  # aimed rows per ranking task
 _DRAW_BLOCK = 100_000  # draws generated per row of the block table
 
@@ -73,37 +73,66 @@ def hash_rank(
     )
 
 
+def digest_counts(df: DataFrame, key_cols: Sequence[str], digest: Column, by: Sequence[str]) -> DataFrame:
+    """``(by..., p, c)``: rows per digest prefix and stratum; null labels form no stratum."""
+    keyed = df.select(*by, digest.alias("h")).na.drop(subset=list(by))
+    return parameter_table(
+        keyed.groupBy(*by, F.substring("h", 1, _PREFIX).alias("p")).agg(F.count(F.lit(1)).alias("c"))
+    )
+
+
+def stratum_sizes(counts: DataFrame, by: Sequence[str], output: str = "n") -> DataFrame:
+    return counts.groupBy(*by).agg(F.sum("c").alias(output))
+
+
+def _locate(counts: DataFrame, targets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The prefix that holds each target rank, and the rank wanted inside it."""
+    order = Window.partitionBy(*by).orderBy("p")
+    return parameter_table(
+        counts.withColumn("upto", F.sum("c").over(order))
+        .withColumn("before", F.col("upto") - F.col("c"))
+        .join(targets, list(by))
+        .where((F.col("before") < F.col("target")) & (F.col("target") <= F.col("upto")))
+        .select(*by, "cut", "p", (F.col("target") - F.col("before")).alias("need"), "c")
+    )
+
+
 def rank_cuts(
     df: DataFrame,
+    counts: DataFrame,
     targets: DataFrame,
     key_cols: Sequence[str],
     digest: Column,
     by: Sequence[str],
+    sliver_rows: int = _SLIVER_ROWS,
 ) -> DataFrame:
     """Cut points of the digest order.
 
     ``targets`` holds ``(by..., cut, target)``; the result ``(by..., cuts)`` lists, by ascending cut,
-    the digest and keys of the row with rank ``target``. Targets below 1 sort before every row.
+    the digest and keys of the row with rank ``target``. A prefix with more than ``sliver_rows`` rows
+    is split by further digits before it is ranked.
     """
     by = list(by)
-    keyed = df.select(*by, *key_cols, digest.alias("h")).withColumn(
-        "p", F.substring("h", 1, _CUT_PREFIX)
-    )
-    order = Window.partitionBy(*by).orderBy("p")
-    counts = (
-        keyed.groupBy(*by, "p")
-        .agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("upto", F.sum("c").over(order))
-        .withColumn("before", F.col("upto") - F.col("c"))
-    )
-    located = parameter_table(
-        counts.join(targets, by)
-        .where((F.col("before") < F.col("target")) & (F.col("target") <= F.col("upto")))
-        .select(*by, "cut", "p", (F.col("target") - F.col("before")).alias("need"))
-    )
+    keyed = df.select(*by, *key_cols, digest.alias("h")).na.drop(subset=by)
+    length = _PREFIX
+    located = _locate(counts, targets, by)
+    while length < 30 and (located.agg(F.max("c")).first()[0] or 0) > sliver_rows:
+        inside = keyed.withColumn("p", F.substring("h", 1, length)).join(
+            located.select(*by, "cut", "p"), [*by, "p"]
+        )
+        length += _PREFIX
+        finer = parameter_table(
+            inside.groupBy(*by, "cut", F.substring("h", 1, length).alias("p")).agg(
+                F.count(F.lit(1)).alias("c")
+            )
+        )
+        located = _locate(
+            finer, located.select(*by, "cut", F.col("need").alias("target")), [*by, "cut"]
+        ).select(*by, "cut", "p", "need", "c")
     ranked = Window.partitionBy(*by, "cut").orderBy("h", *key_cols)
     cut_rows = (
-        keyed.join(located, [*by, "p"])
+        keyed.withColumn("p", F.substring("h", 1, length))
+        .join(located, [*by, "p"])
         .withColumn("rn", F.row_number().over(ranked))
         .where(F.col("rn") == F.col("need"))
     )
@@ -142,12 +171,17 @@ def cuts_passed(
 
 
 def _take(
-    df: DataFrame, sizes: DataFrame, key_cols: Sequence[str], seed: int, by: Sequence[str], output: str
+    df: DataFrame,
+    counts: DataFrame,
+    sizes: DataFrame,
+    key_cols: Sequence[str],
+    digest: Column,
+    by: Sequence[str],
+    output: str,
 ) -> DataFrame:
     """Flag the first ``target`` rows of every stratum; ``sizes`` is ``(by..., target)``."""
-    digest = hash_key(key_cols, seed)
     targets = sizes.where(F.col("target") > 0).withColumn("cut", F.lit(0))
-    cuts = rank_cuts(df, targets, key_cols, digest, by)
+    cuts = rank_cuts(df, counts, targets, key_cols, digest, by)
     return cuts_passed(df, cuts, key_cols, digest, by, "__passed").withColumn(
         output, F.coalesce(F.col("__passed") == 0, F.lit(False))
     ).drop("__passed")
@@ -160,10 +194,12 @@ def sample_n(
     require_columns(df, [*key_cols, *by])
     strata = list(by) or ["__all"]
     work = df if by else df.withColumn("__all", F.lit(0))
-    sizes = work.groupBy(*strata).agg(
-        F.least(F.count(F.lit(1)), F.lit(n).cast("long")).alias("target")
+    digest = hash_key(key_cols, seed)
+    counts = digest_counts(work, key_cols, digest, strata)
+    sizes = stratum_sizes(counts, strata, "have").select(
+        *strata, F.least(F.col("have"), F.lit(n).cast("long")).alias("target")
     )
-    chosen = _take(work, sizes, key_cols, seed, strata, "__in")
+    chosen = _take(work, counts, sizes, key_cols, digest, strata, "__in")
     return chosen.where("__in").select(*df.columns)
 
 
@@ -178,21 +214,22 @@ def train_test_split(
     """Add 'train' or 'test'; exactly ceil(n * test_size) rows are test.
 
     With ``stratify`` that total is shared out in proportion to the class sizes, whole rows first and
-    the remainder by largest fraction (ties by label).
+    the remainder by largest fraction (ties by label); rows without a label go to 'train'.
     """
     if not 0 < test_size < 1:
         raise ValueError("test_size must lie between 0 and 1")
     require_columns(df, [*key_cols, *([stratify] if stratify else [])])
     stratum = stratify or "__all"
     work = df if stratify else df.withColumn("__all", F.lit(0))
+    digest = hash_key(key_cols, seed)
+    counts = digest_counts(work, key_cols, digest, [stratum])
     everything = Window.partitionBy(F.lit(0))
-    share = F.col("c") * F.col("n_test")
+    share = F.col("have") * F.col("n_test")
     sizes = (
-        work.groupBy(stratum)
-        .agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("n", F.sum("c").over(everything))
+        stratum_sizes(counts, [stratum], "have")
+        .withColumn("n", F.sum("have").over(everything))
         .withColumn("n_test", F.ceil(F.col("n") * F.lit(test_size)))
-        .withColumn("whole", F.expr("div(c * n_test, n)"))
+        .withColumn("whole", F.expr("div(have * n_test, n)"))
         .withColumn("left_over", F.col("n_test") - F.sum("whole").over(everything))
         .withColumn(
             "place",
@@ -205,7 +242,7 @@ def train_test_split(
             ),
         )
     )
-    flagged = _take(work, sizes, key_cols, seed, [stratum], "__test")
+    flagged = _take(work, counts, sizes, key_cols, digest, [stratum], "__test")
     return flagged.withColumn(
         output, F.when(F.col("__test"), F.lit("test")).otherwise(F.lit("train"))
     ).select(*df.columns, output)
@@ -223,15 +260,16 @@ def stratified_kfold(
     if k < 2:
         raise ValueError("k must be at least 2")
     require_columns(df, [*key_cols, label])
-    counts = class_counts(df, label)
-    largest = counts.agg(F.max("n")).first()[0]
+    digest = hash_key(key_cols, seed)
+    counts = digest_counts(df, key_cols, digest, [label])
+    sizes = parameter_table(stratum_sizes(counts, [label]))
+    largest = sizes.agg(F.max("n")).first()[0]
     if largest is not None and largest < k:
         raise ValueError("k is larger than every class")
-    targets = counts.select(
+    targets = sizes.select(
         label, F.col("n"), F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("cut")
     ).select(label, "cut", F.ceil(F.col("cut") * F.col("n") / F.lit(k)).alias("target"))
-    digest = hash_key(key_cols, seed)
-    cuts = rank_cuts(df, targets, key_cols, digest, [label])
+    cuts = rank_cuts(df, counts, targets, key_cols, digest, [label])
     return cuts_passed(df, cuts, key_cols, digest, [label], output)
 
 
@@ -246,32 +284,57 @@ def shuffle_split(
     if not 0 < test_size < 1:
         raise ValueError("test_size must lie between 0 and 1")
     require_columns(df, key_cols)
-    keys = df.select(*key_cols)
-    n = keys.count()
-    rows = keys.withColumn("split", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
+    rows = df.select(*key_cols, F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("split"))
     digest = hash_key(key_cols, F.col("split") + F.lit(seed))
-    held_out = math.ceil(n * test_size)
-    targets = df.sparkSession.range(n_splits).select(
-        F.col("id").cast("int").alias("split"),
-        F.lit(0).alias("cut"),
-        F.lit(held_out).cast("long").alias("target"),
+    counts = digest_counts(rows, key_cols, digest, ["split"])
+    sizes = stratum_sizes(counts, ["split"]).select(
+        "split", F.ceil(F.col("n") * F.lit(test_size)).alias("target")
+    )
+    held = _take(rows, counts, sizes, key_cols, digest, ["split"], "held")
+    return held.select(
+        "split", *key_cols, F.when(F.col("held"), F.lit("test")).otherwise(F.lit("train")).alias("part")
     )
-    cuts = rank_cuts(rows, targets, key_cols, digest, ["split"])
-    return cuts_passed(rows, cuts, key_cols, digest, ["split"], "passed").select(
-        "split",
-        *key_cols,
-        F.when(F.col("passed") == 0, F.lit("test")).otherwise(F.lit("train")).alias("part"),
+
+
+def hold_out_flags(
+    df: DataFrame,
+    key_cols: Sequence[str],
+    n_splits: int,
+    test_size: float = 0.368,
+    seed: int = 42,
+    prefix: str = "held_",
+) -> DataFrame:
+    """Add one boolean per hold-out, True on its test rows; the same draws as ``shuffle_split``."""
+    rows = df.select(*key_cols, F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("split"))
+    digest = hash_key(key_cols, F.col("split") + F.lit(seed))
+    counts = digest_counts(rows, key_cols, digest, ["split"])
+    targets = stratum_sizes(counts, ["split"]).select(
+        "split", F.lit(0).alias("cut"), F.ceil(F.col("n") * F.lit(test_size)).alias("target")
     )
+    cuts = rank_cuts(rows, counts, targets, key_cols, digest, ["split"])
+    # a cut is one row per split; as text and keys it becomes a literal of the projection
+    by_split = {r["split"]: r["cuts"][0]["at"] for r in cuts.collect()}
+    flags = {}
+    for i in range(n_splits):
+        here = F.struct(hash_key(key_cols, F.lit(i + seed)).alias("h"), *[F.col(c) for c in key_cols])
+        at = by_split[i]
+        limit = F.struct(
+            F.lit(at["h"]).alias("h"),
+            *[F.lit(at[c]).cast(df.schema[c].dataType).alias(c) for c in key_cols],
+        )
+        flags[f"{prefix}{i}"] = here <= limit
+    return df.withColumns(flags)
 
 
 def undersample(df: DataFrame, label: str, key_cols: Sequence[str], seed: int = 42) -> DataFrame:
     """Every class cut down to the size of the smallest one; rows without a label are left out."""
     require_columns(df, [*key_cols, label])
-    work = df.where(F.col(label).isNotNull())
-    smallest = class_counts(work, label).withColumn(
-        "target", F.min("n").over(Window.partitionBy(F.lit(0)))
+    digest = hash_key(key_cols, seed)
+    counts = digest_counts(df, key_cols, digest, [label])
+    smallest = stratum_sizes(counts, [label]).select(
+        label, F.min("n").over(Window.partitionBy(F.lit(0))).alias("target")
     )
-    return _take(work, smallest.drop("n"), key_cols, seed, [label], "__in").where("__in").drop("__in")
+    return _take(df, counts, smallest, key_cols, digest, [label], "__in").where("__in").drop("__in")
 
 
 def draw_slots(needs: DataFrame, by: Sequence[str], seed: int) -> DataFrame:

@@ -59,14 +59,14 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def parameter_table(df: DataFrame, max_rows: int = PARAMETER_ROWS) -> DataFrame:
-    """Fix a fitted table and mark it for broadcast when it is proven small.
+    """Fix a fitted table, and mark it for broadcast when it is proven small.
 
-    The table is fetched only up to ``max_rows + 1`` rows. Beyond that size the lazy frame is
-    returned without a hint, so the join falls back to whatever the optimizer picks.
+    The driver fetches at most ``max_rows + 1`` rows. A larger table is written to the shared folder
+    instead and read back without a hint, so the optimizer joins it by shuffle.
     """
     fetched = df.limit(max_rows + 1).toArrow()
     if fetched.num_rows > max_rows:
-        return df
+        return materialize(df)
     return F.broadcast(df.sparkSession.createDataFrame(fetched, schema=df.schema))
 
 
