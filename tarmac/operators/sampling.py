@@ -88,12 +88,13 @@ def stratum_sizes(counts: DataFrame, by: Sequence[str], output: str = "n") -> Da
 def _locate(counts: DataFrame, targets: DataFrame, by: Sequence[str]) -> DataFrame:
     """The prefix that holds each target rank, and the rank wanted inside it."""
     order = Window.partitionBy(*by).orderBy("p")
+    keys = list(dict.fromkeys([*by, "cut"]))
     return parameter_table(
         counts.withColumn("upto", F.sum("c").over(order))
         .withColumn("before", F.col("upto") - F.col("c"))
         .join(targets, list(by))
         .where((F.col("before") < F.col("target")) & (F.col("target") <= F.col("upto")))
-        .select(*by, "cut", "p", (F.col("target") - F.col("before")).alias("need"), "c")
+        .select(*keys, "p", (F.col("target") - F.col("before")).alias("need"), "c")
     )
 
 
@@ -128,7 +129,7 @@ def rank_cuts(
         )
         located = _locate(
             finer, located.select(*by, "cut", F.col("need").alias("target")), [*by, "cut"]
-        ).select(*by, "cut", "p", "need", "c")
+        )
     ranked = Window.partitionBy(*by, "cut").orderBy("h", *key_cols)
     cut_rows = (
         keyed.withColumn("p", F.substring("h", 1, length))
