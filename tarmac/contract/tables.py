@@ -58,7 +58,7 @@ PRICES = """pr AS (
 
 def flights(spark: SparkSession, folder: str) -> DataFrame:
     """Line items seen as flight records; FLIGHT_ID is a text key built from whole numbers."""
-    li = spread(table(spark, folder, "lineitem"))
+    li = spread(table(spark, folder, "lineitem"), ["l_orderkey", "l_partkey"])
     o = table(spark, folder, "orders")
     c = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
@@ -74,7 +74,7 @@ def flights(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select(
         F.concat_ws(
             "-", key, line, part, "l_suppkey", F.col("l_quantity").cast("int"),
-            F.round(F.col("l_extendedprice") * 100).cast("long"),
+            F.floor(F.col("l_extendedprice") * 100 + F.lit(0.5)),
         ).alias("FLIGHT_ID"),
         F.to_date("l_shipdate").alias("FL_DATE"),
         F.col("o_orderpriority").alias("AIRLINE"),
@@ -106,7 +106,7 @@ FLIGHTS = """base AS (
        JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
 flights AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::INTEGER,
-                   round(l_extendedprice * 100)::BIGINT) AS FLIGHT_ID,
+                   floor(l_extendedprice * 100 + 0.5::DOUBLE)::BIGINT) AS FLIGHT_ID,
          l_shipdate::DATE AS FL_DATE,
          o_orderpriority AS AIRLINE,
          substr(o_orderpriority, 1, 1) AS AIRLINE_CODE,

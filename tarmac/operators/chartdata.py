@@ -155,7 +155,7 @@ def kde(
             .agg(F.count(F.lit(1)).cast("double").alias("w"))
         )
     else:
-        weighted = spread(long).withColumn("w", F.lit(1.0))
+        weighted = spread(long, ["value"]).withColumn("w", F.lit(1.0))
     margin = 3 * F.col("bandwidth") if ridge else F.lit(0.0)
     start, stop = F.col("low") - margin, F.col("high") + margin
     at = start + F.col("grid_point") * (stop - start) / F.lit(float(grid - 1))

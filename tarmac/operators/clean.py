@@ -176,10 +176,10 @@ def handle_missing(df: DataFrame, method: str = "drop", value: object = None) ->
 
 
 def iqr_fences(
-    df: DataFrame, columns: Sequence[str], k: float = 1.5, largest: int | None = None
+    df: DataFrame, columns: Sequence[str], k: float = 1.5, extent: DataFrame | None = None
 ) -> dict[str, tuple[float, float]]:
     """Lower and upper fence per column, from exact quartiles (one row per column on the driver)."""
-    rows = column_quantiles(df, columns, [0.25, 0.75], largest=largest).collect()
+    rows = column_quantiles(df, columns, [0.25, 0.75], extent=extent).collect()
     fences = {}
     for r in rows:
         q1, q3 = r["quantiles"]
@@ -188,13 +188,13 @@ def iqr_fences(
 
 
 def replace_outliers_iqr(
-    df: DataFrame, columns: Sequence[str], k: float = 1.5, largest: int | None = None
+    df: DataFrame, columns: Sequence[str], k: float = 1.5, extent: DataFrame | None = None
 ) -> DataFrame:
     """Values beyond the fences, and missing ones, become the mean of the values inside."""
     columns = present(df, columns)
     if not columns:
         return df
-    fences = iqr_fences(df, columns, k, largest)
+    fences = iqr_fences(df, columns, k, extent)
     inside = {
         c: F.when(F.col(c).cast("double").between(*fences[c]), F.col(c).cast("double"))
         for c in columns
@@ -219,18 +219,28 @@ def impute_mean_all(df: DataFrame) -> DataFrame:
 def treat_outliers_and_missing(df: DataFrame, outlier_columns: Sequence[str], k: float = 1.5) -> DataFrame:
     """Outlier replacement of the given columns and mean imputation of all other numeric ones.
 
-    Three passes: counts and plain means, quartiles, means inside the fences.
+    Shares one pass for counts, means and extents, then finds quartiles and the means inside the fences.
     """
     outliers = present(df, outlier_columns)
     columns = numeric_columns(df)
     aggregates = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(columns):
-        aggregates += [F.count(c).alias(f"c{i}"), F.avg(F.col(c).cast("double")).alias(f"m{i}")]
+        x = F.col(c).cast("double")
+        aggregates += [F.count(c).alias(f"c{i}"), F.avg(x).alias(f"m{i}")]
+        if c in outliers:
+            aggregates += [F.min(x).alias(f"l{i}"), F.max(x).alias(f"h{i}")]
     row = parameter_row(df.agg(*aggregates))
     values = {
         c: row[f"m{i}"]
         for i, c in enumerate(columns)
         if c not in outliers and row[f"c{i}"] < row["n"]
     }
-    largest = max([row[f"c{i}"] for i, c in enumerate(columns) if c in outliers], default=0)
-    return _fill_with(replace_outliers_iqr(df, outliers, k, largest), values)
+    extent = df.sparkSession.createDataFrame(
+        [
+            (c, row[f"c{i}"], row[f"l{i}"], row[f"h{i}"])
+            for i, c in enumerate(columns)
+            if c in outliers and row[f"c{i}"]
+        ],
+        "feature string, n long, lo double, hi double",
+    )
+    return _fill_with(replace_outliers_iqr(df, outliers, k, extent), values)

@@ -69,8 +69,10 @@ def describe(df: DataFrame, columns: Sequence[str], by: str | None = None) -> Da
             for i, c in enumerate(columns)
         },
     ))
-    largest = moments.agg(F.max("count")).first()[0] or 0
-    quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75], keep, largest=largest)
+    extent = moments.where(F.col("count") > 0).select(
+        *keep, "feature", F.col("count").alias("n"), F.col("min").alias("lo"), F.col("max").alias("hi")
+    )
+    quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75], keep, extent=extent)
     return moments.join(quartiles, [*keep, "feature"], "left").select(
         *keep,
         "feature",

@@ -1,8 +1,10 @@
-"""Exact quantiles and value ranges that stay distributed at any group size.
+"""Exact quantiles, and value ranges for ranking, that stay distributed at any group size.
 
-Groups small enough for one task use the built-in exact aggregate. A larger group is narrowed
-first: approximate quantiles give range boundaries, a count per range tells which range holds each
-wanted position, and only the values of those ranges are sorted. Rows outside are never shuffled.
+A quantile needs the values at one or two positions of the sorted group. Groups too long to sort in one
+task are narrowed first: the group's span is cut into equal cells, a count per cell tells which cell
+holds a position, and that cell becomes the next span. Every pass is a scan whose partial counts alone
+are shuffled. What is left is counted per value and sorted. A value that fills a cell by itself needs no
+sorting at all, so a hot value is harmless.
 """
 
 from __future__ import annotations
@@ -12,14 +14,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.functions.columns import as_double, melt, wide_to_long
+from tarmac.functions.columns import melt
 from tarmac.session import parameter_table
 
-#: Rows of one group that a single task may sort or hold as a value-count map.
+#: Distinct values of one group that a single ranking task may sort.
 GROUP_ROWS = 2_000_000
-#: Most ranges a group is split into; two lookups of this square root find a value's range.
+#: Most ranges a group is split into.
 MAX_RANGES = 4096
-_STRIDE = 64
+#: Rows of one span that are sorted rather than narrowed further.
+SORT_ROWS = 50_000
+CELLS = 4096
+MAX_PASSES = 12
 #: Boundaries the driver may hold in all.
 _DRIVER_BOUNDS = 4_000_000
 
@@ -40,46 +45,43 @@ def range_boundaries(
     most = large.agg(F.max("n")).first()[0]
     if most is None:
         return None
-    ranges = int(min(MAX_RANGES, max(2, -(-2 * most // group_rows))))
+    ranges = 2
+    while ranges < MAX_RANGES and ranges * group_rows < 2 * most:
+        ranges *= 2
     large = parameter_table(large)
     levels = [i / ranges for i in range(1, ranges)]
+    found = F.array_sort(
+        F.array_distinct(F.percentile_approx(value, levels, max(10_000, 10 * ranges)))
+    )
+    # padded to a power of two less one, the shape the lookup halves
+    padded = F.slice(
+        F.concat(found, F.array_repeat(F.lit(float("inf")), ranges - 1)), 1, ranges - 1
+    )
     bounds = (
         long.join(large, list(keys), "left_semi")
         .groupBy(*keys)
-        .agg(
-            F.count(value).alias("n"),
-            F.array_sort(
-                F.array_distinct(F.percentile_approx(value, levels, max(10_000, 10 * ranges)))
-            ).alias("bounds"),
-        )
+        .agg(F.count(value).alias("n"), padded.alias("bounds"))
     )
     return parameter_table(bounds, max(1, _DRIVER_BOUNDS // ranges))
 
 
-def range_index(value: Column, bounds: Column) -> Column:
-    """Number of boundaries below ``value``, found by a coarse then a fine step."""
-    coarse = F.filter(bounds, lambda b, i: (i % _STRIDE == _STRIDE - 1) & (b < value))
-    start = F.size(coarse) * _STRIDE
-    fine = F.filter(F.slice(bounds, start + 1, _STRIDE), lambda b: b < value)
-    return F.coalesce(start + F.size(fine), F.lit(0))
-
-
 def with_range(long: DataFrame, keys: Sequence[str], value: str, bounds: DataFrame) -> DataFrame:
-    """Add ``range_id``; groups without boundaries form a single range."""
+    """Add ``range_id``, the number of boundaries below the value, by halving.
+
+    Groups without boundaries form a single range.
+    """
+    width = bounds.select(F.max(F.size("bounds"))).first()[0] + 1
     limits = bounds.select(*[F.col(k).alias(f"__{k}") for k in keys], "bounds")
     match = F.lit(True)
     for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    return (
-        long.join(limits, match, "left")
-        .withColumn(
-            "range_id",
-            F.when(F.col("bounds").isNull(), F.lit(0)).otherwise(
-                range_index(F.col(value), F.col("bounds"))
-            ),
-        )
-        .drop("bounds", *[f"__{k}" for k in keys])
-    )
+        match = match & (F.col(k) == F.col(f"__{k}"))
+    out = long.join(limits, match, "left").withColumn("range_id", F.lit(0))
+    step = width // 2
+    while step:
+        below = F.get("bounds", F.col("range_id") + F.lit(step - 1)) < F.col(value)
+        out = out.withColumn("range_id", F.col("range_id") + F.when(below, F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return out.drop("bounds", *[f"__{k}" for k in keys])
 
 
 def range_offsets(ranged: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -93,27 +95,89 @@ def range_offsets(ranged: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def extents(long: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
+    """``(keys..., n, lo, hi)`` of every group."""
+    return long.groupBy(*keys).agg(
+        F.count(value).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")
+    )
+
+
 def exact_quantiles(
     long: DataFrame,
     keys: Sequence[str],
     value: str,
     probs: Sequence[float],
-    group_rows: int = GROUP_ROWS,
+    sort_rows: int = SORT_ROWS,
+    extent: DataFrame | None = None,
 ) -> DataFrame:
     """``(keys..., quantiles array)`` with linear interpolation between order statistics.
 
-    Rows with a missing key belong to no group.
+    Rows with a missing key belong to no group. ``extent`` may pass on the groups' ``(n, lo, hi)``.
     """
     keys = list(keys)
-    long = long.select(*keys, value).na.drop()
-    bounds = range_boundaries(long, keys, value, group_rows)
-    if bounds is None:
-        return _in_one_task(long, keys, value, probs)
-    small = long.join(bounds, keys, "left_anti")
-    large = long.join(bounds, keys, "left_semi")
-    return _in_one_task(small, keys, value, probs).unionByName(
-        _by_narrowing(large, keys, value, probs, bounds)
+    long = long.select(*keys, F.col(value).alias("v")).na.drop()
+    extent = parameter_table(extents(long, keys, "v") if extent is None else extent)
+    places = F.array(*[f((F.col("n") - 1) * F.lit(float(p))) for p in probs for f in (F.floor, F.ceil)])
+    wanted = extent.select(*keys, "n", F.explode(F.array_distinct(places)).alias("pos"))
+    brackets = extent.select(
+        *keys, "n", "lo", "hi", F.lit(0).cast("long").alias("before"), F.col("n").alias("c")
+    )
+    crowded = (F.col("c") > sort_rows) & (F.col("lo") < F.col("hi"))
+    for _ in range(MAX_PASSES):
+        if brackets.where(crowded).isEmpty():
+            break
+        brackets = parameter_table(
+            brackets.where(~crowded).unionByName(
+                _narrowed(long, keys, brackets.where(crowded), wanted)
+            )
+        )
+    order = Window.partitionBy(*keys, "before").orderBy("v")
+    counted = (
+        long.join(brackets.drop("c"), keys)
+        .where(F.col("v").between(F.col("lo"), F.col("hi")))
+        .groupBy(*keys, "n", "before", "v")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("last", F.col("before") + F.sum("c").over(order))
+        .withColumn("first", F.col("last") - F.col("c"))
+    )
+    return _picked(counted, keys, probs)
+
+
+def _narrowed(long: DataFrame, keys: list[str], brackets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The cells of each bracket that hold a wanted position, as new brackets."""
+    share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+    cell = F.least(F.floor(share * F.lit(float(CELLS))), F.lit(CELLS - 1))
+    order = Window.partitionBy(*keys, "before").orderBy("cell")
+    cells = (
+        long.join(brackets.select(*keys, "lo", "hi", "before"), keys)
+        .where(F.col("v").between(F.col("lo"), F.col("hi")))
+        .groupBy(*keys, "before", cell.alias("cell"))
+        .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .withColumn("upto", F.col("before") + F.sum("c").over(order))
+        .withColumn("before", F.col("upto") - F.col("c"))
     )
+    return (
+        cells.join(wanted, keys)
+        .where((F.col("before") <= F.col("pos")) & (F.col("pos") < F.col("upto")))
+        .select(*keys, "n", "lo", "hi", "before", "c")
+        .distinct()
+    )
+
+
+def _picked(counted: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles from ``(keys..., v, first, last, n)``: the value v holds positions first to last - 1."""
+    aggregates = [F.max("n").alias("n")]
+
+    def holder(position: Column) -> Column:
+        return F.max(F.when((F.col("first") <= position) & (position < F.col("last")), F.col("v")))
+
+    at = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+    for i, a in enumerate(at):
+        aggregates += [holder(F.floor(a)).alias(f"l{i}"), holder(F.ceil(a)).alias(f"h{i}")]
+    between = [
+        F.col(f"l{i}") + (F.col(f"h{i}") - F.col(f"l{i}")) * (a - F.floor(a)) for i, a in enumerate(at)
+    ]
+    return counted.groupBy(*keys).agg(*aggregates).select(*keys, F.array(*between).alias("quantiles"))
 
 
 def column_quantiles(
@@ -121,82 +185,9 @@ def column_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    group_rows: int = GROUP_ROWS,
-    largest: int | None = None,
+    sort_rows: int = SORT_ROWS,
+    extent: DataFrame | None = None,
 ) -> DataFrame:
-    """``(by..., feature, quantiles)`` of several columns; ``largest`` is the biggest group if known.
-
-    While every group fits one task the columns are aggregated side by side; otherwise they are laid
-    out in long form and narrowed.
-    """
+    """``(by..., feature, quantiles)`` of several columns at once."""
     by = list(by)
-    if largest is None:
-        largest = largest_group(df, columns, by)
-    if largest > group_rows:
-        return exact_quantiles(melt(df, columns, by), [*by, "feature"], "value", probs, group_rows)
-    levels = F.array(*[F.lit(float(p)) for p in probs])
-    wide = as_double(df, columns, by).groupBy(*by).agg(
-        *[F.percentile(c, levels).alias(f"__q{i}") for i, c in enumerate(columns)]
-    )
-    fields = {c: {"quantiles": F.col(f"__q{i}")} for i, c in enumerate(columns)}
-    return wide_to_long(wide, by, fields).where(F.col("quantiles").isNotNull())
-
-
-def largest_group(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> int:
-    """Most known values any column has in any group."""
-    counts = df.groupBy(*by).agg(
-        F.array_max(F.array(*[F.count(F.col(c)) for c in columns])).alias("n")
-    )
-    return counts.agg(F.max("n")).first()[0] or 0
-
-
-def _in_one_task(long: DataFrame, keys: list[str], value: str, probs: Sequence[float]) -> DataFrame:
-    return long.groupBy(*keys).agg(
-        F.percentile(value, F.array(*[F.lit(float(p)) for p in probs])).alias("quantiles")
-    )
-
-
-def _by_narrowing(
-    long: DataFrame, keys: list[str], value: str, probs: Sequence[float], bounds: DataFrame
-) -> DataFrame:
-    ranged = with_range(long, keys, value, bounds)
-    offsets = parameter_table(range_offsets(ranged, keys))
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(i).alias("slot"), ((F.col("n") - 1) * F.lit(float(p))).alias("at"))
-                for i, p in enumerate(probs)
-            ]
-        )
-    )
-    slots = bounds.select(*keys, wanted.alias("w")).select(
-        *keys, "w.slot", "w.at", F.explode(F.array(F.floor("w.at"), F.ceil("w.at"))).alias("pos")
-    )
-    located = parameter_table(
-        slots.join(offsets, keys)
-        .where((F.col("rows_before") <= F.col("pos")) & (F.col("pos") < F.col("upto")))
-        .select(*keys, "slot", "at", "pos", "range_id", "rows_before")
-        .distinct()
-    )
-    needed = F.broadcast(located.select(*keys, "range_id", "rows_before").distinct())
-    order = Window.partitionBy(*keys, "range_id").orderBy(value)
-    counted = (
-        ranged.join(needed, [*keys, "range_id"])
-        .groupBy(*keys, "range_id", "rows_before", value)
-        .agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("last", F.col("rows_before") + F.sum("c").over(order))
-        .withColumn("first", F.col("last") - F.col("c"))
-        .drop("rows_before")
-    )
-    picked = (
-        counted.join(located, [*keys, "range_id"])
-        .where((F.col("first") <= F.col("pos")) & (F.col("pos") < F.col("last")))
-        .groupBy(*keys, "slot", "at")
-        .agg(F.min(value).alias("low"), F.max(value).alias("high"))
-        .withColumn("q", F.col("low") + (F.col("high") - F.col("low")) * (F.col("at") - F.floor("at")))
-    )
-    return (
-        picked.groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("slot", "q"))).alias("pairs"))
-        .select(*keys, F.transform("pairs", lambda p: p["q"]).alias("quantiles"))
-    )
+    return exact_quantiles(melt(df, columns, by), [*by, "feature"], "value", probs, sort_rows, extent)

@@ -58,13 +58,13 @@ def read_parquet(spark: SparkSession, path: str, nan_is_missing: bool = True) ->
     return normalise_missing(df) if nan_is_missing else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out when a scan has fewer tasks than cores, as with a file of a single row group.
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Deal rows out by key when a scan has fewer tasks than cores, as with a file of one row group.
 
     A large table is read by many tasks already and is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def first_rows(df: DataFrame, n: int, order_cols: Sequence[str]) -> DataFrame:
