@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -72,7 +71,7 @@ def _(spark, d):
 
 @query("checkpoint_roundtrip", f"WITH {EVENTS} SELECT event_id, event_type, value, grade FROM ev")
 def _(spark, d):
-    folder = tempfile.mkdtemp(dir=_scratch(spark))
+    folder = _scratch(spark)
     kept = events(spark, d).select("event_id", "event_type", "value", "grade")
     io.save_checkpoint(kept, folder, {"columns": kept.columns})
     return io.load_checkpoint(spark, folder)[0]
@@ -80,16 +79,14 @@ def _(spark, d):
 
 @query("csv_roundtrip", f"WITH {EVENTS} SELECT event_id, event_type, value, grade FROM ev")
 def _(spark, d):
-    folder = tempfile.mkdtemp(dir=_scratch(spark))
+    folder = _scratch(spark)
     kept = events(spark, d).select("event_id", "event_type", "value", "grade")
     io.write_csv(kept, folder)
     return io.read_csv(spark, folder, kept.schema)
 
 
 def _scratch(spark) -> str:
-    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
-    os.makedirs(folder, exist_ok=True)
-    return folder
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
 
 
 # --- rows and columns -------------------------------------------------------------------------

@@ -78,14 +78,15 @@ def _t_sql(equal_var: bool, where: str) -> str:
 tp AS (SELECT *, CASE WHEN t IS NOT NULL THEN {sql_t_p('tt.t', 'tt.dof')} END AS p_value FROM tt)"""
 
 
-@query(
-    "pairwise_t",
-    f"""WITH {_LONG}, {_MOMENTS}, {_t_sql(False, '')}
+def _pairwise_sql(long: str) -> str:
+    return f"""WITH {long}, {_MOMENTS}, {_t_sql(False, '')}
 SELECT feature, group_a, group_b, {sr('t')} AS statistic, {sr('dof', 4)} AS df, {sr('p_value')} AS p_value,
   p_value < 0.05 AS significant, CASE WHEN p_value IS NULL THEN 'not testable'
   WHEN p_value < 0.05 THEN 'Reject H0 (' || group_a || ' ≠ ' || group_b || ')'
-  ELSE 'Fail to reject H0 (' || group_a || ' = ' || group_b || ')' END AS decision FROM tp""",
-)
+  ELSE 'Fail to reject H0 (' || group_a || ' = ' || group_b || ')' END AS decision FROM tp"""
+
+
+@query("pairwise_t", _pairwise_sql(_LONG))
 def _(spark, d):
     out = hypothesis.pairwise_t(_input(spark, d), "event_type", _COLS)
     return rounded_table(out.withColumn("df", F.round("df", 4)))
@@ -136,7 +137,11 @@ fp AS (SELECT *, CASE WHEN f IS NOT NULL THEN {sql_f_p('fv.f', 'fv.df1', 'fv.df2
 SELECT feature, {sr('f')} AS statistic, df1, df2, {sr('p_value')} AS p_value, {_decided(reject)} FROM fp"""
 
 
-@query("anova", f"WITH {_LONG}, {_f_sql('long', 'Reject H0 (means differ)')}")
+def _anova_sql(long: str) -> str:
+    return f"WITH {long}, {_f_sql('long', 'Reject H0 (means differ)')}"
+
+
+@query("anova", _anova_sql(_LONG))
 def _(spark, d):
     return rounded_table(hypothesis.anova(_input(spark, d), "event_type", _COLS))
 
@@ -145,7 +150,11 @@ _LEVENE = """md AS (SELECT feature, label, quantile_cont(value, 0.5) AS c FROM l
 dv AS (SELECT feature, label, abs(value - c) AS value FROM long JOIN md USING (feature, label))"""
 
 
-@query("levene", f"WITH {_LONG}, {_LEVENE}, {_f_sql('dv', 'Reject H0 (variances differ)')}")
+def _levene_sql(long: str) -> str:
+    return f"WITH {long}, {_LEVENE}, {_f_sql('dv', 'Reject H0 (variances differ)')}"
+
+
+@query("levene", _levene_sql(_LONG))
 def _(spark, d):
     return rounded_table(hypothesis.levene(_input(spark, d), "event_type", _COLS))
 
@@ -169,11 +178,12 @@ kh AS (SELECT feature, dof, (12 / (n * (n + 1)) * s - 3 * (n + 1)) / nullif(1 -
 kp AS (SELECT *, CASE WHEN h IS NOT NULL THEN {sql_chi2_p('kh.h', 'kh.dof')} END AS p_value FROM kh)"""
 
 
-@query(
-    "kruskal_wallis",
-    f"""WITH {_LONG}, {_kruskal_sql('long')} SELECT feature, {sr('h')} AS statistic, dof AS df,
-  {sr('p_value')} AS p_value, {_decided('Reject H0 (distributions differ)')} FROM kp""",
-)
+def _kruskal_table_sql(long: str) -> str:
+    return f"""WITH {long}, {_kruskal_sql('long')} SELECT feature, {sr('h')} AS statistic, dof AS df,
+  {sr('p_value')} AS p_value, {_decided('Reject H0 (distributions differ)')} FROM kp"""
+
+
+@query("kruskal_wallis", _kruskal_table_sql(_LONG))
 def _(spark, d):
     return rounded_table(hypothesis.kruskal_wallis(_input(spark, d), "event_type", _COLS))
 
@@ -295,10 +305,10 @@ def _(spark, d):
     return rounded_table(hypothesis.time_of_day_test(temporal_features(flights(spark, d))))
 
 
-_W = f"""WITH {EVENTS}, src AS (SELECT event_id, value, wave, ln(value) AS log_value FROM ev),
-long AS ({long_sql('src', ['value', 'wave', 'log_value'], 'event_id')}),
+def _shapiro_sql(source: str, columns: list[str], relation: str, key: str) -> str:
+    return f"""WITH {source}, long AS ({long_sql(relation, columns, key)}),
 sm AS (SELECT feature, value FROM (SELECT *, row_number() OVER (PARTITION BY feature
-    ORDER BY md5(event_id || '|42'), event_id) AS rn FROM long) WHERE rn <= 5000),
+    ORDER BY md5({key} || '|42'), {key}) AS rn FROM long) WHERE rn <= 5000),
 o AS (SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY value) AS i,
     count(*) OVER (PARTITION BY feature) AS n FROM sm),
 u AS (SELECT *, (i - 0.375::DOUBLE) / (n + 0.25::DOUBLE) AS p FROM o),
@@ -320,14 +330,25 @@ SELECT feature, n, {sr('w')} AS statistic, {sr('p_value')} AS p_value, p_value >
   CASE WHEN p_value > 0.05 THEN 'Fail to reject H0 (normal)' ELSE 'Reject H0 (not normal)' END AS decision FROM q"""
 
 
-@query("shapiro", _W)
+@query(
+    "shapiro",
+    _shapiro_sql(
+        EVENTS + ", src AS (SELECT event_id, value, wave, ln(value) AS log_value FROM ev)",
+        ["value", "wave", "log_value"],
+        "src",
+        "event_id",
+    ),
+)
 def _(spark, d):
     ev = events(spark, d).withColumn("log_value", F.log(F.col("value")))
     return rounded_table(normality.normality(ev, ["value", "wave", "log_value"], ["event_id"]))
 
 
 def _stack(test: str, table_sql: str, groups: str = "'all'") -> str:
-    return f"SELECT '{test}' AS test, feature, {groups} AS groups, statistic, p_value, decision FROM ({table_sql})"
+    return (
+        f"SELECT '{test}' AS test, feature, {groups} AS groups, {sr('statistic', 4)} AS statistic, "
+        f"{sr('p_value', 4)} AS p_value, decision FROM ({table_sql})"
+    )
 
 
 @query(
@@ -340,13 +361,28 @@ def _stack(test: str, table_sql: str, groups: str = "'all'") -> str:
 def _(spark, d):
     report = hypothesis.run_battery(_input(spark, d), "event_type", ["event_id"], _COLS)
     report.pop("normality")  # has its own query; SQL cannot state it
-    return rounded_table(hypothesis.battery_summary(report))
+    return rounded_table(hypothesis.battery_summary(report), 4)
+
 
+_DELAY = ["ARR_DELAY", "CRS_DEP_TIME", "CRS_ELAPSED_TIME", "DISTANCE", "DOT_CODE", "FL_NUMBER"]
+_DELAY_LONG = f"{LABELLED}, long AS ({long_sql('labelled', _DELAY, 'DELAY_CLASS AS label')})"
 
-@query("battery_by_delay_class")
+
+@query(
+    "battery_by_delay_class",
+    "\nUNION ALL\n".join(
+        [
+            _stack("normality", _shapiro_sql(LABELLED, _DELAY, "labelled", "FLIGHT_ID")),
+            _stack("levene", _levene_sql(_DELAY_LONG)),
+            _stack("anova", _anova_sql(_DELAY_LONG)),
+            _stack("kruskal_wallis", _kruskal_table_sql(_DELAY_LONG)),
+            _stack("t_tests", _pairwise_sql(_DELAY_LONG), "group_a || ' / ' || group_b"),
+        ]
+    ),
+)
 def _(spark, d):
     from tarmac.operators.clean import classify_delay
 
     labelled = classify_delay(valid_flights(flights(spark, d)), "ARR_DELAY")
     report = hypothesis.run_battery(labelled, "DELAY_CLASS", ["FLIGHT_ID"])
-    return hypothesis.battery_summary(report)
+    return rounded_table(hypothesis.battery_summary(report), 4)

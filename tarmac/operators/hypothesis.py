@@ -22,7 +22,7 @@ from tarmac.functions.special import (
 )
 from tarmac.operators.quantiles import column_quantiles
 from tarmac.operators.ranks import rank_sums
-from tarmac.session import parameter_table
+from tarmac.session import materialize, parameter_table
 
 ALPHA = 0.05
 NOT_TESTABLE = "not testable"
@@ -98,9 +98,14 @@ def pairwise_t(
     columns: Sequence[str] | None = None,
     equal_var: bool = False,
     alpha: float = ALPHA,
+    moments: DataFrame | None = None,
 ) -> DataFrame:
-    """t test between every pair of labels (A before B) for every feature; Welch by default."""
-    moments = parameter_table(group_moments(df, feature_list(df, label, columns), label))
+    """t test between every pair of labels (A before B) for every feature; Welch by default.
+
+    ``moments`` passes on a fixed ``group_moments`` table of the same data.
+    """
+    if moments is None:
+        moments = parameter_table(group_moments(df, feature_list(df, label, columns), label))
     a = moments.select(
         "feature", F.col("label").alias("group_a"), F.col("n").alias("na"),
         F.col("mean").alias("ma"), F.col("var").alias("va"),
@@ -172,10 +177,15 @@ def _anova_rows(moments: DataFrame) -> DataFrame:
 
 
 def anova(
-    df: DataFrame, label: str, columns: Sequence[str] | None = None, alpha: float = ALPHA
+    df: DataFrame,
+    label: str,
+    columns: Sequence[str] | None = None,
+    alpha: float = ALPHA,
+    moments: DataFrame | None = None,
 ) -> DataFrame:
-    """One-way analysis of variance per feature."""
-    moments = parameter_table(group_moments(df, feature_list(df, label, columns), label))
+    """One-way analysis of variance per feature; ``moments`` as in ``pairwise_t``."""
+    if moments is None:
+        moments = parameter_table(group_moments(df, feature_list(df, label, columns), label))
     return _finish_f(_anova_rows(moments), "Reject H0 (means differ)", alpha)
 
 
@@ -431,19 +441,24 @@ def run_battery(
     sample_size: int = 5000,
     alpha: float = ALPHA,
 ) -> dict[str, DataFrame]:
-    """Normality, equal variances, means, distributions and pairwise means of every feature."""
+    """Normality, equal variances, means, distributions and pairwise means of every feature.
+
+    The columns in use are written once, since each test reads them several times, and the tests of
+    means share one table of moments.
+    """
     from tarmac.operators.normality import normality
 
     columns = feature_list(df, label, columns)
+    df = materialize(df.select(*dict.fromkeys([*key_cols, label, *columns])))
+    moments = parameter_table(group_moments(df, columns, label))
     report = {
         "normality": normality(df, columns, key_cols, sample_size, alpha=alpha),
         "levene": levene(df, label, columns, alpha),
-        "anova": anova(df, label, columns, alpha),
+        "anova": anova(df, label, columns, alpha, moments),
         "kruskal_wallis": kruskal_wallis(df, label, columns, alpha),
     }
-    labels = df.where(F.col(label).isNotNull()).select(label).distinct().limit(2).count()
-    if include_pairwise and labels > 1:
-        report["t_tests"] = pairwise_t(df, label, columns, alpha=alpha)
+    if include_pairwise and moments.select("label").distinct().count() > 1:
+        report["t_tests"] = pairwise_t(df, label, columns, alpha=alpha, moments=moments)
     return report
 
 

@@ -368,15 +368,16 @@ def draw_with_replacement(
     df: DataFrame, needs: DataFrame, by: Sequence[str], key_cols: Sequence[str], seed: int
 ) -> DataFrame:
     """``need`` uniform draws with replacement from every stratum of ``df``."""
+    rank = F.floor(unit_interval(F.col("digest")) * F.col("size")) + 1
+    # counted per block of draws, so that the copies of one row are made by many tasks
     picks = (
         draw_slots(needs, by, seed)
-        .select(*by, (F.floor(unit_interval(F.col("digest")) * F.col("size")) + 1).alias("__rank"))
-        .groupBy(*by, "__rank")
+        .groupBy(*by, rank.alias("__rank"), F.floor(F.col("slot") / _DRAW_BLOCK).alias("__block"))
         .agg(F.count(F.lit(1)).alias("__times"))
     )
     ranked = hash_rank(df, key_cols, seed, by, "__rank")
     return (
-        ranked.join(picks, [*by, "__rank"])
+        picks.join(ranked, [*by, "__rank"])
         .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
         .select(*df.columns)
     )
