@@ -1,7 +1,7 @@
 """Exact quantiles, and value ranges for ranking, that stay distributed at any group size.
 
-A quantile needs the values at one or two positions of the sorted group. Groups too long to sort in one
-task are narrowed first: the group's span is cut into equal cells, a count per cell tells which cell
+A quantile needs the values at one or two positions of the sorted group. While the largest group is
+counted to fit one task, the built-in exact aggregate finds them in one pass. Larger groups are narrowed: the group's span is cut into equal cells, a count per cell tells which cell
 holds a position, and that cell becomes the next span. Every pass is a scan whose partial counts alone
 are shuffled. What is left is counted per value and sorted. A value that fills a cell by itself needs no
 sorting at all, so a hot value is harmless.
@@ -14,13 +14,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.functions.columns import melt
+from tarmac.functions.columns import as_double, melt, wide_to_long
 from tarmac.session import parameter_table
 
 #: Distinct values of one group that a single ranking task may sort.
 GROUP_ROWS = 2_000_000
 #: Most ranges a group is split into.
 MAX_RANGES = 4096
+#: Largest group whose distinct values one task may hold; the built-in aggregate does those in one pass.
+DIRECT_ROWS = 1_000_000
 #: Rows of one span that are sorted rather than narrowed further.
 SORT_ROWS = 50_000
 CELLS = 4096
@@ -107,8 +109,9 @@ def exact_quantiles(
     keys: Sequence[str],
     value: str,
     probs: Sequence[float],
-    sort_rows: int = SORT_ROWS,
     extent: DataFrame | None = None,
+    direct_rows: int = DIRECT_ROWS,
+    sort_rows: int = SORT_ROWS,
 ) -> DataFrame:
     """``(keys..., quantiles array)`` with linear interpolation between order statistics.
 
@@ -117,6 +120,8 @@ def exact_quantiles(
     keys = list(keys)
     long = long.select(*keys, F.col(value).alias("v")).na.drop()
     extent = parameter_table(extents(long, keys, "v") if extent is None else extent)
+    if (extent.agg(F.max("n")).first()[0] or 0) <= direct_rows:
+        return long.groupBy(*keys).agg(F.percentile("v", _levels(probs)).alias("quantiles"))
     places = F.array(*[f((F.col("n") - 1) * F.lit(float(p))) for p in probs for f in (F.floor, F.ceil)])
     wanted = extent.select(*keys, "n", F.explode(F.array_distinct(places)).alias("pos"))
     brackets = extent.select(
@@ -180,14 +185,35 @@ def _picked(counted: DataFrame, keys: list[str], probs: Sequence[float]) -> Data
     return counted.groupBy(*keys).agg(*aggregates).select(*keys, F.array(*between).alias("quantiles"))
 
 
+def _levels(probs: Sequence[float]) -> Column:
+    return F.array(*[F.lit(float(p)) for p in probs])
+
+
 def column_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    sort_rows: int = SORT_ROWS,
     extent: DataFrame | None = None,
+    direct_rows: int = DIRECT_ROWS,
+    sort_rows: int = SORT_ROWS,
 ) -> DataFrame:
-    """``(by..., feature, quantiles)`` of several columns at once."""
+    """``(by..., feature, quantiles)`` of several columns at once; small groups need no long form."""
     by = list(by)
-    return exact_quantiles(melt(df, columns, by), [*by, "feature"], "value", probs, sort_rows, extent)
+    work = as_double(df, columns, by)
+    if by:
+        work = work.na.drop(subset=by)
+    if extent is None:
+        known = F.array_max(F.array(*[F.count(F.col(c)) for c in columns]))
+        largest = work.groupBy(*by).agg(known.alias("n")).agg(F.max("n")).first()[0] or 0
+    else:
+        largest = extent.agg(F.max("n")).first()[0] or 0
+    if largest > direct_rows:
+        return exact_quantiles(
+            melt(df, columns, by), [*by, "feature"], "value", probs, extent, direct_rows, sort_rows
+        )
+    wide = work.groupBy(*by).agg(
+        *[F.percentile(c, _levels(probs)).alias(f"__q{i}") for i, c in enumerate(columns)]
+    )
+    fields = {c: {"quantiles": F.col(f"__q{i}")} for i, c in enumerate(columns)}
+    return wide_to_long(wide, by, fields).where(F.col("quantiles").isNotNull())

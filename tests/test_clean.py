@@ -96,12 +96,14 @@ def test_narrowed_quantiles_equal_plain_ones(spark):
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
     plain = {r.g: list(r.quantiles) for r in exact_quantiles(df, ["g"], "value", probs).collect()}
     tight = {
-        r.g: list(r.quantiles) for r in exact_quantiles(df, ["g"], "value", probs, sort_rows=40).collect()
+        r.g: list(r.quantiles) for r in exact_quantiles(df, ["g"], "value", probs, direct_rows=0, sort_rows=40).collect()
     }
+    sorted_only = exact_quantiles(df, ["g"], "value", probs, direct_rows=0).collect()
+    assert {r.g: list(r.quantiles) for r in sorted_only}["a"] == pytest.approx(plain["a"])
     assert set(plain) == set(tight) == {"a", "b"}
     for g in plain:
         assert tight[g] == pytest.approx(plain[g], abs=1e-9)
-    wide = column_quantiles(df, ["value"], probs, ["g"], sort_rows=40)
+    wide = column_quantiles(df, ["value"], probs, ["g"], direct_rows=0, sort_rows=40)
     assert {r.g: list(r.quantiles) for r in wide.collect()}["a"] == pytest.approx(plain["a"])
 
 
