@@ -213,7 +213,9 @@ def sql_t_p(t: str, df: str) -> str:
 def sql_f_p(f: str, df1: str, df2: str) -> str:
     body = f"2 * pow(sin(u), {df1} - 1) * pow(cos(u), {df2} - 1)"
     c = f"exp(lgamma(({df1} + {df2}) / 2.0) - lgamma({df1} / 2.0) - lgamma({df2} / 2.0))"
-    return f"(1 - {c} * {_integral(f'atan(sqrt({df1} * {f} / {df2}))', body)})"
+    # the density is negligible beyond the second bound, which keeps the steps fine for a huge F
+    upper = f"least(atan(sqrt({df1} * {f} / {df2})), sqrt(({df1} + 400) / {df2}))"
+    return f"(1 - {c} * {_integral(upper, body)})"
 
 
 def sql_normal_upper(z: str) -> str:
