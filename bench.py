@@ -1,4 +1,4 @@
-"""Time the headline queries: one JSON line with seconds per query (median of three after a warm-up)."""
+"""Time the headline queries: one JSON line with seconds per query (median of BENCH_RUNS after a warm-up)."""
 
 from __future__ import annotations
 
@@ -50,7 +50,7 @@ HEADLINE = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4)))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = os.environ.get("BENCH_QUERIES", "").split() or HEADLINE
     spark = build_session("bench", cpus)
     seconds: dict[str, float] = {}
