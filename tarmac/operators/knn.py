@@ -17,7 +17,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tarmac.functions.columns import require_columns
 from tarmac.functions.expr import hash_key
