@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
-from tarmac.llm import ngram_join, sharding, substring
+from tarmac.llm import line_dedup, ngram_join, pieces, sharding, substring
 from tarmac.llm.common import table
 
 QUERIES = {}
@@ -21,6 +23,7 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+PIECES = os.environ.get("TARMAC_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 SHARDS = [1.0] * 24
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -75,3 +78,23 @@ def _(spark, d):
     return substring.repeated_windows_removed(docs, width=35).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query("op9_line_dedup")
+def _(spark, d):
+    return line_dedup.line_classes(table(spark, d, "documents")).select(
+        "doc_id", "line_no", "first_id", "first_line_no", "n_links", "kept"
+    )
+
+
+@query("op7_sentencepiece")
+def _(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    ids = F.col("token_ids")
+    return pieces.encode(docs, PIECES).select(
+        "doc_id",
+        F.size(ids).cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(ids.cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        "round_trip",
+    )
