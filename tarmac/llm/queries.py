@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tarmac.llm import line_dedup, ngram_join, pieces, sharding, substring
+from tarmac.llm import decontaminate, line_dedup, ngram_join, pieces, sharding, substring
 from tarmac.llm.common import table
 
 QUERIES = {}
@@ -98,3 +98,8 @@ def _(spark, d):
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         "round_trip",
     )
+
+
+@query("op2_benchmark_decontamination")
+def _(spark, d):
+    return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
