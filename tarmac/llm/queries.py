@@ -6,8 +6,9 @@ import os
 
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontaminate, line_dedup, ngram_join, pieces, sharding, substring
+from tarmac.llm import chat, decontaminate, line_dedup, ngram_join, pieces, sharding, substring
 from tarmac.llm.common import table
+from tarmac.session import materialize
 
 QUERIES = {}
 ORACLE = {}
@@ -103,3 +104,60 @@ def _(spark, d):
 @query("op2_benchmark_decontamination")
 def _(spark, d):
     return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+_ESC = r"""replace(replace(replace({}, '\', '\s'), '</turn', '\e'), '<turn', '\t')"""
+_PIECE = f"""length({_ESC.format('role')}) + 8 + length({_ESC.format('text')}) + 8"""
+
+
+@query(
+    "op4_chat_windows",
+    rf"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place,
+  ceil(strlen(text) / 4)::BIGINT + 4 AS tokens, {_PIECE} AS piece FROM c),
+s AS (SELECT conv_id, tokens AS st, piece AS sp FROM o WHERE place = 0 AND role = 'system'),
+h AS (SELECT o.*, st, sp, greatest(1, floor((1024 - 256 - coalesce(st, 0)) / 2))::BIGINT AS half,
+  sum(tokens) OVER (PARTITION BY o.conv_id ORDER BY place) AS e FROM o LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM o.conv_id),
+k AS (SELECT *, ((e - 1)::BIGINT // half)::VARCHAR || ':' || (2 * sum((tokens > half)::INT) OVER (PARTITION BY conv_id ORDER BY place)
+  - (tokens > half)::INT)::VARCHAR AS span FROM h),
+w AS (SELECT conv_id, span, min(place) AS f, sum(piece) AS p, max(sp) AS sp FROM k WHERE NOT (place = 0 AND sp IS NOT NULL) GROUP BY ALL),
+b AS (SELECT w.conv_id, w.span, sum(CASE WHEN a.tokens + CASE WHEN a.place = w.f - 2 THEN coalesce(n.tokens, 0) ELSE 0 END <= 256
+  THEN a.piece END) AS q FROM w JOIN k a ON a.conv_id IS NOT DISTINCT FROM w.conv_id AND a.place IN (w.f - 1, w.f - 2)
+  AND NOT (a.place = 0 AND a.sp IS NOT NULL) LEFT JOIN k n ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND n.place = w.f - 1 GROUP BY ALL),
+z AS (SELECT w.conv_id, sum(p + coalesce(w.sp, 0) + coalesce(q, 0)) AS chars FROM w LEFT JOIN b
+  ON b.conv_id IS NOT DISTINCT FROM w.conv_id AND b.span = w.span GROUP BY ALL),
+g AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256, max(sp) AS sp FROM h GROUP BY conv_id)
+SELECT g.conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, coalesce(chars, g.sp)::BIGINT AS formatted_chars
+FROM g LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM g.conv_id""",
+)
+def _(spark, d):
+    said = F.lit("\\### Assistant: </turn> ok")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), said.alias("text"))
+    given = table(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    windows = materialize(chat.format_windows(given))
+    heard = chat.read_windows(windows, keep=["formatted"])
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    parts = heard.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n"),
+        F.length("formatted").cast("long").alias("chars"),
+        F.struct("window", F.array_join(lines, "").alias("said"), F.col("loss_text").alias("loss")).alias("part"),
+    )
+    whole = parts.groupBy("conv_id").agg(
+        F.sum("n").alias("n_turns"),
+        F.sum("chars").alias("formatted_chars"),
+        F.sort_array(F.collect_list("part")).alias("parts"),
+    )
+    said, loss = F.array_join(F.col("parts.said"), ""), F.array_join(F.col("parts.loss"), "")
+    return whole.select(
+        "conv_id",
+        "n_turns",
+        F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
