@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, decontaminate, line_dedup, ngram_join, pieces, sharding, substring
+from tarmac.llm import chat, decontaminate, line_dedup, ngram_join, pieces, quality, sharding, substring, toxicity
 from tarmac.llm.common import table
 from tarmac.session import materialize
 
@@ -161,3 +161,21 @@ def _(spark, d):
         F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+@query("op5_quality_classifier")
+def _(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    rows = materialize(quality.with_statistics(docs).withColumn("held_out", quality.fold("doc_id", 5) == 0))
+    labels = table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality.fit(rows.where("NOT held_out").join(labels, "doc_id"))
+    return quality.score(rows, model).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op10_toxicity")
+def _(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", (quality.fold("doc_id", 3) == 1).alias("held_out"))
+    labels = table(spark, d, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.fit(docs.select("doc_id", "text"), labels.where(quality.fold("doc_id", 3) != 1))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
