@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,16 +45,18 @@ class Lookup:
 class ToxicityModel:
     """Class 0 is ordinary, class 1 toxic.
 
-    pairs: (previous word, word) -> counts per class. words: word -> per class the number of different words before it,
-    how often it comes before a word, and how many different words follow it; and its count in the whole corpus.
+    words: word -> per class the number of different words before it; its count in the whole corpus; per class
+    how often a word follows it; per class and together how much of that the pair discount takes.
+    pairs: (previous word, word) -> counts per class; None if pairs of words say nothing more than words.
+    totals: per class the sum of the first numbers; discounted: how much of it the word discount takes.
     """
 
-    pairs: Lookup
     words: Lookup
-    types: np.ndarray
-    pair_discount: np.ndarray
-    word_discount: np.ndarray
-    word_types: np.ndarray
+    pairs: Lookup | None
+    totals: np.ndarray
+    discounted: np.ndarray
+    word_discount: float
+    pair_discount: float
     corpus_words: float
     corpus_types: float
     window: int
@@ -62,25 +64,33 @@ class ToxicityModel:
     offset: float = 0.0
 
     def token_evidence(self, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """log P(word | previous word) of the toxic model less that of the ordinary one, for every word."""
+        """log P(word | previous word) of the toxic model less that of the ordinary one, for every word.
+
+        Counts of a pair in a class, less their discount, back off to the pair's counts in both classes together,
+        these to the class's continuation counts of the word, and these to its count in the corpus.
+        """
         own = self.words.get(hashes)
-        before = np.concatenate([np.zeros((1, own.shape[1])), own[:-1]])
+        shared = (own[:, 2] + 1) / (self.corpus_words + self.corpus_types + 1)
+        lower = [
+            (np.maximum(own[:, c] - self.word_discount, 0) + self.discounted[c] * shared) / self.totals[c]
+            for c in range(2)
+        ]
+        if self.pairs is None:
+            return np.log(lower[1]) - np.log(lower[0])
         previous = np.concatenate([np.zeros(1, _U), hashes[:-1]])
+        before = np.concatenate([np.zeros((1, own.shape[1])), own[:-1]])
         opening = first[:-1][np.diff(first) > 0]
         previous[opening] = 0
         before[opening] = self.words.get(np.zeros(1, _U))
         pair = self.pairs.get(pair_key(previous, hashes))
-        shared = (own[:, 6] + 1) / (self.corpus_words + self.corpus_types + 1)
+        both = np.maximum(pair.sum(axis=1) - self.pair_discount, 0)
+        context = before[:, 3] + before[:, 4]
         logs = []
         for c in range(2):
-            lower = (
-                np.maximum(own[:, c] - self.word_discount[c], 0)
-                + self.word_discount[c] * self.word_types[c] * shared
-            ) / self.types[c]
-            context, followers = before[:, 2 + c], before[:, 4 + c]
-            high = np.maximum(pair[:, c] - self.pair_discount[c], 0)
-            with_context = (high + self.pair_discount[c] * followers * lower) / np.maximum(context, 1)
-            logs.append(np.log(np.where(context > 0, with_context, lower)))
+            together = np.where(context > 0, (both + before[:, 7] * lower[c]) / np.maximum(context, 1), lower[c])
+            high = np.maximum(pair[:, c] - self.pair_discount, 0)
+            alone = (high + before[:, 5 + c] * together) / np.maximum(before[:, 3 + c], 1)
+            logs.append(np.log(np.where(before[:, 3 + c] > 0, alone, together)))
         return logs[1] - logs[0]
 
     def evidence(self, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -119,18 +129,24 @@ def fit(
     id_col: str = "doc_id",
     text: str = "text",
     label: str = "label",
-    max_documents: int = 4000,
-    window: int = 24,
-    min_count: int = 2,
+    max_documents: int = 12_000,
+    window: int = 4,
+    word_discount: float = 4.0,
+    pair_discounts: Sequence[float | None] = (None, 12.0, 48.0),
 ) -> ToxicityModel:
     """Fit the two word models and the calibration of their difference.
 
     :param docs: the whole corpus, labelled or not: its word counts are the last level both models back off to.
     :param labels: ``id_col`` and a 0/1 ``label`` of the rows to learn from; others are ignored, a row labelled
         both ways counts as toxic. At most ``max_documents`` of each class are used, those with the least hash of
-        their id; this bound is what bounds the model that every task gets. Four fifths of them train the
-        word models, the rest the calibration, weighted to the class shares of all labels.
-    :param min_count: pairs and words seen less often in the sample back off to the next level.
+        their id; this bound bounds the model that every task gets. Four fifths of them train the word models,
+        the rest the calibration, weighted to the class shares of all labels.
+    :param window: words over which log-likelihoods are averaged. Toxic words stand among ordinary ones, so a
+        text is as toxic as its most toxic window.
+    :param word_discount, pair_discounts: taken off every count of a class before it counts for that class; what is
+        taken goes to the next level. Discounts above 1 leave expressions that a class has only met by chance to
+        the shared counts. The pair discount with the least log-loss on the calibration documents is
+        used; None leaves pairs out.
 
     Words are in lower case without punctuation. A class without labelled rows is an error.
     """
@@ -145,25 +161,26 @@ def fit(
         part = wanted.where(F.col("c") == c).orderBy(order, id_col).limit(max_documents)
         sample = part if sample is None else sample.unionByName(part)
     sample = sample.withColumn("part", F.when(F.pmod(order, F.lit(5)) == 0, "calibrate").otherwise("train"))
-    learned = materialize(
-        docs.select(F.col(id_col), F.lower(text).alias("_text")).join(F.broadcast(sample), id_col).select("c", "part", "_text")
-    )
+    texts = docs.select(F.col(id_col), F.lower(text).alias("_text"))
+    learned = materialize(texts.join(F.broadcast(sample), id_col).select("c", "part", "_text"))
     pairs = materialize(
         learned.where("part = 'train'")
         .mapInArrow(_Pairs(), "c int, u long, v long, n long")
-        .groupBy("c", "u", "v")
-        .agg(F.sum("n").alias("n"))
+        .groupBy("u", "v")
+        .agg(*[F.sum(F.when(F.col("c") == c, F.col("n")).otherwise(F.lit(0))).alias(f"n{c}") for c in (0, 1)])
     )
     corpus = materialize(
-        docs.select(F.lower(text).alias("_text"))
-        .mapInArrow(_Words(), "v long, n long")
-        .groupBy("v")
-        .agg(F.sum("n").alias("n"))
+        texts.select("_text").mapInArrow(_Words(), "v long, n long").groupBy("v").agg(F.sum("n").alias("n"))
     )
-    model = _model(pairs, corpus, window, min_count)
-    seen = learned.where("part = 'calibrate'").mapInArrow(_Evidence(model, ["c"]), "c int, evidence double").toPandas()
-    model.slope, model.offset = _calibrate(seen["evidence"].to_numpy(), seen["c"].to_numpy(), shares[1] / (shares[0] + shares[1]))
-    return model
+    share, best = shares[1] / (shares[0] + shares[1]), None
+    held = learned.where("part = 'calibrate'")
+    for discount in pair_discounts:
+        model = _model(pairs, corpus, window, word_discount, discount)
+        seen = held.mapInArrow(_Evidence(model, ["c"]), "c int, evidence double").toPandas()
+        model.slope, model.offset, loss = _calibrate(seen["evidence"].to_numpy(), seen["c"].to_numpy(), share)
+        if best is None or loss < best[0]:
+            best = loss, model
+    return best[1]
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -177,60 +194,52 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: list[
     return scored.select("_row.*", "evidence", (1 / (1 + F.exp(-bounded))).alias("score"))
 
 
-def _model(pairs: DataFrame, corpus: DataFrame, window: int, min_count: int) -> ToxicityModel:
-    def by_class(df: DataFrame, key: str, **sums) -> DataFrame:
-        out = [
-            F.sum(F.when(F.col("c") == c, value).otherwise(F.lit(0))).cast("double").alias(f"{name}{c}")
-            for name, value in sums.items()
-            for c in (0, 1)
-        ]
-        return df.groupBy(key).agg(*out)
-
-    one = F.lit(1)
-    heard = by_class(pairs, "v", before=one)
-    said = by_class(pairs, "u", count=F.col("n"), after=one)
-    words = heard.join(said.withColumnRenamed("u", "v"), "v", "full").fillna(0.0)
-    often = (F.col("before0") + F.col("before1") + F.col("count0") + F.col("count1")) >= min_count
-    known = words.where(often).join(corpus.select("v", F.col("n").cast("double").alias("corpus")), "v", "left").fillna(0.0)
-    columns = ["before0", "before1", "count0", "count1", "after0", "after1", "corpus"]
-    got = known.select("v", *columns).toArrow()
-    word_table = Lookup.of(got["v"].to_numpy(), np.stack([got[c].to_numpy() for c in columns], axis=1))
-    counted = pairs.groupBy("u", "v").agg(
-        *[F.sum(F.when(F.col("c") == c, F.col("n")).otherwise(F.lit(0))).cast("double").alias(f"n{c}") for c in (0, 1)]
-    )
-    got = counted.where(F.col("n0") + F.col("n1") >= min_count).toArrow()
-    keys = pair_key(got["u"].to_numpy().view(_U), got["v"].to_numpy().view(_U)).view(np.int64)
-    pair_table = Lookup.of(keys, np.stack([got["n0"].to_numpy(), got["n1"].to_numpy()], axis=1))
-    totals = corpus.agg(F.sum("n").cast("double").alias("words"), F.count("*").alias("types")).first()
-    small = pairs.where("n <= 2").groupBy("c", "n").agg(F.count("*").alias("k")).collect()
-    rare = pairs.groupBy("c", "v").agg(F.count("*").alias("n")).where("n <= 2").groupBy("c", "n").agg(F.count("*").alias("k")).collect()
-    sizes = heard.agg(
-        *[F.sum(f"before{c}").alias(f"types{c}") for c in (0, 1)],
-        *[F.sum((F.col(f"before{c}") > 0).cast("double")).alias(f"words{c}") for c in (0, 1)],
+def _model(
+    pairs: DataFrame, corpus: DataFrame, window: int, word_discount: float, pair_discount: float | None
+) -> ToxicityModel:
+    seen = [(F.col(f"n{c}") > 0).cast("double") for c in (0, 1)]
+    heard = pairs.groupBy("v").agg(*[F.sum(seen[c]).alias(f"before{c}") for c in (0, 1)])
+    totals = heard.agg(
+        *[F.sum(f"before{c}").alias(f"total{c}") for c in (0, 1)],
+        *[F.sum(F.least(F.col(f"before{c}"), F.lit(word_discount))).alias(f"discounted{c}") for c in (0, 1)],
     ).first()
+    taken = F.lit(0.0 if pair_discount is None else pair_discount)
+    said = pairs.groupBy(F.col("u").alias("v")).agg(
+        *[F.sum(F.col(f"n{c}").cast("double")).alias(f"after{c}") for c in (0, 1)],
+        *[F.sum(F.least(F.col(f"n{c}").cast("double"), taken)).alias(f"taken{c}") for c in (0, 1)],
+        F.sum(F.least((F.col("n0") + F.col("n1")).cast("double"), taken)).alias("taken"),
+    )
+    told = (F.greatest("before0", "before1") > word_discount) | (F.col("after0") + F.col("after1") > 4 * taken)
+    if pair_discount is None:
+        told = F.greatest("before0", "before1") > word_discount
+    known = heard.join(said, "v", "full").fillna(0.0).where(told)
+    counts = corpus.select("v", F.col("n").cast("double").alias("corpus"))
+    known = known.join(counts, "v", "left").fillna(0.0)
+    columns = ["before0", "before1", "corpus", "after0", "after1", "taken0", "taken1", "taken"]
+    got = known.select("v", *columns).toArrow()
+    words = Lookup.of(got["v"].to_numpy(), np.stack([got[c].to_numpy() for c in columns], axis=1))
+    pair_table = None
+    if pair_discount is not None:
+        got = pairs.where(F.col("n0") + F.col("n1") > pair_discount).toArrow()
+        keys = pair_key(got["u"].to_numpy().view(_U), got["v"].to_numpy().view(_U)).view(np.int64)
+        pair_table = Lookup.of(keys, np.stack([got[c].to_numpy().astype(float) for c in ("n0", "n1")], axis=1))
+    whole = corpus.agg(F.sum("n").cast("double").alias("words"), F.count("*").alias("types")).first()
     return ToxicityModel(
+        words=words,
         pairs=pair_table,
-        words=word_table,
-        types=np.maximum([sizes["types0"] or 0, sizes["types1"] or 0], 1.0),
-        pair_discount=_discounts(small),
-        word_discount=_discounts(rare),
-        word_types=np.array([sizes["words0"] or 0, sizes["words1"] or 0]),
-        corpus_words=totals["words"] or 0.0,
-        corpus_types=float(totals["types"]),
+        totals=np.maximum([totals["total0"] or 0.0, totals["total1"] or 0.0], 1.0),
+        discounted=np.maximum([totals["discounted0"] or 0.0, totals["discounted1"] or 0.0], 1.0),
+        word_discount=word_discount,
+        pair_discount=pair_discount or 0.0,
+        corpus_words=whole["words"] or 0.0,
+        corpus_types=float(whole["types"]),
         window=window,
     )
 
 
-def _discounts(rows) -> np.ndarray:
-    """n1 / (n1 + 2 n2) per class, from the numbers of things seen once and twice."""
-    k = {(r["c"], r["n"]): r["k"] for r in rows}
-    once, twice = (np.array([k.get((c, n), 0) for c in (0, 1)], float) for n in (1, 2))
-    return np.clip(once / np.maximum(once + 2 * twice, 1), 0.1, 0.95)
-
-
-def _calibrate(evidence: np.ndarray, label: np.ndarray, share: float) -> tuple[float, float]:
+def _calibrate(evidence: np.ndarray, label: np.ndarray, share: float) -> tuple[float, float, float]:
     """Logistic regression of the label on the evidence, classes weighted to ``share`` of ones; a little ridge keeps
-    the slope finite if the classes are separate."""
+    the slope finite if the classes are separate. Returns slope, offset and mean log-loss."""
     weight = np.where(label == 1, share / max((label == 1).sum(), 1), (1 - share) / max((label == 0).sum(), 1))
     weight *= len(label)
     beta = np.array([1.0, np.log(share / (1 - share))])
@@ -243,7 +252,9 @@ def _calibrate(evidence: np.ndarray, label: np.ndarray, share: float) -> tuple[f
         beta = beta + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
-    return float(max(beta[0], 1e-3)), float(beta[1])
+    beta[0] = max(beta[0], 1e-3)
+    margin = np.where(label == 1, 1, -1) * (x @ beta)
+    return float(beta[0]), float(beta[1]), float((weight * np.logaddexp(0, -margin)).mean())
 
 
 class _Pairs:
