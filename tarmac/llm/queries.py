@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tarmac.llm import chat, decontaminate, line_dedup, ngram_join, pieces, quality, sharding, substring, toxicity
+from tarmac.llm import boilerplate, chat, decontaminate, line_dedup, ngram_join, pieces, quality, sharding, substring, toxicity
 from tarmac.llm.common import table
 from tarmac.session import materialize
 
@@ -179,3 +179,11 @@ def _(spark, d):
     model = toxicity.fit(docs.select("doc_id", "text"), labels.where(quality.fold("doc_id", 3) != 1))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op8_quality_rules")
+def _(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    labels = table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = boilerplate.fit(docs, labels)
+    return boilerplate.judge(docs, model)
