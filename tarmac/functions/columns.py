@@ -35,21 +35,6 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
         raise ValueError(f"required columns are missing: {missing}")
 
 
-def resolve_columns(
-    df: DataFrame,
-    columns: Sequence[str] | None,
-    limit: int | None = None,
-    exclude: Iterable[str] = (),
-) -> list[str]:
-    """Numeric columns to report on: those asked for, else the first ``limit`` of the schema."""
-    numeric = numeric_columns(df, exclude)
-    if columns is not None:
-        chosen = [c for c in columns if c in numeric]
-    else:
-        chosen = numeric[:limit] if limit else numeric
-    return chosen
-
-
 def as_double(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Project ``keep`` plus ``columns`` cast to double."""
     return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])

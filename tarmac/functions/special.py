@@ -15,41 +15,62 @@ from pyspark.sql import types as T
 
 _EPS = 1e-15
 _TINY = 1e-300
-_STEPS = 10_000
+_STEPS = 100_000
+
+
+def _stirling_rest(a: float) -> float:
+    """log-gamma of ``a`` less (a - 1/2) log a - a + log(2 pi) / 2; for large ``a`` by its series, which loses no digits."""
+    if a < 10.0:
+        return math.lgamma(a) - (a - 0.5) * math.log(a) + a - 0.5 * math.log(2 * math.pi)
+    r = 1.0 / (a * a)
+    return (1 / 12 - r * (1 / 360 - r * (1 / 1260 - r * (1 / 1680 - r * (1 / 1188 - r * 691 / 360360))))) / a
+
+
+def _log_beta_term(a: float, b: float, x: float, y: float) -> float:
+    """log of x^a y^b / B(a, b) for y = 1 - x. The large parts of the log-gammas cancel on paper, not in floats."""
+    log_x = math.log1p(-y) if y < 0.5 else math.log(x)
+    log_y = math.log1p(-x) if x < 0.5 else math.log(y)
+    return (
+        a * (log_x + math.log1p(b / a))
+        + b * (log_y + math.log1p(a / b))
+        - 0.5 * math.log(2 * math.pi * (1 / a + 1 / b))
+        + _stirling_rest(a + b)
+        - _stirling_rest(a)
+        - _stirling_rest(b)
+    )
 
 
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function, evaluated front to back."""
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
-    d = 1.0 / (d if abs(d) > _TINY else _TINY)
-    out = d
+def _beta_tail(a: float, b: float, x: float, y: float) -> float:
+    """Incomplete beta function where x lies below the mean, by the contracted continued fraction, whose terms tend
+    to those of the gamma distribution as ``a`` grows and so need no more steps."""
+    f = a * (a * y - b * x + 1.0) / (a + 1.0)
+    f = f if abs(f) > _TINY else _TINY
+    c, d = f, 0.0
     for m in range(1, _STEPS):
-        for term in (
-            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
-        ):
-            d = 1.0 + term * d
-            c = 1.0 + term / c
-            d = 1.0 / (d if abs(d) > _TINY else _TINY)
-            c = c if abs(c) > _TINY else _TINY
-            out *= d * c
-        if abs(d * c - 1.0) < _EPS:
-            break
-    return out
+        at = a + 2 * m
+        numerator = (a + m - 1) / (at - 1) * ((a + b + m - 1) / (at - 1)) * m * (b - m) * x * x
+        denominator = m + m * (b - m) * x / (at - 1) + (a + m) / (at + 1) * (a * y - b * x + 1.0 + m * (1.0 + y))
+        d = denominator + numerator * d
+        d = 1.0 / (d if abs(d) > _TINY else _TINY)
+        c = denominator + numerator / c
+        c = c if abs(c) > _TINY else _TINY
+        f *= c * d
+        if abs(c * d - 1.0) < _EPS:
+            return math.exp(_log_beta_term(a, b, x, y)) / f
+    raise ArithmeticError(f"incomplete beta function does not converge at a={a}, b={b}, x={x}")
 
 
-def beta_inc(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function."""
+def beta_inc(a: float, b: float, x: float, y: float | None = None) -> float:
+    """Regularised incomplete beta function. ``y`` is 1 - x, given where x is so near 1 that the difference would
+    have no digits left."""
+    y = 1.0 - x if y is None else y
     if x <= 0.0:
         return 0.0
-    if x >= 1.0:
+    if y <= 0.0:
         return 1.0
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    )
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _beta_fraction(a, b, x) / a
-    return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
+    if a * y >= b * x:
+        return _beta_tail(a, b, x, y)
+    return 1.0 - _beta_tail(b, a, y, x)
 
 
 def gamma_upper(a: float, x: float) -> float:
@@ -63,8 +84,8 @@ def gamma_upper(a: float, x: float) -> float:
             term *= x / (a + n)
             total += term
             if term < total * _EPS:
-                break
-        return 1.0 - front * total
+                return 1.0 - front * total
+        raise ArithmeticError(f"incomplete gamma function does not converge at a={a}, x={x}")
     b = x + 1.0 - a
     c, d = 1.0 / _TINY, 1.0 / b
     out = d
@@ -77,18 +98,19 @@ def gamma_upper(a: float, x: float) -> float:
         c = c if abs(c) > _TINY else _TINY
         out *= d * c
         if abs(d * c - 1.0) < _EPS:
-            break
-    return front * out
+            return front * out
+    raise ArithmeticError(f"incomplete gamma function does not converge at a={a}, x={x}")
 
 
 def t_two_sided(t: float, df: float) -> float:
-    return beta_inc(df / 2.0, 0.5, df / (df + t * t))
+    return beta_inc(df / 2.0, 0.5, df / (df + t * t), t * t / (df + t * t))
 
 
 def f_upper(f: float, df1: float, df2: float) -> float:
     if f <= 0.0:
         return 1.0
-    return beta_inc(df2 / 2.0, df1 / 2.0, df2 / (df2 + df1 * f))
+    whole = df2 + df1 * f
+    return beta_inc(df2 / 2.0, df1 / 2.0, df2 / whole, df1 * f / whole)
 
 
 def chi2_upper(x: float, df: float) -> float:

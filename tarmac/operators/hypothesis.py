@@ -28,15 +28,17 @@ ALPHA = 0.05
 NOT_TESTABLE = "not testable"
 
 
-def feature_list(df: DataFrame, label: str, columns: Sequence[str] | None = None) -> list[str]:
+def feature_list(
+    df: DataFrame, label: str, columns: Sequence[str] | None = None, keys: Sequence[str] = ()
+) -> list[str]:
     require_columns(df, [label])
     if columns is not None:
         require_columns(df, columns)
         return list(columns)
-    return numeric_columns(df, exclude=[label])
+    return numeric_columns(df, exclude=[label, *keys])
 
 
-def decide(df: DataFrame, reject: str, keep: str = "Fail to reject H0", alpha: float = ALPHA) -> DataFrame:
+def decide(df: DataFrame, reject: str, keep: str = "nothing shown", alpha: float = ALPHA) -> DataFrame:
     """Significance flag and verdict from ``p_value``."""
     significant = F.col("p_value") < F.lit(alpha)
     return df.withColumn("significant", significant).withColumn(
@@ -132,9 +134,9 @@ def pairwise_t(
     out = decide(rows, "reject", "keep", alpha)
     verdict = F.when(F.col("decision") == NOT_TESTABLE, F.lit(NOT_TESTABLE)).when(
         F.col("significant"),
-        F.concat(F.lit("Reject H0 ("), "group_a", F.lit(" ≠ "), "group_b", F.lit(")")),
+        F.concat(F.lit("unequal means: "), "group_a", F.lit(", "), "group_b"),
     ).otherwise(
-        F.concat(F.lit("Fail to reject H0 ("), "group_a", F.lit(" = "), "group_b", F.lit(")"))
+        F.concat(F.lit("no unequal means shown: "), "group_a", F.lit(", "), "group_b")
     )
     return out.withColumn("decision", verdict)
 
@@ -186,7 +188,7 @@ def anova(
     """One-way analysis of variance per feature; ``moments`` as in ``pairwise_t``."""
     if moments is None:
         moments = parameter_table(group_moments(df, feature_list(df, label, columns), label))
-    return _finish_f(_anova_rows(moments), "Reject H0 (means differ)", alpha)
+    return _finish_f(_anova_rows(moments), "group means are unequal", alpha)
 
 
 def _finish_f(rows: DataFrame, reject: str, alpha: float) -> DataFrame:
@@ -211,7 +213,7 @@ def levene(
         label, *[F.abs(F.col(c) - F.col(f"__m{i}")).alias(c) for i, c in enumerate(columns)]
     )
     moments = parameter_table(group_moments(distances, columns, label))
-    return _finish_f(_anova_rows(moments), "Reject H0 (variances differ)", alpha)
+    return _finish_f(_anova_rows(moments), "group variances are unequal", alpha)
 
 
 def paired_t(df: DataFrame, first: str, second: str, alpha: float = ALPHA) -> DataFrame:
@@ -225,7 +227,7 @@ def paired_t(df: DataFrame, first: str, second: str, alpha: float = ALPHA) -> Da
         F.try_divide(F.col("mean"), F.col("sd") / F.sqrt(F.greatest(n, F.lit(1.0)))).alias("statistic"),
         (n - 1).alias("df"),
     ).withColumn("p_value", t_two_sided_p("statistic", "df"))
-    return decide(rows, "Reject H0 (means differ)", alpha=alpha)
+    return decide(rows, "group means are unequal", alpha=alpha)
 
 
 # --- ranks ------------------------------------------------------------------------------------
@@ -259,7 +261,7 @@ def kruskal_wallis(
         )
         .withColumn("p_value", chi2_upper_p("statistic", "df"))
     )
-    return decide(rows, "Reject H0 (distributions differ)", alpha=alpha)
+    return decide(rows, "groups come from unequal distributions", alpha=alpha)
 
 
 _SIDES = ("two-sided", "less", "greater")
@@ -305,7 +307,7 @@ def mann_whitney(
     p = normal_upper_p("z")
     p = F.least(F.lit(1.0), 2 * p) if alternative == "two-sided" else p
     rows = rows.select("feature", "statistic", "z", p.alias("p_value"), F.lit("asymptotic").alias("method"))
-    return decide(rows, "Reject H0 (distributions differ)", alpha=alpha)
+    return decide(rows, "groups come from unequal distributions", alpha=alpha)
 
 
 def rank_sum(df, value, label, group_a, group_b, alternative="two-sided", alpha=ALPHA) -> DataFrame:
@@ -348,7 +350,7 @@ def wilcoxon_signed_rank(
     rows = per.select(statistic.alias("statistic"), z.alias("z")).select(
         "statistic", "z", p.alias("p_value"), F.lit("asymptotic").alias("method")
     )
-    return decide(rows, "Reject H0 (median difference is not zero)", alpha=alpha)
+    return decide(rows, "differences are not centred on zero", alpha=alpha)
 
 
 def friedman(df: DataFrame, columns: Sequence[str], alpha: float = ALPHA) -> DataFrame:
@@ -382,7 +384,7 @@ def friedman(df: DataFrame, columns: Sequence[str], alpha: float = ALPHA) -> Dat
         F.try_divide(raw, F.when(correction > 0, correction)).alias("statistic"),
         F.lit(float(k - 1)).alias("df"),
     ).withColumn("p_value", chi2_upper_p("statistic", "df"))
-    return decide(rows, "Reject H0 (distributions differ)", alpha=alpha)
+    return decide(rows, "groups come from unequal distributions", alpha=alpha)
 
 
 # --- named tests and the battery --------------------------------------------------------------
@@ -412,9 +414,9 @@ def airline_delay_test(
     require_columns(df, [airline, delay])
     return _named(
         kruskal_wallis(df, airline, [delay], alpha),
-        "Airline systematic delays",
-        "Reject H0 — airlines differ systematically in delays.",
-        "Fail to reject H0 — no significant difference between airlines.",
+        "delay by airline",
+        "delay depends on the airline",
+        "no dependence of delay on the airline shown",
     )
 
 
@@ -426,9 +428,9 @@ def time_of_day_test(
         return None
     return _named(
         kruskal_wallis(df, period, [delay], alpha),
-        "Time of day impact on delays",
-        "Reject H0 — time of day significantly affects delays.",
-        "Fail to reject H0 — time of day does not significantly affect delays.",
+        "delay by time of day",
+        "delay depends on the time of day",
+        "no dependence of delay on the time of day shown",
     )
 
 
@@ -438,7 +440,7 @@ def run_battery(
     key_cols: Sequence[str],
     columns: Sequence[str] | None = None,
     include_pairwise: bool = True,
-    sample_size: int = 5000,
+    sample_size: int | None = None,
     alpha: float = ALPHA,
 ) -> dict[str, DataFrame]:
     """Normality, equal variances, means, distributions and pairwise means of every feature.
@@ -448,7 +450,7 @@ def run_battery(
     """
     from tarmac.operators.normality import normality
 
-    columns = feature_list(df, label, columns)
+    columns = feature_list(df, label, columns, key_cols)
     df = materialize(df.select(*dict.fromkeys([*key_cols, label, *columns])))
     moments = parameter_table(group_moments(df, columns, label))
     report = {

@@ -34,10 +34,8 @@ from tarmac.operators.sampling import (
     train_test_split,
 )
 
-#: Rows used by the model comparison unless told otherwise.
+#: Rows of each fold's training part that the model comparison fits on unless told otherwise. All rows are scored.
 COMPARISON_ROWS = 50_000
-#: Most hold-out repetitions of the strategy table.
-MAX_REPETITIONS = 20
 HOLD_OUT = 0.368
 
 # A fitter takes (train, test, n_train) and returns test rows with label and prediction.
@@ -153,7 +151,10 @@ def _boosting(rounds: int, seed: int) -> Fitter:
 def _linear_svm(iterations: int) -> Fitter:
     return _estimator(
         lambda n: OneVsRest(
-            classifier=LinearSVC(maxIter=iterations, regParam=1.0 / max(1, n), tol=1e-4), parallelism=3
+            classifier=LinearSVC(
+                maxIter=iterations, regParam=1.0 / max(1, n), tol=1e-4, standardization=False
+            ),
+            parallelism=3,
         )
     )
 
@@ -173,7 +174,7 @@ def _baseline(train: DataFrame, test: DataFrame, n_train: int) -> DataFrame:
     return majority_baseline(train, test).select("label", "prediction")
 
 
-def candidate_models(key: str, seed: int = 42, forest_depth: int = 12) -> dict[str, Fitter]:
+def candidate_models(key: str, seed: int = 42, forest_depth: int = 30) -> dict[str, Fitter]:
     """The seven models of the comparison table."""
     # Model names and effort settings.
     return {
@@ -187,7 +188,7 @@ def candidate_models(key: str, seed: int = 42, forest_depth: int = 12) -> dict[s
     }
 
 
-def strategy_models(key: str, seed: int = 42, forest_depth: int = 12) -> dict[str, Fitter]:
+def strategy_models(key: str, seed: int = 42, forest_depth: int = 30) -> dict[str, Fitter]:
     """The three models on which split strategies are compared."""
     # Model names and effort settings.
     return {
@@ -228,17 +229,16 @@ def validation_strategies(
     target: str,
     key: str,
     cv_folds: int = 5,
-    bootstrap_n: int = 100,
+    bootstrap_n: int = 20,
     seed: int = 42,
     threads: int = 8,
     models: dict[str, Fitter] | None = None,
 ) -> DataFrame:
     """One row per model: single split, stratified folds, repeated hold-outs."""
-    repetitions = min(bootstrap_n, MAX_REPETITIONS)
     data = assemble(df, target, key)
     data = stratified_kfold(data, "label", [key], cv_folds, seed)
     data = train_test_split(data, [key], 0.2, seed, stratify="label")
-    data = hold_out_flags(data, [key], repetitions, HOLD_OUT, seed)
+    data = hold_out_flags(data, [key], bootstrap_n, HOLD_OUT, seed)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = data.count()
@@ -246,14 +246,14 @@ def validation_strategies(
         plain = [key, "label", "features"]
         tasks = []
         for name, fitter in models.items():
-            tasks.append((name, "split", fitter, F.col("split") == "test"))
-            tasks += [(name, "cv", fitter, F.col("fold") == i) for i in range(cv_folds)]
-            tasks += [(name, "hold", fitter, F.col(f"held_{i}")) for i in range(repetitions)]
+            tasks.append((name, "split", fitter, F.col("split") == "test", 0.8))
+            tasks += [(name, "cv", fitter, F.col("fold") == i, 1 - 1 / cv_folds) for i in range(cv_folds)]
+            tasks += [(name, "hold", fitter, F.col(f"held_{i}"), 1 - HOLD_OUT) for i in range(bootstrap_n)]
 
         def run(task):
-            name, kind, fitter, is_test = task
+            name, kind, fitter, is_test, train_share = task
             train, test = data.where(~is_test).select(*plain), data.where(is_test).select(*plain)
-            return name, kind, _score(fitter, train, test, n)
+            return name, kind, _score(fitter, train, test, max(1, int(n * train_share)))
 
         with ThreadPoolExecutor(threads) as pool:
             scored = list(pool.map(run, tasks))
@@ -293,19 +293,22 @@ def compare_models(
 ) -> DataFrame:
     """Ranked table of all candidates under stratified cross-validation.
 
-    A model that fails keeps a row with empty scores and the message.
+    With ``max_samples`` the models of a fold are fitted on at most that many rows outside it, drawn at random; the
+    rows of the fold are all scored. A model that fails keeps a row with empty scores and the message.
     """
     data = assemble(df, target, key)
-    if max_samples:
-        data = sample_n(data, max_samples, [key], seed)
     data = stratified_kfold(data, "label", [key], cv_folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
     models = models or candidate_models(key, seed)
     try:
         n_train = data.count() * (cv_folds - 1) // cv_folds
+        fitted_on = [data.where(F.col("fold") != i) for i in range(cv_folds)]
+        if max_samples and n_train > max_samples:
+            n_train = max_samples
+            fitted_on = [sample_n(part, max_samples, [key], seed) for part in fitted_on]
 
         def run(task: tuple[str, int]):
             name, i = task
-            train, test = data.where(F.col("fold") != i), data.where(F.col("fold") == i)
+            train, test = fitted_on[i], data.where(F.col("fold") == i)
             try:
                 return name, _score(models[name], train.drop("fold"), test.drop("fold"), n_train), None
             except Exception as error:  # one failing model must not hide the others
@@ -332,8 +335,19 @@ def compare_models(
     return table.orderBy(F.desc_nulls_last("cv_accuracy_mean"), "model")
 
 
-def run_model_selection(df: DataFrame, target: str, key: str, **options) -> dict[str, DataFrame]:
+def run_model_selection(
+    df: DataFrame,
+    target: str,
+    key: str,
+    cv_folds: int = 5,
+    bootstrap_n: int = 20,
+    max_samples: int | None = COMPARISON_ROWS,
+    seed: int = 42,
+    threads: int = 8,
+) -> dict[str, DataFrame]:
+    """Both tables, with the same folds, seed and threads."""
+    common = {"cv_folds": cv_folds, "seed": seed, "threads": threads}
     return {
-        "validation_strategies": validation_strategies(df, target, key, **options),
-        "model_comparison": compare_models(df, target, key),
+        "validation_strategies": validation_strategies(df, target, key, bootstrap_n=bootstrap_n, **common),
+        "model_comparison": compare_models(df, target, key, max_samples=max_samples, **common),
     }

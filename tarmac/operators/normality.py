@@ -1,9 +1,9 @@
-"""Shapiro-Wilk W on a bounded random sample per feature, and normal quantile-quantile data."""
+"""Shapiro-Wilk W per feature over all values, and normal quantile-quantile data."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from statistics import NormalDist
 
 import numpy as np
@@ -18,8 +18,6 @@ from tarmac.operators.quantiles import GROUP_ROWS
 from tarmac.operators.ranks import value_positions
 from tarmac.operators.sampling import sample_n
 
-#: Largest sample the published W approximation covers.
-MAX_SAMPLE = 5000
 _BLOCK = 50_000
 
 # Polynomial coefficients of the published W approximation (Royston 1995),
@@ -37,30 +35,30 @@ def _poly(coefficients: Sequence[float], x: float) -> float:
     return sum(c * x**i for i, c in enumerate(coefficients))
 
 
-def shapiro_wilk(values: np.ndarray) -> tuple[float | None, float | None]:
-    """W and its p-value for 3 to 5,000 values; None for a constant or too short sample."""
-    x = np.sort(np.asarray(values, dtype="float64"))
-    n = len(x)
-    if n < 3 or x[-1] == x[0]:
+def _w_and_p(
+    n: int, size: float, tops: Sequence[float], cross: float, ends: Sequence[float], spread: float
+) -> tuple[float | None, float | None]:
+    """W and its p-value from sums over the ordered values.
+
+    :param size: sum of the squared normal scores. :param tops: the largest and second largest score.
+    :param cross: sum of score times value. :param ends: first, second, second last and last value.
+    :param spread: sum of squared deviations from the mean.
+    """
+    if n < 3 or ends[0] == ends[3]:
         return None, None
     if n == 3:
-        weights = np.array([-math.sqrt(0.5), 0.0, math.sqrt(0.5)])
+        weighted = math.sqrt(0.5) * (ends[3] - ends[0])
     else:
-        inverse = NormalDist().inv_cdf
-        m = np.array([inverse((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-        size = float(m @ m)
         u = 1.0 / math.sqrt(n)
-        last = m[-1] / math.sqrt(size) + _poly(_A_LAST, u)
-        edge = {n - 1: last}
+        last = tops[0] / math.sqrt(size) + _poly(_A_LAST, u)
+        edge = [(last, tops[0], ends[3] - ends[0])]
         if n > 5:
-            edge[n - 2] = m[-2] / math.sqrt(size) + _poly(_A_NEXT, u)
-        rest = size - 2 * sum(m[i] ** 2 for i in edge)
-        scale = math.sqrt(rest / (1 - 2 * sum(a * a for a in edge.values())))
-        weights = m / scale
-        for i, a in edge.items():
-            weights[i], weights[n - 1 - i] = a, -a
-    centred = x - x.mean()
-    w = min(1.0, float(weights @ centred) ** 2 / float(centred @ centred))
+            edge.append((tops[1] / math.sqrt(size) + _poly(_A_NEXT, u), tops[1], ends[2] - ends[1]))
+        rest = size - 2 * sum(m * m for _, m, _ in edge)
+        scale = math.sqrt(rest / (1 - 2 * sum(a * a for a, _, _ in edge)))
+        middle = cross - sum(m * gap for _, m, gap in edge)
+        weighted = middle / scale + sum(a * gap for a, _, gap in edge)
+    w = min(1.0, weighted * weighted / spread)
     if n == 3:
         p = 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75)))
         return w, max(0.0, p)
@@ -78,35 +76,75 @@ def shapiro_wilk(values: np.ndarray) -> tuple[float | None, float | None]:
     return w, normal_upper((y - mean) / sd)
 
 
+def shapiro_wilk(values: np.ndarray) -> tuple[float | None, float | None]:
+    """W and its p-value of a few values held in memory; None for a constant or too short sample."""
+    x = np.sort(np.asarray(values, dtype="float64"))
+    n = len(x)
+    if n < 3:
+        return None, None
+    inverse = NormalDist().inv_cdf
+    m = np.array([inverse((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
+    centred = x - x.mean()
+    ends = [x[0], x[1], x[-2], x[-1]]
+    return _w_and_p(n, float(m @ m), [m[-1], m[-2]], float(m @ centred), ends, float(centred @ centred))
+
+
 def normality(
     df: DataFrame,
     columns: Sequence[str],
-    key_cols: Sequence[str],
-    sample_size: int = MAX_SAMPLE,
+    key_cols: Sequence[str] = (),
+    sample_size: int | None = None,
     seed: int = 42,
     alpha: float = ALPHA,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """W test per feature on at most ``sample_size`` random known values."""
-    size = min(sample_size, MAX_SAMPLE)
-    long = melt(df, columns, key_cols)
-    sample = sample_n(long, size, key_cols, seed, by=["feature"]).select("feature", "value")
-
-    def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = shapiro_wilk(pdf["value"].to_numpy())
-        return pd.DataFrame(
-            {"feature": [pdf["feature"].iloc[0]], "n": [len(pdf)], "statistic": [w], "p_value": [p]}
-        ).astype({"statistic": "float64", "p_value": "float64"})
+    """W test per feature on all known values, or on ``sample_size`` random ones if a size is given.
 
-    rows = sample.groupBy("feature").applyInPandas(
-        test, "feature string, n long, statistic double, p_value double"
+    Positions and normal scores are distributed; what meets is a row of sums per feature. The published p-value
+    approximation was fitted for up to 5,000 values and is carried on beyond that.
+    """
+    long = melt(df, columns, key_cols)
+    if sample_size is not None:
+        long = sample_n(long, sample_size, key_cols, seed, by=["feature"])
+    points = _positions(long.select("feature", "value"), group_rows)
+    score = normal_quantile((F.col("position") - F.lit(0.375)) / (F.col("n") + F.lit(0.25)))
+    scored = points.withColumn("m", score).withColumn("centred", F.col("value") - F.col("mean"))
+    at = {"first": F.lit(1), "second": F.lit(2), "before_last": F.col("n") - 1, "last": F.col("n")}
+    sums = scored.groupBy("feature").agg(
+        F.max("n").alias("n"),
+        F.sum(F.col("m") * F.col("m")).alias("squares"),
+        F.max(F.when(F.col("position") == F.col("n"), F.col("m"))).alias("top"),
+        F.max(F.when(F.col("position") == F.col("n") - 1, F.col("m"))).alias("next"),
+        F.sum(F.col("m") * F.col("centred")).alias("cross"),
+        F.sum(F.col("centred") * F.col("centred")).alias("spread"),
+        *[F.max(F.when(F.col("position") == place, F.col("value"))).alias(name) for name, place in at.items()],
     )
-    normal = F.col("p_value") > F.lit(alpha)
+
+    def test(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            found = [
+                _w_and_p(r.n, r.squares, [r.top, r.next], r.cross, [r.first, r.second, r.before_last, r.last], r.spread)
+                for r in part.itertuples()
+            ]
+            yield pd.DataFrame(
+                {
+                    "feature": part["feature"],
+                    "n": part["n"],
+                    "statistic": pd.Series([w for w, _ in found], dtype="float64"),
+                    "p_value": pd.Series([p for _, p in found], dtype="float64"),
+                }
+            )
+
+    rows = sums.mapInPandas(test, "feature string, n long, statistic double, p_value double")
     unknown = F.col("p_value").isNull() | F.isnan("p_value")
+    rows = rows.withColumns({c: F.when(~unknown, F.col(c)) for c in ("statistic", "p_value")})
+    normal = F.col("p_value") > F.lit(alpha)
+    unknown = F.col("p_value").isNull()
     return rows.withColumn("is_normal", F.when(~unknown, normal)).withColumn(
         "decision",
         F.when(unknown, F.lit("not testable"))
-        .when(normal, F.lit("Fail to reject H0 (normal)"))
-        .otherwise(F.lit("Reject H0 (not normal)")),
+        .when(normal, F.lit("compatible with a normal distribution"))
+        .otherwise(F.lit("not normally distributed")),
     )
 
 
@@ -120,10 +158,12 @@ def plotting_position(position: Column, n: Column) -> Column:
     return F.when(position == n, top).when(position == 1, F.lit(1.0) - top).otherwise(inner)
 
 
-def _runs(df: DataFrame, columns: Sequence[str], group_rows: int) -> DataFrame:
-    """Runs of equal values cut into blocks, so that a hot value is shared by many tasks."""
-    positions = value_positions(melt(df, columns), group_rows=group_rows)
-    sizes = positions.groupBy("feature").agg(F.sum("total").alias("n"))
+def _positions(long: DataFrame, group_rows: int) -> DataFrame:
+    """``(feature, position, value, n, mean)`` of every value. Runs of equal values are cut into blocks, so that a
+    hot value is shared by many tasks."""
+    positions = value_positions(long, group_rows=group_rows)
+    mean = F.sum(F.col("value") * F.col("total")) / F.sum("total")
+    sizes = positions.groupBy("feature").agg(F.sum("total").alias("n"), mean.alias("mean"))
     return (
         positions.join(sizes, "feature")
         .withColumn(
@@ -135,16 +175,16 @@ def _runs(df: DataFrame, columns: Sequence[str], group_rows: int) -> DataFrame:
             ),
         )
         .withColumn("last", F.least(F.col("first") + _BLOCK - 1, F.col("before") + F.col("total")))
-        .select("feature", "value", "n", "first", "last")
+        .select("feature", "value", "n", "mean", "first", "last")
         .repartition("feature", "first")
+        .select("feature", "value", "n", "mean", F.explode(F.sequence("first", "last")).alias("position"))
     )
 
 
 def qq_points(df: DataFrame, columns: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame:
     """``(feature, position, theoretical, value)`` of every known value."""
     return (
-        _runs(df, columns, group_rows)
-        .withColumn("position", F.explode(F.sequence("first", "last")))
+        _positions(melt(df, columns), group_rows)
         .select(
             "feature",
             "position",

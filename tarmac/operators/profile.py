@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,8 +14,9 @@ from tarmac.functions.columns import as_double, wide_to_long
 from tarmac.operators.quantiles import column_quantiles
 from tarmac.session import parameter_table
 
-#: Column pairs whose moments go into one aggregate; wider tables take several.
-PAIRS_PER_PASS = 120
+#: Bytes of pair matrices that a task holds before it hands them on.
+HELD_BYTES = 64 << 20
+_ROUNDING = 1e-13
 
 
 def dataset_info(df: DataFrame) -> DataFrame:
@@ -104,51 +106,91 @@ def value_range(df: DataFrame, columns: Sequence[str], by: str | None = None) ->
 # --- correlation ------------------------------------------------------------------------------
 
 
-def pair_moments(x: Column, y: Column) -> list[Column]:
-    """Aggregates over the rows on which both columns are known."""
-    both = x.isNotNull() & y.isNotNull()
-    cx, cy = F.when(both, x), F.when(both, y)
-    return [
-        F.count(cx),
-        F.covar_pop(cx, cy),
-        F.stddev_pop(cx),
-        F.stddev_pop(cy),
-    ]
-
-
-def _pairs_long(work: DataFrame, pairs: Sequence[tuple[str, str]], keep: list[str]) -> DataFrame:
-    aggregates, rows = [], []
-    for i, (x, y) in enumerate(pairs):
-        for name, column in zip("ncst", pair_moments(F.col(x), F.col(y))):
-            aggregates.append(column.alias(f"{name}{i}"))
-        r = F.try_divide(F.col(f"c{i}"), F.col(f"s{i}") * F.col(f"t{i}"))
-        rows.append(
-            F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r.alias("r"), F.col(f"n{i}").alias("n"))
-        )
-    return (
-        work.groupBy(*keep)
-        .agg(F.count(F.lit(1)).alias("__rows"), *aggregates)
-        .select(*keep, "__rows", F.inline(F.array(*rows)))
-    )
+class _PairSums:
+    """Sums over the rows on which both columns of a pair are known: counts, values, squares and products.
+
+    A task adds up one set of matrices per group over all its batches, and hands them on early only when they
+    outgrow ``HELD_BYTES``. Values are shifted by ``centres`` so that squares keep their digits.
+    """
+
+    def __init__(self, columns: Sequence[str], centres: Sequence[float], keep: Sequence[str]):
+        self.columns, self.centres, self.keep = list(columns), np.asarray(centres, float), list(keep)
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[object, list] = {}
+        bytes_each = 4 * 8 * len(self.columns) ** 2
+        for batch in batches:
+            x = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in self.columns], axis=1)
+            x = x - self.centres
+            if self.keep:
+                coded = batch.column(self.keep[0]).dictionary_encode()
+                codes = coded.indices.to_numpy(zero_copy_only=False)
+                groups = [(name, x[codes == i]) for i, name in enumerate(coded.dictionary.to_pylist())]
+            else:
+                groups = [(None, x)]
+            for name, rows in groups:
+                sums = self.sums(rows)
+                held[name] = [old + new for old, new in zip(held[name], sums)] if name in held else sums
+            if len(held) * bytes_each > HELD_BYTES:
+                yield from self.rows(held, batch.schema)
+                held = {}
+        if held:
+            yield from self.rows(held, batch.schema)
+
+    @staticmethod
+    def sums(x: np.ndarray) -> list:
+        known = ~np.isnan(x)
+        x, known = np.where(known, x, 0.0), known.astype(float)
+        return [len(x), known.T @ known, x.T @ known, (x * x).T @ known, x.T @ x]
+
+    def rows(self, held: dict, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        first, second = np.triu_indices(len(self.columns))
+        for name, (count, n, s, q, p) in held.items():
+            cells = [
+                pa.array(np.full(len(first), count)),
+                pa.array(first.astype(np.int32)),
+                pa.array(second.astype(np.int32)),
+                *[pa.array(m[i, j]) for m, i, j in ((n, first, second), (s, first, second), (s, second, first))],
+                *[pa.array(m[i, j]) for m, i, j in ((q, first, second), (q, second, first), (p, first, second))],
+            ]
+            group = [pa.array([name] * len(first), schema.field(k).type) for k in self.keep]
+            yield pa.record_batch([*group, *cells], names=[*self.keep, "rows", "i", "j", *_SUMS])
+
+
+_SUMS = ["n", "si", "sj", "qi", "qj", "p"]
 
 
 def corr_pairs(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
-    """Pearson correlation of every unordered pair ``x before y`` and of each column with itself."""
+    """Pearson correlation of every unordered pair ``x before y`` and of each column with itself.
+
+    One pass for any number of columns: tasks multiply masked matrices of their rows, Spark adds the cells. A
+    pair is judged on the rows that know both; a column that is constant there gives null.
+    """
     keep = [by] if by else []
     if by:
         df = df.where(F.col(by).isNotNull())
     work = as_double(df, columns, keep)
-    pairs = [(c, c) for c in columns] + list(combinations(columns, 2))
-    parts = [
-        _pairs_long(work, pairs[i : i + PAIRS_PER_PASS], keep)
-        for i in range(0, len(pairs), PAIRS_PER_PASS)
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    finite = [F.when(~F.isnan(c) & (F.abs(c) != float("inf")), F.col(c)) for c in columns]
+    centres = work.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(finite)]).first()
+    group = [work.schema[by].simpleString().replace(":", " ", 1)] if by else []
+    schema = ", ".join([*group, "rows long, i int, j int", *[f"{c} double" for c in _SUMS]])
+    cells = work.mapInArrow(_PairSums(columns, [m or 0.0 for m in centres], keep), schema)
+    total = cells.groupBy(*keep, "i", "j").agg(F.sum("rows").alias("rows"), *[F.sum(c).alias(c) for c in _SUMS])
     if by:
-        out = out.where(F.col("__rows") > 2)
-    return out.drop("__rows")
+        total = total.where(F.col("rows") > 2)
+    square_i = F.col("qi") - F.try_divide(F.col("si") * F.col("si"), F.col("n"))
+    square_j = F.col("qj") - F.try_divide(F.col("sj") * F.col("sj"), F.col("n"))
+    # below this share of the sum of squares a difference is rounding: the column is constant on these rows
+    varies = (square_i > F.col("qi") * _ROUNDING) & (square_j > F.col("qj") * _ROUNDING)
+    product = F.col("p") - F.try_divide(F.col("si") * F.col("sj"), F.col("n"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return total.select(
+        *keep,
+        names[F.col("i")].alias("x"),
+        names[F.col("j")].alias("y"),
+        F.when(varies, product / F.sqrt(square_i * square_j)).alias("r"),
+        F.col("n").cast("long").alias("n"),
+    )
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
@@ -238,9 +280,9 @@ def iqr_outlier_counts(df: DataFrame, columns: Sequence[str], k: float = 1.5) ->
 
 def quality_report(df: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
     return {
-        "missing_values": missing_counts(df, columns),
-        "duplicate_count": duplicate_count(df),
-        "outlier_count": iqr_outlier_counts(df, columns),
+        "missing": missing_counts(df, columns),
+        "duplicates": duplicate_count(df),
+        "outliers": iqr_outlier_counts(df, columns),
     }
 
 

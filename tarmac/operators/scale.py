@@ -62,7 +62,7 @@ def _scaled(column: str, shift: float | None, width: float | None) -> Column:
 def apply_scaler(df: DataFrame, params: DataFrame, method: str = "standard") -> DataFrame:
     """Scale the fitted columns of any table; the parameters hold one row per column."""
     if method not in ("standard", "minmax"):
-        raise ValueError("method must be 'standard' or 'minmax'")
+        raise ValueError(f"unknown scaling method {method!r}")
     fitted = {}
     for r in params.collect():
         if method == "standard":
@@ -87,7 +87,7 @@ def scale(
     ``fit_on`` fits on another table, such as the training part alone.
     """
     if method not in ("standard", "minmax", "both"):
-        raise ValueError("method must be 'standard', 'minmax', or 'both'")
+        raise ValueError(f"unknown scaling method {method!r}")
     columns = list(columns) if columns is not None else scalable_columns(df, exclude)
     params = fit_scaler(fit_on if fit_on is not None else df, columns)
     return apply_scaler(df, params, "standard" if method == "both" else method), params

@@ -1,6 +1,7 @@
 import datetime
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,10 +93,42 @@ def test_constant_correlation_is_null(spark):
     assert got["a", "b"].r == pytest.approx(np.corrcoef([1, 2, 4], [2, 4.1, 8])[0, 1])
 
 
-def test_wide_correlation_in_several_passes(spark, monkeypatch):
-    monkeypatch.setattr(profile, "PAIRS_PER_PASS", 2)
-    df = spark.createDataFrame([(1.0, 2.0, 7.0), (2.0, 4.1, 5.0), (3.0, 1.0, 6.0)], "a double, b double, c double")
-    assert profile.corr_matrix(df, ["a", "b", "c"]).count() == 9
+def test_wide_correlation_with_gaps_and_constants(spark, monkeypatch):
+    monkeypatch.setattr(profile, "HELD_BYTES", 1)
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(300, 43)) + 1e6
+    x[:, 5] = 2 * x[:, 4] + 1
+    x[draw.random(x.shape) < 0.1] = np.nan
+    x[:, 42] = 7.25
+    names = [f"c{i}" for i in range(43)]
+    frame = pd.DataFrame(x, columns=names).astype(object).where(lambda f: f.notna(), None)
+    frame["g"] = [str(i % 3) for i in range(300)]
+    schema = ", ".join([f"{c} double" for c in names] + ["g string"])
+    df = spark.createDataFrame(frame, schema).repartition(4)
+    for by, part in [(None, frame)] + [("g", frame[frame.g == g]) for g in ("0", "1")]:
+        got = profile.corr_pairs(df, names, by).toPandas()
+        if by:
+            got = got[got.g == part.g.iloc[0]]
+        assert len(got) == 43 * 44 // 2
+        numbers = part[names].astype(float)
+        want, known = numbers.corr(), numbers.notna().astype(int)
+        both = known.T @ known
+        for r in got.itertuples():
+            assert r.n == both.loc[r.x, r.y]
+            if "c42" in (r.x, r.y):
+                assert r.r is None or np.isnan(r.r)
+            else:
+                assert abs(r.r - want.loc[r.x, r.y]) < 1e-7
+
+
+def test_component_count_does_not_depend_on_width(spark):
+    draw = np.random.default_rng(4)
+    for width in (5, 44):
+        x = np.column_stack([draw.normal(size=(200, width)), np.full(200, 3.0)])
+        names = [f"c{i}" for i in range(width + 1)]
+        df = spark.createDataFrame(pd.DataFrame(x, columns=names))
+        shares = [r.ratio for r in reduce.pca_variance(df, names).collect()]
+        assert sum(s > 1e-9 for s in shares) == width
 
 
 def test_histogram_last_bin_holds_the_maximum(spark):
@@ -146,11 +179,3 @@ def test_pca_against_eigenvectors(spark):
     assert ratios["selected"].sum() == int((np.cumsum(ratios["ratio"]) < 0.8).sum()) + 1
     with pytest.raises(ValueError):
         reduce.pca(df, list("abcd"), ["id"], k=1)
-
-
-def test_wide_pca_equals_narrow(spark, monkeypatch):
-    rng = np.random.default_rng(8)
-    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rng.normal(size=(60, 3)))], "id long, a double, b double, c double")
-    narrow = reduce.pca(df, list("abc"), ["id"]).orderBy("id").toPandas()
-    monkeypatch.setattr(reduce, "PAIRWISE_COLUMNS", 1)
-    assert np.allclose(narrow, reduce.pca(df, list("abc"), ["id"]).orderBy("id").toPandas())

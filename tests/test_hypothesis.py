@@ -169,5 +169,20 @@ def test_battery_tables(spark):
     assert list(report) == ["normality", "levene", "anova", "kruskal_wallis", "t_tests"]
     stacked = h.battery_summary(report)
     assert stacked.count() == 2 * 4 + 2 * 3
-    assert stacked.where("test = 'anova' and feature = 'b'").first().decision.startswith("Reject")
+    assert stacked.where("test = 'anova' and feature = 'b'").first().decision == "group means are unequal"
     assert "t_tests" not in h.run_battery(df.where("cls = 'u'"), "cls", ["id"], ["a"])
+    assert {r.feature for r in h.run_battery(df, "cls", ["id"])["anova"].collect()} == {"a", "b"}
+
+
+def test_normality_uses_all_rows_unless_a_size_is_given(spark):
+    rng = np.random.default_rng(6)
+    x = np.round(rng.gamma(9.0, size=9000), 2)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "id long, x double").repartition(5)
+    row = normality.normality(df, ["x"], ["id"]).first()
+    w, p = normality.shapiro_wilk(x)
+    assert row.n == 9000 and row.statistic == pytest.approx(w, abs=1e-9) and row.p_value == pytest.approx(p, abs=1e-9)
+    assert normality.normality(df, ["x"], ["id"], sample_size=6000).first().n == 6000
+    for n in (2, 3, 4, 5, 7, 11, 12):
+        few = normality.normality(df.where(f"id < {n}"), ["x"], ["id"]).first()
+        w, p = normality.shapiro_wilk(x[:n])
+        assert few.statistic is None if w is None else few.statistic == pytest.approx(w, abs=1e-9)

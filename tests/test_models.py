@@ -90,4 +90,4 @@ def test_engineered_table_is_numeric(spark, folder):
     assert kinds["AIRLINE_1-URGENT"] == "double" and "TIME_PERIOD" not in kinds
     assert params.where("feature = 'DISTANCE'").count() == 1
     reports = plan.named_tests(flights(spark, folder))
-    assert set(reports) == {"airline_systemic_delays", "time_period_impact"}
+    assert set(reports) == {"delay_by_airline", "delay_by_time_of_day"}
