@@ -9,6 +9,9 @@ from tarmac.llm import graph
 from tarmac.llm.common import probable_members
 from tarmac.session import materialize
 
+#: Characters that are counted in each line; lines whose counts differ too much need no comparison.
+BAG = "etaoinsrhldcumpgbwf."
+
 
 def segment_keys(line: Column, length: Column, max_edits: int) -> Column:
     """Array of (role, seg) of a line: role 1 for its own segments, 2 for substrings that it looks up, 3 for both.
@@ -48,10 +51,8 @@ def banded_distance(a: Column, b: Column, max_edits: int) -> Column:
     full = (1 << width) - 1
     long = lambda x: F.lit(x).cast("long")
     bits = lambda x: F.bitwise_not(x).bitwiseAND(long(full))
-    m = F.length(a)
-    rows = F.split(a, "")
 
-    def matches(char: Column, j: Column) -> Column:
+    def matches(rows: Column, char: Column, j: Column) -> Column:
         """Bit d says that this character of ``b`` equals the one of ``a`` on diagonal d."""
         out = long(0)
         for d in range(width):
@@ -59,7 +60,7 @@ def banded_distance(a: Column, b: Column, max_edits: int) -> Column:
         return out
 
     def step(state: Column, column: Column) -> Column:
-        x, j = column["x"], column["j"]
+        x, j, m = column["x"], column["j"], column["m"]
         vp, vn, dist = state["vp"], state["vn"], state["dist"]
         same = (x.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(x).bitwiseOR(vn).bitwiseAND(long(full))
 
@@ -83,11 +84,20 @@ def banded_distance(a: Column, b: Column, max_edits: int) -> Column:
 
         return _let(same, with_diagonal)
 
-    columns = F.transform(F.split(b, ""), lambda char, j: F.struct(matches(char, j).alias("x"), j.alias("j")))
+    # what stands outside a lambda is computed for every element inside it, so the arrays are bound first
+    def columns(pair: Column) -> Column:
+        return F.transform(
+            pair["b"],
+            lambda char, j: F.struct(
+                matches(pair["a"], char, j).alias("x"), j.alias("j"), F.size(pair["a"]).alias("m")
+            ),
+        )
+
     start = F.struct(
         long(full & ~((1 << k) - 1)).alias("vp"), long(0).alias("vn"), F.lit(k).cast("int").alias("dist")
     )
-    return F.aggregate(columns, start, step, lambda state: state["dist"])
+    chars = F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b"))
+    return F.aggregate(_let(chars, columns), start, step, lambda state: state["dist"])
 
 
 def lines_of(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -173,16 +183,21 @@ def _links(lines: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
         .groupBy("seg", "node")
         .agg(F.bit_or("role").alias("role"), F.first("line").alias("line"))
     )
-    found = materialize(found.withColumn("length", F.length("line")))
-    index = found.where("role = 3").select("seg", *[F.col(c).alias(f"{c}_a") for c in ("node", "line", "length")])
-    probe = found.select("seg", *[F.col(c).alias(f"{c}_b") for c in ("node", "line", "length")])
+    bag = {f"bag{i}": F.length("line") - F.length(F.replace("line", F.lit(c))) for i, c in enumerate(BAG)}
+    found = materialize(found.withColumns({"length": F.length("line"), **bag}))
+    columns = ["node", "line", "length", *bag]
+    index = found.where("role = 3").select("seg", *[F.col(c).alias(f"{c}_a") for c in columns])
+    probe = found.select("seg", *[F.col(c).alias(f"{c}_b") for c in columns])
     ordered = (F.col("length_a") < F.col("length_b")) | (
         (F.col("length_a") == F.col("length_b")) & (F.col("node_a") < F.col("node_b"))
     )
     close = F.col("length_b") - F.col("length_a") <= max_edits
+    # an edit changes the counts of two characters by one at most
+    apart = sum((F.abs(F.col(f"{c}_a") - F.col(f"{c}_b")) for c in bag), F.lit(0))
+    alike = apart <= 2 * max_edits
     near = banded_distance(F.col("line_a"), F.col("line_b"), max_edits) <= max_edits
     return (
-        index.join(probe, (index["seg"] == probe["seg"]) & ordered & close & near)
+        index.join(probe, (index["seg"] == probe["seg"]) & ordered & close & alike & near)
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         .distinct()
     )
