@@ -21,6 +21,7 @@ HEADLINE = [
     "impute_mean_all",
     "describe_by_group",
     "corr_matrix",
+    "corr_matrix_wide",
     "duplicate_count",
     "iqr_outliers",
     "generate_features",
@@ -31,6 +32,7 @@ HEADLINE = [
     "stratified_kfold",
     "undersample",
     "oversample",
+    "kfold_after_oversample",
     "smote",
     "knn_join",
     "histogram",
@@ -41,6 +43,7 @@ HEADLINE = [
     "kruskal_wallis",
     "mann_whitney",
     "friedman",
+    "shapiro",
     "pairwise_t",
     "pca",
     "load_and_clean",

@@ -141,6 +141,40 @@ def _rare(spark, d):
     return table(spark, d, "events").select("event_id", kind.alias("kind"), "value")
 
 
+@query(
+    "kfold_after_oversample",
+    f"""WITH {_SKEWED}, n AS (SELECT count(*) FILTER (kind = 'rare') AS a, count(*) FILTER (kind = 'common') AS b FROM sk),
+rk AS (SELECT event_id, kind, {_rank()} AS rn FROM sk WHERE kind = 'rare'),
+dr AS ({_draws('(SELECT a FROM n)', 'SELECT b - a FROM n', "'rare'")}),
+al AS (SELECT event_id, kind, 0::BIGINT AS copy FROM sk UNION ALL
+  SELECT event_id, kind, slot // 100000 * 100000 + row_number() OVER (PARTITION BY pick, slot // 100000 ORDER BY slot) AS copy
+  FROM dr JOIN rk ON dr.pick = rk.rn),
+fo AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY md5(event_id || '|' || copy || '|42'), event_id, copy) AS rn,
+  count(*) OVER (PARTITION BY kind) AS n FROM al)
+SELECT event_id, copy, kind, floor((rn - 1) * 5 / n)::INTEGER AS fold FROM fo""",
+)
+def _(spark, d):
+    full = sampling.oversample(_rare(spark, d).drop("value"), "kind", ["event_id"], copy_col="copy")
+    return sampling.stratified_kfold(full, "kind", ["event_id", "copy"], 5)
+
+
+@query(
+    "split_after_smote",
+    f"""WITH {_SKEWED}, n AS (SELECT count(*) FILTER (kind = 'rare') AS a, count(*) FILTER (kind = 'common') AS b FROM sk),
+rk AS (SELECT event_id, kind, {_rank()} AS rn FROM sk WHERE kind = 'rare'),
+dr AS ({_draws('(SELECT a FROM n)', 'SELECT b - a FROM n', "'rare'")}),
+al AS (SELECT event_id, kind, 0::BIGINT AS copy FROM sk UNION ALL
+  SELECT event_id, kind, slot + 1 AS copy FROM dr JOIN rk ON dr.pick = rk.rn)
+SELECT event_id, copy, kind, CASE WHEN rn <= ceil(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM (
+  SELECT *, row_number() OVER (ORDER BY md5(event_id || '|' || copy || '|42'), event_id, copy) AS rn, count(*) OVER () AS n
+  FROM al)""",
+)
+def _(spark, d):
+    src = _rare(spark, d).withColumn("wave", (F.col("event_id") * 7 % 101).cast("double"))
+    full = balance.smote(src, "kind", "event_id", copy_col="copy").select("event_id", "copy", "kind")
+    return sampling.train_test_split(full, ["event_id", "copy"])
+
+
 @query(
     "balance_positive_zero",
     f"""WITH {LABELLED}, rk AS (SELECT FLIGHT_ID, ARR_DELAY, {_rank('ARR_DELAY > 0', 'FLIGHT_ID')} AS rn FROM labelled),

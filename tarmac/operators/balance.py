@@ -28,12 +28,15 @@ def smote(
     columns: Sequence[str] | None = None,
     k: int = 5,
     seed: int = 42,
+    copy_col: str | None = None,
     **knn_options,
 ) -> DataFrame:
     """Fill every smaller class with points between a random row and one of its k neighbours.
 
     Numeric columns are interpolated with one random step per new row; all other columns, and the key,
-    are those of the base row. ``is_synthetic`` marks the new rows. Missing numbers are an error.
+    are those of the base row. ``is_synthetic`` marks the new rows. Missing numbers are an error. With
+    ``copy_col`` the new rows of a class are numbered from 1, given rows have 0, and the key together with
+    it is unique.
     """
     require_columns(df, [label, key])
     columns = list(columns) if columns is not None else numeric_columns(df, exclude=[label, key])
@@ -51,6 +54,8 @@ def smote(
     )
     short = needs.collect()
     original = work.withColumn("is_synthetic", F.lit(False))
+    if copy_col:
+        original = original.withColumn(copy_col, F.lit(0).cast("long"))
     if not short:
         return original
     if min(r["size"] for r in short) <= k:
@@ -59,7 +64,7 @@ def smote(
     for r in short:
         minority = work.where(F.col(label) == F.lit(r[label]))
         need = needs.where(F.col(label) == F.lit(r[label]))
-        out = out.unionByName(_synthetic(minority, need, label, key, columns, k, seed, knn_options))
+        out = out.unionByName(_synthetic(minority, need, label, key, columns, k, seed, copy_col, knn_options))
     return out
 
 
@@ -71,6 +76,7 @@ def _synthetic(
     columns: list[str],
     k: int,
     seed: int,
+    copy_col: str | None,
     knn_options: dict,
 ) -> DataFrame:
     points = vector(minority, columns, "__v")
@@ -99,13 +105,14 @@ def _synthetic(
             for c in minority.columns
         ],
         F.lit(True).alias("is_synthetic"),
+        *([(F.col("slot") + 1).cast("long").alias(copy_col)] if copy_col else []),
     )
 
 
 def balance(
-    df: DataFrame, target: str, key: str, method: str = "smote", seed: int = 42
+    df: DataFrame, target: str, key: str, method: str = "smote", seed: int = 42, copy_col: str | None = None
 ) -> DataFrame:
-    """Even out delayed (target > 0) and on-time rows.
+    """Even out delayed (target > 0) and on-time rows. ``copy_col`` as in ``oversample``.
 
     ``smote``, ``oversample`` and ``undersample`` work on the two classes; ``positive_zero`` keeps all
     delayed rows and draws as many zero rows. A table with one empty class is returned unchanged.
@@ -114,17 +121,17 @@ def balance(
         raise ValueError("method must be 'smote', 'oversample', 'undersample' or 'positive_zero'")
     require_columns(df, [target, key])
     if method == "positive_zero":
-        return balance_positive_zero(df, target, [key], seed)
+        return balance_positive_zero(df, target, [key], seed, copy_col)
     delayed = F.when(F.col(target) > 0, F.lit(1)).otherwise(F.lit(0))
     marked = df.withColumn("__delayed", delayed)
     if class_counts(marked, "__delayed").count() < 2:
-        return df
+        return df.withColumn(copy_col, F.lit(0).cast("long")) if copy_col else df
     if method == "undersample":
         out = undersample(marked, "__delayed", [key], seed)
+        out = out.withColumn(copy_col, F.lit(0).cast("long")) if copy_col else out
     elif method == "oversample":
-        out = oversample(marked, "__delayed", [key], seed)
+        out = oversample(marked, "__delayed", [key], seed, copy_col)
     else:
-        out = smote(
-            marked, "__delayed", key, numeric_columns(df, exclude=[key]), seed=seed
-        ).drop("is_synthetic")
+        columns = numeric_columns(df, exclude=[key])
+        out = smote(marked, "__delayed", key, columns, seed=seed, copy_col=copy_col).drop("is_synthetic")
     return out.drop("__delayed")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,14 +28,15 @@ def fit_one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = MAX
     More than ``max_categories`` is an error, not a wider table.
     """
     require_columns(df, columns)
-    found = (
-        _long_text(df, columns, missing="nan").distinct().limit(max_categories * len(columns) + 1).collect()
-    )
-    out = {name: sorted(r["value"] for r in found if r["feature"] == name) for name in columns}
-    for name, values in out.items():
-        if len(values) > max_categories or len(found) > max_categories * len(columns):
-            raise ValueError(f"{name} has more than {max_categories} categories; label-encode it")
-    return out
+    distinct = _long_text(df, columns, missing="nan").distinct()
+    sizes = {r["feature"]: r["n"] for r in distinct.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    wide = [c for c in columns if sizes.get(c, 0) > max_categories]
+    if wide:
+        raise ValueError(f"more than {max_categories} categories in {wide}; use one_hot_vectors or labels")
+    out: dict[str, list[str]] = {c: [] for c in columns}
+    for r in distinct.collect():
+        out[r["feature"]].append(r["value"])
+    return {c: sorted(values) for c, values in out.items()}
 
 
 def _long_text(df: DataFrame, columns: Sequence[str], missing: str | None = None) -> DataFrame:
@@ -66,6 +68,32 @@ def one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CAT
     return apply_one_hot(df, fit_one_hot(df, columns, max_categories))
 
 
+def fit_one_hot_vectors(df: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
+    """Dictionaries ``(value, code)`` of any size, a missing value being the category ``nan``."""
+    return fit_label_sets(df.select(*[_text(c).alias(c) for c in columns]), columns)
+
+
+def apply_one_hot_vectors(
+    df: DataFrame, dictionaries: dict[str, DataFrame], suffix: str = "_vector"
+) -> DataFrame:
+    """Replace each column by a sparse indicator vector as long as its dictionary; an unseen category gives no
+    entry."""
+    for name, dictionary in dictionaries.items():
+        width = dictionary.agg(F.coalesce(F.max("code") + 1, F.lit(0))).first()[0]
+        coded = apply_labels(df.withColumn(name, _text(name)), name, dictionary)
+        unknown = F.coalesce(F.col(name), F.lit(width)).cast("double")
+        # the encoder leaves out the last number, which here stands for an unseen category
+        numbers = df.sparkSession.range(width + 1).select(F.col("id").cast("double").alias(name))
+        encoder = OneHotEncoder(inputCol=name, outputCol=f"{name}{suffix}", dropLast=True).fit(numbers)
+        df = encoder.transform(coded.withColumn(name, unknown)).drop(name)
+    return df
+
+
+def one_hot_vectors(df: DataFrame, columns: Sequence[str], suffix: str = "_vector") -> DataFrame:
+    """One-hot encoding for columns of any number of categories, as sparse vectors."""
+    return apply_one_hot_vectors(df, fit_one_hot_vectors(df, columns), suffix)
+
+
 def _numbered_by_range(values: DataFrame, parts: int) -> DataFrame:
     """``(value, code)`` of distinct values too many for one task.
 

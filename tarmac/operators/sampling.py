@@ -365,9 +365,17 @@ def draw_slots(needs: DataFrame, by: Sequence[str], seed: int) -> DataFrame:
 
 
 def draw_with_replacement(
-    df: DataFrame, needs: DataFrame, by: Sequence[str], key_cols: Sequence[str], seed: int
+    df: DataFrame,
+    needs: DataFrame,
+    by: Sequence[str],
+    key_cols: Sequence[str],
+    seed: int,
+    copy_col: str | None = None,
 ) -> DataFrame:
-    """``need`` uniform draws with replacement from every stratum of ``df``."""
+    """``need`` uniform draws with replacement from every stratum of ``df``.
+
+    ``copy_col`` numbers the draws of a row from 1, so that the key columns and it are unique together.
+    """
     rank = F.floor(unit_interval(F.col("digest")) * F.col("size")) + 1
     # counted per block of draws, so that the copies of one row are made by many tasks
     picks = (
@@ -376,15 +384,30 @@ def draw_with_replacement(
         .agg(F.count(F.lit(1)).alias("__times"))
     )
     ranked = hash_rank(df, key_cols, seed, by, "__rank")
+    number = (F.col("__block") * F.lit(_DRAW_BLOCK) + F.col("__copy")).cast("long")
+    numbered = [number.alias(copy_col)] if copy_col else []
     return (
         picks.join(ranked, [*by, "__rank"])
         .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
-        .select(*df.columns)
+        .select(*df.columns, *numbered)
     )
 
 
-def oversample(df: DataFrame, label: str, key_cols: Sequence[str], seed: int = 42) -> DataFrame:
-    """Every class filled up to the size of the largest one with random copies of its own rows."""
+def unique_key(df: DataFrame, key: str, copy_col: str) -> DataFrame:
+    """Make ``key`` unique among copies: as text, followed by the copy's number where it is not 0."""
+    text = F.col(key).cast("string")
+    own = F.when(F.col(copy_col) > 0, F.concat_ws("#", text, F.col(copy_col).cast("string"))).otherwise(text)
+    return df.withColumn(key, own)
+
+
+def oversample(
+    df: DataFrame, label: str, key_cols: Sequence[str], seed: int = 42, copy_col: str | None = None
+) -> DataFrame:
+    """Every class filled up to the size of the largest one with random copies of its own rows.
+
+    Copies repeat the key columns. With ``copy_col`` a number is added, 0 for the rows themselves, and the key
+    columns together with it are unique; pass both to whatever selects rows afterwards.
+    """
     require_columns(df, [*key_cols, label])
     work = df.where(F.col(label).isNotNull())
     needs = parameter_table(
@@ -394,29 +417,35 @@ def oversample(df: DataFrame, label: str, key_cols: Sequence[str], seed: int = 4
     )
     short = needs.where(F.col("need") > 0)
     minority = work.join(short.select(label), label, "left_semi")
-    return work.unionByName(draw_with_replacement(minority, short, [label], key_cols, seed))
+    originals = work.withColumn(copy_col, F.lit(0).cast("long")) if copy_col else work
+    return originals.unionByName(draw_with_replacement(minority, short, [label], key_cols, seed, copy_col))
 
 
 def balance_positive_zero(
-    df: DataFrame, target: str, key_cols: Sequence[str], seed: int = 42
+    df: DataFrame, target: str, key_cols: Sequence[str], seed: int = 42, copy_col: str | None = None
 ) -> DataFrame:
     """Keep every positive row and as many zero rows, drawn with replacement when zeros are fewer.
 
-    Without positive or without zero rows the table is returned unchanged.
+    Without positive or without zero rows all rows are returned. ``copy_col`` as in ``oversample``; where zeros
+    are drawn with replacement, every drawn row is a numbered copy.
     """
+
+    def own(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(copy_col, F.lit(0).cast("long")) if copy_col else rows
+
     require_columns(df, [*key_cols, target])
     sizes = df.agg(
         F.count_if(F.col(target) > 0).alias("positive"), F.count_if(F.col(target) == 0).alias("zero")
     ).first()
     if not sizes["positive"] or not sizes["zero"]:
-        return df
-    positive = df.where(F.col(target) > 0)
+        return own(df)
+    positive = own(df.where(F.col(target) > 0))
     zero = df.where(F.col(target) == 0)
     if sizes["zero"] >= sizes["positive"]:
-        return positive.unionByName(sample_n(zero, sizes["positive"], key_cols, seed))
+        return positive.unionByName(own(sample_n(zero, sizes["positive"], key_cols, seed)))
     stratum = zero.withColumn("__all", F.lit(0))
     needs = df.sparkSession.createDataFrame(
         [(0, sizes["zero"], sizes["positive"])], "__all int, size long, need long"
     )
-    drawn = draw_with_replacement(stratum, needs, ["__all"], key_cols, seed).drop("__all")
+    drawn = draw_with_replacement(stratum, needs, ["__all"], key_cols, seed, copy_col).drop("__all")
     return positive.unionByName(drawn)

@@ -11,6 +11,7 @@ from tarmac.operators import clean, encode, hypothesis, models, profile, scale
 from tarmac.operators.balance import balance
 from tarmac.operators.features import generate_features, temporal_features
 from tarmac.operators.reduce import pca, projection_points
+from tarmac.operators.sampling import unique_key
 from tarmac.session import materialize
 from tarmac.sources.flights import (
     CODED_COLUMNS,
@@ -35,9 +36,9 @@ def valid_flights(df: DataFrame) -> DataFrame:
 
 
 def load_and_clean(
-    df: DataFrame, key: str, balance_method: str = "smote", seed: int = 42
+    df: DataFrame, key: str, balance_method: str = "smote", seed: int = 42, copy_col: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Cleaned table and a one-row account of the rows removed.
+    """Cleaned table and a one-row account of the rows removed. ``copy_col`` as in ``oversample``.
 
     Balancing comes before outlier treatment, except that synthetic rows need complete numbers and so
     are made after it. The valid rows are written once, as every later step reads them again.
@@ -45,9 +46,9 @@ def load_and_clean(
     valid = materialize(valid_flights(df))
     if balance_method == "smote":
         treated = clean.treat_outliers_and_missing(valid, OUTLIER_COLUMNS)
-        balanced = balance(treated, TARGET, key, balance_method, seed)
+        balanced = balance(treated, TARGET, key, balance_method, seed, copy_col)
     else:
-        balanced = balance(valid, TARGET, key, balance_method, seed)
+        balanced = balance(valid, TARGET, key, balance_method, seed, copy_col)
         balanced = clean.treat_outliers_and_missing(balanced, OUTLIER_COLUMNS)
     cleaned = clean.drop_columns(balanced, REDUNDANT_COLUMNS)
     before = df.agg(F.count(F.lit(1)).alias("rows_in")).withColumn("one", F.lit(1))
@@ -103,7 +104,9 @@ def run_all(
     raw: DataFrame, key: str, balance_method: str = "undersample", seed: int = 42
 ) -> dict[str, DataFrame]:
     """Every report of the flow, as lazy tables except for the model scores."""
-    cleaned, summary = load_and_clean(raw, key, balance_method, seed)
+    cleaned, summary = load_and_clean(raw, key, balance_method, seed, copy_col="__copy_no")
+    # folds, samples and neighbours need a key that copies do not share
+    cleaned = unique_key(cleaned, key, "__copy_no").drop("__copy_no")
     labelled = clean.classify_delay(cleaned, TARGET).persist(StorageLevel.MEMORY_AND_DISK)
     reports = {"summary": summary, "cleaned": labelled, **explore(labelled, key)}
     engineered, params = engineer(labelled, key=key)

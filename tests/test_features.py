@@ -179,3 +179,17 @@ def test_pca_against_eigenvectors(spark):
     assert ratios["selected"].sum() == int((np.cumsum(ratios["ratio"]) < 0.8).sum()) + 1
     with pytest.raises(ValueError):
         reduce.pca(df, list("abcd"), ["id"], k=1)
+
+
+def test_one_hot_vectors_of_any_width(spark):
+    rows = [(i, f"v{i % 1500:04d}", None if i % 7 == 0 else "ab"[i % 2]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, wide string, narrow string")
+    with pytest.raises(ValueError, match=r"\['wide'\]"):
+        encode.fit_one_hot(df, ["narrow", "wide"])
+    fitted = encode.fit_one_hot_vectors(df, ["wide", "narrow"])
+    got = {r.id: r for r in encode.apply_one_hot_vectors(df, fitted).collect()}
+    for i, wide, narrow in rows:
+        assert got[i].wide_vector.size == 1500 and got[i].wide_vector.indices.tolist() == [int(wide[1:])]
+        assert got[i].narrow_vector.indices.tolist() == [{"a": 0, "b": 1, None: 2}[narrow]]
+    unseen = spark.createDataFrame([(1, "new", "a")], df.schema)
+    assert encode.apply_one_hot_vectors(unseen, fitted).first().wide_vector.indices.tolist() == []

@@ -131,3 +131,19 @@ def test_synthetic_rows_need_complete_and_enough_rows(spark):
     for df in (gap, few):
         with pytest.raises(ValueError):
             balance.smote(df, "label", "id")
+
+
+def test_folds_of_copies_are_even(spark):
+    rows = [(i, "rare" if i < 40 else "common") for i in range(840)]
+    df = spark.createDataFrame(rows, "id long, kind string")
+    full = sampling.oversample(df, "kind", ["id"], copy_col="copy")
+    assert full.count() == full.select("id", "copy").distinct().count() == 1600
+    folded = sampling.stratified_kfold(full, "kind", ["id", "copy"], 5)
+    sizes = [r["count"] for r in folded.groupBy("kind", "fold").count().collect()]
+    assert len(sizes) == 10 and max(sizes) - min(sizes) <= 1
+    keyed = sampling.unique_key(full, "id", "copy")
+    assert keyed.select("id").distinct().count() == 1600
+    few = sampling.balance_positive_zero(
+        df.select("id", F.when(F.col("kind") == "rare", 0).otherwise(5).alias("t")), "t", ["id"], copy_col="copy"
+    )
+    assert few.count() == few.select("id", "copy").distinct().count() == 1600
