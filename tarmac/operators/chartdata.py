@@ -14,10 +14,6 @@ from tarmac.functions.expr import hash_key
 from tarmac.operators.quantiles import column_quantiles
 from tarmac.operators.sampling import sample_n
 from tarmac.session import parameter_table
-from tarmac.sources.tables import spread
-
-# How many columns a chart takes when none are named.
-DEFAULT_COLUMNS = {"histogram": 10, "box": 10, "grouped": 6, "pair": 5, "ridge": 8}
 
 
 def _extent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -125,8 +121,8 @@ def kde(
 ) -> DataFrame:
     """Gaussian density on a grid, bandwidth n^(-1/5) times the sample standard deviation.
 
-    Exact by default: every value meets every grid point inside its own task and partial sums leave
-    it, so the shuffle carries grid points only. ``bins`` first gathers values into that many
+    Exact by default: equal values are counted first, so that a hot value is one row, and every distinct value
+    meets every grid point inside its own task; partial sums leave it. ``bins`` first gathers values into that many
     equal-width cells, which makes the kernel work independent of the number of rows. ``ridge``
     widens the grid by three bandwidths on both sides.
     """
@@ -155,7 +151,7 @@ def kde(
             .agg(F.count(F.lit(1)).cast("double").alias("w"))
         )
     else:
-        weighted = spread(long, ["value"]).withColumn("w", F.lit(1.0))
+        weighted = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).cast("double").alias("w"))
     margin = 3 * F.col("bandwidth") if ridge else F.lit(0.0)
     start, stop = F.col("low") - margin, F.col("high") + margin
     at = start + F.col("grid_point") * (stop - start) / F.lit(float(grid - 1))

@@ -120,24 +120,42 @@ def incomplete_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float |
 def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     """Most frequent value of every column with missing values, the smallest one on a tie.
 
-    Each column is counted by a grouped aggregate (partial counts before the shuffle) and reduced to
-    its best entry, so no task ever holds a whole column's distinct values.
+    All columns are counted in one job: cells are (column, text, number), counted by partial sums before the
+    shuffle, and each column keeps its best entry.
     """
     out: dict[str, object] = {}
     if not columns:
         return out
     gaps = parameter_row(df.agg(*[(F.count(c) < F.count(F.lit(1))).alias(c) for c in columns]))
-    for name in [c for c in columns if gaps[c]]:
-        best = (
-            df.where(F.col(name).isNotNull())
-            .groupBy(name)
-            .agg(F.count(F.lit(1)).alias("n_rows_"))
-            .orderBy(F.desc("n_rows_"), F.asc(name))
-            .select(name)
-            .first()
+    open_columns = [c for c in columns if gaps[c]]
+    if not open_columns:
+        return out
+    types = {c: df.schema[c].dataType for c in open_columns}
+    number = {
+        c: F.col(c).cast("double") if isinstance(types[c], (T.NumericType, T.BooleanType)) else F.lit(None).cast("double")
+        for c in open_columns
+    }
+    cells = F.inline(
+        F.array(
+            *[
+                F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"), number[c].alias("number"))
+                for c in open_columns
+            ]
         )
-        out[name] = None if best is None else best[0]
-    return out
+    )
+    counted = (
+        df.select(cells)
+        .where(F.col("text").isNotNull())
+        .groupBy("column", "text", "number")
+        .agg(F.count(F.lit(1)).alias("n_rows_"))
+    )
+    best = counted.groupBy("column").agg(F.min(F.struct(-F.col("n_rows_"), "number", "text")).alias("best"))
+    text = {r["column"]: r["best"]["text"] for r in best.collect()}
+    typed = df.sparkSession.range(1).select(
+        *[F.lit(text.get(c)).cast(types[c]).alias(f"c{i}") for i, c in enumerate(open_columns)]
+    )
+    found = typed.first()
+    return {c: found[i] for i, c in enumerate(open_columns)}
 
 
 def fill_missing(df: DataFrame, strategy: str = "mean", value: object = None) -> DataFrame:

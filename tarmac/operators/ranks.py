@@ -20,9 +20,9 @@ from tarmac.session import parameter_table
 
 
 def value_positions(long: DataFrame, label: str | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``(feature, value, total, before, [parts])``: rows equal to and below each distinct value.
+    """``(feature, value, total, before)``: rows equal to and below each distinct value.
 
-    ``parts`` lists ``(label, c)`` for the labels that occur at the value.
+    With ``label`` a row for each label that occurs at the value, its rows ``c``, and ``leads`` on one of them.
     """
     keep = [label] if label else []
     long = long.select("feature", "value", *keep)
@@ -36,14 +36,15 @@ def value_positions(long: DataFrame, label: str | None = None, group_rows: int =
     counted = ranged.groupBy("feature", "range_id", "value", *keep).agg(
         F.count(F.lit(1)).alias("c")
     )
+    within = Window.partitionBy("feature", "range_id").orderBy("value")
+    up_to = F.sum("c").over(within.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     if label:
-        counted = counted.groupBy("feature", "range_id", "value").agg(
-            F.sum("c").alias("total"), F.collect_list(F.struct(label, "c")).alias("parts")
-        )
+        same = Window.partitionBy("feature", "range_id", "value")
+        placed = counted.withColumns(
+            {"total": F.sum("c").over(same), "leads": F.row_number().over(same.orderBy(label)) == 1}
+        ).withColumn("before", up_to - F.col("total"))
     else:
-        counted = counted.withColumnRenamed("c", "total")
-    order = Window.partitionBy("feature", "range_id").orderBy("value")
-    placed = counted.withColumn("before", F.sum("total").over(order) - F.col("total"))
+        placed = counted.withColumn("before", up_to - F.col("c")).withColumnRenamed("c", "total")
     if bounds is None:
         return placed.drop("range_id")
     offsets = parameter_table(range_offsets(ranged, ["feature"])).drop("upto")
@@ -60,17 +61,11 @@ def rank_sums(long: DataFrame, label: str = "label", group_rows: int = GROUP_ROW
         "avg_rank", F.col("before") + (F.col("total") + F.lit(1)) / F.lit(2.0)
     )
     t = F.col("total").cast("double")
-    # one row per (value, label); only the first of a value carries its tie term
-    rows = ranked.select(
-        "feature",
-        "avg_rank",
-        F.posexplode("parts").alias("i", "part"),
-        (t * t * t - t).alias("tie"),
-    )
-    sums = rows.groupBy("feature", F.col(f"part.{label}").alias(label)).agg(
-        F.sum("part.c").alias("n"),
-        F.sum(F.col("part.c") * F.col("avg_rank")).alias("rank_sum"),
-        F.sum(F.when(F.col("i") == 0, F.col("tie")).otherwise(0.0)).alias("__tie"),
+    # one row per (value, label); only the leading one of a value carries its tie term
+    sums = ranked.groupBy("feature", label).agg(
+        F.sum("c").alias("n"),
+        F.sum(F.col("c") * F.col("avg_rank")).alias("rank_sum"),
+        F.sum(F.when(F.col("leads"), t * t * t - t).otherwise(0.0)).alias("__tie"),
     )
     per_feature = Window.partitionBy("feature")
     return sums.select(

@@ -28,24 +28,39 @@ def read_csv(
     path: str,
     schema: T.StructType | None = None,
     nrows: int | None = None,
+    malformed: str = "null",
 ) -> DataFrame:
     """CSV with a header. Pass ``schema`` at scale: inferring it costs a whole extra scan.
 
     A declared schema is matched to the file by header name, so the file may hold more columns, or
-    hold them in another order.
+    hold them in another order. ``malformed`` says what becomes of a cell that is not of its declared type:
+    ``null``, ``fail`` (an error when it is read), or ``keep`` (null, with a map ``malformed_cells`` from column
+    to the cell's text, empty where all cells are good).
     """
+    if malformed not in ("null", "fail", "keep"):
+        raise ValueError(f"unknown treatment of malformed cells: {malformed!r}")
     reader = spark.read.option("header", True)
     if schema is None:
         df = reader.option("inferSchema", True).csv(path)
     else:
         text = reader.csv(path)
         known = {f.name: f.dataType for f in schema.fields}
-        df = text.select(
-            *[
-                F.col(c).try_cast(known[c]).alias(c) if c in known else F.col(c)
-                for c in text.columns
-            ]
-        )
+        cells, bad = [], []
+        for c in text.columns:
+            if c not in known:
+                cells.append(F.col(c))
+                continue
+            value = F.col(c).try_cast(known[c])
+            wrong = value.isNull() & F.col(c).isNotNull()
+            if malformed == "fail":
+                note = F.concat(F.lit(f"malformed cell in column {c}: "), F.col(c))
+                value = F.when(wrong, F.raise_error(note).cast(known[c])).otherwise(value)
+            cells.append(value.alias(c))
+            bad.append(F.when(wrong, F.struct(F.lit(c).alias("key"), F.col(c).alias("value"))))
+        if malformed == "keep":
+            found = F.filter(F.array(*bad), lambda cell: cell.isNotNull())
+            cells.append(F.map_from_entries(found).alias("malformed_cells"))
+        df = text.select(*cells)
     if nrows is not None:
         df = df.limit(nrows)
     return normalise_missing(df)

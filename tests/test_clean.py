@@ -139,3 +139,28 @@ def test_duplicates_treat_null_as_equal(spark):
     df = frame(spark, [(1, None), (1, None), (2, "a")], "a int, b string")
     assert duplicate_count(df).first()[0] == 1
     assert clean.remove_duplicates(df).count() == 2
+
+
+def test_modes_in_one_job(spark):
+    rows = [(1, "b", 2.5, True, None), (1, "a", 2.5, None, None), (10, "a", None, True, None), (10, "b", -1.0, False, None), (None, None, -1.0, False, None)]
+    df = spark.createDataFrame(rows, "i long, s string, d double, b boolean, n int")
+    assert clean.column_modes(df, ["i", "s", "d", "b", "n"]) == {"i": 1, "s": "a", "d": -1.0, "b": False, "n": None}
+    assert clean.column_modes(df.na.drop(), ["i"]) == {}
+
+
+def test_malformed_cells(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from tarmac.sources import tables
+
+    path = str(tmp_path / "x.csv")
+    with open(path, "w") as out:
+        out.write("i,t\n1,a\nfoo,b\n,c\n")
+    schema = T.StructType([T.StructField("i", T.IntegerType())])
+    assert [r.i for r in tables.read_csv(spark, path, schema).collect()] == [1, None, None]
+    kept = tables.read_csv(spark, path, schema, malformed="keep").collect()
+    assert [r.malformed_cells for r in kept] == [{}, {"i": "foo"}, {}]
+    with pytest.raises(Exception, match="malformed cell in column i: foo"):
+        tables.read_csv(spark, path, schema, malformed="fail").collect()
+    with pytest.raises(ValueError):
+        tables.read_csv(spark, path, schema, malformed="other")
