@@ -127,13 +127,19 @@ def build_tokenizer(data: bytes, parts_only: bool = False):
         return tokenizer
     steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
     if model.single_spaces:
-        steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+        steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     if model.dummy_prefix:
         steps.append(normalizers.Prepend(" "))
-    tokenizer.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
-    pattern = splitter(model)
-    if pattern:
-        tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(pattern), "isolated")
+    steps.append(normalizers.Replace(" ", MARK))
+    if model.single_spaces:
+        steps.append(normalizers.Replace(Regex(rf"{MARK}+\z"), ""))
+    tokenizer.normalizer = normalizers.Sequence(steps)
+    pattern, names = splitter(model), _names(model)
+    cuts = [pre_tokenizers.Split(Regex(pattern), "isolated")] if pattern else []
+    if names:
+        cuts.append(pre_tokenizers.Split(Regex(names), "merged_with_previous"))
+    if cuts:
+        tokenizer.pre_tokenizer = pre_tokenizers.Sequence(cuts)
     if model.dummy_prefix:
         after.append(decoders.Strip(" ", 1, 0))
     tokenizer.decoder = decoders.Sequence(after)
@@ -160,34 +166,33 @@ def read_model(spark: SparkSession, path: str) -> bytes:
 
 
 def encode(
-    df: DataFrame, model_path: str, text: str = "text", out: str = "token_ids", threads: int = 2
+    df: DataFrame,
+    model_path: str,
+    text: str = "text",
+    out: str = "token_ids",
+    threads: int = 2,
+    with_decoded: bool = True,
 ) -> DataFrame:
     """Add each whole text's token ids (array of int), the text they decode to, and whether it is the same.
 
-    Columns ``out``, ``decoded`` and ``round_trip`` are added or replaced. A null text gives null in all three,
-    an empty one no tokens. Texts come back unchanged unless they hold the space marker itself, or the
-    model's normaliser changes them; ``round_trip`` says so. Every task builds the tokenizer from the model
-    file's content and works on slices of about a megabyte (a longer text is a slice of its own): texts are
-    normalised and split at spaces, parts not met lately are encoded and decoded as batches with ``threads``
-    threads, and each text's tokens and decoded text are put together from its parts.
+    Columns ``out``, ``decoded`` and ``round_trip`` are added or replaced; without ``with_decoded`` the decoded text
+    is compared in the task and left there. A null text gives null in all three, an empty one no tokens. Texts come
+    back unchanged unless they hold the space marker itself, or the model's normaliser changes them;
+    ``round_trip`` says so. Every task builds the tokenizer from the model file's content and works on slices of
+    a few megabytes (a longer text is a slice of its own): texts are normalised and split at spaces, parts not
+    met lately are encoded and decoded as batches with ``threads`` threads, and each text's tokens and decoded
+    text are put together from its parts.
     """
     data = read_model(df.sparkSession, model_path)
-    rest = [c for c in df.columns if c not in (out, "decoded", "round_trip")]
-    packed = df.select(F.struct(*rest).alias("_row"), F.col(text).alias("_text"))
-    schema = T.StructType(
-        [
-            packed.schema["_row"],
-            T.StructField("_ids", T.ArrayType(T.IntegerType())),
-            T.StructField("_back", T.StringType()),
-        ]
-    )
-    coded = packed.mapInArrow(_Coder(data, threads), schema)
-    return coded.select(
-        "_row.*",
-        F.col("_ids").alias(out),
-        F.col("_back").alias("decoded"),
-        (F.col("_back") == F.col("_row").getField(text)).alias("round_trip"),
-    )
+    rest = [c for c in df.columns if c not in (out, "decoded", "round_trip") or c == text]
+    packed = df.select(F.struct(*rest).alias("_row"))
+    added = [T.StructField("_ids", T.ArrayType(T.IntegerType())), T.StructField("_same", T.BooleanType())]
+    if with_decoded:
+        added.append(T.StructField("_back", T.StringType()))
+    schema = T.StructType([packed.schema["_row"], *added])
+    coded = packed.mapInArrow(_Coder(data, threads, rest.index(text), with_decoded), schema)
+    decoded = [F.col("_back").alias("decoded")] if with_decoded else []
+    return coded.select("_row.*", F.col("_ids").alias(out), *decoded, F.col("_same").alias("round_trip"))
 
 
 def decode(df: DataFrame, model_path: str, ids: str = "token_ids", out: str = "text", threads: int = 2) -> DataFrame:
@@ -199,8 +204,11 @@ def decode(df: DataFrame, model_path: str, ids: str = "token_ids", out: str = "t
     return packed.mapInArrow(_Decoder(data, threads), schema).select("_row.*", F.col("_back").alias(out))
 
 
-#: Parts of texts that a task remembers, with their tokens and decoded text.
-REMEMBERED = 200_000
+#: Different parts of texts that a task remembers with their tokens.
+REMEMBERED = 300_000
+#: Parts that are given to the library as one string, to be split there.
+JOINED = 128
+_SLICE_BYTES = 2 << 20
 
 
 def _threads(count: int) -> None:
@@ -209,54 +217,151 @@ def _threads(count: int) -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "true"
 
 
+class _Parts:
+    """Token ids of the parts met so far. ``back`` has the decoded text of those that do not decode to themselves."""
+
+    def __init__(self, data: bytes):
+        from tokenizers import pre_tokenizers
+
+        self.single = build_tokenizer(data, parts_only=True)
+        self.joined = build_tokenizer(data, parts_only=True)
+        self.joined.pre_tokenizer = pre_tokenizers.Metaspace(replacement=MARK, prepend_scheme="never", split=True)
+        pieces = parse_model(data).pieces
+        # the token that opens a part behind a marker has the marker; without a piece for it, it would be bytes
+        self.opens = np.array([text.startswith(MARK) for text, _, _ in pieces])
+        self.can_join = any(text == MARK and kind == NORMAL for text, _, kind in pieces)
+
+        self.number: dict[str, int] = {}
+        self.ids, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.back: dict[int, str] = {}
+
+    def forget(self, kept: int) -> None:
+        """Forget all but the ``kept`` parts met first, among which are the most frequent ones."""
+        self.number = {part: n for part, n in self.number.items() if n < kept}
+        self.back = {n: text for n, text in self.back.items() if n < kept}
+        self.sizes = self.sizes[:kept].copy()
+        self.ids = self.ids[: int(self.sizes.sum())].copy()
+
+    def learn(self, parts: list[str]) -> None:
+        # a word behind one marker is a part of its own in any string, so such parts go in joined
+        joins = {x: self.can_join and x[0] == MARK and x.rfind(MARK) == 0 for x in parts}
+        words, others = [x for x in parts if joins[x]], [x for x in parts if not joins[x]]
+        groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        strings = ["".join(group) for group in groups]
+        coded = self.joined.encode_batch_fast(strings, add_special_tokens=False)
+        ids, sizes = [x.ids for x in coded], []
+        for own in ids:
+            starts = np.flatnonzero(self.opens[own])
+            sizes.append(np.diff(np.append(starts, len(own))))
+        whole = self.joined.decode_batch(ids, skip_special_tokens=False)
+        known = len(self.number)
+        for n, (group, text) in enumerate(zip(groups, strings)):
+            if whole[n] != text.replace(MARK, " "):
+                ends = np.cumsum(sizes[n])
+                own = [ids[n][e - s : e] for e, s in zip(ends.tolist(), sizes[n].tolist())]
+                self.differ(group, own, known + n * JOINED)
+        apart = [x.ids for x in self.single.encode_batch_fast(others, add_special_tokens=False)]
+        self.differ(others, apart, known + len(words))
+        self.number.update(zip(words + others, range(known, known + len(parts))))
+        every = [*ids, *apart]
+        total = sum(map(len, every))
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(every), np.int32, total)])
+        self.sizes = np.concatenate([self.sizes, *sizes, np.array([len(x) for x in apart], np.int64)])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def differ(self, parts: list[str], ids: list[list[int]], first: int) -> None:
+        for n, (part, back) in enumerate(zip(parts, self.single.decode_batch(ids, skip_special_tokens=False))):
+            if back != part.replace(MARK, " "):
+                self.back[first + n] = back
+
+
 class _Coder:
-    def __init__(self, data: bytes, threads: int):
-        self.data, self.threads = data, threads
+    def __init__(self, data: bytes, threads: int, field: int, with_decoded: bool):
+        self.data, self.threads, self.field, self.with_decoded = data, threads, field, with_decoded
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _threads(self.threads)
         model = parse_model(self.data)
-        normalizer, core = build_tokenizer(self.data).normalizer, build_tokenizer(self.data, parts_only=True)
+        normalizer, memory = build_tokenizer(self.data).normalizer, _Parts(self.data)
         plain = not model.charsmap and not model.single_spaces
         lead = MARK if model.dummy_prefix else ""
-        pattern = splitter(model)
-        split = re.compile(pattern).findall if pattern else lambda text: [text]
-        ids_of: dict[str, list[int]] = {}
-        back_of: dict[str, str] = {}
+        split = _split(model)
         for batch in batches:
-            for chunk in chunks(batch, "_text"):
+            rows = batch.column("_row")
+            batch = pa.record_batch([rows, rows.flatten()[self.field]], names=["_row", "_text"])
+            for chunk in chunks(batch, "_text", _SLICE_BYTES):
                 texts = chunk.column("_text").to_pylist()
-                parts = []
-                for text in texts:
-                    if not text:
-                        parts.append([])
-                    elif plain:
-                        parts.append(split(lead + text.replace(" ", MARK)))
-                    else:
-                        parts.append(split(normalizer.normalize_str(text)))
-                if len(ids_of) > REMEMBERED:
-                    ids_of.clear()
-                    back_of.clear()
-                new = list(set(chain.from_iterable(parts)).difference(ids_of))
-                coded = [x.ids for x in core.encode_batch_fast(new, add_special_tokens=False)]
-                ids_of.update(zip(new, coded))
-                back_of.update(zip(new, core.decode_batch(coded, skip_special_tokens=False)))
-                ids = [list(chain.from_iterable(map(ids_of.__getitem__, x))) for x in parts]
-                back = ["".join(map(back_of.__getitem__, x)) for x in parts]
+                if plain:
+                    marked = [lead + x.replace(" ", MARK) if x else "" for x in texts]
+                else:
+                    marked = [normalizer.normalize_str(x) if x else "" for x in texts]
+                parts = [split(x) if x else [] for x in marked]
+                every = list(chain.from_iterable(parts))
+                if len(memory.number) > REMEMBERED:
+                    memory.forget(REMEMBERED // 2)
+                new = list(set(every).difference(memory.number))
+                if new:
+                    memory.learn(new)
+                places = np.fromiter(map(memory.number.__getitem__, every), np.int64, len(every))
+                sizes = memory.sizes[places]
+                ends = np.cumsum(sizes)
+                tokens = np.arange(ends[-1] if len(ends) else 0)
+                values = memory.ids[np.repeat(memory.starts[places] - (ends - sizes), sizes) + tokens] if len(every) else memory.ids[:0]
+                first = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+                offsets = np.concatenate([[0], ends])[first].astype(np.int32)
+                back = [x.replace(MARK, " ") for x in marked]
+                if memory.back:
+                    changed = np.flatnonzero(np.isin(places, list(memory.back)))
+                    for row in np.unique(np.searchsorted(first, changed, side="right") - 1).tolist():
+                        numbers = places[first[row] : first[row + 1]].tolist()
+                        back[row] = "".join(
+                            memory.back.get(n, part.replace(MARK, " ")) for n, part in zip(numbers, parts[row])
+                        )
                 if model.dummy_prefix:
                     back = [x.removeprefix(" ") for x in back]
                 null = np.fromiter((x is None for x in texts), bool, len(texts))
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                values = pa.array(np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1])))
-                starts = pa.array(ends, mask=np.append(null, False)) if null.any() else pa.array(ends)
-                yield pa.record_batch(
-                    [
-                        chunk.column("_row"),
-                        pa.ListArray.from_arrays(starts, values),
-                        pa.array(back, pa.string(), mask=null),
-                    ],
-                    names=["_row", "_ids", "_back"],
-                )
+                starts = pa.array(offsets, mask=np.append(null, False)) if null.any() else pa.array(offsets)
+                same = np.fromiter((x == y for x, y in zip(back, texts)), bool, len(texts))
+                columns = {
+                    "_row": chunk.column("_row"),
+                    "_ids": pa.ListArray.from_arrays(starts, pa.array(values)),
+                    "_same": pa.array(same, mask=null),
+                }
+                if self.with_decoded:
+                    columns["_back"] = pa.array(back, pa.string(), mask=null)
+                yield pa.record_batch(columns)
+
+
+def _split(model: Model):
+    """Function that cuts a normalised text into its independent parts."""
+    pattern, names = splitter(model), _names(model)
+    if not pattern and not names:
+        return lambda text: [text]
+    cut = re.compile(pattern).findall if pattern else lambda text: [text]
+    if not names:
+        return cut
+    inside = re.compile(names)
+
+    def split(text: str) -> list[str]:
+        out = []
+        for part in cut(text):
+            start = 0
+            for found in inside.finditer(part):
+                out.append(part[start : found.end()])
+                start = found.end()
+            out.append(part[start:])
+        return out
+
+    return split
+
+
+def _names(model: Model) -> str | None:
+    """Pattern of the first character of a piece's name that is not text (control and byte pieces), where the name
+    itself stands in a text: unigram models would take it for the piece, so the text is cut behind it."""
+    if model.kind != UNIGRAM:
+        return None
+    names = [text for text, _, kind in model.pieces if kind in (UNKNOWN, CONTROL, UNUSED, BYTE) and len(text) > 1]
+    return "|".join(f"{re.escape(x[0])}(?={re.escape(x[1:])})" for x in names) or None
 
 
 class _Decoder:
