@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import chunks, long_lists, text_bytes, text_key
-from tarmac.llm.words import Hasher, window_starts
+from tarmac.llm.common import chunks, short_batches, text_bytes, text_key
+from tarmac.llm.words import Hasher, mix, window_starts
 from tarmac.session import materialize
 
 #: Period and cover: every difference modulo 21 is the difference of two members (a perfect difference set).
@@ -41,6 +40,7 @@ def repeated_windows_removed(df: DataFrame, text: str = "text", width: int = 35)
     """
     if width < PERIOD + 4:
         raise ValueError(f"the window must have at least {PERIOD + 4} words")
+    short_batches(df.sparkSession)
     k1, k2 = text_key(text)
     texts = df.select(k1.alias("_k1"), k2.alias("_k2"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     anchors = _found_twice(texts.mapInArrow(_Anchors(width), _OCCURRENCE))
@@ -85,18 +85,26 @@ def _found_twice(occurrences: DataFrame) -> DataFrame:
 
 
 def _occurrences(hashes: np.ndarray, rows: np.ndarray, at: np.ndarray, keys: pa.RecordBatch) -> pa.RecordBatch:
-    """A row for each place; for a hash met again in this chunk, places weigh nothing for others but one row
-    without a place tells them of it, and the places themselves are settled with weight 2."""
-    _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+    """A row for each place. Places whose hash occurs again in this chunk are settled: each carries weight 2 under a
+    hash of its own, so that they are dealt to many tasks, and one row without a place tells the others."""
+    unique, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
     again = counts[inverse] > 1
+    told = unique[counts > 1]
+    text = keys.column("_k1").to_numpy().view(np.uint64)[rows]
+    own = mix(hashes ^ mix(text + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    keyed = np.where(again, own, hashes)
+    # equal texts have the same settled places, of which one row is enough
+    kept = np.unique(keyed, return_index=True)[1]
+    keyed, again, at, rows = keyed[kept], again[kept], at[kept], rows[kept]
     k1, k2 = keys.column("_k1").take(pa.array(rows)), keys.column("_k2").take(pa.array(rows))
+    none = pa.nulls(len(told), pa.int64())
     return pa.record_batch(
         [
-            pa.array(hashes.view(np.int64)),
-            pa.array(np.where(again, 2, 1).astype(np.int32)),
-            k1,
-            k2,
-            pa.array(at.astype(np.int32)),
+            pa.array(np.concatenate([keyed, told]).view(np.int64)),
+            pa.array(np.concatenate([np.where(again, 2, 1), np.full(len(told), 2)]).astype(np.int32)),
+            pa.concat_arrays([k1, none]),
+            pa.concat_arrays([k2.cast(pa.int64()), none]),
+            pa.concat_arrays([pa.array(at.astype(np.int32)), pa.nulls(len(told), pa.int32())]),
         ],
         names=["hash", "n", "_k1", "_k2", "at"],
     )
