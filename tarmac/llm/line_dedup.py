@@ -122,8 +122,9 @@ def line_classes(
 
     1. All lines' segments and look-ups are counted by hash, without their text; partial sums make a line
        that fills a third of the corpus one row per task.
-    2. Only hashes that two different lines share are read again with their lines, and these lines are compared
-       inside the join on that hash, so pairs that differ too much are never written. The join's inputs come
+    2. Only hashes that two different lines share are looked up again, and only lines that have one are read
+       again as text. These are compared inside the join on that hash, so pairs that differ too much are never
+       written; counts of common characters, then the exact distance in a band decide. The join's inputs come
        straight from a shuffle, which lets the engine split a common segment over tasks.
     3. Links make classes; a class is known by its first line in order of id, text hash and line number.
 
@@ -167,9 +168,7 @@ def line_classes(
 def _links(lines: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
     """Pairs ``a``, ``b`` of different lines within the edit bound."""
     long = lines.select("node", "line", F.length("line").alias("length")).where(F.col("length") >= min_chars)
-    emitted = long.select(
-        "node", "line", "length", F.inline(segment_keys(F.col("line"), F.col("length"), max_edits))
-    )
+    emitted = long.select("node", F.inline(segment_keys(F.col("line"), F.col("length"), max_edits)))
     shared = (
         emitted.groupBy("seg")
         .agg(F.min("node").alias("least"), F.max("node").alias("most"), F.bit_or("role").alias("roles"))
@@ -177,14 +176,23 @@ def _links(lines: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
         .select("seg")
     )
     shared = materialize(shared)
-    found = (
+    members = (
         probable_members(emitted, "seg", shared)
         .join(shared, "seg")
         .groupBy("seg", "node")
-        .agg(F.bit_or("role").alias("role"), F.first("line").alias("line"))
+        .agg(F.bit_or("role").alias("role"))
     )
+    members = materialize(members)
+    wanted = members.select("node").distinct()
     bag = {f"bag{i}": F.length("line") - F.length(F.replace("line", F.lit(c))) for i, c in enumerate(BAG)}
-    found = materialize(found.withColumns({"length": F.length("line"), **bag}))
+    texts = (
+        probable_members(long, "node", wanted)
+        .join(wanted, "node", "left_semi")
+        .groupBy("node")
+        .agg(F.first("line").alias("line"))
+        .withColumns({"length": F.length("line"), **bag})
+    )
+    found = materialize(members.join(texts, "node"))
     columns = ["node", "line", "length", *bag]
     index = found.where("role = 3").select("seg", *[F.col(c).alias(f"{c}_a") for c in columns])
     probe = found.select("seg", *[F.col(c).alias(f"{c}_b") for c in columns])
