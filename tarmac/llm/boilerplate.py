@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import chunks, text_bytes
+from tarmac.llm.common import chunks, short_batches, text_bytes
 from tarmac.llm.words import Hasher, window_starts
 from tarmac.session import materialize
 
@@ -236,6 +236,7 @@ def fit(
     their id, in whole; sequences longer than ``segment`` lines are learned in segments. Training runs on the driver
     over the sample's line features. A missing label is an error.
     """
+    short_batches(docs.sparkSession)
     wanted = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
     wanted = materialize(wanted.groupBy(id_col).agg(F.min(label).cast("int").alias("y")))
     order, sample = F.xxhash64(F.col(id_col), F.lit(23)), None
@@ -273,6 +274,7 @@ def judge(
     of the words in repeated windows. ``content_share``: share of the words that are in lines labelled content.
     ``kept``: not ``base_failed`` and a share of ``least_content`` or more. A null or empty text has zeros and fails.
     """
+    short_batches(docs.sparkSession)
     added = [*COUNTS, "base_failed", "content_share", "kept"]
     keep = [c for c in docs.columns if c not in (text, *added)] if keep is None else keep
     packed = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("_text"))

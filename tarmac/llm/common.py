@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Cells of the fixed-size filter that ``probable_members`` broadcasts, whatever the table's size.
 FILTER_CELLS = 1 << 20
+#: Rows of texts in an Arrow batch.
+BATCH_ROWS = 1000
 #: Bytes of text that a task's Python code works on at a time; a longer text is worked on alone.
 CHUNK_BYTES = 1 << 20
 
@@ -19,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Let no more than ``BATCH_ROWS`` rows travel to Python at once: the default of 10,000 whole texts takes tens of
+    megabytes several times over in each task. A smaller setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def text_key(text: str = "text"):
     """96 bits that stand for a whole text: equal texts share them. Null counts as empty."""
     whole = F.coalesce(F.col(text), F.lit(""))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import chunks
+from tarmac.llm.common import chunks, short_batches
 from tarmac.llm.words import Hasher, mix
 
 #: Bytes of benchmark text that one pass over the corpus looks for; a larger benchmark takes several passes.
@@ -61,6 +61,7 @@ def contaminated(
         Null and empty texts hold nothing.
     """
     spark = df.sparkSession
+    short_batches(df.sparkSession)
     wanted = items.where(F.col(item_text).isNotNull()).select(
         F.col(item_id).alias("_item"), F.lower(item_text).alias("_text")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import graph
-from tarmac.llm.common import chunks, long_lists, probable_members
+from tarmac.llm.common import chunks, long_lists, probable_members, short_batches
 from tarmac.llm.words import Hasher, mix, numbers, window_starts
 from tarmac.session import materialize
 
@@ -62,6 +62,7 @@ def ngram_links(
         One row per input row, repeated rows and ids included. Recall per pair at the threshold is ``recall``,
         and nearly 1 above it; nothing below the threshold is linked.
     """
+    short_batches(df.sparkSession)
     bands, rows = choose_bands(threshold, recall)
     source = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     source = source.withColumn("_key", F.xxhash64("_text"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import chunks
+from tarmac.llm.common import chunks, short_batches
 
 MARK = "▁"
 #: Most bytes of a model file: its tokenizer is sent to every task.
@@ -97,34 +97,27 @@ def merges(model: Model) -> list[tuple[str, str]]:
     return [(left, right) for _, _, left, right in sorted(found)]
 
 
-def build_tokenizer(data: bytes, parts_only: bool = False):
-    """The tokenizers library's equal of a SentencePiece model file. With ``parts_only`` it takes the parts of an
-    already normalised text (see ``splitter``)."""
-    from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+def build_core(model: Model):
+    """The tokenizers library's model of the pieces; tokenizers made of it share its memory."""
+    from tokenizers import models
 
-    model = parse_model(data)
     unknown = next((i for i, piece in enumerate(model.pieces) if piece[2] == UNKNOWN), None)
     if model.kind == BPE:
-        core = models.BPE(
+        return models.BPE(
             vocab={text: i for i, (text, _, _) in enumerate(model.pieces)},
             merges=merges(model),
             unk_token=model.pieces[unknown][0] if unknown is not None else None,
             fuse_unk=True,
             byte_fallback=model.byte_fallback,
         )
-    elif model.kind == UNIGRAM:
-        core = models.Unigram([piece[:2] for piece in model.pieces], unknown, model.byte_fallback)
-    else:
-        raise ValueError("only unigram and BPE models are supported")
-    tokenizer = Tokenizer(core)
-    tokenizer.add_tokens(
-        [AddedToken(text, normalized=True) for text, _, kind in model.pieces if kind == USER_DEFINED]
-    )
-    tokenizer.encode_special_tokens = True
-    after = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
-    if parts_only:
-        tokenizer.decoder = decoders.Sequence(after)
-        return tokenizer
+    if model.kind == UNIGRAM:
+        return models.Unigram([piece[:2] for piece in model.pieces], unknown, model.byte_fallback)
+    raise ValueError("only unigram and BPE models are supported")
+
+
+def build_normalizer(model: Model):
+    from tokenizers import Regex, normalizers
+
     steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
     if model.single_spaces:
         steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
@@ -133,7 +126,16 @@ def build_tokenizer(data: bytes, parts_only: bool = False):
     steps.append(normalizers.Replace(" ", MARK))
     if model.single_spaces:
         steps.append(normalizers.Replace(Regex(rf"{MARK}+\z"), ""))
-    tokenizer.normalizer = normalizers.Sequence(steps)
+    return normalizers.Sequence(steps)
+
+
+def build_tokenizer(data: bytes):
+    """The tokenizers library's equal of a SentencePiece model file."""
+    from tokenizers import Regex, decoders, pre_tokenizers
+
+    model = parse_model(data)
+    tokenizer = _parts_tokenizer(model, build_core(model))
+    tokenizer.normalizer = build_normalizer(model)
     pattern, names = splitter(model), _names(model)
     cuts = [pre_tokenizers.Split(Regex(pattern), "isolated")] if pattern else []
     if names:
@@ -141,8 +143,19 @@ def build_tokenizer(data: bytes, parts_only: bool = False):
     if cuts:
         tokenizer.pre_tokenizer = pre_tokenizers.Sequence(cuts)
     if model.dummy_prefix:
-        after.append(decoders.Strip(" ", 1, 0))
-    tokenizer.decoder = decoders.Sequence(after)
+        steps = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), decoders.Strip(" ", 1, 0)]
+        tokenizer.decoder = decoders.Sequence(steps)
+    return tokenizer
+
+
+def _parts_tokenizer(model: Model, core):
+    """A tokenizer of the parts of an already normalised text (see ``splitter``)."""
+    from tokenizers import AddedToken, Tokenizer, decoders
+
+    tokenizer = Tokenizer(core)
+    tokenizer.add_tokens([AddedToken(text, normalized=True) for text, _, kind in model.pieces if kind == USER_DEFINED])
+    tokenizer.encode_special_tokens = True
+    tokenizer.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
     return tokenizer
 
 
@@ -183,6 +196,7 @@ def encode(
     met lately are encoded and decoded as batches with ``threads`` threads, and each text's tokens and decoded
     text are put together from its parts.
     """
+    short_batches(df.sparkSession)
     data = read_model(df.sparkSession, model_path)
     rest = [c for c in df.columns if c not in (out, "decoded", "round_trip") or c == text]
     packed = df.select(F.struct(*rest).alias("_row"))
@@ -205,10 +219,10 @@ def decode(df: DataFrame, model_path: str, ids: str = "token_ids", out: str = "t
 
 
 #: Different parts of texts that a task remembers with their tokens.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Parts that are given to the library as one string, to be split there.
 JOINED = 128
-_SLICE_BYTES = 2 << 20
+_SLICE_BYTES = 1 << 20
 
 
 def _threads(count: int) -> None:
@@ -220,13 +234,13 @@ def _threads(count: int) -> None:
 class _Parts:
     """Token ids of the parts met so far. ``back`` has the decoded text of those that do not decode to themselves."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, model: Model):
         from tokenizers import pre_tokenizers
 
-        self.single = build_tokenizer(data, parts_only=True)
-        self.joined = build_tokenizer(data, parts_only=True)
+        core = build_core(model)
+        self.single, self.joined = _parts_tokenizer(model, core), _parts_tokenizer(model, core)
         self.joined.pre_tokenizer = pre_tokenizers.Metaspace(replacement=MARK, prepend_scheme="never", split=True)
-        pieces = parse_model(data).pieces
+        pieces = model.pieces
         # the token that opens a part behind a marker has the marker; without a piece for it, it would be bytes
         self.opens = np.array([text.startswith(MARK) for text, _, _ in pieces])
         self.can_join = any(text == MARK and kind == NORMAL for text, _, kind in pieces)
@@ -282,7 +296,7 @@ class _Coder:
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _threads(self.threads)
         model = parse_model(self.data)
-        normalizer, memory = build_tokenizer(self.data).normalizer, _Parts(self.data)
+        normalizer, memory = build_normalizer(model), _Parts(model)
         plain = not model.charsmap and not model.single_spaces
         lead = MARK if model.dummy_prefix else ""
         split = _split(model)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import chunks, text_bytes
+from tarmac.llm.common import chunks, short_batches, text_bytes
 from tarmac.llm.words import Hasher, window_starts
 
 STATISTICS = (
@@ -100,6 +100,7 @@ class _Statistics:
 
 def with_statistics(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (all but the text if not given) and ``x``, the array of statistics of each whole text."""
+    short_batches(df.sparkSession)
     keep = [c for c in df.columns if c not in (text, "x")] if keep is None else keep
     packed = df.select(F.struct(*keep).alias("_row"), F.col(text).alias("_text"))
     schema = T.StructType([packed.schema["_row"], T.StructField("x", T.ArrayType(T.DoubleType()))])

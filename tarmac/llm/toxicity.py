@@ -7,18 +7,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import chunks
+from tarmac.llm.common import chunks, short_batches
 from tarmac.llm.decontaminate import SEPARATORS
 from tarmac.llm.words import Hasher, mix
 from tarmac.session import materialize
 
 _U = np.uint64
 #: Different words a task counts before it hands its counts on.
-HELD_WORDS = 2_000_000
+HELD_WORDS = 500_000
 
 
 @dataclass
@@ -150,6 +151,7 @@ def fit(
 
     Words are in lower case without punctuation. A class without labelled rows is an error.
     """
+    short_batches(docs.sparkSession)
     wanted = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
     wanted = materialize(wanted.groupBy(id_col).agg(F.max(label).cast("int").alias("c")))
     shares = {r["c"]: r["n"] for r in wanted.groupBy("c").agg(F.count("*").alias("n")).collect()}
@@ -161,7 +163,7 @@ def fit(
         part = wanted.where(F.col("c") == c).orderBy(order, id_col).limit(max_documents)
         sample = part if sample is None else sample.unionByName(part)
     sample = sample.withColumn("part", F.when(F.pmod(order, F.lit(5)) == 0, "calibrate").otherwise("train"))
-    texts = docs.select(F.col(id_col), F.lower(text).alias("_text"))
+    texts = docs.select(F.col(id_col), F.col(text).alias("_text"))
     learned = materialize(texts.join(F.broadcast(sample), id_col).select("c", "part", "_text"))
     pairs = materialize(
         learned.where("part = 'train'")
@@ -185,11 +187,18 @@ def fit(
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (all but the text if not given) with ``evidence`` and ``score`` (0 to 1, higher for
-    toxic) of each whole text. Null and empty texts have evidence 0."""
+    toxic) of each whole text. Null and empty texts have evidence 0. A text that is a field of a struct column in
+    ``keep`` may be named ``column.field``; it then travels to the tasks once."""
+    short_batches(docs.sparkSession)
     keep = [c for c in docs.columns if c not in (text, "evidence", "score")] if keep is None else keep
-    packed = docs.select(F.struct(*keep).alias("_row"), F.lower(text).alias("_text"))
+    packed = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("_text"))
     schema = T.StructType([packed.schema["_row"], T.StructField("evidence", T.DoubleType())])
-    scored = packed.mapInArrow(_Evidence(model, ["_row"]), schema)
+    path = None
+    if "." in text and text.split(".")[0] in keep:
+        column, inner = text.split(".")
+        path = keep.index(column), docs.schema[column].dataType.names.index(inner)
+        packed = packed.select("_row")
+    scored = packed.mapInArrow(_Evidence(model, ["_row"], path), schema)
     bounded = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("evidence") * model.slope + model.offset))
     return scored.select("_row.*", "evidence", (1 / (1 + F.exp(-bounded))).alias("score"))
 
@@ -264,7 +273,7 @@ class _Pairs:
         hasher = Hasher(SEPARATORS)
         for batch in batches:
             for chunk in chunks(batch, "_text"):
-                hashes, first = hasher.words(chunk.column("_text"))
+                hashes, first = hasher.words(pc.utf8_lower(chunk.column("_text")))
                 previous = np.concatenate([np.zeros(1, _U), hashes[:-1]]) if len(hashes) else hashes
                 previous[first[:-1][np.diff(first) > 0]] = 0
                 classes = np.repeat(chunk.column("c").to_numpy().astype(np.int64), np.diff(first))
@@ -293,7 +302,7 @@ class _Words:
 
         for batch in batches:
             for chunk in chunks(batch, "_text"):
-                waiting.append(hasher.words(chunk.column("_text"))[0])
+                waiting.append(hasher.words(pc.utf8_lower(chunk.column("_text")))[0])
                 if sum(map(len, waiting)) > HELD_WORDS:
                     keys, counts = merged(keys, counts, waiting)
                     waiting = []
@@ -308,14 +317,17 @@ class _Words:
 
 
 class _Evidence:
-    def __init__(self, model: ToxicityModel, keep: list[str]):
-        self.model, self.keep = model, keep
+    def __init__(self, model: ToxicityModel, keep: list[str], path: tuple[int, int] | None = None):
+        self.model, self.keep, self.path = model, keep, path
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(SEPARATORS)
         for batch in batches:
+            if self.path:
+                texts = batch.column("_row").flatten()[self.path[0]].flatten()[self.path[1]]
+                batch = pa.record_batch([*batch.columns, texts], names=[*batch.schema.names, "_text"])
             for chunk in chunks(batch, "_text"):
-                evidence = self.model.evidence(*hasher.words(chunk.column("_text")))
+                evidence = self.model.evidence(*hasher.words(pc.utf8_lower(chunk.column("_text"))))
                 yield pa.record_batch(
                     [*[chunk.column(c) for c in self.keep], pa.array(evidence)], names=[*self.keep, "evidence"]
                 )
