@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below ``TOXIC_FROM``. Labels are learned from the rows that ``op10_toxicity`` learns from."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
     model = toxicity.fit(docs.select("doc_id", "text"), labels.where(quality.fold("doc_id", 3) != 1))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return toxicity.score(rows, model, keep=["row"]).where(F.col("score") < TOXIC_FROM).select("row.*")
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    return toxicity.score(rows, model, "row.text", keep=["row"]).where(F.col("score") < TOXIC_FROM).select("row.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids and whether these decode to the text."""
-    return pieces.encode(docs, PIECES).drop("decoded")
+    return pieces.encode(docs, PIECES, with_decoded=False)
 
 
 STAGES = [
