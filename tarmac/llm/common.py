@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,16 @@ def short_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def release_memory() -> None:
+    """Give memory that a finished task's Python code has freed back to the system: Python workers outlive their
+    tasks, and what they hold on to counts against the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_key(text: str = "text"):
     """96 bits that stand for a whole text: equal texts share them. Null counts as empty."""
     whole = F.coalesce(F.col(text), F.lit(""))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import chunks, short_batches
+from tarmac.llm.common import chunks, release_memory, short_batches
 
 MARK = "▁"
 #: Most bytes of a model file: its tokenizer is sent to every task.
@@ -344,6 +344,8 @@ class _Coder:
                 if self.with_decoded:
                     columns["_back"] = pa.array(back, pa.string(), mask=null)
                 yield pa.record_batch(columns)
+        del memory, normalizer
+        release_memory()
 
 
 def _split(model: Model):

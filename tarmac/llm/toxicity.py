@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import chunks, short_batches
+from tarmac.llm.common import chunks, release_memory, short_batches
 from tarmac.llm.decontaminate import SEPARATORS
 from tarmac.llm.words import Hasher, mix
 from tarmac.session import materialize
@@ -310,6 +310,8 @@ class _Words:
                         yield self.batch(keys, counts)
                         keys, counts = np.zeros(0, _U), np.zeros(0, np.int64)
         yield self.batch(*merged(keys, counts, waiting))
+        del keys, counts, waiting
+        release_memory()
 
     @staticmethod
     def batch(keys, counts):
@@ -331,3 +333,5 @@ class _Evidence:
                 yield pa.record_batch(
                     [*[chunk.column(c) for c in self.keep], pa.array(evidence)], names=[*self.keep, "evidence"]
                 )
+        del hasher
+        release_memory()
