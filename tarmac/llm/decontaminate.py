@@ -1,4 +1,4 @@
-"""Texts that hold a benchmark item, word for word or with few edits, found through CGK embeddings."""
+"""Texts that hold a benchmark item, word for word or with few edits, found through pieces that edits leave whole."""
 
 from __future__ import annotations
 
@@ -11,12 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import chunks, short_batches
-from tarmac.llm.words import Hasher, mix
+from tarmac.llm.words import Hasher
 
 #: Bytes of benchmark text that one pass over the corpus looks for; a larger benchmark takes several passes.
 BLOCK_BYTES = 8 << 20
 #: Words are runs of ASCII letters and digits and of other bytes above 127, in lower case.
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
+#: Words of a piece that are looked up; of a longer piece the first ones, which are there whenever the piece is.
+PIECE_WORDS = 8
+#: Places to be verified that a task holds at a time.
+HELD_PLACES = 1 << 20
 _U = np.uint64
 
 
@@ -42,25 +46,26 @@ def contaminated(
     ``max_edit_share`` words (rounded down) or fewer are inserted, removed or replaced, the text around it
     being free.
 
-    1. A CGK embedding walks through the words from a position; whether it moves on after a step is drawn from
-       the step and the word, so two sequences of small edit distance fall into step again after each edit, and
-       edit distance turns into Hamming distance. Each repetition draws a new walk and ``bits`` steps
-       (bit sampling) within the item's size; the words met at these steps are the bucket.
-    2. Windows of an item's size start at every word of every text. A window is dropped as soon as the
-       words at the steps seen so far are no item's, so nearly all windows cost a few array operations.
-    3. Repetitions are added until ``recall`` of the items, edited at random up to the bound, meet the item in
-       some bucket (simulated on the items, with fixed seeds).
-    4. Windows that meet an item in a bucket are verified by exact edit distance.
+    1. An item that may have k edits is cut into k + 1 pieces of equal length. An edit changes one piece at most, so
+       wherever the edits lie, one piece stands unchanged in the text. By default it has at least 5 words.
+    2. The words from every position of every text are hashed in each length that pieces have, and looked
+       up among the pieces.
+    3. Where a piece is met, the item is compared with the text around it by exact word edit distance. All pieces of
+       all items are looked up, so every match is found, with its least edits and first start.
 
     The items are fetched in blocks of ``BLOCK_BYTES`` and sent to every task of one pass over the texts,
     which are neither shuffled nor cut. Items of fewer than ``min_words`` words say too little and are left
     out, as are null items.
 
+    :param max_edit_share: 0 or more and below 1; with 1 the empty stretch would match every item.
+    :param recall, bits: settings of the sampled search that this one replaced, accepted for its callers. Any
+        ``recall`` is met, as all matches are found.
     :return: ``id_col``, ``item_id``, ``edits`` (int), ``word_start`` (int, number of the text's word where the best match
         begins, the first among equals), ``n_item_words``. One row per row and item; repeated rows repeat.
         Null and empty texts hold nothing.
     """
-    spark = df.sparkSession
+    if not 0 <= max_edit_share < 1:
+        raise ValueError("max_edit_share has to be 0 or more and below 1")
     short_batches(df.sparkSession)
     wanted = items.where(F.col(item_text).isNotNull()).select(
         F.col(item_id).alias("_item"), F.lower(item_text).alias("_text")
@@ -76,7 +81,7 @@ def contaminated(
     for block in range(blocks):
         part = wanted if blocks == 1 else wanted.where(F.pmod(F.xxhash64("_text"), F.lit(blocks)) == block)
         rows = part.orderBy("_item", "_text").toArrow()
-        search = _Search(rows, id_col, min_words, max_edit_share, recall, bits)
+        search = _Search(rows, id_col, min_words, max_edit_share)
         matches = source.mapInArrow(search, schema)
         found = matches if found is None else found.unionByName(matches)
     return found if item_id == "item_id" else found.withColumnRenamed("item_id", item_id)
@@ -91,100 +96,47 @@ def drop_contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", t
 
 
 class _Items:
-    """Items as word hashes, the walks chosen for them and each repetition's buckets."""
+    """Items as word hashes, and the edits each may have."""
 
-    def __init__(self, rows: pa.Table, min_words: int, share: float, recall: float, bits: int):
-        hasher = Hasher(SEPARATORS)
+    def __init__(self, rows: pa.Table, hasher: Hasher, min_words: int, share: float):
         column = rows.column("_text").combine_chunks()
         if isinstance(column, pa.ChunkedArray):
             column = column.chunk(0) if column.num_chunks else pa.array([], pa.string())
         hashes, first = hasher.words(column)
         size = np.diff(first)
-        self.at = np.flatnonzero(size >= min_words)
+        self.at = np.flatnonzero(size >= max(min_words, 1))
         self.ids = rows.column("_item").take(pa.array(self.at))
         self.words = [hashes[first[i] : first[i + 1]] for i in self.at]
         self.size = size[self.at]
         self.edits = edits_allowed(self.size, share)
-        self.bits = bits
-        self.repetitions = []
-        if not len(self.at):
-            return
-        # sizes in the same power of two share their steps, all of which lie within the shortest item of it
-        self.group = np.floor(np.log2(self.size)).astype(int)
-        samples = self.edited(np.random.default_rng(5))
-        missed = np.ones(len(samples), bool)
-        while missed.mean() > 1 - recall and len(self.repetitions) < 64:
-            repetition = len(self.repetitions)
-            draw = np.random.default_rng(repetition)
-            steps = {
-                int(g): np.sort(draw.choice(np.arange(min(1 << g, 32)), bits, replace=False)) for g in np.unique(self.group)
-            }
-            self.repetitions.append(steps)
-            own = {i: self.bucket(self.words[i], repetition, steps[int(self.group[i])]) for i in range(len(self.words))}
-            for s in np.flatnonzero(missed):
-                item, changed = samples[s]
-                steps_of = steps[int(self.group[item])]
-                # a shifted start is a window too
-                missed[s] = not any(
-                    self.bucket(changed[o:], repetition, steps_of) == own[item] for o in range(2)
-                )
-
-    def edited(self, draw: np.random.Generator, copies: int = 400):
-        out = []
-        for _ in range(copies):
-            item = int(draw.integers(len(self.words)))
-            changed = list(self.words[item])
-            for _ in range(int(self.edits[item])):
-                place, kind, new = int(draw.integers(len(changed) + 1)), int(draw.integers(3)), draw.integers(1 << 62)
-                if kind == 0:
-                    changed.insert(place, _U(new))
-                elif kind == 1:
-                    del changed[min(place, len(changed) - 1)]
-                else:
-                    changed[min(place, len(changed) - 1)] = _U(new)
-            out.append((item, np.array(changed, _U)))
-        return out
-
-    @staticmethod
-    def bucket(words: np.ndarray, repetition: int, steps: np.ndarray) -> tuple:
-        at, met = 0, []
-        for step in range(int(steps[-1]) + 1):
-            word = words[at] if at < len(words) else _U(0)
-            if step in steps:
-                met.append(int(word))
-            at += int(moves(np.array([word], _U), repetition, step)[0])
-        return tuple(met)
-
-
-def moves(words: np.ndarray, repetition: int, step: int) -> np.ndarray:
-    """Whether the walk of this repetition moves on after meeting each word at this step."""
-    turned = words * _U(2 * (repetition * 64 + step) * 0x9E3779B1 + 0x9E3779B97F4A7C15 | 1)
-    return (turned >> _U(63)).astype(np.int64)
 
 
 class _Search:
-    def __init__(self, rows: pa.Table, id_col: str, min_words: int, share: float, recall: float, bits: int):
+    def __init__(self, rows: pa.Table, id_col: str, min_words: int, share: float):
         self.id_col = id_col
-        self.items = _Items(rows, min_words, share, recall, bits)
-        self.plan = self.prepare()
+        hasher = Hasher(SEPARATORS)
+        self.items = _Items(rows, hasher, min_words, share)
+        self.plan = self.prepare(hasher)
 
-    def prepare(self):
-        """For each repetition and size group: steps, per step a small table of possible hash tops, and the
-        sorted bucket codes after each step with the items of the last."""
+    def prepare(self, hasher: Hasher):
+        """For each length of pieces: their codes in order, each with its item and its place in the item, and a small
+        table of possible code tops."""
         items, plan = self.items, []
-        for repetition, steps_of in enumerate(items.repetitions):
-            groups = []
-            for group, steps in steps_of.items():
-                own = np.flatnonzero(items.group == group)
-                met = np.array([items.bucket(items.words[i], repetition, steps) for i in own], _U).reshape(len(own), -1)
-                codes = [met[:, 0]]
-                for column in range(1, met.shape[1]):
-                    codes.append(mix(codes[-1] * _U(31) + met[:, column]))
-                tops = np.zeros(1 << 16, bool)
-                tops[codes[0] >> _U(48)] = True
-                order = np.argsort(codes[-1], kind="stable")
-                groups.append((steps, tops, [np.unique(c) for c in codes], codes[-1][order], own[order]))
-            plan.append(groups)
+        length = items.size // (items.edits + 1)
+        looked_up = np.minimum(length, PIECE_WORDS)
+        for width in np.unique(looked_up):
+            codes, owners, offsets = [], [], []
+            for item in np.flatnonzero(looked_up == width):
+                offset = np.arange(items.edits[item] + 1) * length[item]
+                codes.append(hasher.windows(items.words[item], int(width))[offset])
+                owners.append(np.full(len(offset), item))
+                offsets.append(offset)
+            codes, owners, offsets = map(np.concatenate, (codes, owners, offsets))
+            order = np.argsort(codes, kind="stable")
+            shift = _U(64 - min(max(16, len(codes).bit_length() + 4), 22))
+            tops = np.zeros(1 << (64 - int(shift)), bool)
+            tops[codes >> shift] = True
+            plan.append((int(width), shift, tops, codes[order], owners[order], offsets[order]))
         return plan
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,45 +149,25 @@ class _Search:
                 hashes, first = hasher.words(chunk.column("_text"))
                 if not len(hashes):
                     continue
-                yield from self.matches(plan, hashes, first, chunk)
+                yield from self.matches(plan, hasher, hashes, first, chunk)
 
-    def matches(self, plan, hashes: np.ndarray, first: np.ndarray, chunk: pa.RecordBatch):
-        items = self.items
+    def matches(self, plan, hasher: Hasher, hashes: np.ndarray, first: np.ndarray, chunk: pa.RecordBatch):
+        items, good = self.items, []
         end = np.repeat(first[1:], np.diff(first))
-        padded = np.append(hashes, _U(0))
-        everywhere = np.arange(len(hashes))
-        starts, candidates = [], []
-        for repetition, groups in enumerate(plan):
-            # all windows walk together up to the first step that a group samples
-            last = max(int(steps[0]) for steps, *_ in groups)
-            at = everywhere
-            for step in range(last + 1):
-                inside = padded[at] if step == 0 else np.where(at < end, padded[np.minimum(at, len(hashes))], _U(0))
-                for steps, tops, codes, final, owners in groups:
-                    if steps[0] != step:
-                        continue
-                    near = np.flatnonzero(tops[inside >> _U(48)])
-                    near = near[_among(inside[near], codes[0])]
-                    window, met = self.rest(repetition, steps, codes, near, at[near], inside[near], padded, end)
-                    low, high = np.searchsorted(final, met, "left"), np.searchsorted(final, met, "right")
-                    for shift in range(int((high - low).max(initial=0))):
-                        more = low + shift < high
-                        starts.append(window[more])
-                        candidates.append(owners[(low + shift)[more]])
-                if step < last:
-                    at = at + moves(inside, repetition, step)
-        if not starts:
-            return
-        start, item = np.concatenate(starts), np.concatenate(candidates)
-        if not len(start):
+        for width, shift, tops, codes, owners, offsets in plan:
+            met = hasher.windows(hashes, width)
+            near = np.flatnonzero(tops[met >> shift])
+            near = near[near + width <= end[near]]
+            low, high = np.searchsorted(codes, met[near], "left"), np.searchsorted(codes, met[near], "right")
+            near, low, many = near[high > low], low[high > low], (high - low)[high > low]
+            before = np.cumsum(many) - many
+            cuts = np.flatnonzero(np.diff(before // HELD_PLACES)) + 1
+            for part in np.split(np.arange(len(near)), cuts):
+                if len(part):
+                    good.append(self.around(hashes, first, near[part], low[part], many[part], owners, offsets))
+        if not good:
             return
-        pairs = np.unique(np.stack([start, item]), axis=1)
-        start, item = pairs
-        row = np.searchsorted(first, start, side="right") - 1
-        # a row of consecutive empty texts shares its first word; the last of them owns it
-        edits, begin = self.verify(hashes, first, row, start, item)
-        good = edits <= items.edits[item]
-        row, item, edits, begin = row[good], item[good], edits[good], begin[good]
+        row, item, edits, begin = (np.concatenate(x) for x in zip(*good))
         if not len(row):
             return
         order = np.lexsort((begin, edits, item, row))
@@ -250,31 +182,32 @@ class _Search:
         int32 = [pa.array(x.astype(np.int32)) for x in (edits, begin, items.size[item])]
         yield pa.record_batch([ids, found, *int32], names=[self.id_col, "item_id", "edits", "word_start", "n_item_words"])
 
-    @staticmethod
-    def rest(repetition, steps, codes, window, at, code, padded, end):
-        """Walk on from the first sampled step with the windows that are still some item's."""
-        word = code
-        for number in range(1, len(steps)):
-            for step in range(int(steps[number - 1]), int(steps[number])):
-                at = at + moves(word, repetition, step)
-                word = np.where(at < end[window], padded[np.minimum(at, len(padded) - 1)], _U(0))
-            code = mix(code * _U(31) + word)
-            near = _among(code, codes[number])
-            window, at, code, word = window[near], at[near], code[near], word[near]
-        return window, code
+    def around(self, hashes, first, near, low, many, owners, offsets):
+        """Rows, items, edits and starts of the matches around the places where pieces are met."""
+        piece = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        place, item = np.repeat(near, many), owners[piece]
+        # a row of consecutive empty texts shares its first word; the last of them owns it
+        row = np.searchsorted(first, place, side="right") - 1
+        start = np.maximum(place - offsets[piece], first[row])
+        item, start = np.unique(np.stack([item, start]), axis=1)
+        row = np.searchsorted(first, start, side="right") - 1
+        edits, begin = self.verify(hashes, first, row, start, item)
+        good = edits <= self.items.edits[item]
+        return row[good], item[good], edits[good], begin[good]
 
     def verify(self, hashes, first, row, start, item):
-        """Least edit distance between the item and any stretch of the text around the window, and its start."""
+        """Least edit distance between the item and any stretch of the text around the start that an unchanged piece
+        gives it, and that stretch's start. Rows come in order of items."""
         items = self.items
         edits, begin = np.full(len(start), 1 << 20), np.zeros(len(start), np.int64)
-        for which in np.unique(item):
-            mine = np.flatnonzero(item == which)
+        for mine in np.split(np.arange(len(item)), np.flatnonzero(np.diff(item)) + 1) if len(item) else ():
+            which = item[mine[0]]
             words, slack = items.words[which], int(items.edits[which])
             known = np.unique(words)
-            # the walk may begin inside the item or before it, by as many words as were edited
-            width = len(words) + 4 * slack + 2
+            # inserted and removed words before the piece move the start, those behind it the end
+            width = len(words) + 2 * slack
             for part in np.array_split(mine, max(1, len(mine) * width // (1 << 20))):
-                low = np.maximum(start[part] - 2 * slack - 1, first[row[part]])
+                low = np.maximum(start[part] - slack, first[row[part]])
                 place = low[:, None] + np.arange(width)[None, :]
                 inside = place < first[row[part] + 1][:, None]
                 text = np.where(inside, hashes[np.minimum(place, len(hashes) - 1)], _U(0))

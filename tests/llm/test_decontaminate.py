@@ -104,3 +104,39 @@ def test_query(spark, folder, documents):
         if len(words(item)) >= 8 and f" {' '.join(words(item))} " in f" {' '.join(words(t))} "
     }
     assert exact and {(r.doc_id, r.item_id) for r in rows if r.edits == 0} == exact
+
+
+def clustered(draw, item, edits, where):
+    """The item with ``edits`` neighbouring words removed, replaced or inserted at one place."""
+    w, kind = item.split(), draw.randrange(3)
+    at = {"start": 0, "middle": (len(w) - edits) // 2, "end": len(w) - edits}[where]
+    new = [f"changed{draw.randrange(10**9)}" for _ in range(edits)]
+    return " ".join(w[:at] + (new if kind else []) + w[at + (0 if kind == 2 else edits) :])
+
+
+def test_every_match_wherever_the_edits_lie(spark):
+    draw = random.Random(11)
+    items = [(i, prose(2000 + i, draw.choice([8, 10, 16, 19, 20, 31, 40, 59, 64, 100, 130]))) for i in range(60)]
+    docs, planted = [], {}
+    for d in range(450):
+        i, item = draw.choice(items)
+        changed = clustered(draw, item, len(item.split()) // 10, ["start", "middle", "end"][d % 3])
+        # every other text begins or ends with the item
+        docs.append((d, f"{prose(d, draw.choice([0, 50]))}. {changed}\n{prose(7000 + d, draw.choice([0, 50]))}"))
+        planted[d] = i
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = decontaminate.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    got, texts, by_item = {(r.doc_id, r.item_id): (r.edits, r.word_start) for r in found}, dict(docs), dict(items)
+    assert len(got) == len(found)
+    for d, i in planted.items():
+        assert got[d, i] == best(words(by_item[i]), words(texts[d]))
+
+
+def test_places_are_verified_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "HELD_PLACES", 3)
+    items = [(i, f"{prose(1, 12)} {prose(50 + i, 12)}") for i in range(8)]
+    docs = [(i, f"a b {text} c {text}") for i, text in items]
+    found = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    assert sorted((r.doc_id, r.item_id, r.edits, r.word_start) for r in found if r.edits == 0) == [(i, i, 0, 2) for i in range(8)]
