@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from conftest import WORDS, prose
 
 from tarmac.llm import decontaminate
@@ -140,3 +141,23 @@ def test_places_are_verified_in_parts(spark, monkeypatch):
         spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     ).collect()
     assert sorted((r.doc_id, r.item_id, r.edits, r.word_start) for r in found if r.edits == 0) == [(i, i, 0, 2) for i in range(8)]
+
+
+def test_many_edits_and_short_items(spark):
+    draw = random.Random(17)
+    items = [(i, prose(3000 + i, draw.choice([8, 9, 15, 16, 31, 33, 60]))) for i in range(30)]
+    docs, planted = [], {}
+    for d in range(150):
+        i, item = draw.choice(items)
+        changed = clustered(draw, item, int(len(item.split()) * 0.3 + 1e-9), ["start", "middle", "end"][d % 3])
+        docs.append((d, f"{prose(d, 30)}. {changed}\n{prose(8000 + d, 30)}"))
+        planted[d] = i
+    df, by_item, texts = spark.createDataFrame(docs, "doc_id long, text string"), dict(items), dict(docs)
+    wanted = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(df, wanted, max_edit_share=0.3, recall=0.999).collect()
+    got = {(r.doc_id, r.item_id): (r.edits, r.word_start) for r in found}
+    for d, i in planted.items():
+        assert got[d, i] == best(words(by_item[i]), words(texts[d]))
+    for share in (-0.1, 1.0):
+        with pytest.raises(ValueError):
+            decontaminate.contaminated(df, wanted, max_edit_share=share)
