@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +50,8 @@ class ToxicityModel:
     how often a word follows it; per class and together how much of that the pair discount takes.
     pairs: (previous word, word) -> counts per class; None if pairs of words say nothing more than words.
     totals: per class the sum of the first numbers; discounted: how much of it the word discount takes.
+    window, windows: words of a window, and how many of a text's windows count.
+    slope, length, offset: weights of the evidence, of log(1 + words of the text), and the constant.
     """
 
     words: Lookup
@@ -61,7 +63,9 @@ class ToxicityModel:
     corpus_words: float
     corpus_types: float
     window: int
+    windows: int = 1
     slope: float = 1.0
+    length: float = 0.0
     offset: float = 0.0
 
     def token_evidence(self, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -95,29 +99,49 @@ class ToxicityModel:
         return logs[1] - logs[0]
 
     def evidence(self, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Per text the highest mean over ``window`` consecutive words (over all words of a shorter text); a text
-        without words has 0."""
-        out = np.zeros(len(first) - 1)
+        """Per text the mean over its ``windows`` best windows of ``window`` consecutive words, none sharing a word
+        with a better one, or as many as there are (over all words of a shorter text); a text without words has 0."""
         if not len(hashes):
-            return out
-        sums = np.concatenate([[0.0], np.cumsum(self.token_evidence(hashes, first))])
-        size = np.diff(first)
-        short = np.flatnonzero((size > 0) & (size <= self.window))
-        out[short] = (sums[first[1:][short]] - sums[first[:-1][short]]) / size[short]
-        long = np.flatnonzero(size > self.window)
-        if len(long):
-            means = (sums[self.window :] - sums[: -self.window]) / self.window
-            valid = np.zeros(len(means), bool)
-            edges = np.zeros(len(means) + 1, np.int64)
-            np.add.at(edges, first[:-1][long], 1)
-            np.add.at(edges, np.minimum(first[1:][long] - self.window + 1, len(means)), -1)
-            valid = np.cumsum(edges[:-1]) > 0
-            means = np.where(valid, means, -np.inf)
-            out[long] = np.maximum.reduceat(means, first[:-1][long])
+            return np.zeros(len(first) - 1)
+        return best_means(self.token_evidence(hashes, first), first, self.window, self.windows)[:, -1]
+
+    def scores(self, evidence: np.ndarray, words: np.ndarray) -> np.ndarray:
+        z = self.slope * evidence + self.length * np.log1p(words) + self.offset
+        return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+
+
+def best_means(values: np.ndarray, first: np.ndarray, window: int, most: int) -> np.ndarray:
+    """Column k: per text the mean over its k + 1 best windows, each the best of those that share no word with a
+    better one; over all its windows if it has fewer."""
+    out = np.zeros((len(first) - 1, most))
+    sums = np.concatenate([[0.0], np.cumsum(values)])
+    size = np.diff(first)
+    short = np.flatnonzero((size > 0) & (size <= window))
+    out[short] = ((sums[first[1:][short]] - sums[first[:-1][short]]) / size[short])[:, None]
+    long = np.flatnonzero(size > window)
+    if not len(long):
         return out
-
-    def scores(self, evidence: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -700, 700)))
+    means = (sums[window:] - sums[:-window]) / window
+    edges = np.zeros(len(means) + 1, np.int64)
+    np.add.at(edges, first[:-1][long], 1)
+    np.add.at(edges, np.minimum(first[1:][long] - window + 1, len(means)), -1)
+    valid = np.cumsum(edges[:-1]) > 0
+    means = np.where(valid, means, -np.inf)
+    starts = first[:-1][long]
+    owner = np.searchsorted(starts, np.arange(len(means)), side="right") - 1
+    total, count = np.zeros(len(long)), np.zeros(len(long))
+    for k in range(most):
+        best = np.maximum.reduceat(means, starts)
+        there = best > -np.inf
+        total[there] += best[there]
+        count += there
+        out[long, k] = total / count
+        if k + 1 < most:
+            place = np.flatnonzero((means == best[owner]) & (means > -np.inf) & (owner >= 0))
+            place = place[np.unique(owner[place], return_index=True)[1]]
+            shared = place[:, None] + np.arange(1 - window, window)[None, :]
+            means[np.clip(shared, 0, len(means) - 1)] = -np.inf
+    return out
 
 
 def pair_key(previous: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -131,8 +155,9 @@ def fit(
     text: str = "text",
     label: str = "label",
     max_documents: int = 12_000,
-    window: int = 4,
-    word_discount: float = 4.0,
+    window: int | Sequence[int] = (1, 2, 4),
+    windows: int | Sequence[int] = (1, 2, 3),
+    word_discount: float | Sequence[float] = (4.0, 2.0),
     pair_discounts: Sequence[float | None] = (None, 12.0, 48.0),
 ) -> ToxicityModel:
     """Fit the two word models and the calibration of their difference.
@@ -142,12 +167,18 @@ def fit(
         both ways counts as toxic. At most ``max_documents`` of each class are used, those with the least hash of
         their id; this bound bounds the model that every task gets. Four fifths of them train the word models,
         the rest the calibration, weighted to the class shares of all labels.
-    :param window: words over which log-likelihoods are averaged. Toxic words stand among ordinary ones, so a
-        text is as toxic as its most toxic window.
+    :param window, windows: log-likelihoods are averaged over this many words, and over this many of a text's best
+        windows. Toxic words stand among ordinary ones, so a text is as toxic as its most toxic windows. The more words
+        a text has, the more its best windows reach by chance; the calibration takes its length into account.
     :param word_discount, pair_discounts: taken off every count of a class before it counts for that class; what is
         taken goes to the next level. Discounts above 1 leave expressions that a class has only met by chance to
-        the shared counts. The pair discount with the least log-loss on the calibration documents is
-        used; None leaves pairs out.
+        the shared counts. None leaves pairs out.
+
+    Where several values are given, the calibration documents decide. Word discounts are compared without pairs,
+    then pair discounts at the word discount chosen, each with all sizes and numbers of windows. Of the settings
+    whose log-loss is within one standard error of the least, the one with the narrowest and then fewest
+    windows is taken: few calibration documents tell such settings apart by chance only, and a single toxic word
+    is diluted least. Among these the least log-loss decides.
 
     Words are in lower case without punctuation. A class without labelled rows is an error.
     """
@@ -174,15 +205,45 @@ def fit(
     corpus = materialize(
         texts.select("_text").mapInArrow(_Words(), "v long, n long").groupBy("v").agg(F.sum("n").alias("n"))
     )
-    share, best = shares[1] / (shares[0] + shares[1]), None
+    share = shares[1] / (shares[0] + shares[1])
     held = learned.where("part = 'calibrate'")
-    for discount in pair_discounts:
-        model = _model(pairs, corpus, window, word_discount, discount)
-        seen = held.mapInArrow(_Evidence(model, ["c"]), "c int, evidence double").toPandas()
-        model.slope, model.offset, loss = _calibrate(seen["evidence"].to_numpy(), seen["c"].to_numpy(), share)
-        if best is None or loss < best[0]:
-            best = loss, model
-    return best[1]
+    sizes = [(w, k) for w in _several(window) for k in _several(windows)]
+    tried = []
+
+    def attempt(word_taken, pair_taken):
+        model = _model(pairs, corpus, max(_several(window)), word_taken, pair_taken)
+        seen = held.mapInArrow(_Evidence(model, ["c"], settings=sizes), "c int, words long, evidence array<double>")
+        # in an order of their own, so that sums do not depend on tasks
+        seen = seen.orderBy("c", "words", "evidence").toArrow()
+        evidence = np.array(seen["evidence"].to_pylist(), float).reshape(-1, len(sizes))
+        for number, (width, most) in enumerate(sizes):
+            weights, loss = _calibrate(evidence[:, number], seen["words"].to_numpy(), seen["c"].to_numpy(), share)
+            slope, length, offset = weights
+            tuned = replace(model, window=width, windows=most, slope=slope, length=length, offset=offset)
+            tried.append((tuned, (word_taken, pair_taken), loss))
+
+    discounts = list(pair_discounts)
+    plain = None if None in discounts else discounts[0]
+    for word_taken in _several(word_discount):
+        attempt(word_taken, plain)
+    word_taken = _choose(tried)[1][0]
+    for pair_taken in discounts:
+        if pair_taken != plain:
+            attempt(word_taken, pair_taken)
+    return _choose([x for x in tried if x[1][0] == word_taken])[0]
+
+
+def _several(values) -> list:
+    return list(values) if isinstance(values, Sequence) else [values]
+
+
+def _choose(tried: list[tuple[ToxicityModel, tuple, np.ndarray]]) -> tuple[ToxicityModel, tuple, np.ndarray]:
+    """The narrowest and fewest windows whose mean loss is within one standard error of the least, which is that of
+    the difference document by document; among equals the least loss."""
+    least = min(tried, key=lambda x: x[2].mean())[2]
+    more = [x[2] - least for x in tried]
+    near = [x for x, m in zip(tried, more) if m.mean() <= m.std() / max(len(m), 1) ** 0.5]
+    return min(near, key=lambda x: (x[0].window, x[0].windows, x[2].mean()))
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -192,14 +253,16 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: list[
     short_batches(docs.sparkSession)
     keep = [c for c in docs.columns if c not in (text, "evidence", "score")] if keep is None else keep
     packed = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("_text"))
-    schema = T.StructType([packed.schema["_row"], T.StructField("evidence", T.DoubleType())])
+    numbers = [T.StructField("_words", T.LongType()), T.StructField("evidence", T.DoubleType())]
+    schema = T.StructType([packed.schema["_row"], *numbers])
     path = None
     if "." in text and text.split(".")[0] in keep:
         column, inner = text.split(".")
         path = keep.index(column), docs.schema[column].dataType.names.index(inner)
         packed = packed.select("_row")
     scored = packed.mapInArrow(_Evidence(model, ["_row"], path), schema)
-    bounded = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("evidence") * model.slope + model.offset))
+    z = F.col("evidence") * model.slope + F.log1p("_words") * model.length + model.offset
+    bounded = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), z))
     return scored.select("_row.*", "evidence", (1 / (1 + F.exp(-bounded))).alias("score"))
 
 
@@ -246,24 +309,36 @@ def _model(
     )
 
 
-def _calibrate(evidence: np.ndarray, label: np.ndarray, share: float) -> tuple[float, float, float]:
-    """Logistic regression of the label on the evidence, classes weighted to ``share`` of ones; a little ridge keeps
-    the slope finite if the classes are separate. Returns slope, offset and mean log-loss."""
+def _calibrate(
+    evidence: np.ndarray, words: np.ndarray, label: np.ndarray, share: float
+) -> tuple[tuple[float, float, float], np.ndarray]:
+    """Logistic regression of the label on the evidence and log(1 + words), classes weighted to ``share`` of ones; a
+    little ridge keeps the slope finite if the classes are separate, and one of 1 keeps the weight of the length
+    small if lengths hardly differ. Returns the weights with the constant, and every document's weighted loss."""
     weight = np.where(label == 1, share / max((label == 1).sum(), 1), (1 - share) / max((label == 0).sum(), 1))
-    weight *= len(label)
-    beta = np.array([1.0, np.log(share / (1 - share))])
-    x = np.stack([evidence, np.ones_like(evidence)], axis=1)
+    weight = weight * len(label)
+    beta = np.array([1.0, 0.0, np.log(share / (1 - share))])
+    x = np.stack([evidence, np.log1p(words), np.ones(len(label))], axis=1)
+    ridge, sign = np.array([1e-2, 1.0, 1e-6]), np.where(label == 1, 1, -1)
+
+    def losses(beta):
+        return weight * np.logaddexp(0, -sign * (x @ beta))
+
+    def aim(beta):
+        return losses(beta).sum() + (ridge * beta * beta).sum() / 2
+
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        gradient = x.T @ (weight * (label - p)) - np.array([1e-2, 0]) * beta
-        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag([1e-2, 1e-6])
-        step = np.linalg.solve(hessian, gradient)
-        beta = beta + np.clip(step, -5, 5)
+        gradient = x.T @ (weight * (label - p)) - ridge * beta
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+        step = np.clip(np.linalg.solve(hessian, gradient), -5, 5)
+        while aim(beta + step) > aim(beta) and np.abs(step).max() >= 1e-9:
+            step = step / 2
         if np.abs(step).max() < 1e-9:
             break
+        beta = beta + step
     beta[0] = max(beta[0], 1e-3)
-    margin = np.where(label == 1, 1, -1) * (x @ beta)
-    return float(beta[0]), float(beta[1]), float((weight * np.logaddexp(0, -margin)).mean())
+    return (float(beta[0]), float(beta[1]), float(beta[2])), losses(beta)
 
 
 class _Pairs:
@@ -319,8 +394,27 @@ class _Words:
 
 
 class _Evidence:
-    def __init__(self, model: ToxicityModel, keep: list[str], path: tuple[int, int] | None = None):
-        self.model, self.keep, self.path = model, keep, path
+    """Adds the number of words and the evidence, or with ``settings`` the evidence under each (window, windows)."""
+
+    def __init__(
+        self,
+        model: ToxicityModel,
+        keep: list[str],
+        path: tuple[int, int] | None = None,
+        settings: list[tuple[int, int]] | None = None,
+    ):
+        self.model, self.keep, self.path, self.settings = model, keep, path, settings
+
+    def under_settings(self, hashes: np.ndarray, first: np.ndarray) -> pa.Array:
+        columns = np.zeros((len(first) - 1, len(self.settings)))
+        if len(hashes):
+            values = self.model.token_evidence(hashes, first)
+            for width in {w for w, _ in self.settings}:
+                of = [i for i, (w, _) in enumerate(self.settings) if w == width]
+                means = best_means(values, first, width, max(self.settings[i][1] for i in of))
+                for i in of:
+                    columns[:, i] = means[:, self.settings[i][1] - 1]
+        return pa.array(list(columns), pa.list_(pa.float64()))
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(SEPARATORS)
@@ -329,9 +423,14 @@ class _Evidence:
                 texts = batch.column("_row").flatten()[self.path[0]].flatten()[self.path[1]]
                 batch = pa.record_batch([*batch.columns, texts], names=[*batch.schema.names, "_text"])
             for chunk in chunks(batch, "_text"):
-                evidence = self.model.evidence(*hasher.words(pc.utf8_lower(chunk.column("_text"))))
+                hashes, first = hasher.words(pc.utf8_lower(chunk.column("_text")))
+                if self.settings:
+                    words, evidence = "words", self.under_settings(hashes, first)
+                else:
+                    words, evidence = "_words", pa.array(self.model.evidence(hashes, first))
                 yield pa.record_batch(
-                    [*[chunk.column(c) for c in self.keep], pa.array(evidence)], names=[*self.keep, "evidence"]
+                    [*[chunk.column(c) for c in self.keep], pa.array(np.diff(first).astype(np.int64)), evidence],
+                    names=[*self.keep, words, "evidence"],
                 )
         del hasher
         release_memory()

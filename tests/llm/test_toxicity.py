@@ -128,3 +128,47 @@ def test_held_out_accuracy(spark, folder):
     right = held.select(F.avg((F.col("predicted") == F.col("toxic")).cast("int"))).first()[0]
     flagged = held.where("toxic = 0").select(F.avg("predicted")).first()[0]
     assert right >= 0.95 and flagged <= 0.01
+
+
+def test_best_windows_share_no_word():
+    draw = np.random.default_rng(4)
+    sizes = [0, 2, 3, 7, 0, 1, 30, 4]
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    values = draw.normal(size=first[-1])
+    got = toxicity.best_means(values, first, 3, 3)
+    for i, n in enumerate(sizes):
+        own, left, means = values[first[i] : first[i + 1]], set(range(max(n - 2, 0))), []
+        while left and len(means) < 3:
+            at = max(left, key=lambda k: own[k : k + 3].mean())
+            means.append(own[at : at + 3].mean())
+            left -= set(range(at - 2, at + 3))
+        for k in range(3):
+            want = 0 if n == 0 else own.mean() if n <= 3 else np.mean(means[: k + 1])
+            assert got[i, k] == pytest.approx(want)
+
+
+def test_toxic_words_elsewhere_in_the_text_count():
+    model = toxicity.ToxicityModel.__new__(toxicity.ToxicityModel)
+    model.window, model.windows = 2, 3
+    once, often = np.full(60, -1.0), np.full(60, -1.0)
+    once[[5, 6]] = often[[5, 6, 25, 26, 45, 46]] = 3.0
+    model.token_evidence = lambda hashes, first: np.concatenate([once, often])
+    got = model.evidence(np.zeros(120, np.uint64), np.array([0, 60, 120]))
+    assert got[1] > got[0] + 1
+
+
+def test_held_out_recall(spark, folder):
+    from tarmac.llm.queries import QUERIES
+
+    folder = folder.replace("sf0.001", "sf0.1")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").join(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id")
+    held = QUERIES["op10_toxicity"](spark, folder).where("held_out").join(labels, "doc_id")
+    by = held.groupBy("lang").agg(
+        *[F.sum(((F.col("toxic") == c) & (F.col("predicted") == 1)).cast("int")).alias(f"flagged{c}") for c in (0, 1)],
+        *[F.sum((F.col("toxic") == c).cast("int")).alias(f"of{c}") for c in (0, 1)],
+    )
+    found = {r.lang: r for r in by.collect()}
+    assert sum(r.flagged1 for r in found.values()) >= 0.84 * sum(r.of1 for r in found.values()), found
+    for r in found.values():
+        assert r.flagged0 <= 0.01 * r.of0 and (r.of1 < 20 or r.flagged1 >= 0.75 * r.of1), found
+    print(sorted(found.values()))
