@@ -281,18 +281,24 @@ def _model(
         *[F.sum(F.least(F.col(f"n{c}").cast("double"), taken)).alias(f"taken{c}") for c in (0, 1)],
         F.sum(F.least((F.col("n0") + F.col("n1")).cast("double"), taken)).alias("taken"),
     )
-    told = (F.greatest("before0", "before1") > word_discount) | (F.col("after0") + F.col("after1") > 4 * taken)
-    if pair_discount is None:
-        told = F.greatest("before0", "before1") > word_discount
-    known = heard.join(said, "v", "full").fillna(0.0).where(told)
+    known = heard.join(said, "v", "full").fillna(0.0)
+    told = F.greatest("before0", "before1") > word_discount
+    kept = None
+    if pair_discount is not None:
+        # the words of a kept pair count as well; all others give the same evidence without their numbers
+        kept = pairs.where(F.col("n0") + F.col("n1") > pair_discount)
+        ends = kept.select("v").union(kept.select("u")).distinct().withColumn("paired", F.lit(True))
+        known = known.join(ends, "v", "left")
+        told = told | F.col("paired")
+    known = known.where(told).drop("paired")
     counts = corpus.select("v", F.col("n").cast("double").alias("corpus"))
     known = known.join(counts, "v", "left").fillna(0.0)
     columns = ["before0", "before1", "corpus", "after0", "after1", "taken0", "taken1", "taken"]
     got = known.select("v", *columns).toArrow()
     words = Lookup.of(got["v"].to_numpy(), np.stack([got[c].to_numpy() for c in columns], axis=1))
     pair_table = None
-    if pair_discount is not None:
-        got = pairs.where(F.col("n0") + F.col("n1") > pair_discount).toArrow()
+    if kept is not None:
+        got = kept.toArrow()
         keys = pair_key(got["u"].to_numpy().view(_U), got["v"].to_numpy().view(_U)).view(np.int64)
         pair_table = Lookup.of(keys, np.stack([got[c].to_numpy().astype(float) for c in ("n0", "n1")], axis=1))
     whole = corpus.agg(F.sum("n").cast("double").alias("words"), F.count("*").alias("types")).first()

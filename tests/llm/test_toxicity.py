@@ -172,3 +172,45 @@ def test_held_out_recall(spark, folder):
     for r in found.values():
         assert r.flagged0 <= 0.01 * r.of0 and (r.of1 < 20 or r.flagged1 >= 0.75 * r.of1), found
     print(sorted(found.values()))
+
+
+def test_evidence_of_fixed_expressions(spark):
+    # "alpha beta" is counted above the pair discount, but alpha has one predecessor and few followers
+    draw, rows = np.random.default_rng(6), []
+    for i in range(120):
+        w, bad = prose(i, 30).split(), i % 3 == 0
+        if i % 6 == 0 or i % 30 == 1:
+            w[10:10] = ["lead", "alpha", "beta" if draw.random() < 0.9 else "gamma"]
+        rows.append((i, " ".join(w), int(bad)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    pairs = (
+        df.select(F.col("label").alias("c"), F.col("text").alias("_text"))
+        .mapInArrow(toxicity._Pairs(), "c int, u long, v long, n long")
+        .groupBy("u", "v")
+        .agg(*[F.sum(F.when(F.col("c") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)])
+    )
+    corpus = df.select(F.col("text").alias("_text")).mapInArrow(toxicity._Words(), "v long, n long").groupBy("v").agg(F.sum("n").alias("n"))
+    taken, pair_taken = 4.0, 12.0
+    model = toxicity._model(pairs, corpus, 1, taken, pair_taken)
+    total, counts = Counter(), [Counter(), Counter()]
+    for _, text, c in rows:
+        total.update(text.split())
+        counts[c].update(zip(["<s>", *text.split()], text.split()))
+    both = counts[0] + counts[1]
+    assert pair_taken < both["alpha", "beta"] < 4 * pair_taken
+
+    def level(of, u, v, below):
+        after = [n for (a, _), n in of.items() if a == u]
+        return (max(of[u, v] - pair_taken, 0) + sum(min(n, pair_taken) for n in after) * below) / sum(after) if after else below
+
+    def probability(c, u, v):
+        before = Counter(b for _, b in counts[c])
+        shared = (total[v] + 1) / (sum(total.values()) + len(total) + 1)
+        below = (max(before[v] - taken, 0) + sum(min(n, taken) for n in before.values()) * shared) / sum(before.values())
+        return level(counts[c], u, v, level(both, u, v, below))
+
+    for _, text, _ in rows[:7]:
+        w = text.split()
+        got = model.token_evidence(*Hasher(SEPARATORS).words(pa.array([text])))
+        for i, (u, v) in enumerate(zip(["<s>", *w], w)):
+            assert got[i] == pytest.approx(math.log(probability(1, u, v) / probability(0, u, v)), abs=1e-9), (u, v)
