@@ -76,11 +76,11 @@ def chunks(batch: pa.RecordBatch, column: str, max_bytes: int = CHUNK_BYTES) ->
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of all texts, one after the other, and where each begins; null counts as empty."""
+    """UTF-8 bytes of all texts (strings or binary), one after the other, and where each begins; null counts as empty."""
+    binary = pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type)
     if texts.null_count:
-        texts = texts.fill_null("")
-    if not pa.types.is_large_string(texts.type):
-        texts = texts.cast(pa.large_string())
+        texts = texts.fill_null(b"" if binary else "")
+    texts = texts.cast(pa.large_binary() if binary else pa.large_string())
     _, offset_buffer, data = texts.buffers()
     offsets = np.frombuffer(offset_buffer, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     if data is None or not len(offsets):

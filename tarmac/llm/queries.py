@@ -6,7 +6,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from tarmac.llm import boilerplate, chat, decontaminate, line_dedup, ngram_join, pieces, quality, sharding, substring, toxicity
+from tarmac.llm import (
+    boilerplate, chat, decontaminate, exact_dedup, filter_audit, line_dedup, ngram_join, pieces, quality, sharding,
+    spelling, substring, toxicity,
+)
 from tarmac.llm.common import table
 from tarmac.session import materialize
 
@@ -187,3 +190,68 @@ def _(spark, d):
     labels = table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
     model = boilerplate.fit(docs, labels)
     return boilerplate.judge(docs, model)
+
+
+@query(
+    "op11_spelling_variants",
+    r"""WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, b:
+    CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS tab),
+ru AS (SELECT doc_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS w FROM documents) GROUP BY ALL),
+hx AS (SELECT *, hex(coalesce(doc_id::VARCHAR, '') || ':' || w) AS x FROM ru),
+h AS (SELECT w, k, xor(list_reduce(list_transform(range(len(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT),
+  lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM hx, crc),
+s AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS w, k FROM h),
+v AS (SELECT w, sum(k)::BIGINT AS n FROM s WHERE length(w) >= 5 GROUP BY w HAVING sum(k) >= 3),
+pl AS (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM v),
+pa AS (SELECT w, n, substr(w, 1, i - 1) || '_' || substr(w, i + 1) AS p, substr(w, 1, i - 1) || substr(w, i + 1) AS d FROM pl),
+de AS (SELECT DISTINCT pa.w AS a, pa.n AS an, v.w AS b, v.n AS bn FROM pa JOIN v ON pa.d = v.w),
+ne AS (SELECT x.w AS w, y.w AS b, y.n AS bn FROM pa x JOIN pa y ON x.p = y.p AND x.w <> y.w
+  UNION ALL SELECT a, b, bn FROM de UNION ALL SELECT b, a, an FROM de),
+be AS (SELECT w, count(*) AS n_near, min((-bn, b)) AS m FROM ne GROUP BY w),
+fo AS (SELECT v.w AS w, v.n AS n, coalesce(n_near, 0) AS n_near, CASE WHEN -m[1] >= 2 * v.n THEN m[2] END AS form,
+  CASE WHEN -m[1] >= 2 * v.n THEN -m[1] END AS form_n FROM v LEFT JOIN be USING (w)),
+wa AS (SELECT w, w AS root, form FROM fo UNION ALL SELECT wa.w, fo.w, fo.form FROM wa JOIN fo ON fo.w = wa.form)
+SELECT fo.w AS word, fo.form AS form, root, n, n_near, form_n FROM fo JOIN wa ON wa.w = fo.w AND wa.form IS NULL""",
+)
+def _(spark, d):
+    return spelling.spelling_groups(spelling.word_counts(table(spark, d, "documents")))
+
+
+@query(
+    "op12_exact_dedup",
+    r"""WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY t ORDER BY doc_id NULLS LAST)""",
+)
+def _(spark, d):
+    return exact_dedup.exact_copies(table(spark, d, "documents"), digest_all=True)
+
+
+@query(
+    "op13_filter_audit",
+    r"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^ 	-]+') AS w FROM d),
+m AS (SELECT doc_id, part, (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+  + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+  + 16 * coalesce(doc_id IS DISTINCT FROM least AND (doc_id IS NULL OR doc_id > least), false)::INT AS mask FROM w),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS b),
+o AS (SELECT [f1.f, f2.f, f3.f, f4.f, f5.f] AS fs, [f1.b, f2.b, f3.b, f4.b, f5.b] AS bs FROM f f1, f f2, f f3, f f4, f f5
+  WHERE f1.b | f2.b | f3.b | f4.b | f5.b = 31),
+s AS (SELECT array_to_string(fs, '') AS filter_order, unnest([1, 2, 3, 4, 5]) AS step, unnest(bs) AS b,
+  unnest([0, bs[1], bs[1] + bs[2], bs[1] + bs[2] + bs[3], bs[1] + bs[2] + bs[3] + bs[4]]) AS p FROM o),
+x AS (SELECT part, filter_order, step, b, sum(n * ((mask & (b | p)) = 0)::INT)::BIGINT AS kept,
+  sum(n * (mask & b <> 0 AND mask & p = 0)::INT)::BIGINT AS removed,
+  sum(n * (mask & b <> 0 AND mask & p <> 0)::INT)::BIGINT AS redundant, sum(n * (mask = b)::INT)::BIGINT AS unique_fails,
+  sum(good * (mask & b <> 0 AND mask & p = 0)::INT)::BIGINT AS good_lost,
+  sum(toxic * (mask & b <> 0 AND mask & p = 0)::INT)::BIGINT AS toxic_lost FROM c, s GROUP BY ALL)
+SELECT * EXCLUDE (b), (sum(removed) OVER (PARTITION BY part, b))::BIGINT AS shapley FROM x""",
+)
+def _(spark, d):
+    masks = filter_audit.filter_masks(table(spark, d, "documents"))
+    return filter_audit.interaction_report(filter_audit.mask_counts(masks, table(spark, d, "labels")))
