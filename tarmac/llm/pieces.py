@@ -192,9 +192,9 @@ def encode(
     is compared in the task and left there. A null text gives null in all three, an empty one no tokens. Texts come
     back unchanged unless they hold the space marker itself, or the model's normaliser changes them;
     ``round_trip`` says so. Every task builds the tokenizer from the model file's content and works on slices of
-    a few megabytes (a longer text is a slice of its own): texts are normalised and split at spaces, parts not
-    met lately are encoded and decoded as batches with ``threads`` threads, and each text's tokens and decoded
-    text are put together from its parts.
+    a quarter of a megabyte (a longer text is a slice of its own): texts are normalised and split at spaces, parts
+    not met lately are encoded as batches with ``threads`` threads, and each text's tokens are put together from its
+    parts. The decoded text is made of each row's own ids alone, as the bytes that its tokens stand for.
     """
     short_batches(df.sparkSession)
     data = read_model(df.sparkSession, model_path)
@@ -219,10 +219,10 @@ def decode(df: DataFrame, model_path: str, ids: str = "token_ids", out: str = "t
 
 
 #: Different parts of texts that a task remembers with their tokens.
-REMEMBERED = 200_000
-#: Parts that are given to the library as one string, to be split there.
-JOINED = 128
-_SLICE_BYTES = 1 << 20
+REMEMBERED = 60_000
+#: Parts that are given to the library as one string, to be split there, and strings that are encoded at once.
+JOINED, STRINGS = 128, 64
+_SLICE_BYTES = 1 << 18
 
 
 def _threads(count: int) -> None:
@@ -232,7 +232,7 @@ def _threads(count: int) -> None:
 
 
 class _Parts:
-    """Token ids of the parts met so far. ``back`` has the decoded text of those that do not decode to themselves."""
+    """Token ids of the parts met so far."""
 
     def __init__(self, model: Model):
         from tokenizers import pre_tokenizers
@@ -247,12 +247,10 @@ class _Parts:
 
         self.number: dict[str, int] = {}
         self.ids, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
-        self.back: dict[int, str] = {}
 
     def forget(self, kept: int) -> None:
         """Forget all but the ``kept`` parts met first, among which are the most frequent ones."""
         self.number = {part: n for part, n in self.number.items() if n < kept}
-        self.back = {n: text for n, text in self.back.items() if n < kept}
         self.sizes = self.sizes[:kept].copy()
         self.ids = self.ids[: int(self.sizes.sum())].copy()
 
@@ -260,33 +258,55 @@ class _Parts:
         # a word behind one marker is a part of its own in any string, so such parts go in joined
         joins = {x: self.can_join and x[0] == MARK and x.rfind(MARK) == 0 for x in parts}
         words, others = [x for x in parts if joins[x]], [x for x in parts if not joins[x]]
-        groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
-        strings = ["".join(group) for group in groups]
-        coded = self.joined.encode_batch_fast(strings, add_special_tokens=False)
-        ids, sizes = [x.ids for x in coded], []
-        for own in ids:
+        strings = ["".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+        tokens, sizes = [self.ids], [self.sizes]
+        for own in self.encoded(self.joined, strings):
             starts = np.flatnonzero(self.opens[own])
+            tokens.append(own)
             sizes.append(np.diff(np.append(starts, len(own))))
-        whole = self.joined.decode_batch(ids, skip_special_tokens=False)
+        for own in self.encoded(self.single, others):
+            tokens.append(own)
+            sizes.append(np.array([len(own)], np.int64))
         known = len(self.number)
-        for n, (group, text) in enumerate(zip(groups, strings)):
-            if whole[n] != text.replace(MARK, " "):
-                ends = np.cumsum(sizes[n])
-                own = [ids[n][e - s : e] for e, s in zip(ends.tolist(), sizes[n].tolist())]
-                self.differ(group, own, known + n * JOINED)
-        apart = [x.ids for x in self.single.encode_batch_fast(others, add_special_tokens=False)]
-        self.differ(others, apart, known + len(words))
         self.number.update(zip(words + others, range(known, known + len(parts))))
-        every = [*ids, *apart]
-        total = sum(map(len, every))
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(every), np.int32, total)])
-        self.sizes = np.concatenate([self.sizes, *sizes, np.array([len(x) for x in apart], np.int64)])
+        self.ids, self.sizes = np.concatenate(tokens), np.concatenate(sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
-    def differ(self, parts: list[str], ids: list[list[int]], first: int) -> None:
-        for n, (part, back) in enumerate(zip(parts, self.single.decode_batch(ids, skip_special_tokens=False))):
-            if back != part.replace(MARK, " "):
-                self.back[first + n] = back
+    @staticmethod
+    def encoded(tokenizer, strings: list[str]) -> Iterator[np.ndarray]:
+        # the library's own record of a token takes many times the room of its id
+        for i in range(0, len(strings), STRINGS):
+            for coded in tokenizer.encode_batch_fast(strings[i : i + STRINGS], add_special_tokens=False):
+                yield np.array(coded.ids, np.int32)
+
+
+class _Surfaces:
+    """The bytes that each token stands for, to rebuild texts from the ids that are handed out."""
+
+    def __init__(self, model: Model):
+        spelled = [
+            bytes([int(text[3:-1], 16)]) if kind == BYTE else text.replace(MARK, " ").encode()
+            for text, _, kind in model.pieces
+        ]
+        self.sizes = np.array([len(x) for x in spelled], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(spelled), np.uint8)
+
+    def texts(self, ids: np.ndarray, offsets: np.ndarray) -> list[str | None]:
+        """The text of each row's ids; None where their bytes are no text."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        places = np.repeat(self.starts[ids] - (ends - sizes), sizes)
+        data = self.data[places + np.arange(len(places))].tobytes()
+        bounds = np.concatenate([[0], ends])[offsets].tolist()
+        return [_text(data[low:high]) for low, high in zip(bounds[:-1], bounds[1:])]
+
+
+def _text(data: bytes) -> str | None:
+    try:
+        return data.decode()
+    except UnicodeDecodeError:
+        return None
 
 
 class _Coder:
@@ -296,7 +316,7 @@ class _Coder:
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _threads(self.threads)
         model = parse_model(self.data)
-        normalizer, memory = build_normalizer(model), _Parts(model)
+        normalizer, memory, surfaces = build_normalizer(model), _Parts(model), _Surfaces(model)
         plain = not model.charsmap and not model.single_spaces
         lead = MARK if model.dummy_prefix else ""
         split = _split(model)
@@ -317,20 +337,13 @@ class _Coder:
                 if new:
                     memory.learn(new)
                 places = np.fromiter(map(memory.number.__getitem__, every), np.int64, len(every))
-                sizes = memory.sizes[places]
-                ends = np.cumsum(sizes)
-                tokens = np.arange(ends[-1] if len(ends) else 0)
-                values = memory.ids[np.repeat(memory.starts[places] - (ends - sizes), sizes) + tokens] if len(every) else memory.ids[:0]
                 first = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
-                offsets = np.concatenate([[0], ends])[first].astype(np.int32)
-                back = [x.replace(MARK, " ") for x in marked]
-                if memory.back:
-                    changed = np.flatnonzero(np.isin(places, list(memory.back)))
-                    for row in np.unique(np.searchsorted(first, changed, side="right") - 1).tolist():
-                        numbers = places[first[row] : first[row + 1]].tolist()
-                        back[row] = "".join(
-                            memory.back.get(n, part.replace(MARK, " ")) for n, part in zip(numbers, parts[row])
-                        )
+                values, offsets = self.tokens(memory, places, first)
+                # decoded from what goes out, not from what came in
+                back = surfaces.texts(values, offsets)
+                for row in [n for n, x in enumerate(back) if x is None]:
+                    own = values[offsets[row] : offsets[row + 1]].tolist()
+                    back[row] = memory.single.decode(own, skip_special_tokens=False)
                 if model.dummy_prefix:
                     back = [x.removeprefix(" ") for x in back]
                 null = np.fromiter((x is None for x in texts), bool, len(texts))
@@ -344,9 +357,19 @@ class _Coder:
                 if self.with_decoded:
                     columns["_back"] = pa.array(back, pa.string(), mask=null)
                 yield pa.record_batch(columns)
-        del memory, normalizer
+        del memory, normalizer, surfaces, model
         release_memory()
 
+    @staticmethod
+    def tokens(memory: _Parts, places: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all rows, and where each row's begin, from the numbers of the parts."""
+        if not len(places):
+            return memory.ids[:0], np.zeros(len(first), np.int32)
+        sizes = memory.sizes[places]
+        ends = np.cumsum(sizes)
+        values = memory.ids[np.repeat(memory.starts[places] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        return values, np.concatenate([[0], ends])[first].astype(np.int32)
+
 
 def _split(model: Model):
     """Function that cuts a normalised text into its independent parts."""

@@ -97,6 +97,28 @@ def test_odd_rows(odd):
     assert all(r.text == r.decoded for r in decoded)
 
 
+@pytest.mark.parametrize("wrong", ["reversed", "shifted", "next row"])
+def test_wrong_ids_do_not_come_back(monkeypatch, wrong):
+    import pyarrow as pa
+
+    right = pieces._Coder.tokens
+
+    def tokens(memory, places, first):
+        values, offsets = right(memory, places, first)
+        if wrong == "next row":
+            return values, offsets[[0, *range(2, len(offsets)), len(offsets) - 1]]
+        return values[::-1] if wrong == "reversed" else values[[*range(1, len(values)), 0]], offsets
+
+    texts = [prose(i, 20) for i in range(8)]
+    batch = pa.record_batch([pa.StructArray.from_arrays([pa.array(texts)], names=["text"])], names=["_row"])
+    coder = pieces._Coder(open(PIECES, "rb").read(), 1, 0, True)
+    same = [x for out in coder(iter([batch])) for x in out.column("_same").to_pylist()]
+    assert all(same)
+    monkeypatch.setattr(pieces._Coder, "tokens", staticmethod(tokens))
+    out = pa.Table.from_batches(list(coder(iter([batch]))))
+    assert not any(out["_same"].to_pylist()) and not set(out["_back"].to_pylist()) & {texts[0]}
+
+
 def test_many_parts_are_forgotten(spark, monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED", 10)
     texts = [prose(i, 30) for i in range(20)]
