@@ -3,6 +3,7 @@ import re
 
 import pytest
 from conftest import WORDS, prose
+from pyspark.sql import functions as F
 
 from tarmac.llm import decontaminate
 from tarmac.llm.queries import QUERIES
@@ -66,10 +67,14 @@ def test_recall_and_exactness(spark):
 def test_case_and_punctuation(spark):
     item = "One two three, four five six -- seven eight NINE ten."
     docs = [(1, "x\tONE two\nthree four 'five' six seven; eight nine ten y"), (2, "one two three four"), (3, item)]
-    found = decontaminate.contaminated(
-        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, item), (8, "one two"), (9, None)], "item_id long, text string")
-    ).collect()
+    items = spark.createDataFrame([(7, item), (8, "one two"), (9, None), (10, "..."), (11, "Ten")], "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontaminate.contaminated(df, items, min_words=8).collect()
     assert sorted((r.doc_id, r.item_id, r.edits) for r in found) == [(1, 7, 0), (3, 7, 0)]
+    # short items are looked up whole
+    found = {(r.doc_id, r.item_id, r.edits, r.word_start) for r in decontaminate.contaminated(df, items).collect()}
+    assert found == {(1, 7, 0, 1), (3, 7, 0, 0), (1, 8, 0, 1), (2, 8, 0, 0), (3, 8, 0, 0), (1, 11, 0, 10), (3, 11, 0, 9)}
+    assert [r.doc_id for r in decontaminate.drop_contaminated(df, items).collect()] == [2]
 
 
 def test_blocks_of_items(spark, monkeypatch):
@@ -86,8 +91,11 @@ def test_odd_rows(spark, odd):
     items = spark.createDataFrame([(1, prose(4, 90)), (2, prose(1, 60_000)), (2, prose(1, 60_000))], "item_id long, text string")
     found = decontaminate.contaminated(odd, items.where("item_id = 1")).collect()
     assert [(r.doc_id, r.item_id, r.edits) for r in found] == [(None, 1, 0)]
-    kept = decontaminate.drop_contaminated(odd, items.where("item_id = 1"))
-    assert kept.columns == odd.columns and kept.count() == odd.count() - 1
+    named = odd
+    for name in ("_row", "row", "own", "key", "cell", "met", "item_id", "_id", "_item", "_text", "hash"):
+        named = named.withColumn(name, F.lit(1))
+    kept = decontaminate.drop_contaminated(named, items.where("item_id = 1"))
+    assert kept.columns == named.columns and kept.count() == odd.count() - 1
     assert decontaminate.contaminated(odd.limit(0), items.where("item_id = 1")).count() == 0
     assert decontaminate.contaminated(odd, items.limit(0)).count() == 0
     assert decontaminate.drop_contaminated(odd, items.limit(0)).count() == odd.count()
@@ -115,22 +123,62 @@ def clustered(draw, item, edits, where):
     return " ".join(w[:at] + (new if kind else []) + w[at + (0 if kind == 2 else edits) :])
 
 
-def test_every_match_wherever_the_edits_lie(spark):
+def pieces_meet(item, text, edits):
+    """Exact reference: an item with k edits keeps one of k + 1 pieces whole."""
+    length = len(item) // (edits + 1)
+    grams = {tuple(text[j : j + length]) for j in range(len(text) - length + 1)}
+    return any(tuple(item[p * length : (p + 1) * length]) in grams for p in range(edits + 1))
+
+
+def test_recall_of_every_size_wherever_the_edits_lie(spark):
     draw = random.Random(11)
-    items = [(i, prose(2000 + i, draw.choice([8, 10, 16, 19, 20, 31, 40, 59, 64, 100, 130]))) for i in range(60)]
+    sizes, places = [8, 10, 15, 20, 29, 40, 59, 100], ["start", "middle", "end", "any"]
+    items = [(i, prose(2000 + i, size)) for i, size in enumerate(sizes * 6)]
     docs, planted = [], {}
-    for d in range(450):
-        i, item = draw.choice(items)
-        changed = clustered(draw, item, len(item.split()) // 10, ["start", "middle", "end"][d % 3])
+    for d in range(len(items) * 32):
+        i, item = items[d % len(items)]
+        where = places[d // len(items) % 4]
+        edits = len(item.split()) // 10
+        changed = edited(draw, item, edits) if where == "any" else clustered(draw, item, edits, where)
         # every other text begins or ends with the item
         docs.append((d, f"{prose(d, draw.choice([0, 50]))}. {changed}\n{prose(7000 + d, draw.choice([0, 50]))}"))
-        planted[d] = i
+        planted[d] = i, len(item.split()), where
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     found = decontaminate.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()
     got, texts, by_item = {(r.doc_id, r.item_id): (r.edits, r.word_start) for r in found}, dict(docs), dict(items)
     assert len(got) == len(found)
-    for d, i in planted.items():
-        assert got[d, i] == best(words(by_item[i]), words(texts[d]))
+    seen = {}
+    for d, (i, size, where) in planted.items():
+        item, text = words(by_item[i]), words(texts[d])
+        assert pieces_meet(item, text, size // 10)
+        if (d, i) in got:
+            assert got[d, i] == best(item, text)
+        seen.setdefault((size, where), []).append((d, i) in got)
+    assert len(seen) == 32 and all(len(x) == 48 for x in seen.values())
+    assert {k: sum(x) / 48 for k, x in seen.items() if sum(x) < 0.95 * 48} == {}
+
+
+def test_simulated_recall():
+    size, rounds = decontaminate.sampling_plan(15, 1, 0.97, 4)
+    assert size == 4 and 1 <= rounds <= decontaminate.MAX_REPETITIONS
+    assert decontaminate.sampling_plan(15, 1, 0.5, 4)[1] <= rounds
+    # dense edits take smaller samples, and a large item those of one of the simulated size
+    assert decontaminate.sampling_plan(16, 5, 0.97, 4)[0] < 4
+    assert decontaminate.sampling_plan(60_000, 6_000, 0.97, 4) == decontaminate.sampling_plan(1000, 100, 0.97, 4)
+
+
+def test_walk_samples_stay_in_their_text():
+    import numpy as np
+
+    hashes = np.random.default_rng(1).integers(0, 1 << 63, 60, np.int64).view(np.uint64)
+    walk, end = decontaminate._Walk(0), np.repeat([20, 25, 60], [20, 5, 35])
+    together = list(walk.samples(hashes, end, 4))
+    for low, high in ((0, 20), (20, 25), (25, 60)):
+        alone = walk.samples(hashes[low:high], np.full(high - low, high - low), 4)
+        for (code, inside), (own, there) in zip(together, alone):
+            assert (inside[low:high] == there).all() and (code[low:high][there] == own[there]).all()
+    onward = walk.onward(hashes)
+    assert ((onward > np.arange(60)) & (onward <= np.arange(60) + decontaminate.PERIOD) | (onward == 60)).all()
 
 
 def test_places_are_verified_in_parts(spark, monkeypatch):
@@ -156,8 +204,9 @@ def test_many_edits_and_short_items(spark):
     wanted = spark.createDataFrame(items, "item_id long, text string")
     found = decontaminate.contaminated(df, wanted, max_edit_share=0.3, recall=0.999).collect()
     got = {(r.doc_id, r.item_id): (r.edits, r.word_start) for r in found}
+    assert sum((d, i) in got for d, i in planted.items()) >= 0.98 * len(planted)
     for d, i in planted.items():
-        assert got[d, i] == best(words(by_item[i]), words(texts[d]))
+        assert (d, i) not in got or got[d, i] == best(words(by_item[i]), words(texts[d]))
     for share in (-0.1, 1.0):
         with pytest.raises(ValueError):
             decontaminate.contaminated(df, wanted, max_edit_share=share)
