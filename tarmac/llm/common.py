@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 FILTER_CELLS = 1 << 20
 #: Rows of texts in an Arrow batch.
 BATCH_ROWS = 1000
+#: Bytes of an Arrow batch; a longer row is a batch of its own.
+BATCH_BYTES = 4 << 20
 #: Bytes of text that a task's Python code works on at a time; a longer text is worked on alone.
 CHUNK_BYTES = 1 << 20
 
@@ -24,11 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def short_batches(spark: SparkSession) -> None:
-    """Let no more than ``BATCH_ROWS`` rows travel to Python at once: the default of 10,000 whole texts takes tens of
-    megabytes several times over in each task. A smaller setting of the session stays."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
+    """Let no more than ``BATCH_ROWS`` rows or ``BATCH_BYTES`` bytes travel to Python at once: the default of 10,000
+    whole texts takes tens of megabytes several times over in each task. Spark reads these settings when a job starts, so
+    they stay with the session; smaller ones that it has already stay as they are."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        known = re.fullmatch(r"(\d+)b?", spark.conf.get(name, "0"))
+        if not known or not 0 < int(known[1]) <= most:
+            spark.conf.set(name, str(most))
 
 
 def release_memory() -> None:
