@@ -24,9 +24,9 @@ FIRST_DEPTH = 32
 #: Bytes by which a heavy prefix grows beyond what all its texts share.
 STEP = 32
 #: A prefix is heavy if its texts have more bytes than this and than the corpus over ``HEAVY_RANGES``.
-HEAVY_BYTES = 32 << 20
+HEAVY_BYTES = 4 << 20
 #: Most heavy prefixes of one depth, and so of what one round fetches.
-HEAVY_RANGES = 1024
+HEAVY_RANGES = 4096
 #: Bytes of text that a task's trie holds before it is read out.
 TRIE_BYTES = 8 << 20
 
