@@ -32,7 +32,7 @@ def short_batches(spark: SparkSession) -> None:
     they stay with the session; smaller ones that it has already stay as they are."""
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         name = f"spark.sql.execution.arrow.{name}"
-        known = re.fullmatch(r"(\d+)b?", spark.conf.get(name, "0"))
+        known = re.fullmatch(r"(\d+)b?", spark.conf.get(name))
         if not known or not 0 < int(known[1]) <= most:
             spark.conf.set(name, str(most))
 
