@@ -34,7 +34,9 @@ HEADLINE = [
     "oversample",
     "kfold_after_oversample",
     "smote",
+    "smote_tiled",
     "knn_join",
+    "knn_join_tiled",
     "histogram",
     "box_stats_by_group",
     "kde",

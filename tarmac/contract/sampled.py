@@ -192,9 +192,7 @@ def _(spark, d):
 _U = "('0x' || substr(md5('rare' || '|' || slot || '|{tag}|42'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE"
 
 
-@query(
-    "smote",
-    f"""WITH {_SKEWED},
+_SMOTE = f"""WITH {_SKEWED},
 src AS (SELECT event_id, kind, value, (event_id * 7 % 101)::DOUBLE AS wave FROM sk),
 rare AS (SELECT *, {_rank()} AS rn FROM src WHERE kind = 'rare'),
 n AS (SELECT count(*) FILTER (kind = 'rare') AS a, count(*) FILTER (kind = 'common') AS b FROM src),
@@ -208,13 +206,22 @@ SELECT event_id, kind, {sr('value')} AS value, {sr('wave')} AS wave, FALSE AS is
 SELECT x.event_id, x.kind, {sr('x.value + u * (y.value - x.value)')} AS value,
        {sr('x.wave + u * (y.wave - x.wave)')} AS wave, TRUE AS is_synthetic
 FROM dr JOIN rare x ON dr.pick = x.rn JOIN nn ON nn.base = x.event_id AND nn.k = dr.nk
-     JOIN rare y ON y.event_id = nn.other""",
-)
+     JOIN rare y ON y.event_id = nn.other"""
+
+
+@query("smote", _SMOTE)
 def _(spark, d):
     src = _rare(spark, d).withColumn("wave", (F.col("event_id") * 7 % 101).cast("double"))
     return rounded_table(balance.smote(src, "kind", "event_id"))
 
 
+@query("smote_tiled", _SMOTE)
+def _(spark, d):
+    # the pivot tree in place of a broadcast minority
+    src = _rare(spark, d).withColumn("wave", (F.col("event_id") * 7 % 101).cast("double"))
+    return rounded_table(balance.smote(src, "kind", "event_id", broadcast_cells=500, tile_rows=64))
+
+
 # --- neighbours -------------------------------------------------------------------------------
 
 _EMB = "emb AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings)"
@@ -256,6 +263,23 @@ def _(spark, d):
     return rounded_table(knn.knn_graph(table(spark, d, "customer"), _CUSTOMERS, "c_custkey"))
 
 
+@query(
+    "knn_join_tiled",
+    f"""WITH c AS (SELECT c_custkey AS k, c_acctbal::DOUBLE / 1000 AS x, c_nationkey::DOUBLE / 4 AS y,
+  (c_custkey * 7919 % 1009)::DOUBLE / 200 AS z FROM customer),
+p AS (SELECT a.k, b.k AS neighbor, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) AS dist
+  FROM c a JOIN c b ON a.k <> b.k)
+SELECT k AS c_custkey, neighbor, rank::INTEGER AS rank, {sr('dist')} AS dist FROM (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY dist, neighbor) AS rank FROM p) WHERE rank <= 5""",
+)
+def _(spark, d):
+    x, y = F.col("c_acctbal").cast("double") / 1000, F.col("c_nationkey").cast("double") / 4
+    z = (F.col("c_custkey") * 7919 % 1009).cast("double") / 200
+    v = table(spark, d, "customer").select("c_custkey", F.array(x, y, z).alias("features"))
+    tree = {"broadcast_cells": 4000, "tile_rows": 256}
+    return rounded_table(knn.knn_join(v, v, 5, "c_custkey", "c_custkey", exclude_self=True, **tree))
+
+
 _EMB_SPLIT = f"""{_EMB},
 sp AS (SELECT *, rn <= ceil(n * 0.2::DOUBLE) AS is_test FROM
   (SELECT *, {_rank(key='vec_id')} AS rn, count(*) OVER () AS n FROM emb)),

@@ -1,21 +1,22 @@
 """Exact k nearest neighbours by Euclidean distance.
 
 A base that is proven small is broadcast and each task of queries is compared with it in blocks.
-A larger base is cut into tiles: rows go to their nearest pivot, then to a distance ring around it,
-and rings above ``tile_rows`` are split by key digest, so a dense spot never lands in one task.
-Each query searches its own tile first. The distance found there bounds the answer, and the triangle
-inequality rules out every ring that lies further away; only the remaining tiles are searched.
-Copies of one point collapse to the few that can appear in an answer. Distance ties go to the
-smaller key.
+A larger base is indexed by a tree of pivots: a node that holds more than ``tile_rows`` keys is split among pivots
+drawn from it, level by level, until every leaf is small. So the tree grows with the base, and a leaf holds rows that
+lie close together. Every node has the box of its rows. The farthest corner of a box with k rows bounds a query's
+answer; leaves whose box lies within the bound are visited in the order of their distance, a few first, and
+the distances found tighten the bound for the next ones. Copies of one point collapse to the few keys that can
+appear in an answer. Distance ties go to the smaller key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions.columns import require_columns
@@ -24,9 +25,14 @@ from tarmac.session import materialize
 
 #: Numbers (rows x dimensions) a broadcast base may hold: 16 MB of doubles.
 BROADCAST_CELLS = 2_000_000
-TILE_ROWS = 4096
-MAX_PIVOTS = 256
-RINGS = 8
+#: Keys of a leaf of the pivot tree, and queries that meet one copy of a leaf.
+TILE_ROWS = 1024
+#: Pivots of a node, one hexadecimal digit of its children's names.
+FANOUT = 16
+#: Queries that meet one copy of a part of a tree that is too large to broadcast.
+DOOR_QUERIES = 100_000
+#: Leaves that a query visits with bounds tightened in between; the ones left within the last bound follow at once.
+VISITS = (1, 4)
 
 
 def vector(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
@@ -39,16 +45,6 @@ def _matrix(series: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype="float64") for v in series]) if len(series) else np.empty((0, 0))
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """All distances of a block, from explicit differences."""
-    out = np.empty((len(a), len(b)))
-    step = max(1, 4_000_000 // max(1, b.size))
-    for i in range(0, len(a), step):
-        gap = a[i : i + step, None, :] - b[None, :, :]
-        out[i : i + step] = np.sqrt((gap * gap).sum(axis=2))
-    return out
-
-
 def nearest_in_block(
     queries: np.ndarray, base: np.ndarray, base_keys: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -98,7 +94,8 @@ def knn_join(
     """``(query_key, neighbor, rank, dist)`` with rank 1 the nearest.
 
     Keys must be unique and integers or strings. ``exclude_self`` leaves out the base row whose key
-    equals the query's.
+    equals the query's. A base of more than ``broadcast_cells`` numbers goes into a pivot tree with leaves of
+    ``tile_rows`` keys.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -116,7 +113,7 @@ def knn_join(
     elif n * dim <= broadcast_cells:
         found = _against_broadcast(q, b, want, schema)
     else:
-        found = _by_tiles(q, b, want, n, tile_rows, schema)
+        found = PivotTree.build(b, dim, tile_rows, broadcast_cells).nearest(q, want, schema)
     if exclude_self:
         found = found.where(F.col("qk") != F.col("bk"))
     order = Window.partitionBy("qk").orderBy("dist", "bk")
@@ -143,112 +140,280 @@ def _against_broadcast(q: DataFrame, b: DataFrame, k: int, schema: str) -> DataF
     return q.repartition(tasks, "qk").mapInPandas(search, schema)
 
 
-def _by_tiles(q: DataFrame, b: DataFrame, k: int, n: int, tile_rows: int, schema: str) -> DataFrame:
-    spark = q.sparkSession
-    count = int(min(MAX_PIVOTS, max(2, -(-n // tile_rows))))
-    chosen = b.orderBy(hash_key(["bk"], 7), "bk").limit(count).select("bv").toPandas()
-    pivots = spark.sparkContext.broadcast(_matrix(chosen["bv"]))
-
-    @F.pandas_udf("cell int, reach double")
-    def assign(v: pd.Series) -> pd.DataFrame:
-        if not len(v):
-            return pd.DataFrame({"cell": pd.Series(dtype="int32"), "reach": pd.Series(dtype="float64")})
-        d = _distances(_matrix(v), pivots.value)
-        cell = d.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "reach": d[np.arange(len(d)), cell]})
-
-    placed = materialize(b.withColumn("a", assign("bv")).select("bk", "bv", "a.cell", "a.reach"))
-    extent = placed.groupBy("cell").agg(F.max("reach").alias("top"))
-    ringed = placed.join(F.broadcast(extent), "cell").withColumn(
-        "ring",
-        F.when(
-            F.col("top") > 0, F.least(F.floor(F.col("reach") / F.col("top") * RINGS), F.lit(RINGS - 1))
-        )
-        .otherwise(F.lit(0))
-        .cast("int"),
-    )
-    # at most MAX_PIVOTS x RINGS rows
-    rings = (
-        ringed.groupBy("cell", "ring")
-        .agg(F.min("reach").alias("low"), F.max("reach").alias("high"), F.count(F.lit(1)).alias("n"))
-        .withColumn("salts", F.ceil(F.col("n") / F.lit(tile_rows)).cast("int"))
-        .orderBy("cell", "ring")
-        .toPandas()
-    )
-    rings["ring_id"] = np.arange(len(rings), dtype="int32")
-    ring_table = F.broadcast(
-        spark.createDataFrame(rings[["cell", "ring", "ring_id", "salts"]], "cell int, ring int, ring_id int, salts int")
-    )
-    tiles = ringed.join(ring_table, ["cell", "ring"]).select(
-        "bk", "bv", "ring_id", F.pmod(F.xxhash64("bk"), F.col("salts")).cast("int").alias("salt")
-    )
-    meta = spark.sparkContext.broadcast(
-        {c: rings[c].to_numpy() for c in ("cell", "low", "high", "n", "salts")}
-    )
-
-    def lower_bounds(points: np.ndarray) -> np.ndarray:
-        m = meta.value
-        d = _distances(points, pivots.value)[:, m["cell"]]
-        return np.maximum(0.0, np.maximum(d - m["high"], m["low"] - d))
+def _squares(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
 
-    def home(batches):
-        m = meta.value
-        # a ring whose tiles hold fewer than k rows gives no bound; avoid it where possible
-        thin = (m["n"] / m["salts"] < 2 * k).astype("float64")
-        for pdf in batches:
-            if len(pdf):
-                bound = lower_bounds(_matrix(pdf["qv"]))
-                pick = np.lexsort(
-                    (np.broadcast_to(-m["n"], bound.shape), bound, np.broadcast_to(thin, bound.shape)), axis=1
-                )[:, 0]
-                yield pdf.assign(ring_id=pick.astype("int32"), salt=np.int32(0))
-
-    key = _key_type(q, "qk")
-    q_schema = f"qk {key}, qv array<double>, ring_id int, salt int"
-    at_home = materialize(q.mapInPandas(home, q_schema))
-    near = materialize(_probe(at_home, tiles, k, tile_rows, schema))
-    bound = near.groupBy("qk").agg(
-        F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("theta")
-    )
 
-    def others(batches):
-        m = meta.value
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            low = lower_bounds(_matrix(pdf["qv"]))
-            theta = pdf["theta"].fillna(np.inf).to_numpy()
-            i, ring = np.nonzero(low <= (theta * (1 + 1e-9) + 1e-12)[:, None])
-            out = pdf.iloc[i][["qk", "qv"]].assign(
-                ring_id=ring.astype("int32"), home=pdf["ring_id"].to_numpy()[i].astype("int32")
-            )
-            yield out.assign(salts=m["salts"][ring].astype("int32"))
-
-    more = (
-        at_home.join(bound, "qk", "left")
-        .select("qk", "qv", "ring_id", "theta")
-        .mapInPandas(others, f"qk {key}, qv array<double>, ring_id int, home int, salts int")
-        .withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)")))
-        .where((F.col("ring_id") != F.col("home")) | (F.col("salt") != 0))
-        .select("qk", "qv", "ring_id", "salt")
-    )
-    return near.unionByName(_probe(more, tiles, k, tile_rows, schema))
+@dataclass
+class PivotTree:
+    """Base points in the leaves of a tree of pivots.
 
+    points: ``leaf``, ``bv``, ``bks`` (keys of the point in order). nodes: ``node`` (one hexadecimal digit for each
+    level, the root's name is empty), ``leaf`` (boolean), ``n`` (keys), ``low`` and ``high`` (box).
+    """
 
-def _probe(asked: DataFrame, tiles: DataFrame, k: int, block: int, schema: str) -> DataFrame:
-    """Search each (query, tile) pair; at most ``block`` queries meet one copy of a tile."""
-    wanted = (
-        asked.groupBy("ring_id", "salt")
-        .agg(F.count(F.lit(1)).alias("asked"))
-        .withColumn("blocks", F.ceil(F.col("asked") / F.lit(block)).cast("int"))
-        .drop("asked")
-    )
-    left = asked.join(wanted, ["ring_id", "salt"]).withColumn(
-        "block", F.pmod(F.xxhash64("qk"), F.col("blocks")).cast("int")
-    )
-    right = tiles.join(wanted, ["ring_id", "salt"]).withColumn(
-        "block", F.explode(F.expr("sequence(0, blocks - 1)"))
-    )
+    points: DataFrame
+    nodes: DataFrame
+    tile_rows: int
+    broadcast_cells: int
+
+    @classmethod
+    def build(cls, b: DataFrame, dim: int, tile_rows: int, broadcast_cells: int) -> PivotTree:
+        """Split nodes of more than ``tile_rows`` keys until there are none, a level in each round.
+
+        Pivots are drawn by a digest of the points, about ``4 * FANOUT`` of each node of which ``FANOUT`` are taken, so
+        no node is ranked whole. A round reads the rows of nodes still to be split only."""
+        points = b.groupBy("bv").agg(F.array_sort(F.collect_list("bk")).alias("bks"))
+        open_ = materialize(points.withColumn("leaf", F.lit("")))
+        settled = None
+        level = 0
+        while True:
+            sizes = open_.groupBy("leaf").agg(F.sum(F.size("bks")).alias("n"), F.count(F.lit(1)).alias("points"))
+            sizes = materialize(sizes)
+            large = (F.col("n") > tile_rows) & (F.col("points") > 1)
+            small = open_.join(sizes.where(~large).select("leaf"), "leaf", "left_semi")
+            settled = small if settled is None else settled.unionByName(small)
+            if sizes.where(large).isEmpty():
+                break
+            rows = open_.join(sizes.where(large).select("leaf", "points"), "leaf")
+            draw = hash_key([F.col("bv").cast("string")], level)
+            share = F.conv(F.substring(draw, 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
+            first = Window.partitionBy("leaf").orderBy("draw", "bv")
+            drawn = rows.where(share * F.col("points") < 4 * FANOUT).select("leaf", "bv", draw.alias("draw"))
+            pivots = (
+                drawn.withColumn("place", F.row_number().over(first))
+                .where(F.col("place") <= FANOUT)
+                .groupBy("leaf")
+                .agg(F.sort_array(F.collect_list("bv")).alias("pivots"))
+            )
+            pivots = materialize(pivots)
+            if pivots.count() * FANOUT * dim <= broadcast_cells:
+                pivots = F.broadcast(pivots)
+            near = F.transform("pivots", lambda p, i: F.struct(_squares(p, F.col("bv")).alias("d"), i.alias("i")))
+            child = F.concat("leaf", F.lower(F.hex(F.array_min(near)["i"])))
+            # a node of which nothing was drawn is tried again in the next round, with other digests
+            open_ = materialize(
+                rows.drop("points").join(pivots, "leaf", "left")
+                .select("bv", "bks", F.coalesce(child, "leaf").alias("leaf"))
+            )
+            level += 1
+        settled = materialize(settled)
+        box = [*[F.min(F.col("bv")[i]).alias(f"l{i}") for i in range(dim)], *[F.max(F.col("bv")[i]).alias(f"h{i}") for i in range(dim)]]
+        leaves = materialize(
+            settled.groupBy("leaf").agg(F.sum(F.size("bks")).alias("n"), *box)
+            .select("leaf", "n", F.array(*[f"l{i}" for i in range(dim)]).alias("low"), F.array(*[f"h{i}" for i in range(dim)]).alias("high"))
+        )
+        above = leaves.select("n", "low", "high", F.explode(
+            F.transform(F.sequence(F.lit(0), F.length("leaf")), lambda i: F.struct(F.substring("leaf", F.lit(1), i).alias("node"), (i == F.length("leaf")).alias("leaf")))
+        ).alias("at"))
+        nodes = above.groupBy("at.node", "at.leaf").agg(
+            F.sum("n").alias("n"),
+            F.array(*[F.min(F.col("low")[i]) for i in range(dim)]).alias("low"),
+            F.array(*[F.max(F.col("high")[i]) for i in range(dim)]).alias("high"),
+        )
+        return cls(settled, materialize(nodes), tile_rows, broadcast_cells)
+
+    def nearest(self, q: DataFrame, k: int, schema: str) -> DataFrame:
+        """``(qk, bk, dist)``: the k nearest and possibly some more."""
+        found, _ = self.search(q, k, schema)
+        return found
+
+    def search(self, q: DataFrame, k: int, schema: str) -> tuple[DataFrame, list[DataFrame]]:
+        """The answer, and the ``(qk, leaf)`` visits of each round."""
+        search = _Search(self, k)
+        asked = materialize(search.bounds(q))
+        visits, best = [], None
+        for most in (*VISITS, None):
+            listed = materialize(search.leaves(asked, most))
+            visits.append(listed)
+            new = _probe(listed.select("qk", "qv", "leaf"), self.points, k, self.tile_rows, schema)
+            best = new if best is None else best.unionByName(new)
+            order = Window.partitionBy("qk").orderBy("dist", "bk")
+            best = materialize(best.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place"))
+            if most is None:
+                break
+            known = best.groupBy("qk").agg(F.when(F.count(F.lit(1)) >= k, F.max("dist")).alias("far"))
+            been = listed.groupBy("qk").agg(F.count(F.lit(1)).alias("more"))
+            asked = materialize(
+                asked.join(known, "qk", "left").join(been, "qk", "left").select(
+                    "qk", "qv", F.coalesce(F.least("theta", "far"), "theta").alias("theta"),
+                    (F.col("seen") + F.coalesce("more", F.lit(0))).alias("seen"),
+                )
+            )
+        return best, visits
+
+
+class _Nodes:
+    """Nodes of a tree, or of a part of it, as arrays in the order of levels; children stand side by side."""
+
+    def __init__(self, rows: pd.DataFrame):
+        rows = rows.assign(depth=rows["node"].str.len()).sort_values(["depth", "node"])
+        names = rows["node"].tolist()
+        self.names = np.array(names, dtype=object)
+        self.low, self.high = _matrix(rows["low"]), _matrix(rows["high"])
+        self.n, self.leaf = rows["n"].to_numpy(), rows["leaf"].to_numpy(bool)
+        at = {name: i for i, name in enumerate(names)}
+        self.first, self.count = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        for i, name in enumerate(names):
+            above = at.get(name[:-1]) if i else None
+            if above is not None:
+                self.first[above] = i if not self.count[above] else self.first[above]
+                self.count[above] += 1
+
+    def bound(self, points: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        gap = np.maximum(np.maximum(self.low[nodes] - points, points - self.high[nodes]), 0.0)
+        return np.sqrt((gap * gap).sum(axis=-1))
+
+    def reach(self, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """A distance within which each point has k keys or all there are, and the node that says so."""
+        at = np.zeros(len(points), np.int64)
+        moving = np.arange(len(points))
+        while len(moving):
+            mine = moving[self.count[at[moving]] > 0]
+            pair, child = self._children(at[mine])
+            bound = np.where(self.n[child] >= k, self.bound(points[mine[pair]], child), np.inf)
+            order = np.lexsort((child, bound, pair))
+            best = order[np.unique(pair[order], return_index=True)[1]]
+            best = best[bound[best] < np.inf]
+            moving = mine[pair[best]]
+            at[moving] = child[best]
+        far = np.maximum(np.abs(points - self.low[at]), np.abs(points - self.high[at]))
+        return np.where(self.n[at] >= k, np.sqrt((far * far).sum(axis=1)), np.inf), at
+
+    def _children(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        many = self.count[nodes]
+        pair = np.repeat(np.arange(len(nodes)), many)
+        return pair, self.first[nodes][pair] + np.arange(len(pair)) - np.repeat(np.cumsum(many) - many, many)
+
+    def within(self, points: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Point, node and bound of all ends of the tree whose box lies within the points' distances."""
+        limit = theta * (1 + 1e-9) + 1e-12
+        out = []
+        i, node = np.arange(len(points)), np.zeros(len(points), np.int64)
+        bound = self.bound(points, node)
+        while len(i):
+            end = self.count[node] == 0
+            out.append((i[end], node[end], bound[end]))
+            pair, child = self._children(node[~end])
+            i = i[~end][pair]
+            bound = self.bound(points[i], child)
+            near = bound <= limit[i]
+            i, node, bound = i[near], child[near], bound[near]
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+
+class _Search:
+    """Bounds and leaves of queries. Of a tree that is too large to broadcast, the upper levels are; the queries that
+    reach one of their ends meet the part below it in the task of that end."""
+
+    def __init__(self, tree: PivotTree, k: int):
+        self.k, nodes = k, tree.nodes
+        depths = nodes.groupBy(F.length("node").alias("depth")).agg(F.count(F.lit(1)).alias("n")).orderBy("depth").collect()
+        dim = len(nodes.first()["low"])
+        total, self.depth = 0, 0
+        for r in depths:
+            total += r["n"]
+            if total * dim * 2 <= tree.broadcast_cells or r["depth"] == 0:
+                self.depth = r["depth"]
+            else:
+                break
+        self.whole = self.depth == depths[-1]["depth"]
+        top = _Nodes(nodes.where(F.length("node") <= self.depth).toPandas())
+        self.top = nodes.sparkSession.sparkContext.broadcast(top)
+        self.below = nodes.where(F.length("node") >= self.depth).withColumn("door", F.substring("node", F.lit(1), F.lit(self.depth)))
+        self.most_cells = 4_000_000
+
+    def bounds(self, q: DataFrame) -> DataFrame:
+        """``qk``, ``qv``, ``theta`` (a bound of the answer's distances) and ``seen`` (0)."""
+        top, k, whole = self.top, self.k, self.whole
+        key = dict(q.dtypes)["qk"]
+
+        def rough(batches):
+            for pdf in batches:
+                if len(pdf):
+                    theta, at = top.value.reach(_matrix(pdf["qv"]), k)
+                    yield pdf.assign(theta=theta, door=top.value.names[at])
+
+        found = q.mapInPandas(rough, f"qk {key}, qv array<double>, theta double, door string")
+        if not whole:
+            # the part below the end that the query came to says more
+            def finer(asked: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
+                if len(asked) and len(nodes):
+                    theta, _ = _Nodes(nodes).reach(_matrix(asked["qv"]), k)
+                    asked = asked.assign(theta=np.minimum(asked["theta"], theta))
+                return asked[["qk", "qv", "theta"]]
+
+            asked, nodes = _in_blocks(materialize(found), self.below, "door", DOOR_QUERIES)
+            found = asked.cogroup(nodes).applyInPandas(finer, f"qk {key}, qv array<double>, theta double")
+        return found.select("qk", "qv", "theta", F.lit(0).cast("long").alias("seen"))
+
+    def leaves(self, asked: DataFrame, most: int | None) -> DataFrame:
+        """``qk``, ``qv``, ``leaf``: the ``most`` nearest leaves within ``theta`` but for the ``seen`` nearest ones;
+        at first as many as hold k keys, if these are more."""
+        top, k, cells = self.top, self.k, self.most_cells
+        key = dict(asked.dtypes)["qk"]
+        schema = f"qk {key}, qv array<double>, seen long, leaf string, bound double, n long, end boolean, theta double"
+
+        def blocks(tree: _Nodes, pdf: pd.DataFrame):
+            step = max(1, cells // max(1, len(tree.n) * tree.low.shape[1]))
+            for start in range(0, len(pdf), step):
+                part = pdf.iloc[start : start + step]
+                i, node, bound = tree.within(_matrix(part["qv"]), part["theta"].to_numpy())
+                yield part.iloc[i].assign(leaf=tree.names[node], bound=bound, n=tree.n[node], end=tree.leaf[node])
+
+        def chosen(found: pd.DataFrame) -> pd.DataFrame:
+            """The wanted ones among all leaves of some queries, which come one after the other."""
+            found = found.sort_values(["qk", "bound", "leaf"], kind="stable")
+            groups = found.groupby("qk", sort=False)
+            place, held = groups.cumcount() + 1, groups["n"].cumsum() - found["n"]
+            wanted = place > found["seen"]
+            if most is not None:
+                wanted &= (place <= found["seen"] + most) | ((found["seen"] == 0) & (held < k))
+            return found[wanted]
+
+        def listed(batches):
+            for pdf in batches:
+                for found in blocks(top.value, pdf):
+                    yield found[["qk", "qv", "seen", "leaf", "bound", "n", "end", "theta"]]
+
+        def listed_whole(batches):
+            for pdf in batches:
+                for found in blocks(top.value, pdf):
+                    yield chosen(found)[["qk", "qv", "leaf"]]
+
+        if self.whole:
+            # all leaves of a query are known in one place
+            return asked.mapInPandas(listed_whole, f"qk {key}, qv array<double>, leaf string")
+        found = materialize(asked.mapInPandas(listed, schema))
+
+        def onward(at_door: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
+            parts = list(blocks(_Nodes(nodes), at_door)) if len(at_door) and len(nodes) else []
+            names = ["qk", "qv", "seen", "leaf", "bound", "n", "end", "theta"]
+            return pd.concat([p[names] for p in parts]) if parts else at_door[names][:0]
+
+        at_doors, parts = _in_blocks(found.where("NOT end").withColumn("door", F.col("leaf")), self.below, "door", DOOR_QUERIES)
+        more = at_doors.cogroup(parts).applyInPandas(onward, schema)
+        found = found.where("end").unionByName(more)
+        order = Window.partitionBy("qk").orderBy("bound", "leaf")
+        held = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        found = found.withColumn("place", F.row_number().over(order)).withColumn("held", held)
+        wanted = F.col("place") > F.col("seen")
+        if most is not None:
+            wanted &= (F.col("place") <= F.col("seen") + most) | ((F.col("seen") == 0) & (F.col("held") < k))
+        return found.where(wanted).select("qk", "qv", "leaf")
+
+
+def _in_blocks(asked: DataFrame, points: DataFrame, at: str, block: int):
+    """Both sides grouped by ``at``, queries in blocks of about ``block`` that each meet a copy of the other side."""
+    sizes = asked.groupBy(at).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
+    sizes = materialize(sizes)
+    left = asked.join(sizes, at).withColumn("block", F.pmod(F.xxhash64("qk"), F.col("blocks")).cast("int"))
+    right = points.join(sizes, at).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
+    return left.drop("blocks").groupBy(at, "block"), right.drop("blocks").groupBy(at, "block")
+
+
+def _probe(asked: DataFrame, points: DataFrame, k: int, block: int, schema: str) -> DataFrame:
+    """Search each (query, leaf) pair; at most about ``block`` queries meet one copy of a leaf."""
 
     def search(qs: pd.DataFrame, bs: pd.DataFrame) -> pd.DataFrame:
         if not len(qs) or not len(bs):
@@ -256,13 +421,8 @@ def _probe(asked: DataFrame, tiles: DataFrame, k: int, block: int, schema: str)
         i, found, dist = nearest_in_block(_matrix(qs["qv"]), _matrix(bs["bv"]), bs["bk"].to_numpy(), k)
         return pd.DataFrame({"qk": qs["qk"].to_numpy()[i], "bk": found, "dist": dist})
 
-    at = ["ring_id", "salt", "block"]
-    return (
-        left.select("qk", "qv", *at)
-        .groupBy(*at)
-        .cogroup(right.select("bk", "bv", *at).groupBy(*at))
-        .applyInPandas(search, schema)
-    )
+    queries, leaves = _in_blocks(asked, points.select(F.explode("bks").alias("bk"), "bv", "leaf"), "leaf", block)
+    return queries.cogroup(leaves).applyInPandas(search, schema)
 
 
 def knn_graph(

@@ -71,3 +71,38 @@ def test_vote_tie_goes_to_smaller_label(spark):
     )
     test = spark.createDataFrame([(9, [0.1])], "id long, features array<double>")
     assert knn.knn_classify(train, test, "id", "label", 2).first().prediction == 3
+
+
+def test_tree_visits_few_pairs(spark):
+    """In three dimensions a query visits some leaves of its surroundings, whatever the number of rows."""
+    pairs = {}
+    for n in (1000, 8000):
+        points = np.random.default_rng(5).normal(size=(n, 3))
+        df = frame(spark, points)
+        q, b = df.select(F.col("id").alias("qk"), F.col("features").alias("qv")), df.select(F.col("id").alias("bk"), F.col("features").alias("bv"))
+        tree = knn.PivotTree.build(b, 3, 64, 100_000)
+        leaves = {r.leaf: r.n for r in tree.points.groupBy("leaf").agg(F.sum(F.size("bks")).alias("n")).collect()}
+        assert max(leaves.values()) <= 64 and sum(leaves.values()) == n
+        _, visits = tree.search(q, 4, "qk long, bk long, dist double")
+        seen = [(r.qk, r.leaf) for v in visits for r in v.collect()]
+        assert len(seen) == len(set(seen))
+        pairs[n] = sum(leaves[leaf] for _, leaf in seen)
+        assert pairs[n] < 40 * n * np.log2(n)
+    assert pairs[8000] < 8 * pairs[1000] * np.log2(8000) / np.log2(1000)
+
+
+@pytest.mark.parametrize("cells", [0, 60, 600])
+def test_tree_too_large_to_broadcast(spark, cells):
+    points = make("uniform")
+    df = frame(spark, points)
+    got = result(knn.knn_join(df, df, 4, "id", "id", exclude_self=True, broadcast_cells=cells, tile_rows=16))
+    assert got == brute(points, np.arange(len(points)), points, np.arange(len(points)), 4, True)
+
+
+def test_copies_fewer_points_than_neighbors_and_outliers(spark):
+    base = np.vstack([np.zeros((300, 2)), np.ones((300, 2)), [[1e9, -1e9]], np.geomspace(1e-6, 1e6, 90)[:, None] * [1, -1]])
+    b, q = frame(spark, base), frame(spark, base[::50])
+    options = {"broadcast_cells": 0, "tile_rows": 8}
+    got = result(knn.knn_join(q, b, 7, "id", "id", **options))
+    assert got == brute(base, np.arange(len(base)), base[::50], np.arange(len(base[::50])), 7, False)
+    assert knn.knn_join(q.where("id < 0"), b, 7, "id", "id", **options).count() == 0
