@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.columns import as_double, melt, require_columns, wide_to_long
@@ -111,6 +112,26 @@ def pair_sample(
     return chosen.select(*key_cols, *columns)
 
 
+#: Bandwidths beyond which a kernel is left out: there it is below 1e-15.
+KERNEL_REACH = 9.0
+
+
+def expansion_terms(tolerance: float) -> int:
+    """Least number of terms with which the expansion of a Gaussian kernel around a point at most half a bandwidth from
+    the value is off by at most ``tolerance``, wherever it is read.
+
+    With t the value's and s the place's distance from the centre in units of sqrt(2) bandwidths, the kernel is the sum
+    of t^m / m! * H_m(s) * exp(-s^2) over all m. By Cramer's inequality term m is at most 1.09 * (sqrt(2) |t|)^m /
+    sqrt(m!), and sqrt(2) |t| is at most 1/2.
+    """
+    terms = 1
+    while True:
+        first = 1.09 * 0.5**terms / math.sqrt(math.factorial(terms))
+        if first / (1 - 0.5 / math.sqrt(terms + 1)) <= tolerance:
+            return terms
+        terms += 1
+
+
 def kde(
     df: DataFrame,
     columns: Sequence[str],
@@ -118,12 +139,15 @@ def kde(
     by: str | None = None,
     ridge: bool = False,
     bins: int | None = None,
+    tolerance: float = 1e-13,
 ) -> DataFrame:
     """Gaussian density on a grid, bandwidth n^(-1/5) times the sample standard deviation.
 
-    Exact by default: equal values are counted first, so that a hot value is one row, and every distinct value
-    meets every grid point inside its own task; partial sums leave it. ``bins`` first gathers values into that many
-    equal-width cells, which makes the kernel work independent of the number of rows. ``ridge``
+    Values are gathered into cells one bandwidth wide. A cell is a row of sums of powers of its values' distances from
+    its middle, so tasks sum up what they read and hand on a row per cell, however many values there are. The
+    kernels of a cell are read from these sums at the grid points within ``KERNEL_REACH`` bandwidths. Kernels
+    have height 1 here, and each is off by at most ``tolerance`` (``expansion_terms``); the density by as much over
+    bandwidth * sqrt(2 pi). ``bins`` first moves values to the middles of that many equal-width cells. ``ridge``
     widens the grid by three bandwidths on both sides.
     """
     keep = [by] if by else []
@@ -142,33 +166,62 @@ def kde(
         .where((F.col("n") > 1) & (F.col("sd") > 0))
         .withColumn("bandwidth", F.pow(F.col("n"), F.lit(-0.2)) * F.col("sd"))
     )
-    if bins:
-        cell = (F.col("high") - F.col("low")) / bins
-        middle = F.col("low") + (F.least(F.floor((F.col("value") - F.col("low")) / cell), F.lit(bins - 1)) + 0.5) * cell
-        weighted = (
-            long.join(shape, keys)
-            .groupBy(*keys, middle.alias("value"))
-            .agg(F.count(F.lit(1)).cast("double").alias("w"))
-        )
-    else:
-        weighted = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).cast("double").alias("w"))
     margin = 3 * F.col("bandwidth") if ridge else F.lit(0.0)
     start, stop = F.col("low") - margin, F.col("high") + margin
-    at = start + F.col("grid_point") * (stop - start) / F.lit(float(grid - 1))
-    z = (at - F.col("value")) / F.col("bandwidth")
-    mass = F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z))
+    step = (stop - start) / F.lit(float(grid - 1))
+    sums = _cell_sums(long.join(shape, keys), keys, bins, expansion_terms(tolerance))
+    middle = F.col("low") + (F.col("cell") + 0.5) * F.col("bandwidth")
+    reach = KERNEL_REACH * F.col("bandwidth")
+    first = F.greatest(F.lit(0.0), F.ceil((middle - reach - start) / step).cast("double")).cast("int")
+    last = F.least(F.lit(grid - 1.0), F.floor((middle + reach - start) / step).cast("double")).cast("int")
+    spread = (
+        sums.join(shape, keys)
+        .withColumn("middle", middle)
+        .withColumn("grid_point", F.explode(F.when(first <= last, F.sequence(first, last))))
+    )
+    s = (start + F.col("grid_point") * step - F.col("middle")) / (F.col("bandwidth") * F.sqrt(F.lit(2.0)))
+    read = spread.groupBy(*keys, "grid_point").agg(F.sum(_read_expansion("sums", s)).alias("mass"))
+    frame = shape.withColumn("grid_point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
     scale = F.col("n") * F.col("bandwidth") * F.sqrt(F.lit(2.0) * F.pi())
-    return (
-        weighted.join(shape, keys)
-        .withColumn("grid_point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-        .groupBy(*keys, "grid_point", "n", "bandwidth", "low", "high")
-        .agg(mass.alias("mass"))
-        .select(
-            *keys, "grid_point", at.alias("x"), (F.col("mass") / scale).alias("density"), "bandwidth"
-        )
+    return frame.join(read, [*keys, "grid_point"], "left").select(
+        *keys,
+        "grid_point",
+        (start + F.col("grid_point") * step).alias("x"),
+        # what is left of the expansion far from all values may be below zero by its error
+        F.greatest(F.lit(0.0), F.coalesce("mass", F.lit(0.0)) / scale).alias("density"),
+        "bandwidth",
     )
 
 
+def _cell_sums(long: DataFrame, keys: Sequence[str], bins: int | None, terms: int) -> DataFrame:
+    """``keys``, ``cell`` and ``sums``: for m = 0, 1, ... the sum of t^m / m! over the cell's values."""
+    value = F.col("value")
+    if bins:
+        width = (F.col("high") - F.col("low")) / bins
+        value = F.col("low") + (F.least(F.floor((value - F.col("low")) / width), F.lit(bins - 1)) + 0.5) * width
+    place = (value - F.col("low")) / F.col("bandwidth")
+    cell = F.floor(place)
+    placed = long.select(*keys, cell.alias("cell"), ((place - cell - 0.5) / F.sqrt(F.lit(2.0))).alias("t"))
+    powers = [F.sum(F.pow("t", F.lit(float(m))) / float(math.factorial(m))).alias(f"s{m}") for m in range(1, terms)]
+    counted = placed.groupBy(*keys, "cell").agg(F.count(F.lit(1)).cast("double").alias("s0"), *powers)
+    return counted.select(*keys, "cell", F.array(*[f"s{m}" for m in range(terms)]).alias("sums"))
+
+
+def _read_expansion(sums: str, s: Column) -> Column:
+    """Sum over m of sums[m] * H_m(s) * exp(-s^2), with H_(m+1) = 2 s H_m - 2 m H_(m-1)."""
+    begin = F.struct(F.lit(0.0).alias("total"), F.lit(1.0).alias("now"), F.lit(0.0).alias("before"), F.lit(0.0).alias("m"))
+
+    def add(a: Column, c: Column) -> Column:
+        return F.struct(
+            (a["total"] + c * a["now"]).alias("total"),
+            (2.0 * s * a["now"] - 2.0 * a["m"] * a["before"]).alias("now"),
+            a["now"].alias("before"),
+            (a["m"] + 1.0).alias("m"),
+        )
+
+    return F.aggregate(sums, begin, add, lambda a: a["total"]) * F.exp(-s * s)
+
+
 def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """Least-squares line; null on a constant x."""
     require_columns(df, [x, y])

@@ -224,29 +224,32 @@ def train_test_split(
     work = df if stratify else df.withColumn("__all", F.lit(0))
     digest = hash_key(key_cols, seed)
     counts = digest_counts(work, key_cols, digest, [stratum])
+    sizes = split_shares(stratum_sizes(counts, [stratum], "have"), stratum, test_size)
+    flagged = _take(work, counts, sizes, key_cols, digest, [stratum], "__test")
+    return flagged.withColumn(
+        output, F.when(F.col("__test"), F.lit("test")).otherwise(F.lit("train"))
+    ).select(*df.columns, output)
+
+
+def split_shares(sizes: DataFrame, stratum: str, test_size: float) -> DataFrame:
+    """``(stratum, target)``: test rows of each stratum out of its ``have`` rows, ceil(all * ``test_size``) in total, in
+    proportion, whole rows first and the remainder by largest fraction (ties by stratum). The products are decimals,
+    which hold sizes up to 10^18."""
     everything = Window.partitionBy(F.lit(0))
-    share = F.col("have") * F.col("n_test")
-    sizes = (
-        stratum_sizes(counts, [stratum], "have")
-        .withColumn("n", F.sum("have").over(everything))
+    n = F.col("n").cast("decimal(19,0)")
+    share = F.col("have").cast("decimal(19,0)") * F.col("n_test").cast("decimal(19,0)")
+    return (
+        sizes.withColumn("n", F.sum("have").over(everything))
         .withColumn("n_test", F.ceil(F.col("n") * F.lit(test_size)))
-        .withColumn("whole", F.expr("div(have * n_test, n)"))
+        .withColumn("rest", share % n)
+        .withColumn("whole", F.try_divide(share - F.col("rest"), n).cast("decimal(19,0)").cast("long"))
         .withColumn("left_over", F.col("n_test") - F.sum("whole").over(everything))
-        .withColumn(
-            "place",
-            F.row_number().over(everything.orderBy(F.desc(share % F.col("n")), F.asc(stratum))),
-        )
+        .withColumn("place", F.row_number().over(everything.orderBy(F.desc("rest"), F.asc(stratum))))
         .select(
             stratum,
-            (F.col("whole") + F.when(F.col("place") <= F.col("left_over"), 1).otherwise(0)).alias(
-                "target"
-            ),
+            (F.col("whole") + F.when(F.col("place") <= F.col("left_over"), 1).otherwise(0)).alias("target"),
         )
     )
-    flagged = _take(work, counts, sizes, key_cols, digest, [stratum], "__test")
-    return flagged.withColumn(
-        output, F.when(F.col("__test"), F.lit("test")).otherwise(F.lit("train"))
-    ).select(*df.columns, output)
 
 
 def stratified_kfold(

@@ -147,3 +147,18 @@ def test_folds_of_copies_are_even(spark):
         df.select("id", F.when(F.col("kind") == "rare", 0).otherwise(5).alias("t")), "t", ["id"], copy_col="copy"
     )
     assert few.count() == few.select("id", "copy").distinct().count() == 1600
+
+
+@pytest.mark.parametrize("have", [[7 * 10**9], [10**12, 3, 5 * 10**11 + 1, 10**10 + 7], [6, 3, 1]])
+def test_shares_of_very_large_tables(spark, have):
+    from fractions import Fraction
+    from math import ceil
+
+    sizes = spark.createDataFrame(list(enumerate(have)), "kind int, have long")
+    got = {r.kind: r.target for r in sampling.split_shares(sizes, "kind", 0.2).collect()}
+    n, wanted = sum(have), ceil(sum(have) * 0.2)
+    exact = [Fraction(h * wanted, n) for h in have]
+    want = [int(x) for x in exact]
+    for i in sorted(range(len(have)), key=lambda i: (int(exact[i]) - exact[i], i))[: wanted - sum(want)]:
+        want[i] += 1
+    assert [got[i] for i in range(len(have))] == want and sum(want) == wanted
