@@ -1,7 +1,8 @@
 """Classifier assessment: split strategies, cross-validation and a ranked comparison.
 
-Splits are columns of one assembled table. Fits of different folds are independent Spark jobs, so a
-few driver threads submit them together; rows never pass through the driver, only confusion counts.
+Splits are columns of one assembled table. Linear models and boosted trees of all folds are fitted in the same scans.
+Trees and forests of different folds are independent Spark jobs, so a few driver threads submit them together;
+rows never pass through the driver, only sums and confusion counts.
 """
 
 from __future__ import annotations
@@ -13,18 +14,15 @@ from statistics import fmean, pstdev
 from pyspark import StorageLevel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.columns import numeric_columns, require_columns
+from tarmac.operators import fits
 from tarmac.operators.encode import apply_labels, fit_labels
 from tarmac.operators.knn import knn_classify
 from tarmac.operators.sampling import (
@@ -33,10 +31,13 @@ from tarmac.operators.sampling import (
     stratified_kfold,
     train_test_split,
 )
+from tarmac.session import materialize
 
 #: Rows of each fold's training part that the model comparison fits on unless told otherwise. All rows are scored.
 COMPARISON_ROWS = 50_000
 HOLD_OUT = 0.368
+#: Hold-outs whose models are fitted in the same scans.
+MODELS_TOGETHER = 60
 
 # A fitter takes (train, test, n_train) and returns test rows with label and prediction.
 Fitter = Callable[[DataFrame, DataFrame, int], DataFrame]
@@ -122,14 +123,38 @@ def _estimator(make: Callable[[int], object]) -> Fitter:
     return fit
 
 
+class _Together:
+    """A fitter whose models of several hold-outs are fitted in the same scans (``operators/fits``)."""
+
+    def __init__(self, fit: Callable[[DataFrame, int, int], object]):
+        self.fit = fit
+
+    def __call__(self, train: DataFrame, test: DataFrame, n_train: int) -> DataFrame:
+        model = self.fit(fits.prepared(train), _classes(train), 1)
+        asked = fits.prepared(test, F.lit(1), ["label"])
+        return model.predict(asked, ["label"]).select("label", "prediction")
+
+    def held_out(self, data: DataFrame, flags: Sequence[Column]) -> DataFrame:
+        """``label``, ``prediction`` and ``model`` (number of the flag) of every row that a flag holds out."""
+        rows = fits.prepared(data, fits.held_out(list(flags)), ["label"])
+        return self.fit(rows, _classes(data), len(flags)).predict(rows, ["label"])
+
+    def scores(self, data: DataFrame, flags: Sequence[Column]) -> list[tuple[float, float]]:
+        """(accuracy, weighted F1) of each hold-out."""
+        found = materialize(self.held_out(data, flags))
+        rows = [classification_metrics(found.where(F.col("model") == m)).first() for m in range(len(flags))]
+        return [(r["accuracy"], r["f1_weighted"]) for r in rows]
+
+
+def _classes(data: DataFrame) -> int:
+    most = data.agg(F.max("label")).first()[0]
+    if most is None:
+        raise ValueError("no labelled training rows")
+    return int(most) + 1
+
+
 def _logistic(iterations: int) -> Fitter:
-    # penalty 1/n equals an unscaled penalty of one over the summed loss
-    return _estimator(
-        lambda n: LogisticRegression(
-            maxIter=iterations, regParam=1.0 / max(1, n), elasticNetParam=0.0, standardization=False,
-            family="multinomial",
-        )
-    )
+    return _Together(lambda rows, classes, models: fits.fit_linear(rows, fits.Softmax, classes, models, iterations))
 
 
 def _tree(depth: int, seed: int) -> Fitter:
@@ -140,23 +165,12 @@ def _forest(trees: int, seed: int, depth: int) -> Fitter:
     return _estimator(lambda n: RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed))
 
 
-def _boosting(rounds: int, seed: int) -> Fitter:
-    return _estimator(
-        lambda n: OneVsRest(
-            classifier=GBTClassifier(maxIter=rounds, maxDepth=3, stepSize=0.1, seed=seed), parallelism=3
-        )
-    )
+def _boosting(rounds: int) -> Fitter:
+    return _Together(lambda rows, classes, models: fits.fit_boosted(rows, classes, models, rounds, depth=3, rate=0.1))
 
 
 def _linear_svm(iterations: int) -> Fitter:
-    return _estimator(
-        lambda n: OneVsRest(
-            classifier=LinearSVC(
-                maxIter=iterations, regParam=1.0 / max(1, n), tol=1e-4, standardization=False
-            ),
-            parallelism=3,
-        )
-    )
+    return _Together(lambda rows, classes, models: fits.fit_linear(rows, fits.SquaredHinge, classes, models, iterations))
 
 
 def _nearest(k: int, key: str) -> Fitter:
@@ -183,7 +197,7 @@ def candidate_models(key: str, seed: int = 42, forest_depth: int = 30) -> dict[s
         "k-Nearest Neighbors (kNN)": _nearest(5, key),
         "Decision Tree": _tree(10, seed),
         "Random Forest": _forest(100, seed, forest_depth),
-        "Gradient Boosting": _boosting(100, seed),
+        "Gradient Boosting": _boosting(100),
         "Linear SVM": _linear_svm(2000),
     }
 
@@ -214,6 +228,8 @@ def cross_validate(
     folded: DataFrame, fitter: Fitter, k: int, threads: int = 4, fold: str = "fold"
 ) -> list[tuple[float, float]]:
     """(accuracy, weighted F1) per fold; each fold is fitted once."""
+    if isinstance(fitter, _Together):
+        return fitter.scores(folded, [F.col(fold) == i for i in range(k)])
     n = folded.count()
 
     def one(i: int) -> tuple[float, float]:
@@ -244,8 +260,19 @@ def validation_strategies(
         n = data.count()
         models = models or strategy_models(key, seed)
         plain = [key, "label", "features"]
-        tasks = []
+        tasks, scored = [], []
+        flags = [
+            ("split", F.col("split") == "test"),
+            *[("cv", F.col("fold") == i) for i in range(cv_folds)],
+            *[("hold", F.col(f"held_{i}")) for i in range(bootstrap_n)],
+        ]
         for name, fitter in models.items():
+            if isinstance(fitter, _Together):
+                for start in range(0, len(flags), MODELS_TOGETHER):
+                    part = flags[start : start + MODELS_TOGETHER]
+                    found = fitter.scores(data, [flag for _, flag in part])
+                    scored += [(name, kind, score) for (kind, _), score in zip(part, found)]
+                continue
             tasks.append((name, "split", fitter, F.col("split") == "test", 0.8))
             tasks += [(name, "cv", fitter, F.col("fold") == i, 1 - 1 / cv_folds) for i in range(cv_folds)]
             tasks += [(name, "hold", fitter, F.col(f"held_{i}"), 1 - HOLD_OUT) for i in range(bootstrap_n)]
@@ -256,7 +283,7 @@ def validation_strategies(
             return name, kind, _score(fitter, train, test, max(1, int(n * train_share)))
 
         with ThreadPoolExecutor(threads) as pool:
-            scored = list(pool.map(run, tasks))
+            scored += list(pool.map(run, tasks))
     finally:
         data.unpersist()
     rows = []
@@ -302,10 +329,20 @@ def compare_models(
     try:
         n_train = data.count() * (cv_folds - 1) // cv_folds
         fitted_on = [data.where(F.col("fold") != i) for i in range(cv_folds)]
-        if max_samples and n_train > max_samples:
+        sampled = bool(max_samples) and n_train > max_samples
+        if sampled:
             n_train = max_samples
             fitted_on = [sample_n(part, max_samples, [key], seed) for part in fitted_on]
 
+        together = [] if sampled else [name for name, fitter in models.items() if isinstance(fitter, _Together)]
+        done = []
+        for name in together:
+            try:
+                found = models[name].scores(data, [F.col("fold") == i for i in range(cv_folds)])
+                done += [(name, score, None) for score in found]
+            except Exception as error:
+                done.append((name, None, str(error)))
+
         def run(task: tuple[str, int]):
             name, i = task
             train, test = fitted_on[i], data.where(F.col("fold") == i)
@@ -315,7 +352,7 @@ def compare_models(
                 return name, None, str(error)
 
         with ThreadPoolExecutor(threads) as pool:
-            done = list(pool.map(run, [(name, i) for name in models for i in range(cv_folds)]))
+            done += list(pool.map(run, [(name, i) for name in models if name not in together for i in range(cv_folds)]))
     finally:
         data.unpersist()
     rows = []
