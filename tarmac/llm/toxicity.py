@@ -158,7 +158,8 @@ def fit(
     window: int | Sequence[int] = (1, 2, 4),
     windows: int | Sequence[int] = (1, 2, 3),
     word_discount: float | Sequence[float] = (4.0, 2.0),
-    pair_discounts: Sequence[float | None] = (None, 12.0, 48.0),
+    pair_discounts: Sequence[float | None] = (2.0, 12.0, 48.0),
+    prior: float | None = 0.5,
 ) -> ToxicityModel:
     """Fit the two word models and the calibration of their difference.
 
@@ -166,15 +167,19 @@ def fit(
     :param labels: ``id_col`` and a 0/1 ``label`` of the rows to learn from; others are ignored, a row labelled
         both ways counts as toxic. At most ``max_documents`` of each class are used, those with the least hash of
         their id; this bound bounds the model that every task gets. Four fifths of them train the word models,
-        the rest the calibration, weighted to the class shares of all labels.
+        the rest the calibration. A label of an absent document says nothing; without any calibration document the
+        plain difference counts, shifted by the prior.
     :param window, windows: log-likelihoods are averaged over this many words, and over this many of a text's best
         windows. Toxic words stand among ordinary ones, so a text is as toxic as its most toxic windows. The more words
         a text has, the more its best windows reach by chance; the calibration takes its length into account.
     :param word_discount, pair_discounts: taken off every count of a class before it counts for that class; what is
         taken goes to the next level. Discounts above 1 leave expressions that a class has only met by chance to
         the shared counts. None leaves pairs out.
+    :param prior: share of toxic texts that calibration documents are weighted to, and so which odds a score of one half
+        stands for. With 0.5 a missed share of the toxic texts weighs as much as a flagged share of the clean ones; None
+        takes the share among all labels.
 
-    Where several values are given, the calibration documents decide. Word discounts are compared without pairs,
+    Where several values are given, the calibration documents decide. Word discounts are compared at the first pair discount,
     then pair discounts at the word discount chosen, each with all sizes and numbers of windows. Of the settings
     whose log-loss is within one standard error of the least, the one with the narrowest and then fewest
     windows is taken: few calibration documents tell such settings apart by chance only, and a single toxic word
@@ -205,7 +210,7 @@ def fit(
     corpus = materialize(
         texts.select("_text").mapInArrow(_Words(), "v long, n long").groupBy("v").agg(F.sum("n").alias("n"))
     )
-    share = shares[1] / (shares[0] + shares[1])
+    share = shares[1] / (shares[0] + shares[1]) if prior is None else prior
     held = learned.where("part = 'calibrate'")
     sizes = [(w, k) for w in _several(window) for k in _several(windows)]
     tried = []
@@ -240,6 +245,8 @@ def _several(values) -> list:
 def _choose(tried: list[tuple[ToxicityModel, tuple, np.ndarray]]) -> tuple[ToxicityModel, tuple, np.ndarray]:
     """The narrowest and fewest windows whose mean loss is within one standard error of the least, which is that of
     the difference document by document; among equals the least loss."""
+    if not len(tried[0][2]):
+        return min(tried, key=lambda x: (x[0].window, x[0].windows))
     least = min(tried, key=lambda x: x[2].mean())[2]
     more = [x[2] - least for x in tried]
     near = [x for x, m in zip(tried, more) if m.mean() <= m.std() / max(len(m), 1) ** 0.5]
@@ -321,6 +328,8 @@ def _calibrate(
     """Logistic regression of the label on the evidence and log(1 + words), classes weighted to ``share`` of ones; a
     little ridge keeps the slope finite if the classes are separate, and one of 1 keeps the weight of the length
     small if lengths hardly differ. Returns the weights with the constant, and every document's weighted loss."""
+    if not len(label):
+        return (1.0, 0.0, float(np.log(share / (1 - share)))), np.zeros(0)
     weight = np.where(label == 1, share / max((label == 1).sum(), 1), (1 - share) / max((label == 0).sum(), 1))
     weight = weight * len(label)
     beta = np.array([1.0, 0.0, np.log(share / (1 - share))])

@@ -168,9 +168,9 @@ def test_held_out_recall(spark, folder):
         *[F.sum((F.col("toxic") == c).cast("int")).alias(f"of{c}") for c in (0, 1)],
     )
     found = {r.lang: r for r in by.collect()}
-    assert sum(r.flagged1 for r in found.values()) >= 0.84 * sum(r.of1 for r in found.values()), found
+    assert sum(r.flagged1 for r in found.values()) >= 0.9 * sum(r.of1 for r in found.values()), found
     for r in found.values():
-        assert r.flagged0 <= 0.01 * r.of0 and (r.of1 < 20 or r.flagged1 >= 0.75 * r.of1), found
+        assert r.flagged0 <= 0.01 * r.of0 and (r.of1 < 10 or r.flagged1 >= 0.8 * r.of1), found
     print(sorted(found.values()))
 
 
@@ -214,3 +214,40 @@ def test_evidence_of_fixed_expressions(spark):
         got = model.token_evidence(*Hasher(SEPARATORS).words(pa.array([text])))
         for i, (u, v) in enumerate(zip(["<s>", *w], w)):
             assert got[i] == pytest.approx(math.log(probability(1, u, v) / probability(0, u, v)), abs=1e-9), (u, v)
+
+
+def test_score_recomputed_by_hand(spark):
+    """The query's score from the model's own tables: mean of the best windows, length and constant."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["you idiot moron go away " * 3, "a calm and kind day in the park", "", "idiot"] * 6
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int("idiot" in t)) for i, t in enumerate(texts)] + [(999, 1)], "doc_id long, label int")
+    model = toxicity.fit(docs, labels, pair_discounts=(0.5,), word_discount=0.5)
+    assert model.pairs is not None
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    hasher = Hasher(SEPARATORS)
+    for i, text in enumerate(texts):
+        hashes, first = hasher.words(pa.array([text.lower()]))
+        values = list(model.token_evidence(hashes, first)) if len(hashes) else []
+        taken, means = set(), []
+        for _ in range(model.windows):
+            width = min(model.window, len(values))
+            free = [j for j in range(len(values) - width + 1) if width and not taken & set(range(j, j + width))]
+            if not free:
+                break
+            best = max(free, key=lambda j: np.mean(values[j : j + width]))
+            means.append(np.mean(values[best : best + width]))
+            taken |= set(range(best, best + width))
+        z = model.slope * (np.mean(means) if means else 0.0) + model.length * np.log1p(len(values)) + model.offset
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+    assert min(got[i] for i, t in enumerate(texts) if "idiot" in t) > max(got[i] for i, t in enumerate(texts) if "idiot" not in t)
+
+
+def test_no_documents(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, label int")
+    model = toxicity.fit(docs, labels)
+    other = spark.createDataFrame([(5, "some words"), (6, None)], "doc_id long, text string")
+    assert {r.score for r in toxicity.score(other, model).collect()} == {0.5}
