@@ -229,15 +229,16 @@ def drop_repeated_lines(
         .where(F.size("_lost") > 0)
     )
     lost = materialize(lost)
-    whole = F.coalesce(F.col(text), F.lit(""))
-    joined = df.join(lost, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(whole) == F.col("_hash")), "left")
-    parts = F.split(text, "\n", -1)
+    rows = df.select(F.struct(*df.columns).alias("row"))
+    body = F.col("row").getField(text)
+    same = F.col("row").getField(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(body, F.lit(""))) == F.col("_hash"))
+    joined = rows.join(lost, same, "left")
+    parts = F.split(body, "\n", -1)
     places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_lost"))
     rest = F.concat_ws("\n", F.transform(places, lambda i: F.get(parts, i)))
     if drop_emptied:
         joined = joined.where(F.coalesce(F.col("_some"), F.lit(True)))
     else:
         rest = F.when(F.col("_some"), rest).otherwise(F.lit(""))
-    return joined.withColumn(text, F.when(F.col("_lost").isNull(), F.col(text)).otherwise(rest)).drop(
-        "_id", "_hash", "_lost", "_some"
-    )
+    kept = F.when(F.col("_lost").isNull(), body).otherwise(rest)
+    return joined.select(*[kept.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in df.columns])

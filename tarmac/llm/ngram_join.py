@@ -123,14 +123,15 @@ def one_per_class(df: DataFrame, id_col: str = "doc_id", text: str = "text", **o
     crowd = materialize(linked.join(first, "class_node").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "first"))
     keys = F.struct(F.col("_id").alias(id_col), F.col("_hash").alias("text_hash"))
     gone = crowd.where(~keys.eqNullSafe(F.col("first"))).select("_id", "_hash").distinct()
-    text_hash = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (text_hash == F.col("_hash"))
-    kept = df.join(gone, same, "left_anti")
+    rows = df.select(F.struct(*df.columns).alias("row"))
+    own, body = F.col("row").getField(id_col), F.col("row").getField(text)
+    same = own.eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(body, F.lit(""))) == F.col("_hash"))
+    kept = rows.join(gone, same, "left_anti")
     repeated = crowd.groupBy("_id", "_hash").agg(F.count("*").alias("rows")).where("rows > 1").select("_id", "_hash")
     if not repeated.limit(1).count():
-        return kept
-    once = kept.join(repeated, same, "left_semi").dropDuplicates([id_col, text])
-    return kept.join(repeated, same, "left_anti").unionByName(once)
+        return kept.select("row.*")
+    once = kept.join(repeated, same, "left_semi").select("row", own.alias("own"), body.alias("body")).dropDuplicates(["own", "body"])
+    return kept.join(repeated, same, "left_anti").unionByName(once.select("row")).select("row.*")
 
 
 _FOUND = "node long, other long, links long"

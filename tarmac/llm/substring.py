@@ -54,22 +54,18 @@ def repeated_windows_removed(df: DataFrame, text: str = "text", width: int = 35)
         .mapInArrow(_Cut(width), "_k1 long, _k2 long, _removed long, _kept string")
         .dropDuplicates(["_k1", "_k2"])
     )
-    whole = df.drop("n_words", "n_removed", "kept_text").withColumns({"_k1": k1, "_k2": k2})
-    spaces = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+", " ")
+    added = ("n_words", "n_removed", "kept_text")
+    whole = df.select(F.struct(*df.columns).alias("row"), k1.alias("_k1"), k2.alias("_k2"))
+    spaces = F.regexp_replace(F.coalesce(F.col("row").getField(text), F.lit("")), r"[\x20\x09-\x0D]+", " ")
     spaced = F.btrim(spaces, F.lit(" "))
     n_words = F.when(spaced == "", F.lit(0)).otherwise(
         F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit(""))) + 1
     )
-    return (
-        whole.join(cut, ["_k1", "_k2"], "left")
-        .withColumns(
-            {
-                "n_words": n_words.cast("long"),
-                "n_removed": F.coalesce(F.col("_removed"), F.lit(0)).cast("long"),
-                "kept_text": F.coalesce(F.col("_kept"), spaced),
-            }
-        )
-        .drop("_k1", "_k2", "_removed", "_kept")
+    return whole.join(cut, ["_k1", "_k2"], "left").select(
+        *[F.col("row").getField(c).alias(c) for c in df.columns if c not in added],
+        n_words.cast("long").alias("n_words"),
+        F.coalesce(F.col("_removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.col("_kept"), spaced).alias("kept_text"),
     )
 
 

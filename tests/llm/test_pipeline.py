@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 from conftest import prose
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tarmac.llm.queries import PIECES
@@ -59,8 +60,8 @@ def test_toxic_stage_keeps_clean_documents(spark, folder):
     kept = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, folder).select("doc_id").collect()}
     labels = duckdb.execute(f"SELECT doc_id, toxic FROM '{folder}/labels.parquet'").fetchall()
     clean, toxic = [i for i, y in labels if y == 0], [i for i, y in labels if y == 1]
-    assert len(kept & set(clean)) >= 0.99 * len(clean)
-    assert len(kept & set(toxic)) <= 0.4 * len(toxic)
+    assert len(kept & set(clean)) >= 0.995 * len(clean)
+    assert len(kept & set(toxic)) <= 0.12 * len(toxic)
 
 
 @pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
@@ -69,12 +70,14 @@ def test_stage_on_odd_rows(spark, odd, folder, name):
     given = spark.read.parquet(f"{folder}/documents.parquet").unionByName(odd, allowMissingColumns=True)
     stage = dict(corpus_pipeline.STAGES)[name]
     docs = given if name == "toxicity" else odd
+    # columns with the names that operators give their own
+    for clash in ("row", "id", "text_hash", "_row", "_id", "_hash", "_lost", "_some", "_k1", "_k2", "_removed", "_kept", "own", "key", "met", "hash", "n", "label", "evidence"):
+        docs = docs.withColumn(clash, F.lit(5))
     out = stage(spark, docs, folder)
     assert out.columns[: len(docs.columns)] == docs.columns
     ids = [r.doc_id for r in out.where("doc_id IS NULL OR doc_id < 10").select("doc_id").collect()]
     assert {3, 4, 5, 6, 9} <= set(ids) and None in ids
-    if name != "toxicity":
-        assert stage(spark, odd.limit(0), folder).count() == 0
+    assert stage(spark, docs.limit(0), folder).count() == 0
 
 
 def test_stages_and_registration():

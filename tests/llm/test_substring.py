@@ -63,3 +63,15 @@ def test_query_digest(spark, folder, documents):
     for (doc_id, _), (n, removed, kept) in zip(documents, brute([t for _, t in documents])):
         r = rows[doc_id]
         assert (r.n_words, r.n_removed, r.kept_sha256) == (n, removed, hashlib.sha256(kept.encode()).hexdigest())
+
+
+def test_clashing_names(spark):
+    from pyspark.sql import functions as F
+
+    shared = prose(77, 40)
+    df = spark.createDataFrame([(1, f"a {shared}"), (2, f"{shared} b")], "doc_id long, text string")
+    for name in ("_k1", "_k2", "_removed", "_kept", "_at", "row", "n_removed"):
+        df = df.withColumn(name, F.lit(9))
+    out = substring.repeated_windows_removed(df)
+    assert [c for c in df.columns if c != "n_removed"] + ["n_words", "n_removed", "kept_text"] == out.columns
+    assert {(r.doc_id, r.n_removed, r.kept_text, r._k1) for r in out.collect()} == {(1, 40, "a", 9), (2, 40, "b", 9)}
