@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +12,12 @@ from pyspark.sql import types as T
 from tarmac.functions.columns import numeric_columns, present, require_columns
 from tarmac.functions.expr import clip_lower
 from tarmac.operators.quantiles import column_quantiles
-from tarmac.session import parameter_row
+from tarmac.session import materialize, parameter_row
+
+#: Counters of a column's frequent values in a task.
+FREQUENT_VALUES = 1024
+#: Cells of the filter that rows without a possible copy do not pass; at most so many numbers are broadcast.
+SUSPECT_CELLS = 1 << 20
 
 
 def drop_flagged(df: DataFrame, flags: Sequence[str]) -> DataFrame:
@@ -33,8 +39,44 @@ def drop_null(df: DataFrame, subset: Sequence[str] | None = None, how: str = "an
 
 
 def remove_duplicates(df: DataFrame) -> DataFrame:
-    """One row of every set of identical rows; null equals null."""
-    return df.distinct()
+    """One row of every set of identical rows; null equals null.
+
+    Rows without a possible copy are not shuffled (``suspected_copies``)."""
+    alone, suspects = suspected_copies(df)
+    return suspects.distinct() if alone is None else alone.unionByName(suspects.distinct())
+
+
+def fingerprint(df: DataFrame) -> Column:
+    """128 bits of a row, the same for rows that are equal: nulls count by place, -0.0 as 0.0, NaN as NaN. Nested columns
+    do not take part, so rows may also share them by chance or by their flat columns alone."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            c = F.when(c == 0, F.lit(0.0)).when(F.isnan(c), F.lit(float("nan"))).otherwise(c)
+        if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) and type(f.dataType).__name__ != "VariantType":
+            parts += [c.isNull(), c]
+    parts = parts or [F.lit(0)]
+    return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b"))
+
+
+def suspected_copies(df: DataFrame, mark: Callable[[DataFrame], Column] = fingerprint) -> tuple[DataFrame | None, DataFrame]:
+    """The rows that have no copy for sure, and those that may have one, which are to be compared whole.
+
+    Fingerprints are counted, and those met twice set cells of a filter of ``SUSPECT_CELLS``; a row is suspect if
+    its fingerprint falls into such a cell. With so many copies that most cells are set nearly all rows are suspect,
+    which costs what comparing all rows does. Tables of few columns are all suspect: their rows are hardly wider
+    than a fingerprint.
+    """
+    if len(df.columns) <= 4:
+        return None, df
+    counted = df.select(mark(df).alias("mark")).groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
+    cell = F.pmod(F.xxhash64("mark"), F.lit(SUSPECT_CELLS))
+    cells = materialize(counted.where("n > 1").select(cell.alias("cell")).distinct())
+    rows = df.select(F.struct(*[f"`{c}`" for c in df.columns]).alias("row"), F.pmod(F.xxhash64(mark(df)), F.lit(SUSPECT_CELLS)).alias("cell"))
+    # at most SUSPECT_CELLS numbers
+    cells = F.broadcast(cells)
+    return rows.join(cells, "cell", "left_anti").select("row.*"), rows.join(cells, "cell", "left_semi").select("row.*")
 
 
 def split_xy(df: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
@@ -120,8 +162,9 @@ def incomplete_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float |
 def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     """Most frequent value of every column with missing values, the smallest one on a tie.
 
-    All columns are counted in one job: cells are (column, text, number), counted by partial sums before the
-    shuffle, and each column keeps its best entry.
+    Tasks keep summaries of their most frequent values, whose counts are too low by a known amount at most. Where
+    a value stands out from all that the summaries may have lost, the few values that can be the mode are counted
+    exactly (not again if nothing was lost). A column without such a value is counted by all its different values.
     """
     out: dict[str, object] = {}
     if not columns:
@@ -131,26 +174,9 @@ def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     if not open_columns:
         return out
     types = {c: df.schema[c].dataType for c in open_columns}
-    number = {
-        c: F.col(c).cast("double") if isinstance(types[c], (T.NumericType, T.BooleanType)) else F.lit(None).cast("double")
-        for c in open_columns
-    }
-    cells = F.inline(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"), number[c].alias("number"))
-                for c in open_columns
-            ]
-        )
-    )
-    counted = (
-        df.select(cells)
-        .where(F.col("text").isNotNull())
-        .groupBy("column", "text", "number")
-        .agg(F.count(F.lit(1)).alias("n_rows_"))
-    )
-    best = counted.groupBy("column").agg(F.min(F.struct(-F.col("n_rows_"), "number", "text")).alias("best"))
-    text = {r["column"]: r["best"]["text"] for r in best.collect()}
+    text, rest = _frequent_modes(df, open_columns, types)
+    if rest:
+        text |= _best_of(_cells(df, rest, types).groupBy("column", "text", "number").agg(F.count(F.lit(1)).alias("n_rows_")))
     typed = df.sparkSession.range(1).select(
         *[F.lit(text.get(c)).cast(types[c]).alias(f"c{i}") for i, c in enumerate(open_columns)]
     )
@@ -158,6 +184,82 @@ def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     return {c: found[i] for i, c in enumerate(open_columns)}
 
 
+def _cells(df: DataFrame, columns: Sequence[str], types: dict[str, T.DataType]) -> DataFrame:
+    """``(column, text, number)`` of every known cell."""
+
+    def number(c: str) -> Column:
+        numeric = isinstance(types[c], (T.NumericType, T.BooleanType))
+        return F.col(c).cast("double") if numeric else F.lit(None).cast("double")
+
+    cells = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"), number(c).alias("number")) for c in columns
+    ]
+    return df.select(F.inline(F.array(*cells))).where(F.col("text").isNotNull())
+
+
+def _best_of(counted: DataFrame) -> dict[str, str]:
+    best = counted.groupBy("column").agg(F.min(F.struct(-F.col("n_rows_"), "number", "text")).alias("best"))
+    return {r["column"]: r["best"]["text"] for r in best.collect()}
+
+
+class _Summaries:
+    """Frequent values of each column of a task: at most ``FREQUENT_VALUES`` counters. When there are more, all lose as
+    much as the first one that has no room, and so does the count of any value left out; the sum of these losses is
+    handed on with a null text."""
+
+    def __init__(self, columns: Sequence[str], most: int):
+        self.columns, self.most = list(columns), most
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: list[dict] = [{} for _ in self.columns]
+        lost = [0] * len(self.columns)
+        for batch in batches:
+            for i in range(len(self.columns)):
+                held = counts[i]
+                found = batch.column(i).drop_null().value_counts()
+                for value, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
+                    held[value] = held.get(value, 0) + n
+                if len(held) > self.most:
+                    taken = sorted(held.values(), reverse=True)[self.most]
+                    counts[i] = {v: n - taken for v, n in held.items() if n > taken}
+                    lost[i] += taken
+        for name, held, loss in zip(self.columns, counts, lost):
+            texts, numbers = [*held, None], [*held.values(), loss]
+            yield pa.record_batch([pa.array([name] * len(texts)), pa.array(texts, pa.string()), pa.array(numbers, pa.int64())], names=["column", "text", "n"])
+
+
+def _frequent_modes(df: DataFrame, columns: Sequence[str], types: dict[str, T.DataType]) -> tuple[dict[str, str], list[str]]:
+    """Modes that the summaries prove, and the columns that are left."""
+    names = [f"c{i}" for i in range(len(columns))]
+    texts = df.select(*[F.col(c).cast("string").alias(n) for c, n in zip(columns, names)])
+    summed = texts.mapInArrow(_Summaries(names, FREQUENT_VALUES), "column string, text string, n long")
+    summed = materialize(summed.groupBy("column", "text").agg(F.sum("n").alias("n")))
+    known = F.col("text").isNotNull()
+    tops = summed.groupBy("column").agg(F.max(F.when(known, F.col("n"))).alias("top"), F.max(F.when(~known, F.col("n"))).alias("lost"))
+    # a value that is missing here or lies further below the top than the loss cannot reach it
+    possible = summed.join(F.broadcast(tops), "column").where(known & (F.col("n") + F.col("lost") >= F.col("top")) & (F.col("top") > F.col("lost")))
+    sizes = {r["column"]: (r["size"], r["lost"]) for r in possible.groupBy("column", "lost").agg(F.count(F.lit(1)).alias("size")).collect()}
+    proven = [n for n in names if n in sizes and sizes[n][0] <= FREQUENT_VALUES]
+    rest = [c for c, n in zip(columns, names) if n not in proven and n in {r["column"] for r in tops.where("top IS NOT NULL OR lost > 0").collect()}]
+    if not proven:
+        return {}, rest
+    of = dict(zip(names, columns))
+    listed = possible.where(F.col("column").isin(proven)).select("column", "text", "n")
+    # at most FREQUENT_VALUES texts of a column
+    cells = _cells(df, [of[n] for n in proven], types)
+    by_name = F.element_at(F.create_map(*[x for n in proven for x in (F.lit(n), F.lit(of[n]))]), F.col("column"))
+    listed = listed.withColumn("column", by_name)
+    if any(sizes[n][1] for n in proven):
+        counted = cells.join(F.broadcast(listed.drop("n")), ["column", "text"])
+        counted = counted.groupBy("column", "text", "number").agg(F.count(F.lit(1)).alias("n_rows_"))
+    else:
+        numeric = [of[n] for n in proven if isinstance(types[of[n]], (T.NumericType, T.BooleanType))]
+        value = F.when(F.col("text").isin("true", "false"), (F.col("text") == "true").cast("double")).otherwise(F.expr("try_cast(text AS double)"))
+        number = F.when(F.col("column").isin(numeric), value) if numeric else F.lit(None).cast("double")
+        counted = listed.select("column", "text", number.alias("number"), F.col("n").alias("n_rows_"))
+    return _best_of(counted), rest
+
+
 def fill_missing(df: DataFrame, strategy: str = "mean", value: object = None) -> DataFrame:
     """Impute by column mean, median, mode or a constant; columns without gaps are left alone.
 

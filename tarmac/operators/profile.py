@@ -336,9 +336,12 @@ def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each set of identical rows."""
+    """Rows beyond the first of each set of identical rows; only rows that may have a copy are compared whole."""
+    from tarmac.operators.clean import suspected_copies
+
+    _, suspects = suspected_copies(df)
     return (
-        df.groupBy(*df.columns)
+        suspects.groupBy(*[f"`{c}`" for c in df.columns])
         .agg(F.count(F.lit(1)).alias("__copies"))
         .agg(F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
     )

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,15 +95,51 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def save_checkpoint(df: DataFrame, path: str, fitted: dict | None = None) -> None:
-    """Persist a phase's table, with the parameters fitted so far beside it."""
-    df.write.mode("overwrite").parquet(f"{path}/table")
-    spark = df.sparkSession
-    note = spark.createDataFrame([(json.dumps(fitted or {}),)], "fitted string")
-    note.coalesce(1).write.mode("overwrite").parquet(f"{path}/fitted")
+_MANIFEST = "saved_at long, version string, rows long, table_schema string, fitted string"
+
 
+def save_checkpoint(df: DataFrame, path: str, fitted: dict | None = None, keep: int = 2) -> str:
+    """Persist a phase's table with the parameters fitted so far, as a new version that counts once it is whole.
 
-def load_checkpoint(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
-    table = spark.read.parquet(f"{path}/table")
-    fitted = json.loads(spark.read.parquet(f"{path}/fitted").first()["fitted"])
-    return table, fitted
+    A version is a folder of its own, so what was saved before stays readable. The table is written first, then a manifest
+    with its schema, number of rows and the parameters: a single file, which appears when the job that writes it commits.
+    A run that dies in between leaves a folder without manifest, which ``load_checkpoint`` does not see.
+    The ``keep`` latest whole versions stay; older ones are removed after the new one is whole. Returns its name.
+    """
+    spark = df.sparkSession
+    saved_at = time.time_ns()
+    version = f"{saved_at:020d}-{uuid.uuid4().hex[:8]}"
+    at = f"{path}/version={version}"
+    df.write.parquet(f"{at}/table")
+    rows = spark.read.parquet(f"{at}/table").count()
+    manifest = spark.createDataFrame([(saved_at, version, rows, df.schema.json(), json.dumps(fitted or {}))], _MANIFEST)
+    manifest.coalesce(1).write.json(f"{at}/manifest")
+    for old in _versions(spark, path)[keep:]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={old['version']}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return version
+
+
+def _versions(spark: SparkSession, path: str) -> list:
+    """Manifests of the whole versions, the latest first."""
+    try:
+        found = spark.read.schema(_MANIFEST).json(f"{path}/version=*/manifest").where("version IS NOT NULL")
+        return found.orderBy(F.desc("saved_at"), F.desc("version")).collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
+def load_checkpoint(spark: SparkSession, path: str, version: str | None = None) -> tuple[DataFrame, dict]:
+    """Table and parameters of the latest whole version, or of a named one. A table with other rows than its manifest
+    says is an error."""
+    known = [v for v in _versions(spark, path) if version in (None, v["version"])]
+    if not known:
+        raise ValueError(f"no whole checkpoint at {path}" + (f" named {version}" if version else ""))
+    chosen = known[0]
+    schema = T.StructType.fromJson(json.loads(chosen["table_schema"]))
+    table = spark.read.schema(schema).parquet(f"{path}/version={chosen['version']}/table")
+    if table.count() != chosen["rows"]:
+        raise ValueError(f"checkpoint {chosen['version']} at {path} does not hold the rows it was saved with")
+    return table, json.loads(chosen["fitted"])
