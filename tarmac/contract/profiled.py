@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tarmac.contract.tables import (
@@ -354,9 +356,29 @@ def _(spark, d):
     )
 
 
-@query("linear_fit_ci")
+# replicate weights as the operator draws them: a 64-bit finaliser of digest and replicate, then steps of Poisson(1)
+_CI = f"""WITH {EVENTS}, m AS (SELECT 18446744073709551616::UHUGEINT AS m),
+p AS (SELECT wave::DOUBLE AS x, value::DOUBLE AS y, ('0x' || substr(md5(event_id || '|42'), 1, 15))::UBIGINT AS d
+  FROM ev WHERE wave IS NOT NULL AND value IS NOT NULL),
+c AS (SELECT avg(x) AS cx, avg(y) AS cy, min(x) AS l, max(x) AS h, regr_slope(y, x) AS s, regr_intercept(y, x) AS i FROM p),
+st AS (SELECT list(q ORDER BY k) AS st FROM (SELECT k, sum(exp(-1::DOUBLE) / factorial(k::INTEGER)::DOUBLE) OVER (ORDER BY k) AS q FROM range(19) t(k))),
+r0 AS (SELECT x - cx AS a, y - cy AS b, k, ((d::UHUGEINT + k::UHUGEINT * 11400714819323198485::UHUGEINT) % m)::UBIGINT AS z
+  FROM p, c, m, range(1, 201) t(k)),
+r1 AS (SELECT a, b, k, ((xor(z, z >> 30)::UHUGEINT * 13787848793156543929::UHUGEINT) % m)::UBIGINT AS z FROM r0, m),
+r2 AS (SELECT a, b, k, ((xor(z, z >> 27)::UHUGEINT * 10723151780598845931::UHUGEINT) % m)::UBIGINT AS z FROM r1, m),
+r3 AS (SELECT a, b, k, (xor(z, z >> 31) >> 11)::DOUBLE / 9007199254740992.0::DOUBLE AS u FROM r2),
+w AS (SELECT a, b, k, len(list_filter(st, lambda q: q <= u))::DOUBLE AS w FROM r3, st),
+su AS (SELECT k, sum(w) AS sw, sum(w * a) AS sx, sum(w * b) AS sy, sum(w * a * a) AS sxx, sum(w * a * b) AS sxy FROM w GROUP BY k),
+li AS (SELECT (sw * sxy - sx * sy) / (sw * sxx - sx * sx) AS g, sw, sx, sy FROM su),
+gr AS (SELECT j::INTEGER AS grid_point, l + j * ((h - l) / 99) AS x, cx, cy, s, i AS fi FROM c, range(100) t(j)),
+ba AS (SELECT grid_point, x, s, fi, quantile_cont(cy + (sy - g * sx) / sw + g * (x - cx), 0.025::DOUBLE) AS low,
+  quantile_cont(cy + (sy - g * sx) / sw + g * (x - cx), 0.975::DOUBLE) AS high FROM li, gr GROUP BY ALL)
+SELECT grid_point, {sr('x')} AS x, {sr('fi + s * x')} AS fit, {sr('low')} AS low, {sr('high')} AS high FROM ba"""
+
+
+@query("linear_fit_ci", _CI)
 def _(spark, d):
-    return chartdata.linear_fit_ci(events(spark, d), "wave", "value", ["event_id"])
+    return rounded_table(chartdata.linear_fit_ci(events(spark, d), "wave", "value", ["event_id"], replicates=200))
 
 
 _QQ = f"""WITH {EVENTS}, long AS ({long_sql('ev', ['value', 'wave'])}),
@@ -379,3 +401,51 @@ def _(spark, d):
 )
 def _(spark, d):
     return rounded_table(normality.qq_fit(events(spark, d), ["value", "wave"]))
+
+
+# --- the whole report -------------------------------------------------------------------------
+
+_REPORTED = ["value", "wave", "grade"]
+_STATS = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
+
+
+def _tidy_describe_sql(source: str, report: str, group: str) -> str:
+    return union_all([f"SELECT '{report}' AS report, {group} AS part, feature, '{s}' AS item, {s}::DOUBLE AS number FROM {source}" for s in _STATS])
+
+
+_REPORT = f"""WITH {EVENTS}, src AS (SELECT * FROM ev), long AS ({long_sql('ev', _REPORTED, 'event_type')}),
+de AS ({_describe_sql()}), dg AS ({_describe_sql('event_type')}),
+co AS ({union_all([_corr_cell(x, y, '') for x in _REPORTED for y in _REPORTED])}),
+cg AS ({union_all([_corr_cell(x, y, 'event_type') for x in _REPORTED for y in _REPORTED])}),
+q AS (SELECT feature, quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b FROM long GROUP BY feature)
+{_tidy_describe_sql('de', 'describe_overall', 'NULL')} UNION ALL {_tidy_describe_sql('dg', 'describe_by_group', 'event_type')} UNION ALL
+SELECT 'range', event_type, feature, 'value_range', {sr('max(value) - min(value)', 4)} FROM long GROUP BY GROUPING SETS ((feature), (event_type, feature)) UNION ALL
+SELECT 'corr_overall', NULL, x, y, r FROM co UNION ALL SELECT 'corr_by_group', event_type, x, y, r FROM cg WHERE event_type IS NOT NULL UNION ALL
+{union_all([f"SELECT 'missing', NULL, '{c}', 'missing', count(*) FILTER ({c} IS NULL) FROM ev" for c in _REPORTED])} UNION ALL
+SELECT 'outliers', NULL, feature, 'outliers', count(*) FILTER (value < a - 1.5 * (b - a) OR value > b + 1.5 * (b - a))
+  FROM long JOIN q USING (feature) GROUP BY feature UNION ALL
+SELECT 'duplicates', NULL, NULL, 'duplicate_rows', (SELECT count(*) FROM ev) - (SELECT count(*) FROM (SELECT DISTINCT * FROM ev))"""
+
+
+@query("analytical_report", _REPORT)
+def _(spark, d):
+    def rows(report, df, feature, items, group=None, digits=4):
+        none = F.lit(None).cast("string")
+        pairs = F.inline(F.array(*[F.struct(i.alias("item"), F.col(n).cast("double").alias("number")) for i, n in items]))
+        part = F.col(group) if group in df.columns else none
+        made = df.select(F.lit(report).alias("report"), part.alias("part"), (F.col(feature) if feature else none).alias("feature"), pairs)
+        return rounded_table(made, digits)
+
+    given = profile.analytical_report(events(spark, d), _REPORTED, "event_type")
+    stats = [(F.lit(s), s) for s in _STATS]
+    parts = [
+        rows("describe_overall", given["describe_overall"], "feature", stats),
+        rows("describe_by_group", given["describe_by_group"], "feature", stats, "event_type"),
+        rows("range", given["range"], "feature", [(F.lit("value_range"), "value_range")], "event_type"),
+        rows("corr_overall", given["corr_overall"], "x", [(F.col("y"), "r")], digits=6),
+        rows("corr_by_group", given["corr_by_group"], "x", [(F.col("y"), "r")], "event_type", digits=6),
+        rows("missing", given["missing"], "feature", [(F.lit("missing"), "missing")]),
+        rows("outliers", given["outliers"], "feature", [(F.lit("outliers"), "outliers")]),
+        rows("duplicates", given["duplicates"], None, [(F.lit("duplicate_rows"), "duplicate_rows")]),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)

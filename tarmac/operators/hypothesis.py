@@ -422,10 +422,10 @@ def airline_delay_test(
 
 def time_of_day_test(
     df: DataFrame, period: str = "TIME_PERIOD", delay: str = "DEP_DELAY", alpha: float = ALPHA
-) -> DataFrame | None:
-    """Does the time of day affect delays? None when a column is absent."""
+) -> DataFrame:
+    """Does the time of day affect delays? No rows when a column is absent."""
     if period not in df.columns or delay not in df.columns:
-        return None
+        df = df.sparkSession.createDataFrame([], f"`{period}` string, `{delay}` double")
     return _named(
         kruskal_wallis(df, period, [delay], alpha),
         "delay by time of day",

@@ -9,7 +9,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-SLOW = {"gradient_boosting", "linear_svm", "model_comparison", "validation_strategies"}
+SLOW: set[str] = set()
 TYPES = {
     "bigint": "BIGINT",
     "double": "DOUBLE",
