@@ -33,7 +33,25 @@ SHARDS = [1.0] * 24
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
-@query("op1_rendezvous_sharding")
+# CRC-32 by its rule: the table of 256 remainders, and the sum over the bytes that a column x lists in hexadecimal
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, b:
+    CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS tab)"""
+_CRC = """xor(list_reduce(list_transform(range(len(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT),
+  lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]), 4294967295), 4294967295)"""
+
+
+@query(
+    "op1_rendezvous_sharding",
+    f"""WITH {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(strlen(text), 0) + 8 AS size, coalesce(hex(text), '') AS x FROM documents),
+c AS (SELECT r, doc_id, size, {_CRC} AS crc FROM d, crc),
+u AS (SELECT r, k, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '|' || k), 1, 13))::BIGINT AS u FROM d, range(25) t(k)),
+s AS (SELECT r, arg_max(k, (u, -k)) FILTER (k < 24) AS shard, arg_max(k, (u, -k)) AS grown FROM u GROUP BY r),
+o AS (SELECT doc_id, size, crc, shard, grown, ('0x' || substr(md5(concat_ws('|', coalesce(doc_id::VARCHAR, 'null'), size, crc, grown)), 1, 13))::BIGINT AS o
+  FROM c JOIN s USING (r))
+SELECT doc_id, size, crc AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY o, doc_id, size, crc, grown) - 1 AS slot, grown::INTEGER AS grown_shard FROM o""",
+)
 def _(spark, d):
     docs = table(spark, d, "documents")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8
@@ -194,13 +212,11 @@ def _(spark, d):
 
 @query(
     "op11_spelling_variants",
-    r"""WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, b:
-    CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS tab),
+    "WITH RECURSIVE " + _CRC_TABLE + r""",
 ru AS (SELECT doc_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS k
   FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS w FROM documents) GROUP BY ALL),
 hx AS (SELECT *, hex(coalesce(doc_id::VARCHAR, '') || ':' || w) AS x FROM ru),
-h AS (SELECT w, k, xor(list_reduce(list_transform(range(len(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT),
-  lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM hx, crc),
+h AS (SELECT w, k, """ + _CRC + r""" AS h FROM hx, crc),
 s AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS w, k FROM h),
 v AS (SELECT w, sum(k)::BIGINT AS n FROM s WHERE length(w) >= 5 GROUP BY w HAVING sum(k) >= 3),
 pl AS (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM v),
@@ -233,7 +249,8 @@ def _(spark, d):
     "op13_filter_audit",
     r"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
     min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
-w AS (SELECT *, regexp_extract_all(t, '[^ 	-]+') AS w FROM d),
+w AS (SELECT *, regexp_extract_all(t, '[^ 	-
+]+') AS w FROM d),
 m AS (SELECT doc_id, part, (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
   + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
   + 16 * coalesce(doc_id IS DISTINCT FROM least AND (doc_id IS NULL OR doc_id > least), false)::INT AS mask FROM w),

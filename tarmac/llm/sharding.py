@@ -11,6 +11,8 @@ from tarmac.session import materialize
 
 #: Cells over which the places of all shards are counted; the broadcast table has a row for each at most.
 CELLS = 1 << 16
+#: Slots that one row is written out to at once.
+RUN = 100_000
 
 
 def shard_score(key: Column, shard: int | Column, weight: float | Column) -> Column:
@@ -48,14 +50,18 @@ def assign_slots(df: DataFrame, by: Sequence[str], shard_col: str = "shard") ->
 
     Returns ``shard_col``, ``by`` and ``slot``. Rows equal in ``by`` are counted before they are shuffled and
     written out again in the end, so one value that fills a third of the table is one row until then. A
-    shard's rows are dealt to cells of the digest; counts per cell give each cell its first slot, and rows are
-    sorted within a cell only. An empty table gives no rows.
+    shard's rows are dealt to cells, ranges of the digest; counts per cell give each cell its first slot, and rows
+    are sorted within a cell only. A value's copies are written out in runs of at most ``RUN`` slots, which are dealt out
+    before. An empty table gives no rows.
     """
-    order = F.xxhash64(*by)
+    # 52 bits, so that the cell is exact in floating point; nulls count as the word
+    names = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in by]
+    order = F.conv(F.substring(F.md5(F.concat_ws("|", *names).cast("binary")), 1, 13), 16, 10).cast("long")
     counted = df.groupBy(shard_col, *by).agg(F.count("*").alias("_copies"))
     counted = materialize(counted.withColumn("_order", order))
     shards = max(1, counted.select(shard_col).distinct().count())
-    cell = F.pmod(F.col("_order"), F.lit(max(1, CELLS // shards)))
+    cells = max(1, CELLS // shards)
+    cell = F.floor(F.col("_order").cast("double") / F.lit(float(16**13)) * F.lit(float(cells)))
     sizes = counted.groupBy(shard_col, cell.alias("_cell")).agg(F.sum("_copies").alias("_size"))
     before = Window.partitionBy(shard_col).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select(shard_col, "_cell", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_first"))
@@ -70,9 +76,12 @@ def assign_slots(df: DataFrame, by: Sequence[str], shard_col: str = "shard") ->
         .join(F.broadcast(firsts), [shard_col, "_cell"])
     )
     start = F.col("_first") + F.col("_before")
-    return placed.select(
-        shard_col, *by, F.explode(F.sequence(start, start + F.col("_copies") - 1)).alias("slot")
-    )
+    end = start + F.col("_copies") - 1
+    runs = placed.select(shard_col, *by, F.explode(F.sequence(start, end, F.lit(RUN))).alias("_from"), end.alias("_end"))
+    if counted.where(F.col("_copies") > RUN).limit(1).count():
+        runs = runs.repartition(shard_col, "_from")
+    slots = F.sequence(F.col("_from"), F.least(F.col("_from") + RUN - 1, "_end"))
+    return runs.select(shard_col, *by, F.explode(slots).alias("slot"))
 
 
 def write_shards(df: DataFrame, path: str, key: str, weights: Sequence[float]) -> None:

@@ -63,3 +63,15 @@ def test_bad_weights(spark):
 def test_written_shards(spark, tmp_path):
     sharding.write_shards(spark.range(50), str(tmp_path / "s"), "id", [1, 1])
     assert spark.read.parquet(str(tmp_path / "s")).groupBy("shard").count().count() == 2
+
+
+def test_many_copies_are_written_in_runs(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN", 7)
+    rows = [(1, "a")] * 50 + [(None, "b")] * 20 + [(i, "c") for i in range(30)]
+    df = spark.createDataFrame(rows, "k long, v string")
+    sharded = sharding.assign_shards(df, "k", [1.0, 2.0, 1.0])
+    out = sharding.assign_slots(sharded, ["k", "v"])
+    got = [(r.shard, r.slot, r.k, r.v) for r in out.collect()]
+    assert sorted((k is None, k or 0, v) for _, _, k, v in got) == sorted((k is None, k or 0, v) for k, v in rows)
+    for shard in {r[0] for r in got}:
+        assert sorted(slot for s, slot, _, _ in got if s == shard) == list(range(sum(s == shard for s, *_ in got)))
