@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import struct
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -191,7 +194,7 @@ def encode(
     Columns ``out``, ``decoded`` and ``round_trip`` are added or replaced; without ``with_decoded`` the decoded text
     is compared in the task and left there. A null text gives null in all three, an empty one no tokens. Texts come
     back unchanged unless they hold the space marker itself, or the model's normaliser changes them;
-    ``round_trip`` says so. Every task builds the tokenizer from the model file's content and works on slices of
+    ``round_trip`` says so. Every worker builds the tokenizer from the model file's content once and works on slices of
     a quarter of a megabyte (a longer text is a slice of its own): texts are normalised and split at spaces, parts
     not met lately are encoded as batches with ``threads`` threads, and each text's tokens are put together from its
     parts. The decoded text is made of each row's own ids alone, as the bytes that its tokens stand for.
@@ -231,15 +234,30 @@ def _threads(count: int) -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "true"
 
 
-class _Parts:
-    """Token ids of the parts met so far."""
+def _built(data: bytes) -> tuple:
+    """What a model file is made into: model, normaliser, tokenizers of single and of joined parts, surfaces of tokens.
 
-    def __init__(self, model: Model):
-        from tokenizers import pre_tokenizers
+    The last one is kept for the worker's later tasks, in a place of the interpreter's own because a task's code comes
+    with the task: making it anew in each task would leave the worker's memory in pieces that it cannot give back.
+    """
+    from tokenizers import pre_tokenizers
 
+    kept = sys.modules.setdefault("_tarmac_pieces", ModuleType("_tarmac_pieces"))
+    key = hashlib.sha256(data).digest()
+    if getattr(kept, "key", None) != key:
+        model = parse_model(data)
         core = build_core(model)
-        self.single, self.joined = _parts_tokenizer(model, core), _parts_tokenizer(model, core)
-        self.joined.pre_tokenizer = pre_tokenizers.Metaspace(replacement=MARK, prepend_scheme="never", split=True)
+        single, joined = _parts_tokenizer(model, core), _parts_tokenizer(model, core)
+        joined.pre_tokenizer = pre_tokenizers.Metaspace(replacement=MARK, prepend_scheme="never", split=True)
+        kept.key, kept.built = key, (model, build_normalizer(model), single, joined, _Surfaces(model))
+    return kept.built
+
+
+class _Parts:
+    """Token ids of the parts met so far."""
+
+    def __init__(self, model: Model, single, joined):
+        self.single, self.joined = single, joined
         pieces = model.pieces
         # the token that opens a part behind a marker has the marker; without a piece for it, it would be bytes
         self.opens = np.array([text.startswith(MARK) for text, _, _ in pieces])
@@ -315,8 +333,8 @@ class _Coder:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _threads(self.threads)
-        model = parse_model(self.data)
-        normalizer, memory, surfaces = build_normalizer(model), _Parts(model), _Surfaces(model)
+        model, normalizer, single, joined, surfaces = _built(self.data)
+        memory = _Parts(model, single, joined)
         plain = not model.charsmap and not model.single_spaces
         lead = MARK if model.dummy_prefix else ""
         split = _split(model)
@@ -357,7 +375,7 @@ class _Coder:
                 if self.with_decoded:
                     columns["_back"] = pa.array(back, pa.string(), mask=null)
                 yield pa.record_batch(columns)
-        del memory, normalizer, surfaces, model
+        del memory
         release_memory()
 
     @staticmethod
