@@ -124,3 +124,32 @@ def test_query(spark, folder, documents):
         r = rows[doc_id]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
         assert r.base_failed == (n < 50 or 100 * repeat > 50 * n) and not (r.base_failed and r.kept)
+
+
+def best_path(model, features):
+    """Content or not of each line, by going through the labels of one text."""
+    scores = [float(model.emissions[f].sum()) for f in features]
+    paths = {0: (model.opening[0], []), 1: (model.opening[1] + scores[0], [])}
+    for s in scores[1:]:
+        # ties go to content before
+        step = {y: max((paths[p][0] + model.steps[p, y], p) for p in (0, 1)) for y in (0, 1)}
+        paths = {y: (step[y][0] + s * y, [*paths[step[y][1]][1], step[y][1]]) for y in (0, 1)}
+    last = 1 if paths[1][0] >= paths[0][0] else 0
+    return [*paths[last][1], last]
+
+
+def test_verdict_of_the_query_recomputed(spark, folder, documents):
+    import pyarrow as pa
+
+    from tarmac.llm.queries import QUERIES
+    from tarmac.llm.words import Hasher
+
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = boilerplate.fit(docs.select("doc_id", "text"), labels.selectExpr("doc_id", "quality AS label"))
+    rows = {r.doc_id: r for r in QUERIES["op8_quality_rules"](spark, folder).collect()}
+    for doc_id, text in documents:
+        counts, _, words, features = boilerplate.analyse(pa.array([text], pa.string()), Hasher(), Hasher(b"\n"))
+        path = best_path(model, features) if len(features) else []
+        share = sum(w for w, y in zip(words.tolist(), path) if y) / max(int(counts[0, 0]), 1)
+        assert rows[doc_id].content_share == pytest.approx(share)
+        assert rows[doc_id].kept == (not rows[doc_id].base_failed and share >= 0.5)

@@ -76,3 +76,35 @@ def test_held_out_accuracy(spark, folder):
     held = rows.where("held_out").join(labels, "doc_id")
     assert rows.count() == 1000
     assert held.select(F.avg((F.col("predicted") == F.col("quality")).cast("int"))).first()[0] >= 0.97
+
+
+def test_score_of_the_query_recomputed(spark, folder):
+    """Fit and scores of the query from the statistics of its rows, by general inverses."""
+    import duckdb
+    import zlib
+
+    import numpy as np
+
+    from tarmac.llm.queries import QUERIES
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    x = {r.doc_id: np.array(r.x) for r in quality.with_statistics(docs).collect()}
+    labels = dict(duckdb.execute(f"SELECT doc_id, quality FROM '{folder}/labels.parquet' WHERE quality IN (0, 1)").fetchall())
+    learned = {i: y for i, y in labels.items() if i in x and zlib.crc32(str(i).encode()) % 5}
+    d, parts = len(next(iter(x.values()))), []
+    for c in (0, 1):
+        rows = np.array([x[i] for i, y in learned.items() if y == c])
+        parts.append((len(rows), rows.mean(axis=0), (rows - rows.mean(axis=0)).T @ (rows - rows.mean(axis=0))))
+    n = sum(p[0] for p in parts)
+    pooled = sum(p[2] for p in parts) / n
+    densities = []
+    for count, mean, scatter in parts:
+        own = 0.9 * scatter / count + 0.1 * pooled
+        own = 0.95 * own + 0.05 * max(np.trace(own) / d, 1e-6) * np.eye(d)
+        inverse, size = np.linalg.inv(own), np.linalg.slogdet(own)[1]
+        densities.append({i: -0.5 * (v - mean) @ inverse @ (v - mean) - 0.5 * size + np.log(count / n) for i, v in x.items()})
+    got = {r.doc_id: r for r in QUERIES["op5_quality_classifier"](spark, folder).collect()}
+    assert set(got) == set(x)
+    for i, r in got.items():
+        want = 1 / (1 + np.exp(np.clip(densities[0][i] - densities[1][i], -700, 700)))
+        assert abs(r.score - want) < 1e-6 and r.predicted == int(r.score >= 0.3) and r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
