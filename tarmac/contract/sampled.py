@@ -219,7 +219,7 @@ def _(spark, d):
 def _(spark, d):
     # the pivot tree in place of a broadcast minority
     src = _rare(spark, d).withColumn("wave", (F.col("event_id") * 7 % 101).cast("double"))
-    return rounded_table(balance.smote(src, "kind", "event_id", broadcast_cells=500, tile_rows=64))
+    return rounded_table(balance.smote(src, "kind", "event_id", broadcast_cells=3000, tile_rows=256))
 
 
 # --- neighbours -------------------------------------------------------------------------------
