@@ -21,8 +21,10 @@ from tarmac.session import materialize
 FILTERS = "ABCDE"
 #: Bytes of a prefix that is not made longer.
 FIRST_DEPTH = 32
-#: Bytes by which a heavy prefix grows beyond what all its texts share.
+#: Bytes by which a heavy prefix grows beyond what all its texts share, in the first round.
 STEP = 32
+#: How many times more it is in each further round.
+STEP_GROWTH = 4
 #: A prefix is heavy if its texts have more bytes than this and than the corpus over ``HEAVY_RANGES``.
 HEAVY_BYTES = 4 << 20
 #: Most heavy prefixes of one depth, and so of what one round fetches.
@@ -135,8 +137,10 @@ def filter_masks(
     ``Z``; D: one of ``#$%&*|``; E: a row of a smaller id has the same text.
 
     1. Bytes of text are summed by prefix. A prefix of too many bytes is looked at again: if all its texts are one
-       text, its least id settles it; otherwise what they all share, and a little more, becomes the prefix. This
-       ends when no prefix is heavy, so copies and common openings do not fill one task.
+       text, its least id settles it; otherwise what they all share, and a little more, becomes the prefix. That
+       little grows fourfold in each round, so near copies take a few rounds however long they are. This ends when
+       no prefix is heavy, so copies and common openings do not fill one task. Texts behind a prefix that was never
+       heavy are read once.
     2. Every task puts its texts into a compressed trie, a few megabytes at a time. Of copies in one trie only
        the rows with the least id are open, the others fail E. Open ones go with their text to the task of their
        prefix.
@@ -183,12 +187,17 @@ def heavy_prefixes(rows: DataFrame, heavy_bytes: int = HEAVY_BYTES) -> _Ranges:
     bound = max(heavy_bytes, total // HEAVY_RANGES)
     id_type = rows.schema["id"].dataType
     spans = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("low", T.BinaryType()), T.StructField("high", T.BinaryType()), T.StructField("id", id_type)])
+    # the key of every later prefix lies behind one of these, at most HEAVY_RANGES
+    first = counts.where(F.col("bytes") > bound).select("key")
+    rows = rows.join(F.broadcast(first), key == first["key"], "left_semi")
+    step = STEP
     while heavy := {bytes(r.key) for r in counts.where(F.col("bytes") > bound).select("key").collect()}:
         ends = rows.mapInArrow(_Ends(ranges, heavy, _arrow(id_type)), spans)
         ends = ends.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("id").alias("id"))
         found = ends.mapInArrow(_shared, T.StructType([spans["key"], T.StructField("shared", T.LongType()), spans["id"]])).collect()
         ranges.single.update({bytes(r.key): r.id for r in found if r.shared is None})
-        ranges.deeper.update(split := {bytes(r.key): r.shared + STEP for r in found if r.shared is not None})
+        ranges.deeper.update(split := {bytes(r.key): r.shared + step for r in found if r.shared is not None})
+        step *= STEP_GROWTH
         if not split:
             break
         counts = rows.mapInArrow(_Sizes(ranges), "key binary, bytes long")

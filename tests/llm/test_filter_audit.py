@@ -66,6 +66,19 @@ def test_heavy_prefixes_are_split_or_settled(spark, corpus):
     assert all(n <= 5_000 or key in ranges.single for key, n in sizes.items())
 
 
+def test_rounds_for_near_copies(spark, monkeypatch):
+    # a byte changed at another place in each: behind every change all later copies are still alike
+    base = prose(60, 900)[:4000]
+    rows = [(i, base[: 40 + 39 * i] + "~" + base[41 + 39 * i :], "en") for i in range(100)] + [(500, base, "en"), (501, base, "de")]
+    rows += [(1000 + i, prose(i, 120), "fr") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    rounds = []
+    keep = filter_audit.materialize
+    monkeypatch.setattr(filter_audit, "materialize", lambda table: rounds.append(1) or keep(table))
+    assert as_counts(filter_audit.filter_masks(df, heavy_bytes=9_000)) == Counter(masks(rows))
+    assert 2 < len(rounds) <= 7
+
+
 def test_odd_rows(spark, odd):
     given = [(r.doc_id, r.text, r.lang) for r in odd.collect()]
     named = odd.withColumn("mask", F.lit(1)).withColumn("key", F.lit("x")).withColumn("part", F.lit(1)).withColumn("id", F.lit(2))
