@@ -32,7 +32,8 @@ def repeated_windows_removed(df: DataFrame, text: str = "text", width: int = 35)
 
     Rows are known by 96 bits of their text, since equal texts lose the same words; the columns ``text`` is
     read from need no unique id. A hash found twice within a task's chunk travels once, so a passage that
-    very many texts share sends one row per chunk. Counts of hashes are sums, summed before they meet.
+    very many texts share sends one row per chunk. Neighbouring places settled in a chunk travel as one run. Every
+    step is written to the shared folder and its shuffle files go then, so that the steps' files do not add up.
 
     :return: the input's columns and ``n_words``, ``n_removed`` (long), ``kept_text`` (kept words joined by one
         space), replacing columns of these names. Null and empty texts have no words. Texts shorter than
@@ -44,16 +45,15 @@ def repeated_windows_removed(df: DataFrame, text: str = "text", width: int = 35)
     k1, k2 = text_key(text)
     texts = df.select(k1.alias("_k1"), k2.alias("_k2"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     anchors = _found_twice(texts.mapInArrow(_Anchors(width), _OCCURRENCE))
-    by_text = anchors.groupBy("_k1", "_k2").agg(F.collect_set("at").alias("_at"))
-    suspects = materialize(texts.join(by_text, ["_k1", "_k2"]))
+    suspects = materialize(texts.join(_by_text(anchors), ["_k1", "_k2"]), drop_shuffles=True)
     windows = _found_twice(suspects.mapInArrow(_Extended(width), _OCCURRENCE))
-    doomed = windows.groupBy("_k1", "_k2").agg(F.collect_set("at").alias("_at"))
     cut = (
-        suspects.drop("_at")
-        .join(doomed, ["_k1", "_k2"])
-        .mapInArrow(_Cut(width), "_k1 long, _k2 long, _removed long, _kept string")
+        suspects.drop("_runs")
+        .join(_by_text(windows), ["_k1", "_k2"])
         .dropDuplicates(["_k1", "_k2"])
+        .mapInArrow(_Cut(width), "_k1 long, _k2 long, _removed long, _kept string")
     )
+    cut = materialize(cut, drop_shuffles=True)
     added = ("n_words", "n_removed", "kept_text")
     whole = df.select(F.struct(*df.columns).alias("row"), k1.alias("_k1"), k2.alias("_k2"))
     spaces = F.regexp_replace(F.coalesce(F.col("row").getField(text), F.lit("")), r"[\x20\x09-\x0D]+", " ")
@@ -69,29 +69,43 @@ def repeated_windows_removed(df: DataFrame, text: str = "text", width: int = 35)
     )
 
 
-_OCCURRENCE = "hash long, n int, _k1 long, _k2 long, at int"
+_OCCURRENCE = "hash long, n int, _k1 long, _k2 long, at int, length int"
 
 
 def _found_twice(occurrences: DataFrame) -> DataFrame:
-    """Places whose hash occurs at least twice in all. Rows without a place only add to the count."""
+    """Runs of places whose hash occurs at least twice in all. Rows without a place only add to the count."""
     total = F.sum("n").over(Window.partitionBy("hash"))
     return (
-        occurrences.withColumn("total", total).where("total > 1 AND at IS NOT NULL").select("_k1", "_k2", "at")
+        occurrences.withColumn("total", total)
+        .where("total > 1 AND at IS NOT NULL")
+        .select("_k1", "_k2", F.struct("at", "length").alias("run"))
     )
 
 
+def _by_text(runs: DataFrame) -> DataFrame:
+    """All runs of each text, in a table of their own."""
+    return materialize(runs.groupBy("_k1", "_k2").agg(F.collect_set("run").alias("_runs")), drop_shuffles=True)
+
+
 def _occurrences(hashes: np.ndarray, rows: np.ndarray, at: np.ndarray, keys: pa.RecordBatch) -> pa.RecordBatch:
-    """A row for each place. Places whose hash occurs again in this chunk are settled: each carries weight 2 under a
-    hash of its own, so that they are dealt to many tasks, and one row without a place tells the others."""
+    """A row for each place, given text after text. Places whose hash occurs again in this chunk are settled: each run
+    of them carries weight 2 under a hash of its own, so that they are dealt to many tasks, and one row without a
+    place tells the others of each hash."""
     unique, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
     again = counts[inverse] > 1
     told = unique[counts > 1]
     text = keys.column("_k1").to_numpy().view(np.uint64)[rows]
+    # a settled place that follows a settled place of its text is part of that one's run
+    begins = np.ones(len(at), bool)
+    begins[1:] = ~(again[1:] & again[:-1] & (rows[1:] == rows[:-1]) & (at[1:] == at[:-1] + 1))
+    begin = np.flatnonzero(begins)
+    length = np.diff(np.append(begin, len(at)))
+    hashes, again, text, at, rows = hashes[begin], again[begin], text[begin], at[begin], rows[begin]
     own = mix(hashes ^ mix(text + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
     keyed = np.where(again, own, hashes)
-    # equal texts have the same settled places, of which one row is enough
+    # equal texts have the same settled runs, of which one row is enough
     kept = np.unique(keyed, return_index=True)[1]
-    keyed, again, at, rows = keyed[kept], again[kept], at[kept], rows[kept]
+    keyed, again, at, length, rows = keyed[kept], again[kept], at[kept], length[kept], rows[kept]
     k1, k2 = keys.column("_k1").take(pa.array(rows)), keys.column("_k2").take(pa.array(rows))
     none = pa.nulls(len(told), pa.int64())
     return pa.record_batch(
@@ -101,8 +115,9 @@ def _occurrences(hashes: np.ndarray, rows: np.ndarray, at: np.ndarray, keys: pa.
             pa.concat_arrays([k1, none]),
             pa.concat_arrays([k2.cast(pa.int64()), none]),
             pa.concat_arrays([pa.array(at.astype(np.int32)), pa.nulls(len(told), pa.int32())]),
+            pa.concat_arrays([pa.array(length.astype(np.int32)), pa.nulls(len(told), pa.int32())]),
         ],
-        names=["hash", "n", "_k1", "_k2", "at"],
+        names=["hash", "n", "_k1", "_k2", "at", "length"],
     )
 
 
@@ -136,7 +151,7 @@ class _Extended:
         for batch in batches:
             for chunk in chunks(batch, "_text"):
                 hashes, first = hasher.words(chunk.column("_text"))
-                anchors, owner = _places(chunk.column("_at"))
+                anchors, owner = _places(chunk.column("_runs"))
                 # a window from p holds the anchor at a if a - 20 <= p <= a
                 marks = np.zeros(len(hashes) + 1, np.int32)
                 low = np.maximum(first[owner] + anchors - reach + 1, first[owner])
@@ -163,7 +178,7 @@ class _Cut:
             for chunk in chunks(batch, "_text"):
                 data, offsets = text_bytes(chunk.column("_text"))
                 starts, ends, first = hasher.bounds(data, offsets)
-                windows, owner = _places(chunk.column("_at"))
+                windows, owner = _places(chunk.column("_runs"))
                 marks = np.zeros(len(starts) + 1, np.int32)
                 np.add.at(marks, first[owner] + windows, 1)
                 np.add.at(marks, first[owner] + windows + self.width, -1)
@@ -182,7 +197,9 @@ class _Cut:
 
 
 def _places(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of a list column and the row of each."""
-    values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    """All places of a column with lists of runs, and the row of each."""
+    runs = lists.flatten()
+    at, length = (pa.array(runs.field(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("at", "length"))
     rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-    return values, rows
+    inside = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    return np.repeat(at, length) + inside, np.repeat(rows, length)

@@ -50,12 +50,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
+#: Lets Spark delete the shuffle files of a query when the query ends, instead of when the driver collects its garbage.
+_SHUFFLES_END = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, drop_shuffles: bool = False) -> DataFrame:
     """Compute ``df`` once into a table in the shared folder, so that later jobs neither recompute it
-    nor see it differently, and still read only the columns they need."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tarmac-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    nor see it differently, and still read only the columns they need. With ``drop_shuffles`` the shuffle files
+    of this computation are deleted when the table is written."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tarmac-{uuid.uuid4().hex}"
+    before = spark.conf.get(_SHUFFLES_END, None)
+    if drop_shuffles:
+        spark.conf.set(_SHUFFLES_END, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if drop_shuffles and before is None:
+            spark.conf.unset(_SHUFFLES_END)
+        elif drop_shuffles:
+            spark.conf.set(_SHUFFLES_END, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def parameter_table(df: DataFrame, max_rows: int = PARAMETER_ROWS) -> DataFrame:

@@ -1,7 +1,10 @@
 import hashlib
 import re
+import time
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from conftest import prose  # noqa: F401  (tests/llm/conftest.py comes first on the path)
 
 from tarmac.llm import substring
@@ -75,3 +78,34 @@ def test_clashing_names(spark):
     out = substring.repeated_windows_removed(df)
     assert [c for c in df.columns if c != "n_removed"] + ["n_words", "n_removed", "kept_text"] == out.columns
     assert {(r.doc_id, r.n_removed, r.kept_text, r._k1) for r in out.collect()} == {(1, 40, "a", 9), (2, 40, "b", 9)}
+
+
+def test_settled_places_travel_as_runs():
+    keys = pa.record_batch({"_k1": pa.array([5, 6, 7], pa.int64()), "_k2": pa.array([1, 2, 3], pa.int64())})
+    hashes = np.array([*range(100, 140), *range(100, 140), 7, 8, 100, 9], np.uint64)
+    rows, at = np.repeat([0, 1, 2], [40, 42, 2]), np.array([*range(40), *range(10, 52), 3, 4])
+    out = substring._occurrences(hashes, rows, at, keys).to_pylist()
+    placed = sorted((r["_k1"], r["at"], r["length"], r["n"]) for r in out if r["at"] is not None)
+    assert placed == [(5, 0, 40, 2), (6, 10, 40, 2), (6, 50, 1, 1), (6, 51, 1, 1), (7, 3, 1, 2), (7, 4, 1, 1)]
+    assert sorted(r["hash"] for r in out if r["at"] is None) == list(range(100, 140))
+
+
+def test_shuffle_files_of_written_steps_go(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        names = (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    part, before = prose(7, 60), files()
+    texts = [f"{part} {prose(i, 9)}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    out = substring.repeated_windows_removed(df)
+    for _ in range(40):
+        if not files() - before:
+            break
+        time.sleep(0.25)
+    assert not files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) in (None, "false")
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in out.collect())
+    assert got == [(i, *want) for i, want in enumerate(brute(texts))]
