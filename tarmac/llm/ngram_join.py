@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import graph
-from tarmac.llm.common import chunks, long_lists, probable_members, short_batches
+from tarmac.llm.common import chunks, long_lists, probable_members, release_memory, short_batches
 from tarmac.llm.words import Hasher, mix, numbers, window_starts
 from tarmac.session import materialize
 
@@ -19,6 +19,8 @@ from tarmac.session import materialize
 PAIR_BUCKET = 24
 #: Texts of a block.
 BLOCK = 384
+#: Shingles of two blocks that are matched at a time, about.
+MATCHED = 1 << 18
 
 
 def choose_bands(threshold: float, recall: float, max_hashes: int = 64) -> tuple[int, int]:
@@ -215,6 +217,7 @@ class _Signatures:
                     ],
                     names=["_id", "_key", "node", "bands"],
                 )
+        release_memory()
 
 
 class _Pairs:
@@ -234,6 +237,7 @@ class _Pairs:
                     shared = len(np.intersect1d(a, b, assume_unique=True))
                     alike.append(shared >= self.threshold * (len(a) + len(b) - shared) - 1e-9)
                 yield chunk.select(["a", "b", "n_a", "n_b"]).filter(pa.array(alike, pa.bool_()))
+        release_memory()
 
 
 class _Blocks:
@@ -259,6 +263,8 @@ class _Blocks:
                 parts.append(batch.slice(start, end - start))
         if parts:
             yield self.compare(hasher, parts)
+        del parts
+        release_memory()
 
     def compare(self, hasher: Hasher, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         group = pa.Table.from_batches(parts).combine_chunks()
@@ -269,16 +275,20 @@ class _Blocks:
         low, high, bucket = (column[c][0].as_py() for c in ("low", "high", "bucket"))
         values, begin = _sets(hasher, column["_text"], self.n)
         size = np.diff(begin)
-        owner = np.repeat(np.arange(len(node)), size)
-        _, place, uses = np.unique(values, return_inverse=True, return_counts=True)
-        often = uses[place] > 1
-        owner, place = owner[often], np.unique(place[often], return_inverse=True)[1]
+        owner = np.repeat(np.arange(len(node), dtype=np.int32), size)
         shared = np.zeros((len(node), len(node)), np.float32)
-        for start in range(0, int(place.max(initial=-1)) + 1, 8192):
-            part = (place >= start) & (place < start + 8192)
-            has = np.zeros((len(node), 8192), np.float32)
-            has[owner[part], place[part] - start] = 1
-            shared += has @ has.T
+        # equal shingles have equal remainders, so that the counts of each remainder add up
+        slices = np.uint64(1 + len(values) // MATCHED)
+        for remainder in range(int(slices)):
+            mine = np.flatnonzero(values % slices == np.uint64(remainder))
+            _, place, uses = np.unique(values[mine], return_inverse=True, return_counts=True)
+            often = uses[place] > 1
+            holder, place = owner[mine[often]], np.unique(place[often], return_inverse=True)[1]
+            for start in range(0, int(place.max(initial=-1)) + 1, 8192):
+                part = (place >= start) & (place < start + 8192)
+                has = np.zeros((len(node), 8192), np.float32)
+                has[holder[part], place[part] - start] = 1
+                shared += has @ has.T
         alike = shared >= self.threshold * (size[:, None] + size[None, :] - shared) - 1e-4
         for i in range(len(node)):
             equal = bands[i] == bands
@@ -314,10 +324,15 @@ def _shingles(hasher: Hasher, texts: pa.Array, n: int):
 
 
 def _sets(hasher: Hasher, texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text, text after text, and where each text's begin."""
-    shingles, rows, _ = _shingles(hasher, texts, n)
-    order = np.lexsort((shingles, rows))
-    shingles, rows = shingles[order], rows[order]
-    new = np.ones(len(rows), bool)
-    new[1:] = (shingles[1:] != shingles[:-1]) | (rows[1:] != rows[:-1])
-    return shingles[new], np.searchsorted(rows[new], np.arange(len(texts) + 1))
+    """Distinct shingle hashes of each text, text after text, and where each text's begin. Hashing takes some forty
+    bytes for a byte of text, so texts are hashed a chunk at a time."""
+    found, sizes = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for chunk in chunks(pa.record_batch([texts], names=["text"]), "text"):
+        shingles, rows, _ = _shingles(hasher, chunk.column("text"), n)
+        order = np.lexsort((shingles, rows))
+        shingles, rows = shingles[order], rows[order]
+        new = np.ones(len(rows), bool)
+        new[1:] = (shingles[1:] != shingles[:-1]) | (rows[1:] != rows[:-1])
+        found.append(shingles[new])
+        sizes.append(np.bincount(rows[new], minlength=chunk.num_rows))
+    return np.concatenate(found), np.cumsum(np.concatenate(sizes))

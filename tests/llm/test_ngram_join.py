@@ -1,10 +1,14 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
+import pytest
 from conftest import WORDS, prose
 
 from tarmac.llm import ngram_join
+from tarmac.llm.words import Hasher
 
 
 def shingles(text, n=5):
@@ -96,3 +100,42 @@ def test_one_per_class(odd):
     assert ids == Counter([1, 2, None, None, 3, 4, 5, 6, 7, 9])
     doubled = odd.unionByName(odd).where("doc_id = 6 OR doc_id = 3")
     assert Counter(r.doc_id for r in ngram_join.one_per_class(doubled).collect()) == Counter([6, 3, 3])
+
+
+@pytest.fixture(scope="module")
+def long_block():
+    """Near copies among long texts, as the rows of two blocks of one band."""
+    rng = random.Random(5)
+    texts = [prose(900 + i, rng.randint(3_000, 9_000)) for i in range(150)]
+    texts += [texts[i] + " " + prose(i, 300) for i in range(30)] + ["", "one two"]
+    columns = {c: pa.array([0] * len(texts), pa.int32()) for c in ("low", "high", "block")}
+    columns |= {"bucket": pa.array([1] * len(texts), pa.int64()), "node": pa.array(range(len(texts)), pa.int64())}
+    columns |= {"n": pa.array([1 + i % 3 for i in range(len(texts))], pa.int64()), "bands": pa.array([[1] * 14] * len(texts), pa.list_(pa.int64()))}
+    return texts, pa.record_batch(columns | {"_text": pa.array(texts)})
+
+
+def test_memory_of_long_texts_in_a_block(long_block):
+    texts, batch = long_block
+    tracemalloc.start()
+    out = [r for found in ngram_join._Blocks(5, 0.8)([batch]) for r in found.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    sets = [shingles(t) for t in texts]
+    links = Counter()
+    for i in range(150):
+        for j in range(150, 180):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                links[i] += 1 + j % 3
+                links[j] += 1 + i % 3
+    assert {r["node"]: r["links"] for r in out} == links and len(links) == 60
+    # hashing at once took forty bytes for each of text
+    assert peak < 20 * sum(map(len, texts))
+
+
+def test_sets_do_not_depend_on_chunks(long_block, monkeypatch):
+    texts = pa.array([*long_block[0][:9], None, "", "a b", *long_block[0][-3:]])
+    whole = ngram_join._sets(Hasher(), texts, 5)
+    for size in (1, 50_000):
+        monkeypatch.setattr(ngram_join.chunks, "__defaults__", (size,))
+        assert all((a == b).all() for a, b in zip(whole, ngram_join._sets(Hasher(), texts, 5)))
+    assert [len(x) for x in ngram_join._sets(Hasher(), texts[:0], 5)] == [0, 1]
