@@ -344,7 +344,9 @@ def undersample(df: DataFrame, label: str, key_cols: Sequence[str], seed: int =
 def draw_slots(needs: DataFrame, by: Sequence[str], seed: int) -> DataFrame:
     """One row per wanted draw, ``(by..., size, slot, digest)``, from ``(by..., size, need)``.
 
-    Draws are produced from blocks so that one class with a huge need is spread over many tasks.
+    Draws are produced from blocks so that one class with a huge need is spread over many tasks. The planner takes
+    the size of the blocks for that of the draws, and a hint on ``needs`` reaches them too: whoever joins them hints
+    ``merge``, or all draws are broadcast.
     """
     blocks = (
         needs.where(F.col("need") > 0)
@@ -390,7 +392,7 @@ def draw_with_replacement(
     number = (F.col("__block") * F.lit(_DRAW_BLOCK) + F.col("__copy")).cast("long")
     numbered = [number.alias(copy_col)] if copy_col else []
     return (
-        picks.join(ranked, [*by, "__rank"])
+        picks.hint("merge").join(ranked, [*by, "__rank"])
         .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
         .select(*df.columns, *numbered)
     )

@@ -149,6 +149,17 @@ def test_folds_of_copies_are_even(spark):
     assert few.count() == few.select("id", "copy").distinct().count() == 1600
 
 
+def test_draws_are_not_broadcast(spark):
+    """The blocks that draws are made from are tiny, the draws are not."""
+    rows = [(i, 0 if i < 40 else 5, "rare" if i < 40 else "common") for i in range(840)]
+    df = spark.createDataFrame(rows, "id long, t int, kind string")
+    for drawn in (sampling.balance_positive_zero(df, "t", ["id"]), sampling.oversample(df, "kind", ["id"])):
+        assert len(drawn.collect()) == 1600
+        plan = drawn._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert any("SortMergeJoin" in line and "__rank" in line for line in plan.splitlines())
+        assert not any("BroadcastHashJoin" in line and "__rank" in line.split("Join", 1)[1].split("Inner")[0] for line in plan.splitlines())
+
+
 @pytest.mark.parametrize("have", [[7 * 10**9], [10**12, 3, 5 * 10**11 + 1, 10**10 + 7], [6, 3, 1]])
 def test_shares_of_very_large_tables(spark, have):
     from fractions import Fraction
