@@ -106,3 +106,35 @@ def test_copies_fewer_points_than_neighbors_and_outliers(spark):
     got = result(knn.knn_join(q, b, 7, "id", "id", **options))
     assert got == brute(base, np.arange(len(base)), base[::50], np.arange(len(base[::50])), 7, False)
     assert knn.knn_join(q.where("id < 0"), b, 7, "id", "id", **options).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["uniform", "lattice", "hot"])
+def test_many_parts(spark, kind, monkeypatch):
+    """Queries meet whole parts of a bounded size, the first and those within the bound found there, not single leaves."""
+    monkeypatch.setattr(knn, "PART_KEYS", 60)
+    points = make(kind)
+    df, keys = frame(spark, points), np.arange(len(points))
+    cells = points.size - 1
+    q, b = df.select(F.col("id").alias("qk"), F.col("features").alias("qv")), df.select(F.col("id").alias("bk"), F.col("features").alias("bv"))
+    got = result(knn.knn_join(df, df, 4, "id", "id", exclude_self=True, broadcast_cells=cells, tile_rows=8))
+    assert got == brute(points, keys, points, keys, 4, True)
+    if kind == "uniform":
+        tree = knn.PivotTree.build(b, 3, 8, cells)
+        parts = [r.n for r in tree.points.groupBy("door").agg(F.sum(F.size("bks")).alias("n")).collect()]
+        assert len(parts) > 8 and max(parts) <= 60
+        _, (first, more) = tree.search(q, 4, "qk long, bk long, dist double")
+        assert first.select("qk").distinct().count() == len(points)
+        met = more.select("qk", F.substring_index("leaf", ".", 1).alias("door")).distinct().count()
+        assert met < len(points) * len(parts) / 2
+
+
+@pytest.mark.parametrize("cells", [None, 100])
+def test_missing_numbers(spark, cells):
+    points = make("uniform")[:60]
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)] + [(90, [None, 1.0, 2.0]), (91, [0.0, float("nan"), 0.0])]
+    df = spark.createDataFrame(rows, "id long, features array<double>")
+    options = {"broadcast_cells": cells, "tile_rows": 16} if cells else {}
+    got = result(knn.knn_join(df, df, 3, "id", "id", exclude_self=True, **options))
+    assert got == brute(points, np.arange(60), points, np.arange(60), 3, True)
+    with pytest.raises(ValueError):
+        knn.knn_join(df, df.unionByName(spark.createDataFrame([(92, None)], df.schema)), 3, "id", "id", **options)
