@@ -128,6 +128,27 @@ def test_many_parts(spark, kind, monkeypatch):
         assert met < len(points) * len(parts) / 2
 
 
+def test_broadcast_base_is_not_compared_whole():
+    """The work for a query in a broadcast base grows with the logarithm of its rows, not with the rows."""
+    pairs = {}
+    for n in (4000, 64000):
+        points = np.random.default_rng(5).normal(size=(n, 2))
+        leaf = knn.kd_leaves(points, np.ones(n), 64)
+        size = np.bincount(leaf)
+        assert size.max() <= 64
+        base = knn.Leaves(points, np.arange(n), leaf)
+        asked = points[:500]
+        pairs[n] = 0
+        for q, key, dist, _, visited in base.search(asked, 5):
+            pairs[n] += size[visited].sum()
+            for i in np.unique(q):
+                want = np.sqrt(((points - asked[i]) ** 2).sum(axis=1))
+                assert key[q == i].tolist() == np.lexsort((np.arange(n), want))[:5].tolist()
+                assert np.allclose(dist[q == i], np.sort(want)[:5])
+        assert pairs[n] < 500 * 64 * 12
+    assert pairs[64000] < 2 * pairs[4000]
+
+
 @pytest.mark.parametrize("cells", [None, 100])
 def test_missing_numbers(spark, cells):
     points = make("uniform")[:60]
