@@ -92,7 +92,7 @@ def _synthetic(
     bases = hash_rank(points, [key], seed, output="__rank").withColumn("__base", F.col(key))
     others = points.select(F.col(key).alias("__other"), F.col("__v").alias("__w"))
     joined = (
-        slots.join(bases, "__rank").join(neighbors, ["__base", "__k"]).join(others, "__other")
+        slots.hint("merge").join(bases, "__rank").join(neighbors, ["__base", "__k"]).join(others, "__other")
     )
     between = {
         c: (F.col("__v")[i] + F.col("__u") * (F.col("__w")[i] - F.col("__v")[i]))

@@ -160,6 +160,14 @@ def test_draws_are_not_broadcast(spark):
         assert not any("BroadcastHashJoin" in line and "__rank" in line.split("Join", 1)[1].split("Inner")[0] for line in plan.splitlines())
 
 
+def test_smote_draws_are_not_broadcast(spark):
+    rows = [(i, "rare" if i < 40 else "common", float(i * 7 % 101)) for i in range(840)]
+    full = balance.smote(spark.createDataFrame(rows, "id long, kind string, x double"), "kind", "id")
+    assert len(full.collect()) == 1600
+    plan = full._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert any("SortMergeJoin" in line and "__rank" in line for line in plan.splitlines())
+
+
 @pytest.mark.parametrize("have", [[7 * 10**9], [10**12, 3, 5 * 10**11 + 1, 10**10 + 7], [6, 3, 1]])
 def test_shares_of_very_large_tables(spark, have):
     from fractions import Fraction
