@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tarmac.operators import models
 from tarmac.plans import flights as plan
@@ -91,3 +92,30 @@ def test_engineered_table_is_numeric(spark, folder):
     assert params.where("feature = 'DISTANCE'").count() == 1
     reports = plan.named_tests(flights(spark, folder))
     assert set(reports) == {"delay_by_airline", "delay_by_time_of_day"}
+
+
+def test_hold_outs_are_scored_in_one_pass(spark):
+    """Scores of all hold-outs come from one table of counts, not from a scan of all predictions for each."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = [(i, float(i % 3), [float(i % 7), 1.0]) for i in range(400)]
+    data = spark.createDataFrame(rows, "id long, label double, x array<double>").withColumn("features", array_to_vector("x"))
+
+    class Remainder:
+        def predict(self, rows, keep):
+            found = rows.select(*keep, "x", "out", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("model"))
+            held = found.where(F.expr("shiftright(out, model) & 1") == 1)
+            return held.select(*keep, F.col("model").cast("int"), F.expr("x[0] % 3").alias("prediction"))
+
+    fitter = models._Together(lambda rows, classes, many: Remainder())
+    taken = {}
+    for many in (2, 8):
+        flags = [F.col("id") % 11 == m for m in range(many)]
+        spark.sparkContext.setJobGroup(f"hold-outs {many}", "")
+        got = fitter.scores(data, flags)
+        taken[many] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"hold-outs {many}"))
+        spark.sparkContext.setJobGroup("others", "")
+        for score, flag in zip(got, flags, strict=True):
+            row = models.classification_metrics(data.where(flag).withColumn("prediction", F.expr("x[0] % 3"))).first()
+            assert score == (row["accuracy"], pytest.approx(row["f1_weighted"]))
+    assert taken[8] <= taken[2] + 1
